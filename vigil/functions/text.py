@@ -62,9 +62,11 @@ def char_ngrams(c, n_min: int = 1, n_max: int = 3, lowercase: bool = True,
         s = F.lower(s)
     if normalize_whitespace:
         s = squeeze_ws(s)
+    def take(n):
+        return lambda i: F.substring(s, i, n)
+
     parts = []
     for n in range(n_min, n_max + 1):
-        grams = F.transform(F.sequence(F.lit(1), F.length(s) - F.lit(n - 1)),
-                            lambda i, n=n: F.substring(s, i, n))
+        grams = F.transform(F.sequence(F.lit(1), F.length(s) - F.lit(n - 1)), take(n))
         parts.append(F.when(F.length(s) >= n, grams).otherwise(F.array().cast("array<string>")))
     return parts[0] if len(parts) == 1 else F.concat(*parts)
