@@ -1 +1,54 @@
-"""sample queries."""
+"""Sampling queries over orders."""
+
+from __future__ import annotations
+
+from vigil.operators import sample
+from vigil.plans.catalog import register
+from vigil.tables import table
+
+
+@register("stratified_sample", sql="""
+    WITH RECURSIVE c AS (
+        SELECT o_orderkey, o_orderpriority, md5(CAST(o_orderkey AS VARCHAR)) AS h
+        FROM orders WHERE o_orderkey IS NOT NULL AND o_orderpriority IS NOT NULL),
+    st AS (SELECT o_orderpriority AS s, count(*) AS n, row_number() OVER (ORDER BY o_orderpriority) AS idx,
+                  count(*) OVER () AS n_strata FROM c GROUP BY o_orderpriority),
+    rc AS (SELECT least(20, (SELECT count(*) FROM c)) AS row_count),
+    q(idx, s, take, remaining) AS (
+        SELECT st.idx, st.s, least(st.n, greatest(1, rc.row_count // st.n_strata)),
+               rc.row_count - least(st.n, greatest(1, rc.row_count // st.n_strata))
+        FROM st, rc WHERE st.idx = 1 AND rc.row_count > 0
+        UNION ALL
+        SELECT st.idx, st.s, least(st.n, greatest(1, q.remaining // (st.n_strata - st.idx + 1))),
+               q.remaining - least(st.n, greatest(1, q.remaining // (st.n_strata - st.idx + 1)))
+        FROM q JOIN st ON st.idx = q.idx + 1 WHERE q.remaining > 0),
+    r AS (SELECT c.*, row_number() OVER (PARTITION BY o_orderpriority ORDER BY h, o_orderkey) AS rn FROM c),
+    picked AS (SELECT r.o_orderkey, r.o_orderpriority FROM r JOIN q ON r.o_orderpriority = q.s WHERE r.rn <= q.take),
+    rest AS (SELECT o_orderkey, o_orderpriority FROM c
+             WHERE o_orderkey NOT IN (SELECT o_orderkey FROM picked)
+             ORDER BY h, o_orderkey
+             LIMIT (SELECT row_count FROM rc) - (SELECT coalesce(sum(take), 0) FROM q))
+    SELECT * FROM picked UNION ALL SELECT * FROM rest
+""")
+def stratified_sample(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    return sample.stratified_sample(orders, "o_orderkey", "o_orderpriority")
+
+
+@register("half_split", sql="""
+    WITH o AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos, count(*) OVER () AS total
+               FROM orders)
+    SELECT o_orderkey, 'train' AS half FROM o WHERE pos <= total // 2
+    UNION ALL SELECT o_orderkey, 'test' AS half FROM o WHERE pos >= total // 2
+""")
+def half_split(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    return sample.half_split(orders, "o_orderkey")
+
+
+@register("hash_sample", sql="""
+    SELECT o_orderkey, o_totalprice FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 1000
+""")
+def hash_sample(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return sample.hash_sample(orders, "o_orderkey", 1000)
