@@ -29,3 +29,264 @@ _METRICS_SQL = f"""
 def daily_regression_quality(spark, sf_dir):
     df = mon.monitoring_table(spark, sf_dir)
     return round_doubles(metrics.daily_regression_quality(df, mon.TIMESTAMP, mon.TARGET, mon.PREDICTION))
+
+
+# ---------------------------------------------------------------- drift
+
+from itertools import combinations  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from vigil.operators import drift, profile, suite  # noqa: E402
+from vigil.plans.catalog import rnd  # noqa: E402
+
+_SPLIT_SQL = f"""
+    m AS ({mon.MONITORING_SQL}),
+    ref AS (SELECT * FROM m WHERE NOT coalesce(start_date >= TIMESTAMP '{mon.CURRENT_FROM}', false)),
+    cur AS (SELECT * FROM m WHERE start_date >= TIMESTAMP '{mon.CURRENT_FROM}')
+"""
+
+
+def _split(spark, sf_dir):
+    m = mon.monitoring_table(spark, sf_dir)
+    return mon.reference_part(m), mon.current_part(m)
+
+
+def _stack_sql(src: str, cols, cast: str, extra: str = "") -> str:
+    return " UNION ALL ".join(
+        f"SELECT {extra}'{c}' AS column_name, CAST({c} AS {cast}) AS value FROM {src}" for c in cols)
+
+
+_NUMERIC_DRIFT_COLS = (mon.TARGET, mon.PREDICTION) + mon.NUMERIC_FEATURES
+
+
+@register("numeric_drift_wasserstein", sql=f"""
+    WITH {_SPLIT_SQL},
+    s AS (SELECT column_name, value, 1 AS r FROM ({_stack_sql("ref", _NUMERIC_DRIFT_COLS, "DOUBLE")})
+          UNION ALL SELECT column_name, value, 0 AS r FROM ({_stack_sql("cur", _NUMERIC_DRIFT_COLS, "DOUBLE")})),
+    v AS (SELECT column_name, value, sum(r) AS nr, sum(1 - r) AS nc FROM s
+          WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY ALL),
+    c AS (SELECT *, sum(nr) OVER w AS cr, sum(nc) OVER w AS cc,
+                 sum(nr) OVER (PARTITION BY column_name) AS tr, sum(nc) OVER (PARTITION BY column_name) AS tc,
+                 lead(value) OVER (PARTITION BY column_name ORDER BY value) AS nv
+          FROM v WINDOW w AS (PARTITION BY column_name ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+    wd AS (SELECT column_name, coalesce(sum(CASE WHEN nv IS NOT NULL THEN abs(cr / tr - cc / tc) * (nv - value) END), 0) AS w,
+                  max(tr) AS tr, max(tc) AS tc FROM c GROUP BY column_name),
+    sd AS (SELECT column_name, stddev_pop(value) AS sd FROM s WHERE r = 1 AND value IS NOT NULL AND NOT isnan(value)
+           GROUP BY column_name),
+    sc AS (SELECT column_name, w / greatest(sd, {drift.STD_FLOOR}) AS score FROM wd JOIN sd USING (column_name)
+           WHERE tr > 0 AND tc > 0)
+    SELECT column_name, 'wasserstein_normed' AS stattest, {R("score")} AS drift_score,
+           {drift.DRIFT_THRESHOLD} AS threshold, score >= {drift.DRIFT_THRESHOLD} AS drift_detected FROM sc
+""")
+def numeric_drift_wasserstein(spark, sf_dir):
+    ref, cur = _split(spark, sf_dir)
+    return drift.numeric_drift(ref, cur, list(_NUMERIC_DRIFT_COLS)).withColumn("drift_score", rnd("drift_score"))
+
+
+_CAT_SQL = f"""
+    s AS (SELECT column_name, value, 1 AS r FROM ({_stack_sql("ref", mon.CATEGORICAL_FEATURES, "VARCHAR")})
+          UNION ALL SELECT column_name, value, 0 AS r FROM ({_stack_sql("cur", mon.CATEGORICAL_FEATURES, "VARCHAR")})),
+    v AS (SELECT column_name, value, sum(r) AS nr, sum(1 - r) AS nc FROM s WHERE value IS NOT NULL GROUP BY ALL),
+    t AS (SELECT column_name, sum(nr) AS tr, sum(nc) AS tc FROM v GROUP BY column_name),
+    j AS (SELECT column_name, nr / tr AS p, nc / tc AS q FROM v JOIN t USING (column_name)),
+    sc AS (SELECT column_name, sqrt(greatest(sum(
+              (CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END)
+            + (CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END)) / 2, 0)) AS score
+           FROM j GROUP BY column_name)
+"""
+
+
+@register("categorical_drift_js", sql=f"""
+    WITH {_SPLIT_SQL}, {_CAT_SQL}
+    SELECT column_name, 'jensen_shannon' AS stattest, {R("score")} AS drift_score,
+           {drift.DRIFT_THRESHOLD} AS threshold, score >= {drift.DRIFT_THRESHOLD} AS drift_detected FROM sc
+""")
+def categorical_drift_js(spark, sf_dir):
+    ref, cur = _split(spark, sf_dir)
+    return drift.categorical_drift(ref, cur, list(mon.CATEGORICAL_FEATURES)).withColumn("drift_score", rnd("drift_score"))
+
+
+@register("drift_share", sql=f"""
+    WITH {_SPLIT_SQL}, {_CAT_SQL}, cat AS (SELECT score FROM sc)
+    SELECT count(*) AS n_columns, count(*) FILTER (WHERE score >= {drift.DRIFT_THRESHOLD}) AS n_drifted_columns,
+           {R(f"count(*) FILTER (WHERE score >= {drift.DRIFT_THRESHOLD}) / count(*)")} AS share_of_drifted_columns,
+           count(*) FILTER (WHERE score >= {drift.DRIFT_THRESHOLD}) / count(*) >= {drift.DATASET_DRIFT_SHARE} AS dataset_drift
+    FROM cat
+""")
+def drift_share(spark, sf_dir):
+    ref, cur = _split(spark, sf_dir)
+    t = drift.categorical_drift(ref, cur, list(mon.CATEGORICAL_FEATURES))
+    return drift.drift_share(t).withColumn("share_of_drifted_columns", rnd("share_of_drifted_columns"))
+
+
+_DAY_JS_SQL = f"""
+    rs AS (SELECT * FROM ({_stack_sql("ref", mon.CATEGORICAL_FEATURES, "VARCHAR")}) WHERE value IS NOT NULL),
+    rc AS (SELECT column_name, value, count(*) AS nr FROM rs GROUP BY ALL),
+    rt AS (SELECT column_name, sum(nr) AS tr FROM rc GROUP BY ALL),
+    cs AS (SELECT * FROM ({_stack_sql("cur", mon.CATEGORICAL_FEATURES, "VARCHAR", "CAST(start_date AS DATE) AS data_date, ")})
+           WHERE value IS NOT NULL),
+    cc AS (SELECT data_date, column_name, value, count(*) AS nc FROM cs GROUP BY ALL),
+    ct AS (SELECT data_date, column_name, sum(nc) AS tc FROM cc GROUP BY ALL),
+    b AS (SELECT cc.data_date, cc.column_name, rc.nr / rt.tr AS p, cc.nc / ct.tc AS q
+          FROM cc JOIN rc USING (column_name, value) JOIN rt USING (column_name) JOIN ct USING (data_date, column_name)),
+    sb AS (SELECT data_date, column_name, sum(p * ln(2 * p / (p + q)) + q * ln(2 * q / (p + q))) AS s_both,
+                  sum(p) AS p_both, sum(q) AS q_both FROM b GROUP BY ALL),
+    js AS (SELECT ct.data_date, ct.column_name,
+                  sqrt(greatest((coalesce(s_both, 0) + ln(2) * ((1 - coalesce(p_both, 0)) + (1 - coalesce(q_both, 0)))) / 2, 0)) AS score
+           FROM ct JOIN rt USING (column_name) LEFT JOIN sb USING (data_date, column_name))
+"""
+
+
+@register("daily_categorical_drift", sql=f"""
+    WITH {_SPLIT_SQL}, {_DAY_JS_SQL}
+    SELECT data_date, column_name, {R("score")} AS drift_score, score >= {drift.DRIFT_THRESHOLD} AS drift_detected FROM js
+""")
+def daily_categorical_drift(spark, sf_dir):
+    ref, cur = _split(spark, sf_dir)
+    d = drift.categorical_drift_by_day(ref, cur, list(mon.CATEGORICAL_FEATURES), mon.TIMESTAMP)
+    return d.select("data_date", "column_name", rnd("drift_score").alias("drift_score"), "drift_detected")
+
+
+# ---------------------------------------------------------------- suite
+
+def _suite_sql() -> str:
+    cols = list(mon.COLUMNS)
+    types = {"start_date": "ts", "price": "d", "pred": "d", "l_quantity": "d", "l_discount": "d", "l_tax": "d",
+             "p_size": "i", "p_retailprice": "d", "l_returnflag": "s", "l_linestatus": "s", "p_brand": "s",
+             "p_type": "s"}
+    k = len(cols)
+    nullcells = " + ".join(f"({c} IS NULL)::INT" for c in cols)
+    mape = "100.0 * avg(CASE WHEN price <> 0 THEN abs(pred - price) / abs(price) END)"
+    rmse = "sqrt(avg((pred - price) * (pred - price)))"
+    missing = f"sum({nullcells}) / (count(*) * {float(k)})"
+    pairs = [(i, j) for i, j in combinations(range(k), 2) if types[cols[i]] == types[cols[j]]]
+    dup_terms = []
+    for j in range(k):
+        earlier = [f"count(*) FILTER (WHERE {cols[i]} IS DISTINCT FROM {cols[j]}) = 0" for i, jj in pairs if jj == j]
+        if earlier:
+            dup_terms.append("(" + " OR ".join(earlier) + ")::INT")
+    d = f"""d AS (SELECT CAST(start_date AS DATE) AS data_date, count(*) AS n_rows, {mape} AS mape, {rmse} AS rmse,
+              {missing} AS missing, count(*) FILTER (WHERE {nullcells} = {k}) AS empty_rows,
+              {" + ".join(f"coalesce(min({c}) = max({c}), true)::INT" for c in cols)} AS constant_columns,
+              {" + ".join(f"(count({c}) = 0)::INT" for c in cols)} AS empty_columns,
+              {" + ".join(dup_terms) if dup_terms else "0"} AS duplicated_columns
+            FROM cur GROUP BY 1)"""
+    r = f"r AS (SELECT {mape} AS r_mape, {rmse} AS r_rmse, {missing} AS r_missing FROM ref)"
+
+    def st(ok, val):
+        return f"CASE WHEN {val} IS NULL THEN 'ERROR' WHEN coalesce({ok}, false) THEN 'SUCCESS' ELSE 'FAIL' END"
+
+    def tol(x):
+        return f"greatest({suite.RELATIVE} * abs({x}), {suite.ABSOLUTE})"
+
+    tests = [
+        ("mape", "eq", "r_mape", f"abs(mape - r_mape) <= {tol('r_mape')}"),
+        ("rmse", "eq", "r_rmse", f"abs(rmse - r_rmse) <= {tol('r_rmse')}"),
+        ("missing", "lte", "r_missing", f"missing <= r_missing + {tol('r_missing')}"),
+        ("CAST(constant_columns AS DOUBLE)", "eq", "0.0", "constant_columns = 0"),
+        ("CAST(empty_rows AS DOUBLE)", "eq", "0.0", "empty_rows = 0"),
+        ("CAST(empty_columns AS DOUBLE)", "eq", "0.0", "empty_columns = 0"),
+        ("CAST(duplicated_columns AS DOUBLE)", "eq", "0.0", "duplicated_columns = 0"),
+        ("drift_share", "lt", f"{suite.MAX_DRIFT_SHARE}", f"drift_share < {suite.MAX_DRIFT_SHARE}"),
+        ("CAST(n_rows AS DOUBLE)", "gt", "0.0", "n_rows > 0"),
+        (f"{float(k)}", "eq", f"{float(k)}", "true"),
+    ]
+    parts = []
+    for i, (val, cond, thr, ok) in enumerate(tests):
+        parts.append(f"""SELECT data_date, {i} AS test_index, '{suite.TEST_NAMES[i]}' AS test_name,
+                         {st(ok, val)} AS status, CAST({val} AS DOUBLE) AS value, '{cond}' AS condition,
+                         CAST({thr} AS DOUBLE) AS threshold, {str(i < suite.BASE_TESTS).lower()} AS is_base_test
+                         FROM dd, r""")
+    return f"""WITH {_SPLIT_SQL}, {_DAY_JS_SQL}, {d}, {r},
+        dr AS (SELECT data_date, avg(CASE WHEN score >= {drift.DRIFT_THRESHOLD} THEN 1.0 ELSE 0.0 END) AS drift_share
+               FROM js GROUP BY data_date),
+        dd AS (SELECT d.*, dr.drift_share FROM d LEFT JOIN dr USING (data_date)),
+        t AS ({" UNION ALL ".join(parts)})
+    """
+
+
+_SUITE_WITH = _suite_sql()
+
+
+@register("suite_status_by_day", sql=f"""
+    {_SUITE_WITH}
+    SELECT data_date, data_date + 1 AS report_date, test_index, test_name, status, {R("value")} AS value,
+           condition, {R("threshold")} AS threshold, is_base_test FROM t
+""")
+def suite_status_by_day(spark, sf_dir):
+    ref, cur = _split(spark, sf_dir)
+    out = suite.daily_suite(ref, cur, mon.TIMESTAMP, mon.TARGET, mon.PREDICTION, list(mon.CATEGORICAL_FEATURES))
+    return round_doubles(out)
+
+
+@register("failed_checks_rollup", sql=f"""
+    {_SUITE_WITH},
+    g AS (SELECT test_name, count(*) AS n_failures FROM t WHERE status IN ('FAIL', 'ERROR') GROUP BY test_name)
+    SELECT test_name, n_failures, CAST(row_number() OVER (ORDER BY n_failures DESC, test_name) AS INTEGER) AS failure_rank FROM g
+""")
+def failed_checks_rollup(spark, sf_dir):
+    ref, cur = _split(spark, sf_dir)
+    s = suite.daily_suite(ref, cur, mon.TIMESTAMP, mon.TARGET, mon.PREDICTION, list(mon.CATEGORICAL_FEATURES))
+    return suite.failures_by_test(s)
+
+
+@register("failures_by_day", sql=f"""
+    {_SUITE_WITH}
+    SELECT data_date + 1 AS window_start, count(*) AS n_failed FROM t WHERE status IN ('FAIL', 'ERROR') GROUP BY 1
+""")
+def failures_by_day(spark, sf_dir):
+    ref, cur = _split(spark, sf_dir)
+    s = suite.daily_suite(ref, cur, mon.TIMESTAMP, mon.TARGET, mon.PREDICTION, list(mon.CATEGORICAL_FEATURES))
+    return suite.failures_by_day(s)
+
+
+# ---------------------------------------------------------------- other monitoring views
+
+@register("error_by_length", sql=f"""
+    SELECT CAST(length(p.p_name) AS INTEGER) AS name_length, count(*) AS n_rows,
+           {R("avg(abs(l.l_quantity * p.p_retailprice - l.l_extendedprice))")} AS mean_abs_error
+    FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY 1
+""")
+def error_by_length(spark, sf_dir):
+    from vigil.tables import table
+    li, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    j = li.join(part, li.l_partkey == part.p_partkey).select(
+        F.length("p_name").alias("name_length"), F.col("l_extendedprice").alias("y"),
+        (F.col("l_quantity") * F.col("p_retailprice")).alias("p"))
+    return round_doubles(metrics.error_by_group(j, "name_length", "y", "p", name="name_length"))
+
+
+@register("split_summary", sql=f"""
+    WITH {_SPLIT_SQL}
+    SELECT 'reference' AS part, count(*) AS n_rows, min(start_date) AS min_start, max(start_date) AS max_start FROM ref
+    UNION ALL
+    SELECT 'current', count(*), min(start_date), max(start_date) FROM cur
+""")
+def split_summary(spark, sf_dir):
+    ref, cur = _split(spark, sf_dir)
+
+    def s(df, name):
+        return df.agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n_rows"),
+                      F.min(mon.TIMESTAMP).alias("min_start"), F.max(mon.TIMESTAMP).alias("max_start"))
+    return s(ref, "reference").unionByName(s(cur, "current"))
+
+
+@register("monitoring_describe", sql=f"""
+    WITH m AS ({mon.MONITORING_SQL})
+    {" UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, 'count' AS stat, {R(f'CAST(count({c}) AS DOUBLE)')} AS value FROM m "
+        f"UNION ALL SELECT '{c}', 'mean', {R(f'avg({c})')} FROM m "
+        f"UNION ALL SELECT '{c}', 'min', {R(f'CAST(min({c}) AS DOUBLE)')} FROM m "
+        f"UNION ALL SELECT '{c}', 'max', {R(f'CAST(max({c}) AS DOUBLE)')} FROM m"
+        for c in (mon.TARGET, mon.PREDICTION) + mon.NUMERIC_FEATURES)}
+    UNION ALL
+    {" UNION ALL ".join(
+        f"SELECT '{c}', 'count', CAST(count({c}) AS DOUBLE) FROM m "
+        f"UNION ALL SELECT '{c}', 'unique', CAST(count(DISTINCT {c}) AS DOUBLE) FROM m"
+        for c in mon.CATEGORICAL_FEATURES)}
+""")
+def monitoring_describe(spark, sf_dir):
+    m = mon.monitoring_table(spark, sf_dir)
+    d = profile.describe(m, list((mon.TARGET, mon.PREDICTION) + mon.NUMERIC_FEATURES), list(mon.CATEGORICAL_FEATURES))
+    return d.filter(F.col("stat") != "std").withColumn("value", rnd("value"))
