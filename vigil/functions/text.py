@@ -50,23 +50,43 @@ def char_entropy(c) -> Column:
             .otherwise(F.log2(length) - weighted / length + F.lit(0.0)))
 
 
-def char_ngrams(c, n_min: int = 1, n_max: int = 3, lowercase: bool = True,
-                normalize_whitespace: bool = True) -> Column:
-    """All character n-grams of length n_min..n_max, in order (n, position).
-
-    Whitespace runs of 2+ become one space and the text is lowercased first,
-    as a character analyzer with default options does.
-    """
+def normalized_chars(c, lowercase: bool = True, normalize_whitespace: bool = True) -> Column:
+    """The text as an array of characters, after lowercasing and whitespace squeezing."""
     s = _col(c)
     if lowercase:
         s = F.lower(s)
     if normalize_whitespace:
         s = squeeze_ws(s)
+    return F.split(s, "")
+
+
+def ngrams_from_chars(chars, n_min: int = 1, n_max: int = 3) -> Column:
+    """All n-grams (n_min..n_max, in order n then position) of a character array.
+
+    Built from O(1) array element reads, so the cost is linear in the text;
+    pass a materialised column (not an expression) so it is computed once.
+    """
+    ch = _col(chars)
+    size = F.when(ch.isNull(), F.lit(0)).when((F.size(ch) == 1) & (F.element_at(ch, 1) == ""), F.lit(0)) \
+        .otherwise(F.size(ch))
+
     def take(n):
-        return lambda i: F.substring(s, i, n)
+        return lambda i: F.concat(*[F.element_at(ch, i + k) for k in range(n)])
 
     parts = []
     for n in range(n_min, n_max + 1):
-        grams = F.transform(F.sequence(F.lit(1), F.length(s) - F.lit(n - 1)), take(n))
-        parts.append(F.when(F.length(s) >= n, grams).otherwise(F.array().cast("array<string>")))
+        grams = F.transform(F.sequence(F.lit(1), size - F.lit(n - 1)), take(n))
+        parts.append(F.when(size >= n, grams).otherwise(F.array().cast("array<string>")))
     return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+
+def char_ngrams(c, n_min: int = 1, n_max: int = 3, lowercase: bool = True,
+                normalize_whitespace: bool = True) -> Column:
+    """All character n-grams of length n_min..n_max, in order (n, position).
+
+    Whitespace runs of 2+ become one space and the text is lowercased first,
+    as a character analyzer with default options does.  For long texts prefer
+    ``with_ngrams`` in ``operators.textfeatures``, which materialises the
+    character array once.
+    """
+    return ngrams_from_chars(normalized_chars(c, lowercase, normalize_whitespace), n_min, n_max)

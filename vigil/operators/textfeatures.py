@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.functions.text import char_entropy, char_ngrams
+from vigil.functions.text import char_entropy, ngrams_from_chars, normalized_chars
 
 
 def exploded_ngrams(df: DataFrame, key: str, text: str, n_min: int = 1, n_max: int = 3) -> DataFrame:
     """(key, ngram) — one row per n-gram occurrence; generated inside the task, no shuffle."""
-    return df.select(key, F.explode(char_ngrams(F.col(text), n_min, n_max)).alias("ngram"))
+    chars = df.select(key, normalized_chars(F.col(text)).alias("_chars"))
+    return chars.select(key, F.explode(ngrams_from_chars("_chars", n_min, n_max)).alias("ngram"))
 
 
 def ngram_term_counts(df: DataFrame, key: str, text: str, n_min: int = 1, n_max: int = 3) -> DataFrame:

@@ -1 +1,78 @@
-"""model queries."""
+"""Model queries over labeled documents (text → quality): train + gate, batch scoring, parity.
+
+These are iterative ML fits with no SQL form; the driver checks them rows-only.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
+
+from vigil.operators import model as M
+from vigil.operators import sample
+from vigil.plans.catalog import register, rnd, round_doubles
+from vigil.session import checkpoint_dir
+from vigil.sources.thresholds import DEFAULT_THRESHOLDS
+from vigil.tables import table
+
+TEXT, TARGET, KEY = "text", "quality", "doc_id"
+PARITY_ROUNDS = 3
+_FITTED: dict = {}
+
+
+def labeled(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(KEY, TEXT)
+    labels = table(spark, sf_dir, "labels").select(KEY, TARGET)
+    return docs.join(labels, KEY)
+
+
+def _split(spark, sf_dir):
+    lab = labeled(spark, sf_dir)
+    halves = sample.half_split(lab.select(KEY), KEY, overlap=False)
+    train = lab.join(halves.filter(F.col("half") == "train").select(KEY), KEY)
+    test = lab.join(halves.filter(F.col("half") == "test").select(KEY), KEY)
+    return train, test
+
+
+def fitted(spark, sf_dir, which: str = "train"):
+    """Fit once per (session, sf_dir, training set); the fit is seeded, so a refit is identical."""
+    k = (spark.sparkContext.applicationId, sf_dir, which)
+    if k not in _FITTED:
+        data = _split(spark, sf_dir)[0] if which == "train" else labeled(spark, sf_dir)
+        _FITTED[k] = M.fit_text_regressor(data, TEXT, TARGET)
+    return _FITTED[k]
+
+
+@register("train_and_gate")
+def train_and_gate(spark, sf_dir):
+    _, test = _split(spark, sf_dir)
+    scored = M.scored_table(fitted(spark, sf_dir), test, TARGET)
+    return round_doubles(M.quality_gate(M.quality_metrics(scored, TARGET), DEFAULT_THRESHOLDS))
+
+
+@register("score_batch")
+def score_batch(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(KEY, TEXT)
+    out = M.score(fitted(spark, sf_dir, "all"), docs, keep=[KEY])
+    return out.select(KEY, rnd(M.PREDICTION).alias(M.PREDICTION))
+
+
+@register("prediction_parity")
+def prediction_parity(spark, sf_dir):
+    """Save, reload and re-score a stratified sample in each round; worst error per round."""
+    model = fitted(spark, sf_dir, "all")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/parity-model-{abs(hash(sf_dir))}"
+    model.write().overwrite().save(path)
+    reloaded = PipelineModel.load(path)
+    lab = labeled(spark, sf_dir)
+    picked = sample.stratified_sample(lab, KEY, TARGET, size=50)
+    check = lab.join(picked.select(KEY), KEY)
+    expected = M.score(model, check, keep=[KEY])
+    rounds = []
+    for r in range(1, PARITY_ROUNDS + 1):
+        got = M.score(reloaded, check, keep=[KEY])
+        rounds.append(M.parity(expected, got, KEY).withColumn("round", F.lit(r)))
+    out = rounds[0]
+    for x in rounds[1:]:
+        out = out.unionByName(x)
+    return round_doubles(out.select("round", "n_rows", "n_missing", "max_abs_error", "within_tolerance"))
