@@ -54,7 +54,8 @@ def read_raw_csv(spark: SparkSession, path: str) -> CsvRead:
           .option("enforceSchema", True).schema(schema).csv(path))
     cleaned = df.select(*[F.when(~F.col(f"`{n}`").isin(*MISSING_TOKENS), F.col(f"`{n}`")).alias(n) for n in names],
                         CORRUPT)
-    bad = cleaned.filter(F.col(CORRUPT).isNotNull()).limit(1).count()
+    # the data columns stay in the projection: Spark refuses a query on the corrupt column alone
+    bad = cleaned.filter(F.col(CORRUPT).isNotNull()).limit(1).collect()
     if bad:
         return CsvRead(None, header, "Failed to read CSV file: a row has a different number of fields than the header")
     return CsvRead(cleaned.drop(CORRUPT), header, None)
