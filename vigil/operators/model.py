@@ -13,6 +13,7 @@ from pyspark.ml.feature import (IDF, CountVectorizer, ElementwiseProduct, Normal
                                 VectorAssembler)
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,30 +36,41 @@ def fit_text_regressor(df: DataFrame, text: str, target: str, *, n_min: int = NG
     prep = SQLTransformer(statement=(
         f"SELECT *, {ngrams_sql('_chars', n_min, n_max)} AS _ngrams, {entropy_sql(text)} AS _entropy "
         f"FROM (SELECT *, {chars_sql(text)} AS _chars FROM __THIS__)"))
-    data = prep.transform(df.withColumn(LABEL, log_target(F.col(target).cast("double"))))
-    cv = CountVectorizer(inputCol="_ngrams", outputCol="_tf", vocabSize=vocab_size, minDF=1.0).fit(data)
-    stages = [prep, cv]
-    feats = "_tf"
-    if tfidf:
-        idf = IDF(inputCol="_tf", outputCol="_idf").fit(cv.transform(data))
-        # smooth idf + 1: Spark's IDF is ln((n+1)/(df+1)); scale raw counts by idf + 1
-        scale = DenseVector(idf.idf.toArray() + 1.0)
-        stages += [ElementwiseProduct(scalingVec=scale, inputCol="_tf", outputCol="_tfidf_raw"),
-                   Normalizer(inputCol="_tfidf_raw", outputCol="_tfidf", p=2.0)]
-        feats = "_tfidf"
-    stages.append(VectorAssembler(inputCols=[feats, "_entropy"], outputCol="_features"))
-    featurised = PipelineModel(stages=stages).transform(df.withColumn(LABEL, log_target(F.col(target).cast("double"))))
-    if model == "forest":
-        checkpoint_dir(df.sparkSession)
-        params = dict(FOREST, **(forest or {}))
-        reg = RandomForestRegressor(featuresCol="_features", labelCol=LABEL, predictionCol=PREDICTION,
-                                    featureSubsetStrategy="all", checkpointInterval=10, **params)
-    elif model in ("linear", "ridge"):
-        reg = LinearRegression(featuresCol="_features", labelCol=LABEL, predictionCol=PREDICTION,
-                               regParam=reg_param if model == "ridge" else 0.0, elasticNetParam=0.0)
-    else:
-        raise ValueError(f"unknown model {model!r}")
-    fitted = reg.fit(featurised)
+    labeled = df.withColumn(LABEL, log_target(F.col(target).cast("double")))
+    # Each estimator below reads the n-grams again; keep them once (recomputed from
+    # lineage if an executor is lost) and drop them when the fit is done.
+    data = prep.transform(labeled).select("_ngrams", "_entropy", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        cv = CountVectorizer(inputCol="_ngrams", outputCol="_tf", vocabSize=vocab_size, minDF=1.0).fit(data)
+        stages = [prep, cv]
+        feats = "_tf"
+        if tfidf:
+            idf = IDF(inputCol="_tf", outputCol="_idf").fit(cv.transform(data))
+            # smooth idf + 1: Spark's IDF is ln((n+1)/(df+1)); scale raw counts by idf + 1
+            scale = DenseVector(idf.idf.toArray() + 1.0)
+            stages += [ElementwiseProduct(scalingVec=scale, inputCol="_tf", outputCol="_tfidf_raw"),
+                       Normalizer(inputCol="_tfidf_raw", outputCol="_tfidf", p=2.0)]
+            feats = "_tfidf"
+        stages.append(VectorAssembler(inputCols=[feats, "_entropy"], outputCol="_features"))
+        featurised = (PipelineModel(stages=stages[1:]).transform(data).select("_features", LABEL)
+                      .persist(StorageLevel.MEMORY_AND_DISK))
+        try:
+            if model == "forest":
+                checkpoint_dir(df.sparkSession)
+                params = dict(FOREST, **(forest or {}))
+                reg = RandomForestRegressor(featuresCol="_features", labelCol=LABEL, predictionCol=PREDICTION,
+                                            featureSubsetStrategy="all", checkpointInterval=10,
+                                            maxMemoryInMB=1024, **params)
+            elif model in ("linear", "ridge"):
+                reg = LinearRegression(featuresCol="_features", labelCol=LABEL, predictionCol=PREDICTION,
+                                       regParam=reg_param if model == "ridge" else 0.0, elasticNetParam=0.0)
+            else:
+                raise ValueError(f"unknown model {model!r}")
+            fitted = reg.fit(featurised)
+        finally:
+            featurised.unpersist()
+    finally:
+        data.unpersist()
     return PipelineModel(stages=stages + [fitted])
 
 

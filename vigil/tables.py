@@ -11,4 +11,21 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(name)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an under-split input over the cluster's cores.
+
+    A table stored as one small file scans as a single task, and every
+    per-row step fused into that scan stage (regexes, n-grams, entropy over
+    whole texts) then runs on one core.  When the scan has fewer partitions
+    than the default parallelism, a round-robin repartition spreads it;
+    projections and filters still push below it to the parquet scan.  A large
+    table already has at least as many splits as cores, so nothing changes there.
+    """
+    sc = df.sparkSession.sparkContext
+    target = sc.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
