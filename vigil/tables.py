@@ -8,10 +8,16 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+# Tables whose rows carry whole texts: per-row work on them (regexes, n-grams,
+# entropy) is CPU-heavy enough that an under-split scan must be spread first.
+TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(name)
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def spread(df: DataFrame) -> DataFrame:
