@@ -53,14 +53,15 @@ def train_and_gate(spark, sf_dir):
 @register("score_batch")
 def score_batch(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(KEY, TEXT)
-    out = M.score(fitted(spark, sf_dir, "all"), docs, keep=[KEY])
+    # the model that passed the gate (trained on the train half) scores every document
+    out = M.score(fitted(spark, sf_dir), docs, keep=[KEY])
     return out.select(KEY, rnd(M.PREDICTION).alias(M.PREDICTION))
 
 
 @register("prediction_parity")
 def prediction_parity(spark, sf_dir):
     """Save, reload and re-score a stratified sample in each round; worst error per round."""
-    model = fitted(spark, sf_dir, "all")
+    model = fitted(spark, sf_dir)
     path = f"{checkpoint_dir(spark).rstrip('/')}/parity-model-{abs(hash(sf_dir))}"
     model.write().overwrite().save(path)
     reloaded = PipelineModel.load(path)
