@@ -151,7 +151,8 @@ def failures_by_test(suite: DataFrame) -> DataFrame:
 
 def failures_by_day(suite: DataFrame) -> DataFrame:
     """Failed tests per 1-day window of the report timestamp."""
-    w = F.window(F.col("report_date").cast("timestamp"), "1 day")
+    # timestamp_ntz keeps the 1-day windows on calendar days whatever the session time zone
+    w = F.window(F.col("report_date").cast("timestamp_ntz"), "1 day")
     return (failed_tests(suite).groupBy(w.alias("w"))
             .agg(F.count(F.lit(1)).alias("n_failed"))
             .select(F.to_date(F.col("w.start")).alias("window_start"), "n_failed"))
