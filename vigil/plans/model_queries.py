@@ -28,7 +28,10 @@ def labeled(spark, sf_dir):
 
 def _split(spark, sf_dir):
     lab = labeled(spark, sf_dir)
-    halves = sample.half_split(lab.select(KEY), KEY, overlap=False)
+    # position the keys only (no text) — the texts are joined back once per half
+    keys = table(spark, sf_dir, "labels").select(KEY).join(
+        spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").select(KEY), KEY)
+    halves = sample.half_split(keys, KEY, overlap=False)
     train = lab.join(halves.filter(F.col("half") == "train").select(KEY), KEY)
     test = lab.join(halves.filter(F.col("half") == "test").select(KEY), KEY)
     return train, test
