@@ -154,3 +154,33 @@ def describe(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataF
     return row.select(F.explode(F.array(*[
         F.struct(F.lit(a.split("|")[0]).alias("column_name"), F.lit(a.split("|")[1]).alias("stat"),
                  F.col(f"`{a}`").alias("value")) for a in row.columns])).alias("s")).select("s.*")
+
+
+# The basic data tests run after validation (name, condition, expected).
+BASIC_TESTS = (
+    ("Number of Rows", "gt", 0.0),
+    ("Share of Missing Values", "eq", 0.0),
+    ("Number of Empty Rows", "eq", 0.0),
+    ("Number of Empty Columns", "eq", 0.0),
+    ("Number of Duplicated Columns", "eq", 0.0),
+)
+
+
+def basic_data_tests(df: DataFrame) -> DataFrame:
+    """Non-blocking data tests: rows (test_index, test_name, value, condition, expected, status)
+    with status SUCCESS / FAIL; two aggregates (missing cells, per-column checks) over the table."""
+    cols = df.columns
+    nulls = sum((_q(c).isNull().cast("long") for c in cols[1:]), _q(cols[0]).isNull().cast("long"))
+    row = df.agg(F.count(F.lit(1)).cast("double").alias("n"),
+                 F.coalesce(F.sum(nulls), F.lit(0)).cast("double").alias("cells"),
+                 F.count_if(nulls == len(cols)).cast("double").alias("empty_rows"))
+    cc = column_checks(df).agg(F.count_if("is_empty").cast("double").alias("empty_cols"),
+                               F.count_if(F.col("duplicate_of").isNotNull()).cast("double").alias("dup_cols"))
+    r, c = row.collect()[0], cc.collect()[0]   # two one-row results
+    values = [r.n, (r.cells / (r.n * len(cols))) if r.n else None, r.empty_rows, c.empty_cols, c.dup_cols]
+    out = []
+    for i, ((name, cond, expected), v) in enumerate(zip(BASIC_TESTS, values)):
+        ok = v is not None and (v > expected if cond == "gt" else v == expected)
+        out.append((i, name, None if v is None else float(v), cond, expected, "SUCCESS" if ok else "FAIL"))
+    return df.sparkSession.createDataFrame(
+        out, "test_index int, test_name string, value double, condition string, expected double, status string")

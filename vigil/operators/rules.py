@@ -160,3 +160,13 @@ def validation_report(df: DataFrame, text: str, target: str, **kw) -> DataFrame:
     return (_gate_row(df, text, target, **kw)
             .select((F.size("errors") == 0).alias("is_valid"), "errors", "n_rows",
                     F.array(*[F.lit(c) for c in df.columns]).alias("columns")))
+
+
+def request_guard(df: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
+    """Scoring-input guard: (accepted, rejected). A null or blank string is rejected with a reason."""
+    blank = F.col(text).isNull() | (strip_ws(F.col(text).cast("string")) == "")
+    flagged = df.withColumn("_blank", F.coalesce(blank, F.lit(True)))
+    accepted = flagged.filter(~F.col("_blank")).drop("_blank")
+    rejected = (flagged.filter(F.col("_blank")).drop("_blank")
+                .withColumn("reason", F.lit("Each password must be a non-empty string")))
+    return accepted, rejected

@@ -62,6 +62,10 @@ def read_raw_csv(spark: SparkSession, path: str) -> CsvRead:
 
 
 def landing_check(spark: SparkSession, path_glob: str) -> DataFrame:
-    """Landed files: (path, length, is_empty) from the binaryFile source, content not loaded."""
+    """Landed files: (path, length, is_empty) from the binaryFile source, content not loaded.
+
+    Spark's file listing already skips zero-length files, so an empty landing
+    (nothing but empty bodies) is a result with no rows.
+    """
     files = spark.read.format("binaryFile").load(path_glob).select("path", "length")
     return files.withColumn("is_empty", F.col("length") == 0)
