@@ -31,6 +31,17 @@ def daily_regression_quality(spark, sf_dir):
     return round_doubles(metrics.daily_regression_quality(df, mon.TIMESTAMP, mon.TARGET, mon.PREDICTION))
 
 
+@register("hourly_regression_quality", sql=f"""
+    WITH m AS ({mon.MONITORING_SQL})
+    SELECT CAST(start_date AS DATE) AS data_date, CAST(hour(start_date) AS INTEGER) AS hour, {_METRICS_SQL}
+    FROM m GROUP BY 1, 2
+""")
+def hourly_regression_quality(spark, sf_dir):
+    """The same metrics per (day, hour of day)."""
+    df = mon.monitoring_table(spark, sf_dir)
+    return round_doubles(metrics.hourly_regression_quality(df, mon.TIMESTAMP, mon.TARGET, mon.PREDICTION))
+
+
 # ---------------------------------------------------------------- drift
 
 from itertools import combinations  # noqa: E402

@@ -134,7 +134,7 @@ def missing_share(spark, sf_dir):
     return out.withColumn("missing_share", rnd("missing_share"))
 
 
-@register("column_checks", sql="""
+_COLUMN_CHECKS_SQL = """
     WITH a AS (SELECT count(*) AS n,
         count(*) FILTER (WHERE doc_id IS NULL) AS m0, count(*) FILTER (WHERE text IS NULL) AS m1,
         count(*) FILTER (WHERE lang IS NULL) AS m2, count(*) FILTER (WHERE source IS NULL) AS m3,
@@ -152,6 +152,34 @@ def missing_share(spark, sf_dir):
     UNION ALL SELECT 2, 'lang', m2, m2 = n, k2, CASE WHEN d12 = 0 THEN 'text' END FROM a
     UNION ALL SELECT 3, 'source', m3, m3 = n, k3, CASE WHEN d13 = 0 THEN 'text' WHEN d23 = 0 THEN 'lang' END FROM a
     UNION ALL SELECT 4, 'n_chars', m4, m4 = n, k4, CASE WHEN d04 = 0 THEN 'doc_id' END FROM a
-""")
+"""
+
+
+@register("column_checks", sql=_COLUMN_CHECKS_SQL)
 def column_checks(spark, sf_dir):
     return profile.column_checks(table(spark, sf_dir, "documents"))
+
+
+def _basic_row(i: int, value: str) -> str:
+    name, cond, expected = profile.BASIC_TESTS[i]
+    ok = f"{value} > {expected}" if cond == "gt" else f"{value} = {expected}"
+    return (f"SELECT {i} AS test_index, '{name}' AS test_name, {value} AS value, '{cond}' AS condition, "
+            f"CAST({expected} AS DOUBLE) AS expected, "
+            f"CASE WHEN coalesce({ok}, false) THEN 'SUCCESS' ELSE 'FAIL' END AS status FROM s, c")
+
+
+@register("basic_data_tests", sql=f"""
+    WITH cc AS ({_COLUMN_CHECKS_SQL}),
+    c AS (SELECT CAST(count(*) FILTER (WHERE is_empty) AS DOUBLE) AS empty_cols,
+                 CAST(count(*) FILTER (WHERE duplicate_of IS NOT NULL) AS DOUBLE) AS dup_cols FROM cc),
+    s AS (SELECT CAST(count(*) AS DOUBLE) AS n,
+                 {R("sum((doc_id IS NULL)::INT + (text IS NULL)::INT + (lang IS NULL)::INT + (source IS NULL)::INT + (n_chars IS NULL)::INT) / (count(*) * 5.0)")} AS missing,
+                 CAST(count(*) FILTER (WHERE doc_id IS NULL AND text IS NULL AND lang IS NULL AND source IS NULL
+                                       AND n_chars IS NULL) AS DOUBLE) AS empty_rows
+          FROM documents)
+    {" UNION ALL ".join(_basic_row(i, v) for i, v in enumerate(("n", "missing", "empty_rows", "empty_cols", "dup_cols")))}
+""")
+def basic_data_tests(spark, sf_dir):
+    """V4: the non-blocking data tests (rows, missing share, empty rows / columns, duplicated columns)."""
+    out = profile.basic_data_tests(table(spark, sf_dir, "documents"))
+    return out.withColumn("value", rnd("value"))
