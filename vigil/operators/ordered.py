@@ -19,42 +19,66 @@ def _bucket_expr(v: Column, bounds: list[float]) -> Column:
     return F.size(F.filter(arr, lambda b: b < v.cast("double")))
 
 
-def running_totals(df: DataFrame, order_col: str, sums: list[str], by: str | None = None,
-                   n_buckets: int = 64, accuracy: int = 10000) -> DataFrame:
-    """Add ``cum_<s>`` (inclusive running sum in ``order_col`` order, within ``by``),
-    ``total_<s>`` and ``next_<order_col>`` (next value in order, null for the last).
+def _keys(by) -> list[str]:
+    if by is None:
+        return []
+    return [by] if isinstance(by, str) else list(by)
 
-    ``order_col`` must be unique within each ``by`` group (pre-aggregate equal
-    values first).  ``by`` is for a handful of groups (e.g. column names): the
-    driver holds ``n_groups × n_buckets`` boundaries.
+
+def _bucket_column(df: DataFrame, order_col: str, bound_by: str | None, n_buckets: int, accuracy: int) -> Column:
+    """Range bucket of ``order_col`` from approximate quantiles, per ``bound_by`` group.
+
+    The driver holds ``n_groups(bound_by) × (n_buckets - 1)`` bounds; ``bound_by``
+    must therefore name a column with a handful of values (e.g. column names).
+    Equal values always land in the same bucket.
     """
     probs = [i / n_buckets for i in range(1, n_buckets)]
     v = F.col(order_col)
-    if by is None:
+    if bound_by is None:
         row = df.agg(F.percentile_approx(v.cast("double"), probs, accuracy).alias("b")).collect()[0]
-        bounds = sorted(set(row["b"] or []))
-        bucket = _bucket_expr(v, bounds)
-    else:
-        rows = df.groupBy(by).agg(F.percentile_approx(v.cast("double"), probs, accuracy).alias("b")).collect()
-        bucket = F.lit(0)
-        for r in rows:
-            bucket = F.when(F.col(by) == F.lit(r[by]), _bucket_expr(v, sorted(set(r["b"] or [])))).otherwise(bucket)
-    keys = ([by] if by else []) + ["_bucket"]
+        return _bucket_expr(v, sorted(set(row["b"] or [])))
+    rows = df.groupBy(bound_by).agg(F.percentile_approx(v.cast("double"), probs, accuracy).alias("b")).collect()
+    bucket = F.lit(0)
+    for r in rows:
+        bucket = F.when(F.col(bound_by) == F.lit(r[bound_by]), _bucket_expr(v, sorted(set(r["b"] or [])))).otherwise(bucket)
+    return bucket
+
+
+def running_totals(df: DataFrame, order_col: str, sums: list[str], by=None,
+                   n_buckets: int = 64, accuracy: int = 10000, bound_by: str | None = None) -> DataFrame:
+    """Add ``cum_<s>`` (inclusive running sum in ``order_col`` order, within ``by``),
+    ``total_<s>`` and ``next_<order_col>`` (next value in order, null for the last).
+
+    ``order_col`` must be unique within each ``by`` group (pre-aggregate equal
+    values first).  ``by`` is a column or a list of columns.  Range bounds are
+    taken per ``bound_by`` (default: ``by`` when it is one column), which must
+    have a handful of values.  When ``by`` has more groups than ``bound_by``
+    (e.g. per (column, day)), the per-bucket offset table grows with the data
+    and is joined by a shuffle instead of a broadcast; each of its window
+    partitions still holds at most ``n_buckets`` rows.
+    """
+    by_cols = _keys(by)
+    if bound_by is None and len(by_cols) == 1:
+        bound_by = by_cols[0]
+    bucket = _bucket_column(df, order_col, bound_by, n_buckets, accuracy)
+    keys = by_cols + ["_bucket"]
     b = df.withColumn("_bucket", bucket)
     w = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = b.select("*", *[F.sum(s).over(w).alias(f"_lc_{s}") for s in sums],
                      F.lead(order_col).over(Window.partitionBy(*keys).orderBy(order_col)).alias("_lnext"))
     totals = b.groupBy(*keys).agg(*[F.sum(s).alias(f"_bt_{s}") for s in sums], F.min(order_col).alias("_bmin"))
-    wb = Window.partitionBy(*([by] if by else [])).orderBy("_bucket")
+    wb = Window.partitionBy(*by_cols).orderBy("_bucket")
     wprev = wb.rowsBetween(Window.unboundedPreceding, -1)
-    wall = Window.partitionBy(*([by] if by else []))
+    wall = Window.partitionBy(*by_cols)
     offsets = totals.select(
         *keys,
         *[F.coalesce(F.sum(f"_bt_{s}").over(wprev), F.lit(0)).alias(f"_off_{s}") for s in sums],
         *[F.sum(f"_bt_{s}").over(wall).alias(f"total_{s}") for s in sums],
         F.lead("_bmin").over(wb).alias("_nextmin"))
-    # offsets has at most n_groups × n_buckets rows: a proven bound, so broadcast it.
-    out = local.join(F.broadcast(offsets), keys)
+    bounded = set(by_cols) <= ({bound_by} if bound_by else set())
+    # With by ⊆ bound_by the offset table has at most n_groups × n_buckets rows: a
+    # proven bound, so it is broadcast.  Otherwise it is a regular (shuffle) join.
+    out = local.join(F.broadcast(offsets) if bounded else offsets, keys)
     return out.select(
         *[c for c in df.columns],
         *[(F.col(f"_lc_{s}") + F.col(f"_off_{s}")).alias(f"cum_{s}") for s in sums],
@@ -62,6 +86,42 @@ def running_totals(df: DataFrame, order_col: str, sums: list[str], by: str | Non
         F.coalesce(F.col("_lnext"), F.col("_nextmin")).alias(f"next_{order_col}"))
 
 
+def asof_last(probes: DataFrame, knots: DataFrame, by: str, key: str, payload: list[str],
+              n_buckets: int = 64, accuracy: int = 10000) -> DataFrame:
+    """As-of lookup: each probe row gets the ``payload`` columns of the last knot with
+    ``knot.key <= probe.key`` in the same ``by`` group (null when there is none).
+
+    Knot keys must be unique within a group.  Probes and knots are cut into the
+    same range buckets per ``by`` group; inside a bucket a forward fill over
+    (key, knot-before-probe) runs in parallel, and a probe whose bucket holds
+    no earlier knot takes the carry of the earlier buckets, from a table of at
+    most n_groups × n_buckets rows (broadcast: the bound is the parameter).
+    No side is copied, and no group lands whole in one task.
+    """
+    pl = F.struct(*[F.col(c) for c in payload])
+    k = knots.select(F.col(by), F.col(key).cast("double").alias("_key"), F.lit(0).alias("_probe"), pl.alias("_p"))
+    pcols = [c for c in probes.columns if c not in (by,)]
+    p = probes.select(F.col(by), F.col(key).cast("double").alias("_key"), F.lit(1).alias("_probe"),
+                      F.lit(None).cast(k.schema["_p"].dataType).alias("_p"),
+                      F.struct(*[F.col(f"`{c}`") for c in pcols]).alias("_row"))
+    u = k.withColumn("_row", F.lit(None).cast(p.schema["_row"].dataType)).unionByName(p)
+    u = u.withColumn("_bucket", _bucket_column(u, "_key", by, n_buckets, accuracy))
+    w = (Window.partitionBy(by, "_bucket").orderBy("_key", "_probe")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = u.select(by, "_bucket", "_probe", "_row", F.last("_p", ignorenulls=True).over(w).alias("_lp"))
+    last_in_bucket = (u.groupBy(by, "_bucket")
+                       .agg(F.max_by(F.col("_p"), F.when(F.col("_probe") == 0, F.col("_key"))).alias("_bl")))
+    carry = last_in_bucket.select(
+        by, "_bucket",
+        F.last("_bl", ignorenulls=True).over(
+            Window.partitionBy(by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
+    out = (local.filter(F.col("_probe") == 1)
+                .join(F.broadcast(carry), [by, "_bucket"])
+                .select(by, "_row", F.coalesce("_lp", "_carry").alias("_hit")))
+    return out.select(F.col(by), *[F.col(f"_row.`{c}`").alias(c) for c in pcols],
+                      *[F.col(f"_hit.`{c}`").alias(c) for c in payload])
+
+
 def global_position(df: DataFrame, order_col: str, n_buckets: int = 64) -> DataFrame:
     """0-based position of each row in ``order_col`` order (unique values) plus the row total."""
     one = df.withColumn("_one", F.lit(1).cast("long"))

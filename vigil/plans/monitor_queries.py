@@ -159,6 +159,44 @@ def daily_categorical_drift(spark, sf_dir):
     return d.select("data_date", "column_name", rnd("drift_score").alias("drift_score"), "drift_detected")
 
 
+# Direct integral over the merged grid of every day: each day sees all reference
+# values, so this oracle costs O(days × reference values); the Spark side does not.
+_DAY_W_SQL = f"""
+    nrs AS (SELECT * FROM ({_stack_sql("ref", _NUMERIC_DRIFT_COLS, "DOUBLE")}) WHERE value IS NOT NULL AND NOT isnan(value)),
+    nrk AS (SELECT column_name, value, count(*) AS n FROM nrs GROUP BY ALL),
+    nrf AS (SELECT column_name, value, sum(n) OVER (PARTITION BY column_name ORDER BY value)
+                   / sum(n) OVER (PARTITION BY column_name) AS fr FROM nrk),
+    nsd AS (SELECT column_name, stddev_pop(value) AS sd FROM nrs GROUP BY ALL),
+    ncs AS (SELECT * FROM ({_stack_sql("cur", _NUMERIC_DRIFT_COLS, "DOUBLE", "CAST(start_date AS DATE) AS data_date, ")})
+            WHERE value IS NOT NULL AND NOT isnan(value)),
+    nck AS (SELECT data_date, column_name, value, count(*) AS n FROM ncs GROUP BY ALL),
+    ncf AS (SELECT data_date, column_name, value, sum(n) OVER (PARTITION BY data_date, column_name ORDER BY value)
+                   / sum(n) OVER (PARTITION BY data_date, column_name) AS fc FROM nck),
+    ndy AS (SELECT DISTINCT data_date, column_name FROM ncf),
+    ng AS (SELECT ndy.data_date, ndy.column_name, nrf.value, nrf.fr, CAST(NULL AS DOUBLE) AS fc
+           FROM ndy JOIN nrf USING (column_name)
+           UNION ALL SELECT data_date, column_name, value, NULL, fc FROM ncf),
+    nf AS (SELECT data_date, column_name, value,
+                  coalesce(last_value(fr IGNORE NULLS) OVER w, 0) AS fr,
+                  coalesce(last_value(fc IGNORE NULLS) OVER w, 0) AS fc,
+                  lead(value) OVER (PARTITION BY data_date, column_name ORDER BY value) AS nv
+           FROM ng WINDOW w AS (PARTITION BY data_date, column_name ORDER BY value
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+    nw AS (SELECT data_date, column_name, coalesce(sum(abs(fr - fc) * (nv - value)), 0) AS w FROM nf GROUP BY ALL),
+    nws AS (SELECT data_date, column_name, w / greatest(sd, {drift.STD_FLOOR}) AS score FROM nw JOIN nsd USING (column_name))
+"""
+
+
+@register("daily_numeric_drift", sql=f"""
+    WITH {_SPLIT_SQL}, {_DAY_W_SQL}
+    SELECT data_date, column_name, {R("score")} AS drift_score, score >= {drift.DRIFT_THRESHOLD} AS drift_detected FROM nws
+""")
+def daily_numeric_drift(spark, sf_dir):
+    ref, cur = _split(spark, sf_dir)
+    d = drift.numeric_drift_by_day(ref, cur, list(_NUMERIC_DRIFT_COLS), mon.TIMESTAMP)
+    return d.select("data_date", "column_name", rnd("drift_score").alias("drift_score"), "drift_detected")
+
+
 # ---------------------------------------------------------------- suite
 
 def _suite_sql() -> str:
