@@ -57,3 +57,47 @@ def test_drift_share(spark):
     t = spark.createDataFrame([("a", True), ("b", False), ("c", True), ("d", False)], "column_name string, drift_detected boolean")
     r = drift.drift_share(t).collect()[0]
     assert r.n_drifted_columns == 2 and r.share_of_drifted_columns == 0.5 and r.dataset_drift
+
+
+def test_numeric_drift_by_day_vs_bruteforce(spark):
+    import datetime as dt
+    rng = np.random.default_rng(7)
+    ref = [(None, float(x), float(y)) for x, y in zip(rng.integers(0, 20, 300), rng.normal(5, 2, 300).round(1))]
+    ref += [(None, None, float("nan"))]
+    days = {
+        dt.date(2024, 1, 1): (rng.integers(5, 30, 40), rng.normal(6, 3, 40).round(1)),   # past both ends
+        dt.date(2024, 1, 2): (np.array([7] * 5), np.array([5.0] * 5)),                     # one value
+        dt.date(2024, 1, 3): (np.array([-3, 50]), np.array([100.0, -100.0])),               # outside the range
+        dt.date(2024, 1, 4): (rng.integers(0, 20, 60), rng.normal(5, 2, 60).round(1)),     # like the reference
+    }
+    cur = []
+    for d, (a, b) in days.items():
+        ts = dt.datetime.combine(d, dt.time(12))
+        cur += [(ts, float(x), float(y)) for x, y in zip(a, b)]
+    cur += [(dt.datetime(2024, 1, 4, 1), None, None)]
+    schema = "ts timestamp, a double, b double"
+    out = drift.numeric_drift_by_day(spark.createDataFrame(ref, schema), spark.createDataFrame(cur, schema),
+                                     ["a", "b"], "ts", n_buckets=4)
+    got = {(r.data_date, r.column_name): r.drift_score for r in out.collect()}
+    assert len(got) == 8
+    for j, c in enumerate(["a", "b"]):
+        rv = np.array([r[1 + j] for r in ref if r[1 + j] is not None and not math.isnan(r[1 + j])])
+        sd = max(float(np.std(rv)), drift.STD_FLOOR)
+        for d, cols in days.items():
+            want = wasserstein(rv, np.asarray(cols[j], dtype=float)) / sd
+            assert abs(got[(d, c)] - want) < 1e-9, (d, c, got[(d, c)], want)
+
+
+def test_asof_last_vs_search(spark):
+    from vigil.operators.ordered import asof_last
+    rng = np.random.default_rng(3)
+    knots = [("g1", float(k), f"k{k}") for k in sorted(set(rng.integers(0, 100, 30)))] + [("g2", 50.0, "only")]
+    probes = [(g, float(x), i) for i, (g, x) in enumerate(
+        [("g1", v) for v in rng.integers(-5, 110, 80)] + [("g2", 10), ("g2", 50), ("g2", 70), ("g3", 1)])]
+    kdf = spark.createDataFrame(knots, "g string, x double, label string")
+    pdf = spark.createDataFrame(probes, "g string, x double, pid int")
+    got = {r.pid: r.label for r in asof_last(pdf, kdf, "g", "x", ["label"], n_buckets=5).collect()}
+    assert len(got) == len(probes)
+    for g, x, pid in probes:
+        below = [k for k in knots if k[0] == g and k[1] <= x]
+        assert got[pid] == (max(below, key=lambda k: k[1])[2] if below else None), (g, x)

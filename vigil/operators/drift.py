@@ -16,7 +16,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.operators.ordered import asof_last, running_totals
+from vigil.operators.ordered import asof_last, bucket_column, running_totals
 from vigil.session import cut_lineage
 
 # Drift threshold and the floor of the normalising std.
@@ -140,21 +140,39 @@ def categorical_drift_by_day(ref: DataFrame, cur: DataFrame, columns, ts: str,
                          (F.col("drift_score") >= threshold).alias("drift_detected"))
 
 
-def _reference_knots(ref: DataFrame, columns, n_buckets: int) -> DataFrame:
-    """Distinct reference values per column with the CDF ``F`` and its integral
-    ``G(v) = ∫_{-inf}^{v} F_ref(x) dx`` at each value (two exact running sums)."""
-    rv = (_stack(ref, columns, "double").filter(_valid("double"))
-          .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("nr")))
-    r1 = running_totals(rv, "value", ["nr"], by="column_name", n_buckets=n_buckets)
+def _reference_knots(rv: DataFrame, n_buckets: int) -> DataFrame:
+    """Distinct reference values (column_name, value, nr) → the CDF ``F`` and its
+    integral ``G(v) = ∫_{-inf}^{v} F_ref(x) dx`` at each value: two exact running
+    sums over the same range buckets."""
+    bucket = bucket_column(rv, "value", "column_name", n_buckets, 10000)
+    r1 = running_totals(rv, "value", ["nr"], by="column_name", bucket=bucket)
     cdf = F.col("cum_nr") / F.col("total_nr")
     seg = r1.select("column_name", "value", cdf.alias("F"),
                     F.coalesce(cdf * (F.col("next_value") - F.col("value")), F.lit(0.0)).alias("seg"))
-    r2 = running_totals(seg, "value", ["seg"], by="column_name", n_buckets=n_buckets)
+    r2 = running_totals(seg, "value", ["seg"], by="column_name", bucket=bucket)
     return r2.select("column_name", "value", "F", (F.col("cum_seg") - F.col("seg")).alias("G"))
 
 
+def _weighted_std(rv: DataFrame) -> DataFrame:
+    """Population std per column from (value, count) pairs, two-pass (mean first)."""
+    mean = rv.groupBy("column_name").agg((F.sum(F.col("nr") * F.col("value")) / F.sum("nr")).alias("mu"),
+                                          F.sum("nr").alias("n"))
+    # one row per column: a bound fixed by the column list
+    return (rv.join(F.broadcast(mean), "column_name")
+              .groupBy("column_name")
+              .agg(F.sqrt(F.sum(F.col("nr") * (F.col("value") - F.col("mu")) ** 2) / F.max("n")).alias("sd")))
+
+
 def numeric_drift_by_day(ref: DataFrame, cur: DataFrame, columns, ts: str,
                          threshold: float = DRIFT_THRESHOLD, n_buckets: int = 64) -> DataFrame:
+    """``numeric_drift_by_day_sided`` for a reference and a current table given apart."""
+    both = (ref.withColumn("_ref", F.lit(True))
+               .unionByName(cur.withColumn("_ref", F.lit(False))))
+    return numeric_drift_by_day_sided(both, F.col("_ref"), columns, ts, threshold, n_buckets)
+
+
+def numeric_drift_by_day_sided(df: DataFrame, is_reference, columns, ts: str,
+                               threshold: float = DRIFT_THRESHOLD, n_buckets: int = 64) -> DataFrame:
     """Normed Wasserstein distance of each day of ``cur`` against the whole reference, per column.
 
     The reference is never copied per day.  With G the integral of the
@@ -168,14 +186,21 @@ def numeric_drift_by_day(ref: DataFrame, cur: DataFrame, columns, ts: str,
     for m_j, on the value axis for G), done by ``asof_last`` in parallel range
     buckets.  Day CDFs are exact running sums per (column, day).
     """
-    knots = cut_lineage(_reference_knots(ref, columns, n_buckets))
+    # one aggregation pass over both sides (one scan of the source when both come
+    # from one table): distinct (column, side, day, value) counts
+    side = df.select(*[F.col(f"`{c}`") for c in columns], F.col(f"`{ts}`"),
+                     F.coalesce(is_reference, F.lit(True)).alias("_ref"))
+    side = side.withColumn("_d", F.when(~F.col("_ref"), F.to_date(F.col(f"`{ts}`"))))
+    both = (_stack(side, columns, "double", keep=("_ref", "_d")).filter(_valid("double"))
+            .groupBy("column_name", "_ref", "_d", "value").agg(F.count(F.lit(1)).alias("n")))
+    vals = cut_lineage(both)
+    rv = vals.filter("_ref").select("column_name", "value", F.col("n").alias("nr"))
+    cv = vals.filter(~F.col("_ref")).select("column_name", F.col("_d").alias("data_date"), "value",
+                                             F.col("n").alias("nc"))
+    knots = cut_lineage(_reference_knots(rv, n_buckets))
     rstats = (knots.groupBy("column_name")
                    .agg(F.max("value").alias("r_max"), F.max_by("G", "value").alias("g_max")))
-    std = (_stack(ref, columns, "double").filter(_valid("double"))
-           .groupBy("column_name").agg(F.stddev_pop("value").alias("sd")))
-    cv = (_stack(cur.withColumn("data_date", F.to_date(ts)), columns, "double", keep=("data_date",))
-          .filter(_valid("double"))
-          .groupBy("column_name", "data_date", "value").agg(F.count(F.lit(1)).alias("nc")))
+    std = _weighted_std(rv)
     dk = running_totals(cv, "value", ["nc"], by=["column_name", "data_date"], bound_by="column_name",
                         n_buckets=n_buckets)
     dk = cut_lineage(dk.select("column_name", "data_date", "value", "next_value",
@@ -186,7 +211,8 @@ def numeric_drift_by_day(ref: DataFrame, cur: DataFrame, columns, ts: str,
                   knots.select("column_name", (-F.col("F")).alias("_neg"), F.col("value").alias("q")),
                   "column_name", "_neg", ["q"], n_buckets=n_buckets)
     m = F.least(F.greatest(F.col("q"), F.col("value")), F.col("next_value"))
-    q = q.select("column_name", "data_date", "value", "next_value", "c", m.alias("m"))
+    # read by three jobs (the G lookup's bounds, the lookup, the linear terms)
+    q = cut_lineage(q.select("column_name", "data_date", "value", "next_value", "c", m.alias("m")))
     linear = q.select("column_name", "data_date",
                       (F.col("c") * (2 * F.col("m") - F.col("value") - F.col("next_value"))).alias("part"))
     points = (dk.select("column_name", "data_date", F.col("value").alias("x"), F.lit(2.0).alias("wt"))

@@ -15,8 +15,16 @@ from pyspark.sql import functions as F
 
 
 def _bucket_expr(v: Column, bounds: list[float]) -> Column:
-    arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
-    return F.size(F.filter(arr, lambda b: b < v.cast("double")))
+    """Number of ``bounds`` strictly below ``v`` (bounds sorted): a balanced tree of
+    comparisons, log2(len(bounds)) per row, inside whole-stage codegen."""
+    x = v.cast("double")
+
+    def tree(lo: int, hi: int) -> Column:   # answer lies in [lo, hi]
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2                 # bounds[mid] < x  ⇔  answer > mid
+        return F.when(x > F.lit(float(bounds[mid])), tree(mid + 1, hi)).otherwise(tree(lo, mid))
+    return tree(0, len(bounds))
 
 
 def _keys(by) -> list[str]:
@@ -25,7 +33,7 @@ def _keys(by) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
 
 
-def _bucket_column(df: DataFrame, order_col: str, bound_by: str | None, n_buckets: int, accuracy: int) -> Column:
+def bucket_column(df: DataFrame, order_col: str, bound_by: str | None, n_buckets: int, accuracy: int) -> Column:
     """Range bucket of ``order_col`` from approximate quantiles, per ``bound_by`` group.
 
     The driver holds ``n_groups(bound_by) × (n_buckets - 1)`` bounds; ``bound_by``
@@ -45,7 +53,8 @@ def _bucket_column(df: DataFrame, order_col: str, bound_by: str | None, n_bucket
 
 
 def running_totals(df: DataFrame, order_col: str, sums: list[str], by=None,
-                   n_buckets: int = 64, accuracy: int = 10000, bound_by: str | None = None) -> DataFrame:
+                   n_buckets: int = 64, accuracy: int = 10000, bound_by: str | None = None,
+                   bucket: Column | None = None) -> DataFrame:
     """Add ``cum_<s>`` (inclusive running sum in ``order_col`` order, within ``by``),
     ``total_<s>`` and ``next_<order_col>`` (next value in order, null for the last).
 
@@ -55,18 +64,22 @@ def running_totals(df: DataFrame, order_col: str, sums: list[str], by=None,
     have a handful of values.  When ``by`` has more groups than ``bound_by``
     (e.g. per (column, day)), the per-bucket offset table grows with the data
     and is joined by a shuffle instead of a broadcast; each of its window
-    partitions still holds at most ``n_buckets`` rows.
+    partitions still holds at most ``n_buckets`` rows.  A ``bucket`` expression
+    from ``bucket_column`` may be passed to reuse bounds across passes over
+    the same values.
     """
     by_cols = _keys(by)
     if bound_by is None and len(by_cols) == 1:
         bound_by = by_cols[0]
-    bucket = _bucket_column(df, order_col, bound_by, n_buckets, accuracy)
+    if bucket is None:
+        bucket = bucket_column(df, order_col, bound_by, n_buckets, accuracy)
     keys = by_cols + ["_bucket"]
     b = df.withColumn("_bucket", bucket)
     w = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = b.select("*", *[F.sum(s).over(w).alias(f"_lc_{s}") for s in sums],
                      F.lead(order_col).over(Window.partitionBy(*keys).orderBy(order_col)).alias("_lnext"))
-    totals = b.groupBy(*keys).agg(*[F.sum(s).alias(f"_bt_{s}") for s in sums], F.min(order_col).alias("_bmin"))
+    # from the window's output: already partitioned by the keys, so no second shuffle of the input
+    totals = local.groupBy(*keys).agg(*[F.sum(s).alias(f"_bt_{s}") for s in sums], F.min(order_col).alias("_bmin"))
     wb = Window.partitionBy(*by_cols).orderBy("_bucket")
     wprev = wb.rowsBetween(Window.unboundedPreceding, -1)
     wall = Window.partitionBy(*by_cols)
@@ -105,7 +118,7 @@ def asof_last(probes: DataFrame, knots: DataFrame, by: str, key: str, payload: l
                       F.lit(None).cast(k.schema["_p"].dataType).alias("_p"),
                       F.struct(*[F.col(f"`{c}`") for c in pcols]).alias("_row"))
     u = k.withColumn("_row", F.lit(None).cast(p.schema["_row"].dataType)).unionByName(p)
-    u = u.withColumn("_bucket", _bucket_column(u, "_key", by, n_buckets, accuracy))
+    u = u.withColumn("_bucket", bucket_column(u, "_key", by, n_buckets, accuracy))
     w = (Window.partitionBy(by, "_bucket").orderBy("_key", "_probe")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = u.select(by, "_bucket", "_probe", "_row", F.last("_p", ignorenulls=True).over(w).alias("_lp"))

@@ -192,8 +192,8 @@ _DAY_W_SQL = f"""
     SELECT data_date, column_name, {R("score")} AS drift_score, score >= {drift.DRIFT_THRESHOLD} AS drift_detected FROM nws
 """)
 def daily_numeric_drift(spark, sf_dir):
-    ref, cur = _split(spark, sf_dir)
-    d = drift.numeric_drift_by_day(ref, cur, list(_NUMERIC_DRIFT_COLS), mon.TIMESTAMP)
+    m = mon.monitoring_table(spark, sf_dir)
+    d = drift.numeric_drift_by_day_sided(m, mon.is_reference(), list(_NUMERIC_DRIFT_COLS), mon.TIMESTAMP)
     return d.select("data_date", "column_name", rnd("drift_score").alias("drift_score"), "drift_detected")
 
 

@@ -31,9 +31,13 @@ def monitoring_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                       *NUMERIC_FEATURES, *CATEGORICAL_FEATURES))
 
 
-def reference_part(df: DataFrame) -> DataFrame:
+def is_reference():
     """Rows before CURRENT_FROM; a null timestamp counts as reference."""
-    return df.filter(~F.coalesce(F.col(TIMESTAMP) >= F.lit(CURRENT_FROM).cast("timestamp_ntz"), F.lit(False)))
+    return ~F.coalesce(F.col(TIMESTAMP) >= F.lit(CURRENT_FROM).cast("timestamp_ntz"), F.lit(False))
+
+
+def reference_part(df: DataFrame) -> DataFrame:
+    return df.filter(is_reference())
 
 
 def current_part(df: DataFrame) -> DataFrame:

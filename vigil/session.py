@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -57,6 +58,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Materialise ``df`` in the shared checkpoint folder (reliable, unlike localCheckpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder and read it back.
+
+    One pass (``Dataset.checkpoint`` on an unpersisted plan computes it twice:
+    once for the eager action, once for the write), and the table has file
+    statistics for Catalyst's join planning.  Survives executor loss, unlike
+    localCheckpoint.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
