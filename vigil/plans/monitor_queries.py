@@ -197,6 +197,27 @@ def daily_numeric_drift(spark, sf_dir):
     return d.select("data_date", "column_name", rnd("drift_score").alias("drift_score"), "drift_detected")
 
 
+@register("daily_drift_share", sql=f"""
+    WITH {_SPLIT_SQL}, {_DAY_JS_SQL}, {_DAY_W_SQL},
+    a AS (SELECT data_date, score >= {drift.DRIFT_THRESHOLD} AS d FROM js
+          UNION ALL SELECT data_date, score >= {drift.DRIFT_THRESHOLD} FROM nws)
+    SELECT data_date, count(*) AS n_columns, count(*) FILTER (WHERE d) AS n_drifted_columns,
+           {R("count(*) FILTER (WHERE d) / count(*)")} AS share_of_drifted_columns
+    FROM a GROUP BY data_date
+""")
+def daily_drift_share(spark, sf_dir):
+    """Q3 + Q12 per day over every column: numeric (Wasserstein) and categorical (JS)."""
+    m = mon.monitoring_table(spark, sf_dir)
+    ref, cur = mon.reference_part(m), mon.current_part(m)
+    num = drift.numeric_drift_by_day_sided(m, mon.is_reference(), list(_NUMERIC_DRIFT_COLS), mon.TIMESTAMP)
+    cat = drift.categorical_drift_by_day(ref, cur, list(mon.CATEGORICAL_FEATURES), mon.TIMESTAMP)
+    cols = ["data_date", "column_name", "drift_detected"]
+    return (num.select(*cols).unionByName(cat.select(*cols))
+               .groupBy("data_date")
+               .agg(F.count(F.lit(1)).alias("n_columns"), F.count_if("drift_detected").alias("n_drifted_columns"))
+               .withColumn("share_of_drifted_columns", rnd(F.col("n_drifted_columns") / F.col("n_columns"))))
+
+
 # ---------------------------------------------------------------- suite
 
 def _suite_sql() -> str:
