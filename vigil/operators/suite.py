@@ -13,7 +13,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.operators.drift import categorical_drift_by_day
+from vigil.operators.drift import categorical_drift_by_day, numeric_drift_by_day
 
 # Relative tolerance of reference-derived conditions and the absolute floor.
 RELATIVE = 0.1
@@ -63,9 +63,12 @@ def _status(ok: Column, value: Column) -> Column:
 
 
 def daily_suite(ref: DataFrame, cur: DataFrame, ts: str, target: str, prediction: str,
-                categorical) -> DataFrame:
+                categorical, numeric=()) -> DataFrame:
     """One row per (data_date, test): data_date, report_date, test_index, test_name, status,
-    value, condition, threshold, is_base_test."""
+    value, condition, threshold, is_base_test.
+
+    The share of drifted columns covers ``categorical`` (Jensen-Shannon) and
+    ``numeric`` (normed Wasserstein) columns, each day against the whole reference."""
     fields = cur.schema.fields
     columns = [f.name for f in fields]
     ref_row = ref.agg(_mape(target, prediction).alias("mape"), _rmse(target, prediction).alias("rmse"),
@@ -98,9 +101,16 @@ def daily_suite(ref: DataFrame, cur: DataFrame, ts: str, target: str, prediction
     day = day.select("data_date", "n_rows", "mape", "rmse", "missing", "empty_rows",
                      const.alias("constant_columns"), empty.alias("empty_columns"),
                      dups.alias("duplicated_columns"))
+    per_column = []
     if categorical:
-        drift = (categorical_drift_by_day(ref, cur, categorical, ts)
-                 .groupBy("data_date").agg(F.avg(F.col("drift_detected").cast("double")).alias("drift_share")))
+        per_column.append(categorical_drift_by_day(ref, cur, categorical, ts).select("data_date", "drift_detected"))
+    if numeric:
+        per_column.append(numeric_drift_by_day(ref, cur, numeric, ts).select("data_date", "drift_detected"))
+    if per_column:
+        flags = per_column[0]
+        for extra in per_column[1:]:
+            flags = flags.unionByName(extra)
+        drift = flags.groupBy("data_date").agg(F.avg(F.col("drift_detected").cast("double")).alias("drift_share"))
         day = day.join(drift, "data_date", "left")
     else:
         day = day.withColumn("drift_share", F.lit(None).cast("double"))

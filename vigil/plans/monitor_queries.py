@@ -268,9 +268,9 @@ def _suite_sql() -> str:
                          {st(ok, val)} AS status, CAST({val} AS DOUBLE) AS value, '{cond}' AS condition,
                          CAST({thr} AS DOUBLE) AS threshold, {str(i < suite.BASE_TESTS).lower()} AS is_base_test
                          FROM dd, r""")
-    return f"""WITH {_SPLIT_SQL}, {_DAY_JS_SQL}, {d}, {r},
+    return f"""WITH {_SPLIT_SQL}, {_DAY_JS_SQL}, {_DAY_W_SQL}, {d}, {r},
         dr AS (SELECT data_date, avg(CASE WHEN score >= {drift.DRIFT_THRESHOLD} THEN 1.0 ELSE 0.0 END) AS drift_share
-               FROM js GROUP BY data_date),
+               FROM (SELECT data_date, score FROM js UNION ALL SELECT data_date, score FROM nws) GROUP BY data_date),
         dd AS (SELECT d.*, dr.drift_share FROM d LEFT JOIN dr USING (data_date)),
         t AS ({" UNION ALL ".join(parts)})
     """
@@ -286,7 +286,8 @@ _SUITE_WITH = _suite_sql()
 """)
 def suite_status_by_day(spark, sf_dir):
     ref, cur = _split(spark, sf_dir)
-    out = suite.daily_suite(ref, cur, mon.TIMESTAMP, mon.TARGET, mon.PREDICTION, list(mon.CATEGORICAL_FEATURES))
+    out = suite.daily_suite(ref, cur, mon.TIMESTAMP, mon.TARGET, mon.PREDICTION, list(mon.CATEGORICAL_FEATURES),
+                            list(_NUMERIC_DRIFT_COLS))
     return round_doubles(out)
 
 
@@ -297,7 +298,8 @@ def suite_status_by_day(spark, sf_dir):
 """)
 def failed_checks_rollup(spark, sf_dir):
     ref, cur = _split(spark, sf_dir)
-    s = suite.daily_suite(ref, cur, mon.TIMESTAMP, mon.TARGET, mon.PREDICTION, list(mon.CATEGORICAL_FEATURES))
+    s = suite.daily_suite(ref, cur, mon.TIMESTAMP, mon.TARGET, mon.PREDICTION, list(mon.CATEGORICAL_FEATURES),
+                          list(_NUMERIC_DRIFT_COLS))
     return suite.failures_by_test(s)
 
 
@@ -307,7 +309,8 @@ def failed_checks_rollup(spark, sf_dir):
 """)
 def failures_by_day(spark, sf_dir):
     ref, cur = _split(spark, sf_dir)
-    s = suite.daily_suite(ref, cur, mon.TIMESTAMP, mon.TARGET, mon.PREDICTION, list(mon.CATEGORICAL_FEATURES))
+    s = suite.daily_suite(ref, cur, mon.TIMESTAMP, mon.TARGET, mon.PREDICTION, list(mon.CATEGORICAL_FEATURES),
+                          list(_NUMERIC_DRIFT_COLS))
     return suite.failures_by_day(s)
 
 
