@@ -16,7 +16,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.operators.ordered import asof_last, bucket_column, running_totals
+from vigil.operators.ordered import asof_last, bucket_column, bucket_from_bounds, range_bounds, running_totals
 from vigil.session import cut_lineage
 
 # Drift threshold and the floor of the normalising std.
@@ -140,11 +140,12 @@ def categorical_drift_by_day(ref: DataFrame, cur: DataFrame, columns, ts: str,
                          (F.col("drift_score") >= threshold).alias("drift_detected"))
 
 
-def _reference_knots(rv: DataFrame, n_buckets: int) -> DataFrame:
+def _reference_knots(rv: DataFrame, n_buckets: int, bounds=None) -> DataFrame:
     """Distinct reference values (column_name, value, nr) → the CDF ``F`` and its
     integral ``G(v) = ∫_{-inf}^{v} F_ref(x) dx`` at each value: two exact running
     sums over the same range buckets."""
-    bucket = bucket_column(rv, "value", "column_name", n_buckets, 10000)
+    bucket = (bucket_column(rv, "value", "column_name", n_buckets, 10000) if bounds is None
+              else bucket_from_bounds("value", "column_name", bounds))
     r1 = running_totals(rv, "value", ["nr"], by="column_name", bucket=bucket)
     cdf = F.col("cum_nr") / F.col("total_nr")
     seg = r1.select("column_name", "value", cdf.alias("F"),
@@ -197,12 +198,14 @@ def numeric_drift_by_day_sided(df: DataFrame, is_reference, columns, ts: str,
     rv = vals.filter("_ref").select("column_name", "value", F.col("n").alias("nr"))
     cv = vals.filter(~F.col("_ref")).select("column_name", F.col("_d").alias("data_date"), "value",
                                              F.col("n").alias("nc"))
-    knots = cut_lineage(_reference_knots(rv, n_buckets))
+    # one set of value-axis cut points (over both sides) for every value-ordered step below
+    vb = range_bounds(vals, "value", "column_name", n_buckets)
+    knots = cut_lineage(_reference_knots(rv, n_buckets, vb))
     rstats = (knots.groupBy("column_name")
                    .agg(F.max("value").alias("r_max"), F.max_by("G", "value").alias("g_max")))
     std = _weighted_std(rv)
     dk = running_totals(cv, "value", ["nc"], by=["column_name", "data_date"], bound_by="column_name",
-                        n_buckets=n_buckets)
+                        bucket=bucket_from_bounds("value", "column_name", vb))
     dk = cut_lineage(dk.select("column_name", "data_date", "value", "next_value",
                                (F.col("cum_nc") / F.col("total_nc")).alias("c")))
     # m_j: first reference knot with F >= c_j, i.e. the last knot with -F <= -c_j
@@ -219,7 +222,7 @@ def numeric_drift_by_day_sided(df: DataFrame, is_reference, columns, ts: str,
                 .unionByName(q.select("column_name", "data_date", F.col("m").alias("x"), F.lit(-2.0).alias("wt"))))
     g = asof_last(points, knots.select("column_name", F.col("value").alias("x"), F.col("value").alias("r"),
                                        F.col("F").alias("fr"), F.col("G").alias("gr")),
-                  "column_name", "x", ["r", "fr", "gr"], n_buckets=n_buckets)
+                  "column_name", "x", ["r", "fr", "gr"], bounds=vb)
     g_at = F.coalesce(F.col("gr") + F.col("fr") * (F.col("x") - F.col("r")), F.lit(0.0))
     parts = g.select("column_name", "data_date", (F.col("wt") * g_at).alias("part")).unionByName(linear)
     # one row per column: a bound fixed by the column list

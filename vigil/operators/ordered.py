@@ -33,25 +33,35 @@ def _keys(by) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
 
 
-def bucket_column(df: DataFrame, order_col: str, bound_by: str | None, n_buckets: int, accuracy: int) -> Column:
-    """Range bucket of ``order_col`` from approximate quantiles, per ``bound_by`` group.
-
-    The driver holds ``n_groups(bound_by) × (n_buckets - 1)`` bounds; ``bound_by``
-    must therefore name a column with a handful of values (e.g. column names).
-    Equal values always land in the same bucket.
-    """
+def range_bounds(df: DataFrame, order_col: str, bound_by: str | None, n_buckets: int = 64,
+                 accuracy: int = 10000):
+    """Approximate quantile cut points of ``order_col``: a sorted list, or a dict of
+    lists per ``bound_by`` value.  The driver holds ``n_groups × (n_buckets - 1)``
+    numbers, so ``bound_by`` must name a column with a handful of values."""
     probs = [i / n_buckets for i in range(1, n_buckets)]
+    v = F.col(order_col).cast("double")
+    if bound_by is None:
+        row = df.agg(F.percentile_approx(v, probs, accuracy).alias("b")).collect()[0]
+        return sorted(set(row["b"] or []))
+    rows = df.groupBy(bound_by).agg(F.percentile_approx(v, probs, accuracy).alias("b")).collect()
+    return {r[bound_by]: sorted(set(r["b"] or [])) for r in rows}
+
+
+def bucket_from_bounds(order_col: str, bound_by: str | None, bounds) -> Column:
+    """Range bucket of ``order_col`` for bounds from ``range_bounds`` (equal values share a bucket)."""
     v = F.col(order_col)
     if bound_by is None:
-        row = df.agg(F.percentile_approx(v.cast("double"), probs, accuracy).alias("b")).collect()[0]
-        return _bucket_expr(v, sorted(set(row["b"] or [])))
-    rows = df.groupBy(bound_by).agg(F.percentile_approx(v.cast("double"), probs, accuracy).alias("b")).collect()
+        return _bucket_expr(v, bounds)
     bucket = F.lit(0)
-    for r in rows:
-        bucket = F.when(F.col(bound_by) == F.lit(r[bound_by]), _bucket_expr(v, sorted(set(r["b"] or [])))).otherwise(bucket)
+    for g, b in bounds.items():
+        bucket = F.when(F.col(bound_by) == F.lit(g), _bucket_expr(v, b)).otherwise(bucket)
     return bucket
 
 
+def bucket_column(df: DataFrame, order_col: str, bound_by: str | None, n_buckets: int, accuracy: int) -> Column:
+    return bucket_from_bounds(order_col, bound_by, range_bounds(df, order_col, bound_by, n_buckets, accuracy))
+
+
 def running_totals(df: DataFrame, order_col: str, sums: list[str], by=None,
                    n_buckets: int = 64, accuracy: int = 10000, bound_by: str | None = None,
                    bucket: Column | None = None) -> DataFrame:
@@ -100,7 +110,7 @@ def running_totals(df: DataFrame, order_col: str, sums: list[str], by=None,
 
 
 def asof_last(probes: DataFrame, knots: DataFrame, by: str, key: str, payload: list[str],
-              n_buckets: int = 64, accuracy: int = 10000) -> DataFrame:
+              n_buckets: int = 64, accuracy: int = 10000, bounds=None) -> DataFrame:
     """As-of lookup: each probe row gets the ``payload`` columns of the last knot with
     ``knot.key <= probe.key`` in the same ``by`` group (null when there is none).
 
@@ -109,7 +119,8 @@ def asof_last(probes: DataFrame, knots: DataFrame, by: str, key: str, payload: l
     (key, knot-before-probe) runs in parallel, and a probe whose bucket holds
     no earlier knot takes the carry of the earlier buckets, from a table of at
     most n_groups × n_buckets rows (broadcast: the bound is the parameter).
-    No side is copied, and no group lands whole in one task.
+    No side is copied, and no group lands whole in one task.  ``bounds`` (from
+    ``range_bounds`` per ``by``) reuses cut points already taken on the key axis.
     """
     pl = F.struct(*[F.col(c) for c in payload])
     k = knots.select(F.col(by), F.col(key).cast("double").alias("_key"), F.lit(0).alias("_probe"), pl.alias("_p"))
@@ -118,7 +129,8 @@ def asof_last(probes: DataFrame, knots: DataFrame, by: str, key: str, payload: l
                       F.lit(None).cast(k.schema["_p"].dataType).alias("_p"),
                       F.struct(*[F.col(f"`{c}`") for c in pcols]).alias("_row"))
     u = k.withColumn("_row", F.lit(None).cast(p.schema["_row"].dataType)).unionByName(p)
-    u = u.withColumn("_bucket", bucket_column(u, "_key", by, n_buckets, accuracy))
+    u = u.withColumn("_bucket", bucket_column(u, "_key", by, n_buckets, accuracy) if bounds is None
+                     else bucket_from_bounds("_key", by, bounds))
     w = (Window.partitionBy(by, "_bucket").orderBy("_key", "_probe")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = u.select(by, "_bucket", "_probe", "_row", F.last("_p", ignorenulls=True).over(w).alias("_lp"))
