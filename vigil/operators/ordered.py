@@ -59,7 +59,7 @@ def bucket_from_bounds(order_col: str, bound_by: str | None, bounds) -> Column:
         return F.lit(0)
     # the group's cut points by one map lookup, then one pass over them
     per_group = F.create_map(*[x for g, b in bounds.items() for x in (F.lit(g), _bounds_array(b))])
-    return _count_below(v, per_group.getItem(F.col(bound_by)))
+    return _count_below(v, per_group[F.col(bound_by)])
 
 
 def bucket_column(df: DataFrame, order_col: str, bound_by: str | None, n_buckets: int, accuracy: int) -> Column:
