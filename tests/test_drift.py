@@ -101,3 +101,21 @@ def test_asof_last_vs_search(spark):
     for g, x, pid in probes:
         below = [k for k in knots if k[0] == g and k[1] <= x]
         assert got[pid] == (max(below, key=lambda k: k[1])[2] if below else None), (g, x)
+
+
+def test_daily_suite_drift_share_counts_numeric_columns(spark):
+    import datetime as dt
+    from vigil.operators import suite
+    schema = "ts timestamp, y double, p double, x double, c string"
+    base = [(1.0, 1.0, 1.0, "a"), (2.0, 2.0, 2.0, "b"), (3.0, 3.0, 3.0, "a"), (4.0, 4.0, 4.0, "b")]
+    ref = spark.createDataFrame([(dt.datetime(2023, 6, 1),) + r for r in base], schema)
+    same = [(dt.datetime(2024, 1, 1, 9),) + r for r in base]
+    shifted = [(dt.datetime(2024, 1, 2, 9), y, p, x + 10.0, c) for y, p, x, c in base]
+    cur = spark.createDataFrame(same + shifted, schema)
+    out = suite.daily_suite(ref, cur, "ts", "y", "p", ["c"], ["x"])
+    rows = {(r.data_date.day, r.test_name): r for r in out.collect()}
+    share = "Share of Drifted Columns"
+    assert rows[(1, share)].value == 0.0 and rows[(1, share)].status == "SUCCESS"
+    assert rows[(2, share)].value == 0.5 and rows[(2, share)].status == "FAIL"
+    only_cat = {(r.data_date.day, r.test_name): r for r in suite.daily_suite(ref, cur, "ts", "y", "p", ["c"]).collect()}
+    assert only_cat[(2, share)].value == 0.0
