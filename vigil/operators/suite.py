@@ -13,7 +13,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.operators.drift import categorical_drift_by_day, numeric_drift_by_day
+from vigil.operators.drift import categorical_drift_by_day, numeric_drift_by_day, numeric_drift_by_day_sided
 
 # Relative tolerance of reference-derived conditions and the absolute floor.
 RELATIVE = 0.1
@@ -63,12 +63,14 @@ def _status(ok: Column, value: Column) -> Column:
 
 
 def daily_suite(ref: DataFrame, cur: DataFrame, ts: str, target: str, prediction: str,
-                categorical, numeric=()) -> DataFrame:
+                categorical, numeric=(), source=None) -> DataFrame:
     """One row per (data_date, test): data_date, report_date, test_index, test_name, status,
     value, condition, threshold, is_base_test.
 
     The share of drifted columns covers ``categorical`` (Jensen-Shannon) and
-    ``numeric`` (normed Wasserstein) columns, each day against the whole reference."""
+    ``numeric`` (normed Wasserstein) columns, each day against the whole reference.
+    ``source`` = (table, is_reference column) names the one table both sides come
+    from, so the numeric drift reads it in one pass instead of one per side."""
     fields = cur.schema.fields
     columns = [f.name for f in fields]
     ref_row = ref.agg(_mape(target, prediction).alias("mape"), _rmse(target, prediction).alias("rmse"),
@@ -105,7 +107,9 @@ def daily_suite(ref: DataFrame, cur: DataFrame, ts: str, target: str, prediction
     if categorical:
         per_column.append(categorical_drift_by_day(ref, cur, categorical, ts).select("data_date", "drift_detected"))
     if numeric:
-        per_column.append(numeric_drift_by_day(ref, cur, numeric, ts).select("data_date", "drift_detected"))
+        nd = (numeric_drift_by_day_sided(source[0], source[1], numeric, ts) if source is not None
+              else numeric_drift_by_day(ref, cur, numeric, ts))
+        per_column.append(nd.select("data_date", "drift_detected"))
     if per_column:
         flags = per_column[0]
         for extra in per_column[1:]:

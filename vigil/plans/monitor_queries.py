@@ -285,9 +285,9 @@ _SUITE_WITH = _suite_sql()
            condition, {R("threshold")} AS threshold, is_base_test FROM t
 """)
 def suite_status_by_day(spark, sf_dir):
-    ref, cur = _split(spark, sf_dir)
-    out = suite.daily_suite(ref, cur, mon.TIMESTAMP, mon.TARGET, mon.PREDICTION, list(mon.CATEGORICAL_FEATURES),
-                            list(_NUMERIC_DRIFT_COLS))
+    m = mon.monitoring_table(spark, sf_dir)
+    out = suite.daily_suite(mon.reference_part(m), mon.current_part(m), mon.TIMESTAMP, mon.TARGET, mon.PREDICTION,
+                            list(mon.CATEGORICAL_FEATURES), list(_NUMERIC_DRIFT_COLS), source=(m, mon.is_reference()))
     return round_doubles(out)
 
 
@@ -297,9 +297,9 @@ def suite_status_by_day(spark, sf_dir):
     SELECT test_name, n_failures, CAST(row_number() OVER (ORDER BY n_failures DESC, test_name) AS INTEGER) AS failure_rank FROM g
 """)
 def failed_checks_rollup(spark, sf_dir):
-    ref, cur = _split(spark, sf_dir)
-    s = suite.daily_suite(ref, cur, mon.TIMESTAMP, mon.TARGET, mon.PREDICTION, list(mon.CATEGORICAL_FEATURES),
-                          list(_NUMERIC_DRIFT_COLS))
+    m = mon.monitoring_table(spark, sf_dir)
+    s = suite.daily_suite(mon.reference_part(m), mon.current_part(m), mon.TIMESTAMP, mon.TARGET, mon.PREDICTION,
+                          list(mon.CATEGORICAL_FEATURES), list(_NUMERIC_DRIFT_COLS), source=(m, mon.is_reference()))
     return suite.failures_by_test(s)
 
 
@@ -308,9 +308,9 @@ def failed_checks_rollup(spark, sf_dir):
     SELECT data_date + 1 AS window_start, count(*) AS n_failed FROM t WHERE status IN ('FAIL', 'ERROR') GROUP BY 1
 """)
 def failures_by_day(spark, sf_dir):
-    ref, cur = _split(spark, sf_dir)
-    s = suite.daily_suite(ref, cur, mon.TIMESTAMP, mon.TARGET, mon.PREDICTION, list(mon.CATEGORICAL_FEATURES),
-                          list(_NUMERIC_DRIFT_COLS))
+    m = mon.monitoring_table(spark, sf_dir)
+    s = suite.daily_suite(mon.reference_part(m), mon.current_part(m), mon.TIMESTAMP, mon.TARGET, mon.PREDICTION,
+                          list(mon.CATEGORICAL_FEATURES), list(_NUMERIC_DRIFT_COLS), source=(m, mon.is_reference()))
     return suite.failures_by_day(s)
 
 
