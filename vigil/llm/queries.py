@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe
+from vigil.llm import bpe, licenses, mixing, quality
+from vigil.llm.common import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,3 +39,23 @@ def op8(spark, sf_dir):
     back = bpe.decode(bpe.encode(docs, tokenizer_path()).drop("text"), tokenizer_path())
     return back.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register("op2_quality_rules")
+def op2(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    judged = quality.verdict(written(quality.text_stats(docs).drop("text")))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *quality.RATES)
+
+
+@register("op6_mixing")
+def op6(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count("text").alias("size"))
+    mixed = mixing.mix(docs, mixing.ranked_weights(docs, "source", [5.0, 2.0, 1.0]), "doc_id", "source", "size", share=1.5, epochs=2.0)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@register("op10_license_scan")
+def op10(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs, "doc_id", "text")
