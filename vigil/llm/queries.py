@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, licenses, mixing, quality
+from vigil.llm import bpe, fingerprint, licenses, mixing, quality
 from vigil.llm.common import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,19 @@ def op2(spark, sf_dir):
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *quality.RATES)
 
 
+@register("op3_fingerprints")
+def op3(spark, sf_dir):
+    x = fingerprint.with_next(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    n = F.length("text")
+    k = F.floor(n / 4).cast("int")
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - k), F.substring(F.col("next_start"), F.lit(1), k))
+    facts = fingerprint.let(edited, lambda e: F.struct(F.sha2(e, 256).alias("edited_sha256"), fingerprint.fingerprint(e).alias("edited_fingerprint")))
+    x = x.withColumn("n_chars", n.cast("long")).withColumn("facts", facts).select("doc_id", "n_chars", "facts.*", "fingerprint", "next_fingerprint")
+    return x.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                    fingerprint.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+                    fingerprint.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+
+
 @register("op6_mixing")
 def op6(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count("text").alias("size"))
