@@ -126,9 +126,10 @@ def thresholds(rated: DataFrame, lang: str = "lang", source: str = "source") ->
     by_lang = merged(own, [lang])
     a = pivoted(fences(own, [lang, source]), [lang, source], "own")
     b = pivoted(fences(by_lang, [lang]), [lang], "lang").withColumnRenamed(lang, "__lang")
-    c = pivoted(fences(merged(by_lang.withColumn("__all", F.lit(0)), ["__all"]), ["__all"]), ["__all"], "all")
-    joined = a.join(b, F.col(lang).eqNullSafe(F.col("__lang")), "left").withColumn("__all", F.lit(0)).join(c, "__all", "left")
-    pick = lambda r: F.when(F.col("own_rows") >= MIN_GROUP_ROWS, F.col(f"own_{r}")).when(F.col("lang_rows") >= MIN_GROUP_ROWS, F.col(f"lang_{r}")).otherwise(F.col(f"all_{r}"))
+    everything = merged(by_lang.withColumn("__all", F.lit(0)), ["__all"])
+    whole = {r["rate"]: r["fence"] for r in fences(everything, ["__all"]).collect()}  # a row for each rate
+    joined = a.join(b, F.col(lang).eqNullSafe(F.col("__lang")), "left")
+    pick = lambda r: F.when(F.col("own_rows") >= MIN_GROUP_ROWS, F.col(f"own_{r}")).when(F.col("lang_rows") >= MIN_GROUP_ROWS, F.col(f"lang_{r}")).otherwise(F.lit(whole.get(r)).cast("double"))
     return joined.select(F.col(lang).alias("__lang"), F.col(source).alias("__source"), *[pick(r).alias(f"{r}_fence") for r in RATES])
 
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, fingerprint, licenses, mixing, quality
-from vigil.llm.common import written
+from vigil.llm import bpe, fingerprint, langid, licenses, mixing, quality, toxicity
+from vigil.llm.common import held_out, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,6 +61,13 @@ def op3(spark, sf_dir):
                     fingerprint.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
 
 
+@register("op4_toxicity")
+def op4(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted", "spans")
+
+
 @register("op6_mixing")
 def op6(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count("text").alias("size"))
@@ -68,6 +75,13 @@ def op6(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+@register("op9_language_id")
+def op9(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    labelled = langid.label(docs.select("doc_id", "text"), langid.train(docs.select("doc_id", "text", "lang")))
+    return labelled.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
 @register("op10_license_scan")
 def op10(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
