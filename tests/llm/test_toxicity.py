@@ -31,7 +31,7 @@ def test_spans_are_offsets_of_toxic_words(spark):
     model = toxicity.fit(docs, spark.createDataFrame([(i, y) for i, _, y in rows()], "doc_id long, toxic int"))
     text = "Ünder waeix. Then blorbishq came"  # an ending that was not in training
     row = toxicity.score(spark.createDataFrame([(text,)], "text string"), model).first()
-    assert row["predicted"] == 1 and any(text[s["start"]:s["end"]].startswith("blorbishq") for s in row["spans"])
+    assert row["predicted"] == 1 and any("blorbishq" in text[s["start"]:s["end"]] for s in row["spans"])
     again = toxicity.fit(docs.repartition(3), spark.createDataFrame([(i, y) for i, _, y in rows()], "doc_id long, toxic int"))
     assert again == model
 
