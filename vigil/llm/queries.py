@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, fingerprint, langid, licenses, mixing, quality, toxicity
+from vigil.llm import bpe, fingerprint, langid, licenses, mixing, neardup, quality, toxicity
 from vigil.llm.common import held_out, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,12 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@register("op7_minhash_near_dedup")
+def op7(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.with_class(docs, neardup.classes(docs))
+
+
 @register("op8_bpe_encode_decode")
 def op8(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
