@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, fingerprint, langid, licenses, mixing, neardup, quality, toxicity
+from vigil.llm import bpe, fingerprint, langid, licenses, mixing, neardup, quality, suffix, toxicity
 from vigil.llm.common import held_out, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,12 @@ def op8(spark, sf_dir):
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@register("op1_suffix_dedup")
+def op1(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix.dedup(docs, with_text=False).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @register("op2_quality_rules")
 def op2(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
