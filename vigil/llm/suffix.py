@@ -241,9 +241,9 @@ def cut_segments(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.binary()))], names=["key", "doc", "first", "bytes"])
 
 
-def covered(docs: DataFrame) -> DataFrame:
-    """Byte ranges (doc, lo, hi) of ``docs`` (doc, text; doc is a distinct long) that strings standing earlier cover."""
-    runs = docs.mapInArrow(text_runs, "key long, seg long, doc long, first int, n int")
+def covered(base: DataFrame, text: str) -> DataFrame:
+    """Byte ranges (doc, lo, hi) of ``base`` (column doc: a distinct long) that strings standing earlier cover."""
+    runs = base.select("doc", F.col(text).alias("text")).mapInArrow(text_runs, "key long, seg long, doc long, first int, n int")
     keys = runs.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("seg").alias("s0"), F.max("seg").alias("s1")).filter("rows > 1")
     shared = written(runs.join(keys.select("key", (F.col("s0") != F.col("s1")).alias("mixed")), "key"))
 
@@ -255,7 +255,8 @@ def covered(docs: DataFrame) -> DataFrame:
     hot = edges.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > HOT).select("key", F.lit(True).alias("hot"))
     edges = edges.join(hot, "key", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     wanted = edges.groupBy("doc").agg(F.collect_list(F.struct("key", "first", "n", "hot")).alias("wanted"))
-    segments = written(docs.join(wanted, "doc").select("doc", "text", "wanted").mapInArrow(cut_segments, "key long, doc long, first int, bytes binary"))
+    # all columns go along, so that the shuffle of the texts is the one that the removal needs too
+    segments = base.join(wanted, "doc").select("doc", text, "wanted", *[c for c in base.columns if c not in ("doc", text)]).mapInArrow(cut_segments, "key long, doc long, first int, bytes binary")
     in_blocks = (segments.filter("key is not null").repartition("key").sortWithinPartitions("key", "doc", "first")
                  .mapInArrow(expand_blocks, "doc long, lo int, hi int"))
     single = segments.filter("key is null").drop("key")
@@ -299,9 +300,7 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", with_text: boo
     """``df`` with what is left of ``text`` (dropped, if not ``with_text``), n_bytes, n_removed, n_spans, kept_sha256 and spans."""
     own = [c for c in df.columns if c not in ("doc", "__spans", *T.StructType.fromDDL(RESULT).fieldNames())]
     base = distinct_ids(df.select(*own), key, text)
-    # one shuffle of the texts serves the cutting of segments and the removal
-    docs = base.select("doc", F.col(text).alias("text"))
-    spans = covered(docs).groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("__spans"))
+    spans = covered(base, text).groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("__spans"))
 
     def make():
         def run(texts, spans):
