@@ -7,7 +7,7 @@ come first in a seeded order of the source, as long as the fractional part of th
 source's amount is off its target by less than one document, and reruns take the same documents.
 
 Sizes are whole numbers. A null source is a source of its own, a null size counts as 0; sources of size 0 get the
-target 0. Rows with equal keys are separate documents. Tables without rows give none. Only the listed columns are read.
+target 0. Rows with equal keys come first or last together. Tables without rows give none. Only the listed columns are read.
 """
 
 from __future__ import annotations
@@ -50,33 +50,47 @@ def targets(sources: DataFrame, total: float, epochs: float) -> DataFrame:
     return sources.withColumn("target", F.least(cap, F.col("weight") * level))
 
 
-def mix(docs: DataFrame, weights: DataFrame, key: str, source: str, size: str, share: float, epochs: float, seed: int = 42) -> DataFrame:
-    """Each document with source_size, target, copies and taken (size times copies).
-
-    ``share``: the mix in parts of the sum of all sizes. ``weights`` has one row per source: source, weight.
-    """
-    rows = written(docs.select(F.col(key).alias("__key"), F.col(source).alias("__source"), F.coalesce(F.col(size), F.lit(0)).cast("long").alias("__size"))
-                   .withColumn("__u", F.xxhash64(F.lit(seed), F.coalesce(F.col("__key").cast("string"), F.lit(""))))
-                   .withColumn("__slice", F.pmod(F.shiftright("__u", 40), F.lit(SLICES)).cast("int")))
+def plan(docs: DataFrame, weights: DataFrame, key: str, source: str, size: str, share: float, epochs: float, seed: int) -> DataFrame:
+    """One row per source: its target, its whole repetitions, and where the additional one ends (slice and order number)."""
+    rows = written(docs.select(F.col(source).alias("__source"), F.coalesce(F.col(size), F.lit(0)).cast("long").alias("__size"), order_number(key, seed).alias("__u")).withColumn("__slice", slice_of(F.col("__u"))))
     slices = written(rows.groupBy("__source", "__slice").agg(F.sum("__size").alias("slice_size")))
     per_source = slices.groupBy("__source").agg(F.sum("slice_size").alias("source_size"))
     weighed = written(per_source.join(weights.select(F.col(source).alias("__name"), "weight"), F.col("__source").eqNullSafe(F.col("__name")), "left")
                       .select("__source", "source_size", F.coalesce("weight", F.lit(0.0)).alias("weight")))
     total = share * float(weighed.agg(F.sum("source_size")).first()[0] or 0)
-    plan = targets(weighed, total, epochs).select(
-        "__source", "source_size", "target", F.coalesce(F.floor(F.try_divide(F.col("target"), F.col("source_size"))), F.lit(0)).alias("whole"))
-    plan = plan.withColumn("extra", F.col("target") - F.col("whole") * F.col("source_size"))
-    before = F.sum("slice_size").over(Window.partitionBy("__source").orderBy("__slice")) - F.col("slice_size")
-    cut = (slices.withColumn("before", before).join(plan.withColumnRenamed("__source", "__name"), F.col("__source").eqNullSafe(F.col("__name")))
-           .select(F.col("__source").alias("__s"), F.col("__slice").alias("__b"), "source_size", "target", "whole", "extra", "before",
-                   (F.col("before") + F.col("slice_size") <= F.col("extra")).alias("inside"), (F.col("before") >= F.col("extra")).alias("outside")))
-    placed = rows.join(cut, F.col("__source").eqNullSafe(F.col("__s")) & (F.col("__slice") == F.col("__b")))
+    whole = F.coalesce(F.floor(F.try_divide(F.col("target"), F.col("source_size"))), F.lit(0))
+    aims = targets(weighed, total, epochs).select("__source", "source_size", "target", whole.alias("whole")).withColumn("extra", F.col("target") - F.col("whole") * F.col("source_size"))
+    aims = written(aims.withColumnRenamed("__source", "__name"))
+
+    running = F.sum("slice_size").over(Window.partitionBy("__source").orderBy("__slice"))
+    cut = (slices.withColumn("before", running - F.col("slice_size")).join(aims, F.col("__source").eqNullSafe(F.col("__name")))
+           .filter((F.col("before") < F.col("extra")) & (F.col("before") + F.col("slice_size") >= F.col("extra"))).groupBy("__name").agg(F.max(F.struct("__slice", "before", "extra")).alias("cut")))
     # the slice that the cut falls in, in its seeded order: a document is taken while more than half of it fits
-    order = Window.partitionBy("__source").orderBy("__u", "__key", "__size")
-    partly = placed.filter(~F.col("inside") & ~F.col("outside")).withColumn("upto", F.col("before") + F.sum("__size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    partly = partly.withColumn("more", (F.col("upto") - F.col("__size") / 2 <= F.col("extra")).cast("long")).drop("upto")
-    whole = placed.filter(F.col("inside") | F.col("outside")).withColumn("more", F.col("inside").cast("long"))
-    copies = F.least(F.col("whole") + F.col("more"), F.lit(int(epochs)))
-    return whole.unionByName(partly).select(
-        F.col("__key").alias(key), F.col("__source").alias(source), F.col("__size").alias(size), "source_size", "target",
-        copies.alias("copies"), (F.col("__size") * copies).alias("taken"))
+    inside = rows.join(cut.select("__name", "cut.*").withColumnRenamed("__slice", "cut_slice"), F.col("__source").eqNullSafe(F.col("__name")) & (F.col("__slice") == F.col("cut_slice")))
+    upto = F.col("before") + F.sum("__size").over(Window.partitionBy("__source").orderBy("__u").rowsBetween(Window.unboundedPreceding, 0))
+    last = inside.withColumn("upto", upto).filter(F.col("upto") - F.col("__size") / 2 <= F.col("extra")).groupBy("__name").agg(F.max("__u").alias("cut_u"))
+    found = cut.join(last.withColumnRenamed("__name", "__n"), F.col("__name").eqNullSafe(F.col("__n")), "left").select(F.col("__name").alias("__m"), F.col("cut.__slice").alias("cut_slice"), "cut_u")
+    return written(aims.join(found, F.col("__name").eqNullSafe(F.col("__m")), "left").select("__name", "source_size", "target", "whole", "extra", "cut_slice", "cut_u"))
+
+
+def order_number(key: str, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("")))
+
+
+def slice_of(u: Column) -> Column:
+    return F.pmod(F.shiftright(u, 40), F.lit(SLICES)).cast("int")
+
+
+def mix(docs: DataFrame, weights: DataFrame, key: str, source: str, size: str, share: float, epochs: float, seed: int = 42) -> DataFrame:
+    """``docs`` with source_size, target, copies and taken (size times copies).
+
+    ``share``: the mix in parts of the sum of all sizes. ``weights`` has one row per source: source, weight. A row's
+    copies follow from its key and its source's row of the plan, so the documents are joined with one row per source.
+    """
+    own = [c for c in docs.columns if c not in ("source_size", "target", "copies", "taken")]
+    p = plan(docs, weights, key, source, size, share, epochs, seed)
+    u = order_number(key, seed)
+    more = (F.col("extra") > 0) & ((slice_of(u) < F.col("cut_slice")) | ((slice_of(u) == F.col("cut_slice")) & (u <= F.coalesce("cut_u", F.lit(-(2**63))))))
+    copies = F.least(F.col("whole") + F.coalesce(more, F.lit(False)).cast("long"), F.lit(int(epochs)))
+    joined = docs.join(p, F.col(source).eqNullSafe(F.col("__name")))
+    return joined.select(*own, "source_size", "target", copies.alias("copies"), (F.coalesce(F.col(size), F.lit(0)) * copies).alias("taken"))

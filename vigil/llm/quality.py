@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigil.llm.common import Vocabulary, arrow_columns, texts_of
+from vigil.llm.common import Vocabulary, arrow_columns, texts_of, written
 
 SYMBOLS = b"#*$%&|<>"
 WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -140,3 +140,13 @@ def verdict(stats: DataFrame, lang: str = "lang", source: str = "source") -> Dat
     joined = rated.join(t, F.col(lang).eqNullSafe(F.col("__lang")) & F.col(source).eqNullSafe(F.col("__source")), "left")
     above = [F.coalesce(F.col(r) > F.col(f"{r}_fence"), F.lit(False)) for r in RATES]
     return joined.drop("__lang", "__source").withColumn("kept", ~F.col("base_failed") & ~F.array_contains(F.array(*above), True))
+
+
+def filtered(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+    """The rows of ``df`` that are kept. The counts are taken once and written beside the texts, since the fences
+    need them of all rows first; the fences, a row for each group, are then joined to the rows."""
+    names = [f"__c{i}" for i in range(len(df.columns))]
+    plain = df.toDF(*names)
+    place = lambda c: names[df.columns.index(c)]
+    judged = verdict(written(text_stats(plain, place(text))), place(lang), place(source))
+    return judged.filter("kept").select(*names).toDF(*df.columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, fingerprint, langid, licenses, mixing, neardup, quality, suffix, toxicity
+from vigil.llm import bpe, fingerprint, langid, licenses, mixing, neardup, quality, suffix, toxicity, warc
 from vigil.llm.common import held_out, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,9 +80,15 @@ def op4(spark, sf_dir):
     return toxicity.score(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted", "spans")
 
 
+@register("op5_warc_dictionary")
+def op5(spark, sf_dir):
+    manifest = warc.write_archives(read(spark, sf_dir, "pages"), min_bytes=0)
+    return warc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @register("op6_mixing")
 def op6(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count("text").alias("size"))
+    docs = written(read(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count("text").alias("size")))
     mixed = mixing.mix(docs, mixing.ranked_weights(docs, "source", [5.0, 2.0, 1.0]), "doc_id", "source", "size", share=1.5, epochs=2.0)
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
