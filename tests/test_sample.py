@@ -21,10 +21,20 @@ def test_quota_topup_and_clamp(spark):
     assert len(got) == 20 and Counter(r.Times for r in got)[0.0] == 3
 
 
-def test_quotas():
-    assert sample.stratified_sample.__doc__
-    assert sample.stratum_quotas([(0, 3), (1, 100)], 20) == {0: 3, 1: 17}
-    assert sample.stratum_quotas([(i, 5) for i in range(30)], 20) == {i: 1 for i in range(20)}
+def test_quotas(spark):
+    def quotas(counts, size):
+        df = spark.createDataFrame([(f"{s}-{i}", s) for s, n in counts for i in range(n)], "k string, s long")
+        return {r.s: r.quota for r in sample.stratum_quotas(df, "s", size).collect()}
+    assert quotas([(0, 3), (1, 100)], 20) == {0: 3, 1: 17}
+    assert quotas([(i, 5) for i in range(30)], 20) == {i: 1 for i in range(20)}
+    assert quotas([(0, 50), (1, 1), (2, 2)], 20) == {0: 6, 1: 1, 2: 2}
+
+
+def test_numeric_strata_and_order(spark):
+    rows = [(f"k{i}", x) for i, x in enumerate(["1", "0", "NaN", "-1", "x", None, "0.0", "2"])]
+    got = sample.stratified_sample(spark.createDataFrame(rows, "k string, s string"), "k", "s", numeric=True, ordered=True).collect()
+    assert [(r.k, r.s) for r in got] == [("k1", 0.0), ("k6", 0.0), ("k0", 1.0), ("k7", 2.0)]
+    assert sample.stratified_sample(spark.createDataFrame([], "k string, s string"), "k", "s").count() == 0
 
 
 def test_half_split_overlap(spark):

@@ -55,7 +55,7 @@ def training_run(spark: SparkSession, csv_path: str, registry_root: str, *, text
     """Returns {'valid', 'errors', 'registration', 'report' (DataFrame), 'steps' (DataFrame)}.
     An invalid table stops the run before training (nothing is registered)."""
     timer = StepTimer()
-    th = load_thresholds(thresholds_path)
+    th = load_thresholds(spark, thresholds_path)
     sch = th["schema"]
     with timer.step("read"):
         landed = read_raw_csv(spark, csv_path)
