@@ -59,3 +59,46 @@ def test_parity_detects_difference(spark):
     assert not M.parity(e, g2, "k", tolerance=0.1).collect()[0].within_tolerance
     g3 = g.filter(F.col("k") == "alpha")
     assert not M.parity(e, g3, "k").collect()[0].within_tolerance
+
+
+def test_vocabulary_has_every_ngram(spark, small):
+    m = M.fit_text_regressor(small, "Password", "Times", forest={"numTrees": 2})
+    want = {t[i:i + n] for t in ("qwerty", "123456", "password", "abc123") for n in (1, 2, 3) for i in range(len(t) - n + 1)}
+    assert set(m.stages[1].vocabulary) == want
+
+
+def test_refit_does_not_depend_on_partitions(spark):
+    rows = [("".join(chr(97 + (i * k) % 26) for k in range(1, 9)), float(i % 3)) for i in range(60)]
+    df = spark.createDataFrame(rows, "t string, y double")
+    preds = [M.score(M.fit_text_regressor(df.repartition(n), "t", "y", forest={"numTrees": 4}), df).orderBy("t", "y").collect() for n in (2, 3)]
+    assert preds[0] == preds[1]
+
+
+def gate(spark, rows):
+    scored = spark.createDataFrame(rows, "y double, target_log double, prediction double")
+    limits = {"model_quality": {"max_rmse": 0.23, "max_mae": 0.18, "max_abs_mean_error": 0.09, "max_prediction_target_mean_gap": 0.1}}
+    return M.quality_gate(M.quality_metrics(scored, "y"), limits).orderBy("check_index").collect()
+
+
+def test_gate_fails_on_targets_predictions_and_no_rows(spark):
+    assert all(r.passed and r.error is None for r in gate(spark, [(1.0, 0.3, 0.3), (1.0, 0.3, 0.31)]))
+    for bad in (None, float("nan"), float("-inf")):
+        got = gate(spark, [(1.0, 0.3, 0.3), (-1.0, bad, 0.3)])
+        assert all(r.passed is False and r.error == "Target log values contain non-finite values" for r in got)
+    assert all(r.error == "Predictions contain non-finite values" for r in gate(spark, [(1.0, 0.3, None)]))
+    assert all(r.passed is False for r in gate(spark, []))
+    assert gate(spark, [(1.0, 0.3, 0.9)])[0].error == "Model quality metric rmse=0.600000 exceeds threshold max_rmse=0.230000"
+
+
+def test_registry_never_overwrites(spark, fitted, tmpdir_path):
+    a, b = ModelRegistry(spark, f"{tmpdir_path}/reg"), ModelRegistry(spark, f"{tmpdir_path}/reg")
+    first = a.register(fitted, "pw", metrics={"rmse": 0.1, "n_rows": 4, "api_key": 1.0})
+    b.versions = lambda: None  # a writer that has not seen the first version yet
+    assert b.register(fitted, "pw")["model_version"] == first["model_version"] + 1
+    metrics = {r.metric for r in spark.read.parquet(f"{tmpdir_path}/reg/model_metrics").collect()}
+    assert metrics == {"rmse"} and spark.read.parquet(f"{tmpdir_path}/reg/model_params").first().param == "n_rows"
+    with open(f"{tmpdir_path}/broken", "w") as f:
+        f.write("no table")
+    broken = ModelRegistry(spark, tmpdir_path)
+    with pytest.raises(Exception):
+        broken._read("broken").count()

@@ -63,7 +63,7 @@ def categorical_drift(ref: DataFrame, cur: DataFrame, columns, threshold: float
 
 
 def numeric_drift(ref: DataFrame, cur: DataFrame, columns, threshold: float = DRIFT_THRESHOLD,
-                  n_buckets: int = 64) -> DataFrame:
+                  n_buckets: int | None = None) -> DataFrame:
     """Normed Wasserstein distance per numeric column.
 
     W = Σ |F_ref(v_i) − F_cur(v_i)| · (v_{i+1} − v_i) over the merged distinct
@@ -140,11 +140,11 @@ def categorical_drift_by_day(ref: DataFrame, cur: DataFrame, columns, ts: str,
                          (F.col("drift_score") >= threshold).alias("drift_detected"))
 
 
-def _reference_knots(rv: DataFrame, n_buckets: int, bounds=None) -> DataFrame:
+def _reference_knots(rv: DataFrame, n_buckets: int | None, bounds=None) -> DataFrame:
     """Distinct reference values (column_name, value, nr) → the CDF ``F`` and its
     integral ``G(v) = ∫_{-inf}^{v} F_ref(x) dx`` at each value: two exact running
     sums over the same range buckets."""
-    bucket = (bucket_column(rv, "value", "column_name", n_buckets, 10000) if bounds is None
+    bucket = (bucket_column(rv, "value", "column_name", n_buckets) if bounds is None
               else bucket_from_bounds("value", "column_name", bounds))
     r1 = running_totals(rv, "value", ["nr"], by="column_name", bucket=bucket)
     cdf = F.col("cum_nr") / F.col("total_nr")
@@ -165,7 +165,7 @@ def _weighted_std(rv: DataFrame) -> DataFrame:
 
 
 def numeric_drift_by_day(ref: DataFrame, cur: DataFrame, columns, ts: str,
-                         threshold: float = DRIFT_THRESHOLD, n_buckets: int = 64) -> DataFrame:
+                         threshold: float = DRIFT_THRESHOLD, n_buckets: int | None = None) -> DataFrame:
     """``numeric_drift_by_day_sided`` for a reference and a current table given apart."""
     both = (ref.withColumn("_ref", F.lit(True))
                .unionByName(cur.withColumn("_ref", F.lit(False))))
@@ -173,7 +173,7 @@ def numeric_drift_by_day(ref: DataFrame, cur: DataFrame, columns, ts: str,
 
 
 def numeric_drift_by_day_sided(df: DataFrame, is_reference, columns, ts: str,
-                               threshold: float = DRIFT_THRESHOLD, n_buckets: int = 64) -> DataFrame:
+                               threshold: float = DRIFT_THRESHOLD, n_buckets: int | None = None) -> DataFrame:
     """Normed Wasserstein distance of each day of ``cur`` against the whole reference, per column.
 
     The reference is never copied per day.  With G the integral of the

@@ -19,29 +19,42 @@ from pyspark.sql import functions as F
 
 from vigil.functions.sqltext import chars_sql, entropy_sql, ngrams_sql
 from vigil.operators.metrics import log_target, regression_metric_columns
-from vigil.session import checkpoint_dir
 
 # Forest settings and n-gram range of the reference model.
 FOREST = {"numTrees": 50, "maxDepth": 12, "seed": 42}
 NGRAM_RANGE = (1, 3)
-DEFAULT_VOCAB_SIZE = 2048
+#: Labelled rows that a model is fitted on at most: those with the smallest hashes of their text. Every n-gram of these
+#: rows is a feature. Scoring and all metrics cover all rows.
+MAX_FIT_ROWS = 1000
+#: The fit reads its rows in this many partitions, dealt and sorted by the text, so a refit gives the same model.
+FIT_PARTITIONS = 8
 LABEL, PREDICTION = "target_log", "prediction"
 
 
+def fit_rows(df: DataFrame, text: str, target: str, max_rows: int | None) -> DataFrame:
+    """At most ``max_rows`` labelled rows in an order that does not depend on how ``df`` is partitioned."""
+    rows = df.select(F.col(text), F.col(target)).filter(F.col(text).isNotNull() & F.col(target).isNotNull())
+    h = F.xxhash64(F.col(text))
+    if max_rows is not None:
+        rows = rows.orderBy(h, text, target).limit(max_rows)
+    return rows.repartition(FIT_PARTITIONS, h).sortWithinPartitions(text, target)
+
+
 def fit_text_regressor(df: DataFrame, text: str, target: str, *, n_min: int = NGRAM_RANGE[0],
-                       n_max: int = NGRAM_RANGE[1], vocab_size: int = DEFAULT_VOCAB_SIZE,
+                       n_max: int = NGRAM_RANGE[1], max_rows: int | None = MAX_FIT_ROWS,
                        tfidf: bool = True, model: str = "forest", reg_param: float = 1.0,
                        forest: dict | None = None) -> PipelineModel:
     """Fit on ``text`` → log10(target + 1); returns a PipelineModel that adds ``prediction``."""
     prep = SQLTransformer(statement=(
         f"SELECT *, {ngrams_sql('_chars', n_min, n_max)} AS _ngrams, {entropy_sql(text)} AS _entropy "
         f"FROM (SELECT *, {chars_sql(text)} AS _chars FROM __THIS__)"))
-    labeled = df.withColumn(LABEL, log_target(F.col(target).cast("double")))
+    labeled = fit_rows(df, text, target, max_rows).withColumn(LABEL, log_target(F.col(target).cast("double")))
     # Each estimator below reads the n-grams again; keep them once (recomputed from
     # lineage if an executor is lost) and drop them when the fit is done.
     data = prep.transform(labeled).select("_ngrams", "_entropy", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        cv = CountVectorizer(inputCol="_ngrams", outputCol="_tf", vocabSize=vocab_size, minDF=1.0).fit(data)
+        n_grams = data.select(F.explode("_ngrams").alias("g")).distinct().count()
+        cv = CountVectorizer(inputCol="_ngrams", outputCol="_tf", vocabSize=max(n_grams, 1), minDF=1.0).fit(data)
         stages = [prep, cv]
         feats = "_tf"
         if tfidf:
@@ -56,11 +69,9 @@ def fit_text_regressor(df: DataFrame, text: str, target: str, *, n_min: int = NG
                       .persist(StorageLevel.MEMORY_AND_DISK))
         try:
             if model == "forest":
-                checkpoint_dir(df.sparkSession)
                 params = dict(FOREST, **(forest or {}))
                 reg = RandomForestRegressor(featuresCol="_features", labelCol=LABEL, predictionCol=PREDICTION,
-                                            featureSubsetStrategy="all", checkpointInterval=10,
-                                            maxMemoryInMB=1024, **params)
+                                            featureSubsetStrategy="all", maxMemoryInMB=1024, **params)
             elif model in ("linear", "ridge"):
                 reg = LinearRegression(featuresCol="_features", labelCol=LABEL, predictionCol=PREDICTION,
                                        regParam=reg_param if model == "ridge" else 0.0, elasticNetParam=0.0)
@@ -89,8 +100,11 @@ def scored_table(model: PipelineModel, df: DataFrame, target: str) -> DataFrame:
 
 def quality_metrics(scored: DataFrame, target: str) -> DataFrame:
     """One row: rmse, mae, mean_error, abs_mean_error, prediction_mean, target_log_mean,
-    prediction_target_mean_gap, positive_share, row_count, n_non_finite."""
-    p = F.col(PREDICTION)
+    prediction_target_mean_gap, positive_share, row_count, n_non_finite, n_bad_target.
+
+    A prediction or a target (log scale) that is null, NaN or infinite counts as non-finite."""
+    p, t = F.col(PREDICTION), F.col(LABEL)
+    bad = lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == F.lit(float("inf")))
     return scored.agg(
         F.sqrt(F.avg((p - F.col(LABEL)) ** 2)).alias("rmse"),
         F.avg(F.abs(p - F.col(LABEL))).alias("mae"),
@@ -101,7 +115,8 @@ def quality_metrics(scored: DataFrame, target: str) -> DataFrame:
         F.abs(F.avg(p) - F.avg(F.col(LABEL))).alias("prediction_target_mean_gap"),
         F.avg((F.col(target).cast("double") > 0).cast("double")).alias("positive_share"),
         F.count(F.lit(1)).alias("row_count"),
-        F.count_if(p.isNull() | F.isnan(p) | (F.abs(p) == F.lit(float("inf")))).alias("n_non_finite"),
+        F.count_if(bad(p)).alias("n_non_finite"),
+        F.count_if(bad(t)).alias("n_bad_target"),
     )
 
 
@@ -117,22 +132,24 @@ QUALITY_CHECKS = (
 def quality_gate(metrics: DataFrame, thresholds: dict) -> DataFrame:
     """Rows (check_index, metric, value, threshold_name, threshold, passed, error).
 
-    A metric strictly above its threshold fails; non-finite predictions fail
-    first and alone, as a scoring failure short-cuts the threshold checks.
+    A metric strictly above its threshold fails. A table without rows, non-finite targets and non-finite predictions
+    fail first and alone, in this order, as they leave nothing to compare.
     """
     q = thresholds.get("model_quality", {})
     checks = [(m, t) for m, t in QUALITY_CHECKS if t in q]
     rows = [F.struct(F.lit(i).alias("check_index"), F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"),
                      F.lit(t).alias("threshold_name"), F.lit(float(q[t])).alias("threshold"))
             for i, (m, t) in enumerate(checks)]
-    out = metrics.select("n_non_finite", F.explode(F.array(*rows)).alias("c")).select("n_non_finite", "c.*")
-    failed = (F.col("value") > F.col("threshold")) | (F.col("n_non_finite") > 0)
-    msg = F.when(F.col("n_non_finite") > 0, F.lit("Predictions contain non-finite values")).when(
-        F.col("value") > F.col("threshold"),
-        F.format_string("Model quality metric %s=%.6f exceeds threshold %s=%.6f",
-                        F.col("metric"), F.col("value"), F.col("threshold_name"), F.col("threshold")))
-    return out.select("check_index", "metric", "value", "threshold_name", "threshold",
-                      (~failed).alias("passed"), msg.alias("error"))
+    # The messages of failures.
+    first = (F.when(F.col("row_count") == 0, F.lit("No rows to score"))
+              .when(F.col("n_bad_target") > 0, F.lit("Target log values contain non-finite values"))
+              .when(F.col("n_non_finite") > 0, F.lit("Predictions contain non-finite values")))
+    out = metrics.select(first.alias("_first"), F.explode(F.array(*rows)).alias("c")).select("_first", "c.*")
+    above = F.when(F.col("value") > F.col("threshold"),
+                   F.concat(F.lit("Model quality metric "), "metric", F.lit("="), F.format_string("%.6f", "value"),
+                            F.lit(" exceeds threshold "), "threshold_name", F.lit("="), F.format_string("%.6f", "threshold")))
+    error = F.coalesce("_first", above)
+    return out.select("check_index", "metric", "value", "threshold_name", "threshold", error.isNull().alias("passed"), error.alias("error"))
 
 
 def train_metrics(model: PipelineModel, df: DataFrame, target: str) -> DataFrame:

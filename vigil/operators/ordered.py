@@ -36,11 +36,22 @@ def _keys(by) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
 
 
-def range_bounds(df: DataFrame, order_col: str, bound_by: str | None, n_buckets: int = 64,
-                 accuracy: int = 10000):
+#: Range buckets hold about this many rows each; small inputs are cut into MIN_BUCKETS.
+ROWS_PER_BUCKET, MIN_BUCKETS = 500_000, 64
+
+
+def buckets_for(df: DataFrame) -> int:
+    """Number of range buckets for the rows of ``df``, so that a bucket's size does not grow with the input."""
+    return max(MIN_BUCKETS, -(-df.count() // ROWS_PER_BUCKET))
+
+
+def range_bounds(df: DataFrame, order_col: str, bound_by: str | None, n_buckets: int | None = None,
+                 accuracy: int | None = None):
     """Approximate quantile cut points of ``order_col``: a sorted list, or a dict of
     lists per ``bound_by`` value.  The driver holds ``n_groups × (n_buckets - 1)``
     numbers, so ``bound_by`` must name a column with a handful of values."""
+    n_buckets = n_buckets or buckets_for(df)
+    accuracy = accuracy or max(10000, 20 * n_buckets)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     v = F.col(order_col).cast("double")
     if bound_by is None:
@@ -62,12 +73,12 @@ def bucket_from_bounds(order_col: str, bound_by: str | None, bounds) -> Column:
     return _count_below(v, per_group[F.col(bound_by)])
 
 
-def bucket_column(df: DataFrame, order_col: str, bound_by: str | None, n_buckets: int, accuracy: int) -> Column:
+def bucket_column(df: DataFrame, order_col: str, bound_by: str | None, n_buckets: int | None = None, accuracy: int | None = None) -> Column:
     return bucket_from_bounds(order_col, bound_by, range_bounds(df, order_col, bound_by, n_buckets, accuracy))
 
 
 def running_totals(df: DataFrame, order_col: str, sums: list[str], by=None,
-                   n_buckets: int = 64, accuracy: int = 10000, bound_by: str | None = None,
+                   n_buckets: int | None = None, accuracy: int | None = None, bound_by: str | None = None,
                    bucket: Column | None = None) -> DataFrame:
     """Add ``cum_<s>`` (inclusive running sum in ``order_col`` order, within ``by``),
     ``total_<s>`` and ``next_<order_col>`` (next value in order, null for the last).
@@ -114,7 +125,7 @@ def running_totals(df: DataFrame, order_col: str, sums: list[str], by=None,
 
 
 def asof_last(probes: DataFrame, knots: DataFrame, by: str, key: str, payload: list[str],
-              n_buckets: int = 64, accuracy: int = 10000, bounds=None) -> DataFrame:
+              n_buckets: int | None = None, accuracy: int | None = None, bounds=None) -> DataFrame:
     """As-of lookup: each probe row gets the ``payload`` columns of the last knot with
     ``knot.key <= probe.key`` in the same ``by`` group (null when there is none).
 
@@ -151,7 +162,7 @@ def asof_last(probes: DataFrame, knots: DataFrame, by: str, key: str, payload: l
                       *[F.col(f"_hit.`{c}`").alias(c) for c in payload])
 
 
-def global_position(df: DataFrame, order_col: str, n_buckets: int = 64) -> DataFrame:
+def global_position(df: DataFrame, order_col: str, n_buckets: int | None = None) -> DataFrame:
     """0-based position of each row in ``order_col`` order (unique values) plus the row total."""
     one = df.withColumn("_one", F.lit(1).cast("long"))
     rt = running_totals(one, order_col, ["_one"], n_buckets=n_buckets)

@@ -5,6 +5,8 @@ These are iterative ML fits with no SQL form; the driver checks them rows-only.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -17,7 +19,6 @@ from vigil.tables import table
 
 TEXT, TARGET, KEY = "text", "quality", "doc_id"
 PARITY_ROUNDS = 3
-_FITTED: dict = {}
 
 
 def labeled(spark, sf_dir):
@@ -27,23 +28,16 @@ def labeled(spark, sf_dir):
 
 
 def _split(spark, sf_dir):
-    lab = labeled(spark, sf_dir)
-    # position the keys only (no text) — the texts are joined back once per half
-    keys = table(spark, sf_dir, "labels").select(KEY).join(
-        spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").select(KEY), KEY)
+    """Labelled rows with their half; only keys are positioned, and the texts are joined to them once."""
+    keys = table(spark, sf_dir, "labels").select(KEY, TARGET).join(table(spark, sf_dir, "documents").select(KEY), KEY)
     halves = sample.half_split(keys, KEY, overlap=False)
-    train = lab.join(halves.filter(F.col("half") == "train").select(KEY), KEY)
-    test = lab.join(halves.filter(F.col("half") == "test").select(KEY), KEY)
-    return train, test
+    lab = table(spark, sf_dir, "documents").select(KEY, TEXT).join(halves, KEY)
+    return lab.filter(F.col("half") == "train"), lab.filter(F.col("half") == "test")
 
 
-def fitted(spark, sf_dir, which: str = "train"):
-    """Fit once per (session, sf_dir, training set); the fit is seeded, so a refit is identical."""
-    k = (spark.sparkContext.applicationId, sf_dir, which)
-    if k not in _FITTED:
-        data = _split(spark, sf_dir)[0] if which == "train" else labeled(spark, sf_dir)
-        _FITTED[k] = M.fit_text_regressor(data, TEXT, TARGET)
-    return _FITTED[k]
+def fitted(spark, sf_dir):
+    """Fitted on the train half; rows are put in a fixed order first, so each query that fits gets the same model."""
+    return M.fit_text_regressor(_split(spark, sf_dir)[0], TEXT, TARGET)
 
 
 @register("train_and_gate")
@@ -65,7 +59,7 @@ def score_batch(spark, sf_dir):
 def prediction_parity(spark, sf_dir):
     """Save, reload and re-score a stratified sample in each round; worst error per round."""
     model = fitted(spark, sf_dir)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/parity-model-{abs(hash(sf_dir))}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/parity-model-{uuid.uuid4().hex}"
     model.write().overwrite().save(path)
     reloaded = PipelineModel.load(path)
     lab = labeled(spark, sf_dir)

@@ -9,6 +9,7 @@ from __future__ import annotations
 import time
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,11 +30,21 @@ class ModelRegistry:
         return f"{self.root}/{name}"
 
     def _read(self, name: str) -> DataFrame | None:
+        """The table, or None if its folder does not exist yet; any other failure is the caller's to see."""
         try:
             return self.spark.read.parquet(self._path(name))
-        except Exception:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
+    def _claim(self, name: str, version: int) -> bool:
+        """Create the version's marker file; False if another writer has it already."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/claims/{name}/v{version}")
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path.getParent())
+        return fs.createNewFile(path)
+
     def _append(self, name: str, rows: list[tuple], schema: str) -> None:
         if rows:
             self.spark.createDataFrame(rows, schema).write.mode("append").parquet(self._path(name))
@@ -44,26 +55,31 @@ class ModelRegistry:
     def register(self, model: PipelineModel, name: str, metrics: dict | None = None,
                  params: dict | None = None, alias: str | None = None) -> dict:
         """Save the model, append its version row, metrics (numeric / other) and params
-        (sensitive keys dropped); optionally move an alias and verify it by reading it back."""
+        (sensitive keys dropped from both); optionally move an alias and verify it by reading it back."""
         prev = self.versions()
         version = 1
         if prev is not None:
             last = prev.filter(F.col("name") == name).agg(F.max("version")).collect()[0][0]
             version = (last or 0) + 1
+        while not self._claim(name, version):
+            version += 1
         run_id = uuid.uuid4().hex
-        uri = f"{self.root}/artifacts/{name}/v{version}"
-        model.write().overwrite().save(uri)
+        uri = f"{self.root}/artifacts/{name}/v{version}-{run_id}"
+        model.write().save(uri)  # fails if the folder exists
         now = time.time()
         self._append("model_versions", [(name, version, uri, run_id, now)],
                      "name string, version long, uri string, run_id string, created double")
-        metrics = metrics or {}
+        metrics = {k: v for k, v in (metrics or {}).items() if not _sensitive(str(k))}
+        params = dict(params or {})
+        if "n_rows" in metrics:  # describes the run, not the quality
+            params.setdefault("n_rows", metrics.pop("n_rows"))
         num = [(name, version, k, float(v)) for k, v in metrics.items()
                if isinstance(v, (int, float)) and not isinstance(v, bool)]
         other = [(name, version, k, str(v)) for k, v in metrics.items()
                  if not (isinstance(v, (int, float)) and not isinstance(v, bool))]
         self._append("model_metrics", num, "name string, version long, metric string, value double")
         self._append("model_tags", other, "name string, version long, tag string, value string")
-        pars = [(name, version, k, str(v)) for k, v in (params or {}).items() if not _sensitive(str(k))]
+        pars = [(name, version, k, str(v)) for k, v in params.items() if not _sensitive(str(k))]
         self._append("model_params", pars, "name string, version long, param string, value string")
         out = {"model_name": name, "model_version": version, "model_uri": uri, "run_id": run_id,
                "model_alias": alias, "alias_verified": None}
@@ -75,7 +91,8 @@ class ModelRegistry:
         return out
 
     def set_alias(self, name: str, alias: str, version: int) -> None:
-        seq = time.time_ns()
+        moves = self._read("model_aliases")
+        seq = 1 if moves is None else (moves.agg(F.max("seq")).first()[0] or 0) + 1  # order of the log, not of a clock
         self._append("model_aliases", [(name, alias, int(version), seq)],
                      "name string, alias string, version long, seq long")
 
