@@ -116,3 +116,12 @@ def test_parse_helpers(spark):
     df = spark.createDataFrame([(" a, ,b ,", "Yes")], "l string, t string")
     r = df.select(split_list("l").alias("l"), truthy("t").alias("t")).collect()[0]
     assert r.l == ["a", "b"] and r.t is True
+
+
+def test_redact_json_at_every_depth(spark):
+    rows = [('{"outer":{"password":"hunter2"},"list":[{"token":"t0k"},"see http://u:p@h/x"],"n":1.5,"ok":null}',),
+            ('not json password=hunter2 abc123',), (None,), ('["abc123", {"API_KEY": {"a": 1}}]',), ("[" * 5000,)]
+    got = [r[0] for r in spark.createDataFrame(rows, "j string").select(redact.redact_json("j", ["abc123"])).collect()]
+    assert got[0] == '{"outer":{"password":"[REDACTED]"},"list":[{"token":"[REDACTED]"},"see http://[REDACTED]:[REDACTED]@h/x"],"n":1.5,"ok":null}'
+    assert got[1] == "not json password=[REDACTED] [REDACTED]" and got[2] is None
+    assert got[3] == '["[REDACTED]",{"API_KEY":"[REDACTED]"}]' and got[4] == "[" * 5000

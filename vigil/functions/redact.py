@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import re
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,8 +16,9 @@ REDACTED = "[REDACTED]"
 SENSITIVE_KEY_PARTS = ("secret", "credential", "password", "token", "key")
 
 _NOT_WS = WHITESPACE_CLASS[1:-1]
-# '://user:pass@' inside a url.
+# Fixed value: '://user:pass@' inside a url.
 URL_CREDENTIALS_PATTERN = rf"(://)([^/{_NOT_WS}:@]+):([^@/{_NOT_WS}]+)@"
+_URL_CREDENTIALS = re.compile(r"(://)([^/\s:@]+):([^@/\s]+)@")
 
 
 def _col(c) -> Column:
@@ -42,8 +45,47 @@ def is_sensitive_key(k) -> Column:
     return cond
 
 
+def _clean_text(text: str, secrets: list[str]) -> str:
+    text = _URL_CREDENTIALS.sub(rf"\1{REDACTED}:{REDACTED}@", text)
+    for value in secrets:
+        text = text.replace(value, REDACTED)
+    return text
+
+
+def _clean_json(value, secrets: list[str]):
+    if isinstance(value, dict):
+        return {_clean_text(k, secrets): REDACTED if any(p in k.lower() for p in SENSITIVE_KEY_PARTS) else _clean_json(v, secrets) for k, v in value.items()}
+    if isinstance(value, list):
+        return [_clean_json(v, secrets) for v in value]
+    return _clean_text(value, secrets) if isinstance(value, str) else value
+
+
+def redact_json(c, secrets=()) -> Column:
+    """JSON text of any depth: values under a sensitive key become the marker, at every level and inside lists, other
+    strings get url and secret redaction. Text that is no JSON is redacted as free text; null stays null.
+
+    JSON of unknown depth has no built-in expression, so this is an Arrow-batched function over the one column.
+    """
+    known = sorted({s for s in secrets if s}, key=lambda s: (-len(s), s))
+
+    @F.pandas_udf("string")
+    def parsed(values: pd.Series) -> pd.Series:
+        def one(text):
+            if text is None:
+                return None
+            try:
+                return json.dumps(_clean_json(json.loads(text), known), ensure_ascii=False, separators=(",", ":"))
+            except (ValueError, RecursionError):
+                return None
+        return values.map(one)
+
+    text = _col(c)
+    return F.coalesce(parsed(text), redact_secret_values(redact_key_value_text(redact_url_credentials(text)), known))
+
+
 def redact_sensitive_map(c) -> Column:
-    """Map<string,string>: values under a sensitive key become the marker, others get url/secret redaction."""
+    """Flat map<string,string>: values under a sensitive key become the marker, others get url redaction (``redact_json``
+    is the form for nested values)."""
     return F.transform_values(
         _col(c),
         lambda k, v: F.when(is_sensitive_key(k), F.lit(REDACTED)).otherwise(redact_url_credentials(v)),
@@ -69,7 +111,3 @@ def url_shape_ok(c) -> Column:
 
 def key_value_pattern() -> str:
     return _KEY_VALUE_PATTERN
-
-
-def escape_literal(value: str) -> str:
-    return re.escape(value)

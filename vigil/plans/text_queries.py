@@ -114,3 +114,25 @@ def redact_props(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     m = redact.redact_sensitive_map(F.from_json("props", "map<string,string>"))
     return ev.select("event_id", F.explode(m).alias("key", "value"))
+
+
+@register("redact_nested", sql="""
+    SELECT page_id, '{"page_id":' || page_id || ',"request":{"url":' || to_json(url)::VARCHAR || ',"headers":[{"name":"accept","auth_token":"[REDACTED]"},'
+        || '{"name":' || to_json(replace(url, 'http', '[REDACTED]'))::VARCHAR || '}],"credentials":"[REDACTED]"}}' AS redacted
+    FROM (SELECT page_id, replace(url, 'http', '[REDACTED]') AS url FROM pages)
+""")
+def redact_nested(spark, sf_dir):
+    """A request log made of the pages: sensitive keys below objects and lists, and a known secret value in strings."""
+    pages = table(spark, sf_dir, "pages")
+    headers = F.array(F.to_json(F.struct(F.lit("accept").alias("name"), F.md5("url").alias("auth_token"))), F.to_json(F.struct(F.col("url").alias("name"))))
+    body = F.concat(F.lit('{"page_id":'), "page_id", F.lit(',"request":{"url":'), F.regexp_extract(F.to_json(F.struct("url")), r'^\{"url":(.*)\}$', 1), F.lit(',"headers":['),
+                    F.array_join(headers, ","), F.lit('],"credentials":{"user":"u","list":[1,2]}}}'))
+    return pages.select("page_id", redact.redact_json(body, ["http"]).alias("redacted"))
+
+
+@register("redact_secrets", sql="""
+    SELECT doc_id, replace(replace(text, 'Licensed', '[REDACTED]'), 'the', '[REDACTED]') AS text_redacted FROM documents
+""")
+def redact_secrets(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", redact.redact_secret_values("text", ["the", "Licensed", ""]).alias("text_redacted"))

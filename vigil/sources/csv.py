@@ -21,51 +21,63 @@ class CsvRead:
     error: str | None = None
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
-    """The raw header line (names as written, repeats kept) — first line of the first file."""
-    first = spark.read.text(path).limit(1).collect()
-    if not first:
-        return []
-    return [h.strip().strip('"') for h in first[0][0].split(",")]
+def read_header(spark: SparkSession, path: str, multiline: bool = False) -> list[str]:
+    """The header's names as written, repeats kept, quotes understood: the first record of the first file."""
+    first = spark.read.option("header", False).option("multiLine", multiline).csv(path).limit(1).collect()
+    return ["" if v is None else v.strip() for v in first[0]] if first else []
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> CsvRead:
-    """Read a headered CSV with every column as string.
+def read_raw_csv(spark: SparkSession, path: str, multiline: bool = False) -> CsvRead:
+    """Read a headered CSV (one file or a folder of them) with every column as string.
 
-    Missing-value spellings become null; a row with more or fewer fields than
-    the header is kept in ``_corrupt_record`` (PERMISSIVE) and reported as a
-    read failure, as a strict parser would raise on it.
+    The header of every file must name the same columns in the same order, else the read fails. Missing-value
+    spellings become null; a row with fewer fields than the header is padded with nulls; one with more is a read
+    failure, as a strict parser would raise on it. ``multiline``: quoted fields may hold line breaks (a file is then
+    read by one task).
     """
     try:
-        header = read_header(spark, path)
+        header = read_header(spark, path, multiline)
     except AnalysisException as exc:
         return CsvRead(None, [], f"Failed to read CSV file: {exc.getMessage() if hasattr(exc, 'getMessage') else exc}")
     if not header:
         return CsvRead(None, [], "Failed to read CSV file: No columns to parse from file")
-    names, seen = [], {}
-    for h in header:  # repeated names get a position suffix, as Spark does
-        seen[h] = seen.get(h, 0) + 1
-    for i, h in enumerate(header):
-        names.append(f"{h}{i}" if seen[h] > 1 else h)
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names] +
-                          [T.StructField(CORRUPT, T.StringType())])
-    df = (spark.read.option("header", True).option("mode", "PERMISSIVE")
+    repeated = {h for h in header if header.count(h) > 1}
+    names = [f"{h}{i}" if h in repeated else h for i, h in enumerate(header)]  # repeated names get a position suffix, as Spark does
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names] + [T.StructField(CORRUPT, T.StringType())])
+    df = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("multiLine", multiline)
           .option("columnNameOfCorruptRecord", CORRUPT).option("nullValue", None)
-          .option("enforceSchema", True).schema(schema).csv(path))
-    cleaned = df.select(*[F.when(~F.col(f"`{n}`").isin(*MISSING_TOKENS), F.col(f"`{n}`")).alias(n) for n in names],
-                        CORRUPT)
-    # the data columns stay in the projection: Spark refuses a query on the corrupt column alone
-    bad = cleaned.filter(F.col(CORRUPT).isNotNull()).limit(1).collect()
+          .option("enforceSchema", bool(repeated)).schema(schema).csv(path))
+    cleaned = df.select(*[F.when(~F.col(f"`{n}`").isin(*MISSING_TOKENS), F.col(f"`{n}`")).alias(n) for n in names], CORRUPT)
+    # of the rows that do not fit the header, those with a field too many: parsed again with one column more
+    wide = ", ".join(f"c{i} string" for i in range(len(names) + 1))
+    extra = F.from_csv(CORRUPT, F.lit(wide), {"mode": "PERMISSIVE"})[f"c{len(names)}"]
+    try:
+        bad = cleaned.filter(F.col(CORRUPT).isNotNull()).select(extra.alias("x"), "*").filter("x is not null").limit(1).collect()
+        headers = _headers_differ(spark, path, header) if repeated else None
+    except Exception as exc:  # a header that does not fit surfaces when its file is read
+        if "header" not in str(exc).lower():
+            raise
+        headers = "CSV header does not conform to the first file's"
+        bad = []
+    if headers:
+        return CsvRead(None, header, f"Failed to read CSV file: {headers}")
     if bad:
         return CsvRead(None, header, "Failed to read CSV file: a row has a different number of fields than the header")
     return CsvRead(cleaned.drop(CORRUPT), header, None)
 
 
-def landing_check(spark: SparkSession, path_glob: str) -> DataFrame:
-    """Landed files: (path, length, is_empty) from the binaryFile source, content not loaded.
+def _headers_differ(spark: SparkSession, path: str, header: list[str]) -> str | None:
+    """For repeated names, which Spark's own header check cannot compare: the header records of all files against the first."""
+    files = spark.read.option("header", False).csv(path)
+    first = files.withColumn("_f", F.input_file_name()).withColumn("_i", F.monotonically_increasing_id())
+    row = F.struct(*[F.trim(c) for c in files.columns])
+    kinds = first.groupBy("_f").agg(F.min_by(row, "_i").alias("h")).select("h").distinct().count()
+    return "the files have different headers" if kinds > 1 else None
 
-    Spark's file listing already skips zero-length files, so an empty landing
-    (nothing but empty bodies) is a result with no rows.
-    """
-    files = spark.read.format("binaryFile").load(path_glob).select("path", "length")
-    return files.withColumn("is_empty", F.col("length") == 0)
+
+def landing_check(spark: SparkSession, path_glob: str) -> DataFrame:
+    """One row: n_files (with content), n_bytes, is_empty, passed. Spark's listing leaves out files without content, so a
+    landing of empty bodies has no file here and fails the check."""
+    files = spark.read.format("binaryFile").load(path_glob).select("length")
+    return files.agg(F.count(F.lit(1)).alias("n_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("n_bytes")).select(
+        "n_files", "n_bytes", (F.col("n_files") == 0).alias("is_empty"), (F.col("n_files") > 0).alias("passed"))
