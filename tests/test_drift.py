@@ -119,3 +119,14 @@ def test_daily_suite_drift_share_counts_numeric_columns(spark):
     assert rows[(2, share)].value == 0.5 and rows[(2, share)].status == "FAIL"
     only_cat = {(r.data_date.day, r.test_name): r for r in suite.daily_suite(ref, cur, "ts", "y", "p", ["c"]).collect()}
     assert only_cat[(2, share)].value == 0.0
+
+
+def test_a_side_without_values_has_no_score(spark):
+    ref = spark.createDataFrame([(1.0, "a", None)] * 3, "x double, c string, n double")
+    cur = spark.createDataFrame([(None, None, 2.0)] * 3, "x double, c string, n double")
+    rows = drift.drift_table(ref, cur, ["x", "n"], ["c"]).collect()
+    assert {r.column_name for r in rows} == {"x", "n", "c"} and all(r.drift_score is None and r.drift_detected is None for r in rows)
+    share = drift.drift_share(drift.drift_table(ref, cur, ["x"], ["c"])).first()
+    assert share.n_columns == 2 and share.n_drifted_columns == 0 and share.dataset_drift is False
+    none = drift.drift_share(drift.drift_table(ref, cur, ["x"], ["c"]).limit(0)).first()
+    assert none.share_of_drifted_columns is None and none.dataset_drift is False

@@ -43,15 +43,17 @@ def _side_counts(ref: DataFrame, cur: DataFrame, columns, cast: str) -> DataFram
              .agg(F.sum("_r").cast("long").alias("nr"), F.sum(1 - F.col("_r")).cast("long").alias("nc")))
 
 
-def _result(scores: DataFrame, stattest: str, threshold: float) -> DataFrame:
-    return scores.select("column_name", F.lit(stattest).alias("stattest"), "drift_score",
-                         F.lit(threshold).alias("threshold"),
-                         (F.col("drift_score") >= threshold).alias("drift_detected"))
+def _result(scores: DataFrame, columns, stattest: str, threshold: float) -> DataFrame:
+    """One row for every column asked for; where a side has no value there is no score, and no verdict."""
+    names = F.broadcast(scores.sparkSession.createDataFrame([(c,) for c in columns], "column_name string"))
+    return names.join(scores, "column_name", "left").select(
+        "column_name", F.lit(stattest).alias("stattest"), "drift_score", F.lit(threshold).alias("threshold"),
+        (F.col("drift_score") >= threshold).alias("drift_detected"))
 
 
 def categorical_drift(ref: DataFrame, cur: DataFrame, columns, threshold: float = DRIFT_THRESHOLD) -> DataFrame:
     counts = _side_counts(ref, cur, columns, "string")
-    totals = counts.groupBy("column_name").agg(F.sum("nr").alias("tr"), F.sum("nc").alias("tc"))
+    totals = counts.groupBy("column_name").agg(F.sum("nr").alias("tr"), F.sum("nc").alias("tc")).filter("tr > 0 AND tc > 0")
     # one row per column: a bound fixed by the column list
     j = counts.join(F.broadcast(totals), "column_name")
     p, q = F.col("nr") / F.col("tr"), F.col("nc") / F.col("tc")
@@ -59,7 +61,7 @@ def categorical_drift(ref: DataFrame, cur: DataFrame, columns, threshold: float
     term = (F.when(p > 0, p * F.log(p / m)).otherwise(F.lit(0.0))
             + F.when(q > 0, q * F.log(q / m)).otherwise(F.lit(0.0)))
     scores = j.groupBy("column_name").agg(F.sqrt(F.greatest(F.sum(term) / 2, F.lit(0.0))).alias("drift_score"))
-    return _result(scores, "jensen_shannon", threshold)
+    return _result(scores, columns, "jensen_shannon", threshold)
 
 
 def numeric_drift(ref: DataFrame, cur: DataFrame, columns, threshold: float = DRIFT_THRESHOLD,
@@ -69,20 +71,22 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, columns, threshold: float = DR
     W = Σ |F_ref(v_i) − F_cur(v_i)| · (v_{i+1} − v_i) over the merged distinct
     values; the CDFs are exact running sums from ``running_totals`` (range
     buckets, no single-task window).  The distinct-value table is written to the
-    checkpoint folder once because three jobs read it.
+    checkpoint folder once; the reference's mean and std come from it too.
     """
     vals = cut_lineage(_side_counts(ref, cur, columns, "double"))
     rt = running_totals(vals, "value", ["nr", "nc"], by="column_name", n_buckets=n_buckets)
-    contrib = (F.abs(F.col("cum_nr") / F.col("total_nr") - F.col("cum_nc") / F.col("total_nc"))
+    contrib = (F.abs(F.try_divide(F.col("cum_nr"), F.col("total_nr")) - F.try_divide(F.col("cum_nc"), F.col("total_nc")))
                * (F.col("next_value") - F.col("value")))
     w = rt.groupBy("column_name").agg(F.coalesce(F.sum(F.when(F.col("next_value").isNotNull(), contrib)),
                                                  F.lit(0.0)).alias("w"),
                                       F.max("total_nr").alias("tr"), F.max("total_nc").alias("tc"))
-    std = (_stack(ref, columns, "double").filter(_valid("double"))
-           .groupBy("column_name").agg(F.stddev_pop("value").alias("sd")))
+    means = vals.groupBy("column_name").agg(F.try_divide(F.sum(F.col("nr") * F.col("value")), F.sum("nr")).alias("mean"))
+    off = F.col("value") - F.col("mean")
+    std = (vals.join(F.broadcast(means), "column_name").groupBy("column_name")
+           .agg(F.sqrt(F.try_divide(F.sum(F.col("nr") * off * off), F.sum("nr"))).alias("sd")))
     scores = (w.filter((F.col("tr") > 0) & (F.col("tc") > 0)).join(std, "column_name")
                .select("column_name", (F.col("w") / F.greatest(F.col("sd"), F.lit(STD_FLOOR))).alias("drift_score")))
-    return _result(scores, "wasserstein_normed", threshold)
+    return _result(scores, columns, "wasserstein_normed", threshold)
 
 
 def drift_table(ref: DataFrame, cur: DataFrame, numeric, categorical, threshold: float = DRIFT_THRESHOLD) -> DataFrame:
@@ -98,11 +102,11 @@ def drift_table(ref: DataFrame, cur: DataFrame, numeric, categorical, threshold:
 
 
 def drift_share(table: DataFrame, dataset_share: float = DATASET_DRIFT_SHARE) -> DataFrame:
-    """One row: n_columns, n_drifted_columns, share_of_drifted_columns, dataset_drift."""
+    """One row: n_columns, n_drifted_columns, share_of_drifted_columns (null without columns), dataset_drift."""
     return (table.agg(F.count(F.lit(1)).alias("n_columns"),
                       F.count_if("drift_detected").alias("n_drifted_columns"))
-                 .withColumn("share_of_drifted_columns", F.col("n_drifted_columns") / F.col("n_columns"))
-                 .withColumn("dataset_drift", F.col("share_of_drifted_columns") >= dataset_share))
+                 .withColumn("share_of_drifted_columns", F.try_divide(F.col("n_drifted_columns"), F.col("n_columns")))
+                 .withColumn("dataset_drift", F.coalesce(F.col("share_of_drifted_columns") >= dataset_share, F.lit(False))))
 
 
 def categorical_drift_by_day(ref: DataFrame, cur: DataFrame, columns, ts: str,

@@ -71,24 +71,28 @@ def _stack_sql(src: str, cols, cast: str, extra: str = "") -> str:
 _NUMERIC_DRIFT_COLS = (mon.TARGET, mon.PREDICTION) + mon.NUMERIC_FEATURES
 
 
-@register("numeric_drift_wasserstein", sql=f"""
-    WITH {_SPLIT_SQL},
-    s AS (SELECT column_name, value, 1 AS r FROM ({_stack_sql("ref", _NUMERIC_DRIFT_COLS, "DOUBLE")})
+_NUM_SQL = f"""
+    ns AS (SELECT column_name, value, 1 AS r FROM ({_stack_sql("ref", _NUMERIC_DRIFT_COLS, "DOUBLE")})
           UNION ALL SELECT column_name, value, 0 AS r FROM ({_stack_sql("cur", _NUMERIC_DRIFT_COLS, "DOUBLE")})),
-    v AS (SELECT column_name, value, sum(r) AS nr, sum(1 - r) AS nc FROM s
+    nv_ AS (SELECT column_name, value, sum(r) AS nr, sum(1 - r) AS nc FROM ns
           WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY ALL),
-    c AS (SELECT *, sum(nr) OVER w AS cr, sum(nc) OVER w AS cc,
+    nc_ AS (SELECT *, sum(nr) OVER w AS cr, sum(nc) OVER w AS cc,
                  sum(nr) OVER (PARTITION BY column_name) AS tr, sum(nc) OVER (PARTITION BY column_name) AS tc,
                  lead(value) OVER (PARTITION BY column_name ORDER BY value) AS nv
-          FROM v WINDOW w AS (PARTITION BY column_name ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-    wd AS (SELECT column_name, coalesce(sum(CASE WHEN nv IS NOT NULL THEN abs(cr / tr - cc / tc) * (nv - value) END), 0) AS w,
-                  max(tr) AS tr, max(tc) AS tc FROM c GROUP BY column_name),
-    sd AS (SELECT column_name, stddev_pop(value) AS sd FROM s WHERE r = 1 AND value IS NOT NULL AND NOT isnan(value)
+          FROM nv_ WINDOW w AS (PARTITION BY column_name ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+    nwd AS (SELECT column_name, coalesce(sum(CASE WHEN nv IS NOT NULL THEN abs(cr / tr - cc / tc) * (nv - value) END), 0) AS w,
+                  max(tr) AS tr, max(tc) AS tc FROM nc_ GROUP BY column_name),
+    nsd AS (SELECT column_name, stddev_pop(value) AS sd FROM ns WHERE r = 1 AND value IS NOT NULL AND NOT isnan(value)
            GROUP BY column_name),
-    sc AS (SELECT column_name, w / greatest(sd, {drift.STD_FLOOR}) AS score FROM wd JOIN sd USING (column_name)
+    nsc AS (SELECT column_name, w / greatest(sd, {drift.STD_FLOOR}) AS score FROM nwd JOIN nsd USING (column_name)
            WHERE tr > 0 AND tc > 0)
+"""
+
+
+@register("numeric_drift_wasserstein", sql=f"""
+    WITH {_SPLIT_SQL}, {_NUM_SQL}
     SELECT column_name, 'wasserstein_normed' AS stattest, {R("score")} AS drift_score,
-           {drift.DRIFT_THRESHOLD} AS threshold, score >= {drift.DRIFT_THRESHOLD} AS drift_detected FROM sc
+           {drift.DRIFT_THRESHOLD} AS threshold, score >= {drift.DRIFT_THRESHOLD} AS drift_detected FROM nsc
 """)
 def numeric_drift_wasserstein(spark, sf_dir):
     ref, cur = _split(spark, sf_dir)
@@ -119,15 +123,15 @@ def categorical_drift_js(spark, sf_dir):
 
 
 @register("drift_share", sql=f"""
-    WITH {_SPLIT_SQL}, {_CAT_SQL}, cat AS (SELECT score FROM sc)
+    WITH {_SPLIT_SQL}, {_CAT_SQL}, {_NUM_SQL}, both_kinds AS (SELECT score FROM sc UNION ALL SELECT score FROM nsc)
     SELECT count(*) AS n_columns, count(*) FILTER (WHERE score >= {drift.DRIFT_THRESHOLD}) AS n_drifted_columns,
            {R(f"count(*) FILTER (WHERE score >= {drift.DRIFT_THRESHOLD}) / count(*)")} AS share_of_drifted_columns,
            count(*) FILTER (WHERE score >= {drift.DRIFT_THRESHOLD}) / count(*) >= {drift.DATASET_DRIFT_SHARE} AS dataset_drift
-    FROM cat
+    FROM both_kinds
 """)
 def drift_share(spark, sf_dir):
     ref, cur = _split(spark, sf_dir)
-    t = drift.categorical_drift(ref, cur, list(mon.CATEGORICAL_FEATURES))
+    t = drift.drift_table(ref, cur, list(_NUMERIC_DRIFT_COLS), list(mon.CATEGORICAL_FEATURES))
     return drift.drift_share(t).withColumn("share_of_drifted_columns", rnd("share_of_drifted_columns"))
 
 
@@ -337,12 +341,9 @@ def error_by_length(spark, sf_dir):
     SELECT 'current', count(*), min(start_date), max(start_date) FROM cur
 """)
 def split_summary(spark, sf_dir):
-    ref, cur = _split(spark, sf_dir)
-
-    def s(df, name):
-        return df.agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n_rows"),
-                      F.min(mon.TIMESTAMP).alias("min_start"), F.max(mon.TIMESTAMP).alias("max_start"))
-    return s(ref, "reference").unionByName(s(cur, "current"))
+    part = F.when(mon.is_reference(), "reference").otherwise("current").alias("part")
+    return mon.monitoring_table(spark, sf_dir).groupBy(part).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min(mon.TIMESTAMP).alias("min_start"), F.max(mon.TIMESTAMP).alias("max_start"))
 
 
 @register("monitoring_describe", sql=f"""
@@ -351,7 +352,8 @@ def split_summary(spark, sf_dir):
         f"SELECT '{c}' AS column_name, 'count' AS stat, {R(f'CAST(count({c}) AS DOUBLE)')} AS value FROM m "
         f"UNION ALL SELECT '{c}', 'mean', {R(f'avg({c})')} FROM m "
         f"UNION ALL SELECT '{c}', 'min', {R(f'CAST(min({c}) AS DOUBLE)')} FROM m "
-        f"UNION ALL SELECT '{c}', 'max', {R(f'CAST(max({c}) AS DOUBLE)')} FROM m"
+        f"UNION ALL SELECT '{c}', 'max', {R(f'CAST(max({c}) AS DOUBLE)')} FROM m "
+        f"UNION ALL SELECT '{c}', 'std', {R(f'stddev_samp(CAST({c} AS DOUBLE))')} FROM m"
         for c in (mon.TARGET, mon.PREDICTION) + mon.NUMERIC_FEATURES)}
     UNION ALL
     {" UNION ALL ".join(
@@ -362,4 +364,4 @@ def split_summary(spark, sf_dir):
 def monitoring_describe(spark, sf_dir):
     m = mon.monitoring_table(spark, sf_dir)
     d = profile.describe(m, list((mon.TARGET, mon.PREDICTION) + mon.NUMERIC_FEATURES), list(mon.CATEGORICAL_FEATURES))
-    return d.filter(F.col("stat") != "std").withColumn("value", rnd("value"))
+    return d.withColumn("value", rnd("value"))
