@@ -80,15 +80,15 @@ def arrow_columns(df: DataFrame, inputs: list[str], outputs: T.StructType, make:
     return df.select(*need).mapInArrow(run, schema)
 
 
-def cut_batch(batch: pa.RecordBatch, inputs: list[str]):
-    """The batch in slices of about CHUNK_BYTES of its text columns; no text is cut."""
+def cut_batch(batch: pa.RecordBatch, inputs: list[str], limit: int | None = None):
+    """The batch in slices of about ``limit`` (CHUNK_BYTES) bytes of its text columns; no text is cut."""
     size = np.zeros(batch.num_rows, np.int64)
     for c in inputs:
         col = batch.column(batch.schema.get_field_index(c))
         if pa.types.is_string(col.type) or pa.types.is_binary(col.type):
             off = np.frombuffer(col.buffers()[1], np.int32)[col.offset: col.offset + len(col) + 1] if len(col) else np.zeros(1, np.int32)
             size += np.diff(off)
-    start, block = 0, np.cumsum(size) // CHUNK_BYTES
+    start, block = 0, np.cumsum(size) // (limit or CHUNK_BYTES)
     for end in [*np.flatnonzero(np.diff(block)) + 1, batch.num_rows]:
         if end > start:
             yield batch.slice(start, end - start)

@@ -37,6 +37,8 @@ BLOCK_BYTES = 1_000_000
 HOT = 4000
 #: Texts are hashed in slices of this many bytes, which overlap so that no string is cut.
 SLICE = 1 << 25
+#: Texts hashed together: a dozen arrays of 64-bit numbers for each byte are held.
+HASH_BYTES = 1_500_000
 PLACE_BITS = 26
 M1, M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0x9E3779B97F4A7C15)
 
@@ -92,7 +94,7 @@ def bytes_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def text_runs(batches):
     """(doc, text) -> a row for each run: key, seg, doc, first, n."""
     for batch in batches:
-        for part in cut_batch(batch, ["text"]):
+        for part in cut_batch(batch, ["text"], HASH_BYTES):
             raw, at = bytes_of(texts_of(part.column(1)))
             doc = part.column(0).to_numpy(zero_copy_only=False)
             if not len(raw):
