@@ -74,7 +74,9 @@ def plan(docs: DataFrame, weights: DataFrame, key: str, source: str, size: str,
 
 
 def order_number(key: str, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("")))
+    """60 bits of the MD5 of seed and key."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
 def slice_of(u: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, fingerprint, langid, licenses, mixing, neardup, quality, suffix, toxicity, warc
+from vigil.llm import bpe, fingerprint, langid, licenses, mixing, neardup, oracles, quality, suffix, toxicity, warc
 from vigil.llm.common import held_out, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,7 +47,7 @@ def op8(spark, sf_dir):
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-@register("op1_suffix_dedup")
+@register("op1_suffix_dedup", oracles.SUFFIX)
 def op1(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix.dedup(docs, with_text=False).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -60,7 +60,7 @@ def op2(spark, sf_dir):
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *quality.RATES)
 
 
-@register("op3_fingerprints")
+@register("op3_fingerprints", oracles.FINGERPRINTS)
 def op3(spark, sf_dir):
     x = fingerprint.with_next(read(spark, sf_dir, "documents").select("doc_id", "text"))
     n = F.length("text")
@@ -80,17 +80,17 @@ def op4(spark, sf_dir):
     return toxicity.score(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted", "spans")
 
 
-@register("op5_warc_dictionary")
+@register("op5_warc_dictionary", oracles.WARC)
 def op5(spark, sf_dir):
     manifest = warc.write_archives(read(spark, sf_dir, "pages"), min_bytes=0)
     return warc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-@register("op6_mixing")
+@register("op6_mixing", oracles.MIXING)
 def op6(spark, sf_dir):
     docs = written(read(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count("text").alias("size")))
     mixed = mixing.mix(docs, mixing.ranked_weights(docs, "source", [5.0, 2.0, 1.0]), "doc_id", "source", "size", share=1.5, epochs=2.0)
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
 @register("op9_language_id")
@@ -100,7 +100,7 @@ def op9(spark, sf_dir):
     return labelled.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
 
 
-@register("op10_license_scan")
+@register("op10_license_scan", oracles.LICENSES)
 def op10(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return licenses.scan(docs, "doc_id", "text")
