@@ -37,18 +37,15 @@ def raw_profile(df: DataFrame, text: str | None = None, target: str | None = Non
     """
     fields = df.schema.fields
     cols = [f.name for f in fields]
-    g = df.groupBy(*[_q(c) for c in cols]).agg(F.count(F.lit(1)).alias("_n"))
-    n = F.col("_n")
     any_null = F.lit(False)
     all_empty = F.lit(True)
     for f in fields:
         any_null = any_null | _q(f.name).isNull()
         all_empty = all_empty & _is_blank(f.name, f.dataType)
     aggs = [
-        F.sum(n).alias("n_rows"),
-        F.sum(n - 1).alias("n_duplicate_rows"),
-        F.coalesce(F.sum(F.when(any_null, n)), F.lit(0)).alias("n_missing_rows"),
-        F.coalesce(F.sum(F.when(all_empty, n)), F.lit(0)).alias("n_empty_rows"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(any_null).alias("n_missing_rows"),
+        F.count_if(all_empty).alias("n_empty_rows"),
     ]
     for i, f in enumerate(fields):
         aggs.append(F.max(_q(f.name).isNull()).alias(f"_miss{i}"))
@@ -56,15 +53,27 @@ def raw_profile(df: DataFrame, text: str | None = None, target: str | None = Non
     if text is not None:
         ln = F.length(_q(text).cast("string"))
         aggs += [F.min(ln).alias("text_min_length"), F.max(ln).alias("text_max_length"),
-                 (F.sum(ln * n) / F.sum(F.when(ln.isNotNull(), n))).alias("text_mean_length")]
+                 F.try_divide(F.sum(ln), F.count(ln)).alias("text_mean_length")]
     if target is not None:
         num = numeric_or_null(_q(target))
         fin = F.when(~F.isnan(num) & (F.abs(num) != F.lit(float("inf"))), num)
         aggs += [F.min(fin).alias("target_min"), F.max(fin).alias("target_max"),
-                 F.count_distinct(fin).alias("target_n_unique"),
-                 (F.sum(F.when(fin > 0, n).otherwise(F.when(fin.isNotNull(), F.lit(0))))
-                  / F.sum(F.when(fin.isNotNull(), n))).alias("positive_target_share")]
-    prof = g.agg(*aggs)
+                 F.try_divide(F.count_if(fin > 0), F.count(fin)).alias("positive_target_share")]
+    # a row's digest stands for the row, and a null for itself, so no text is shuffled
+    parts = [F.when(_q(c).isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.sha2(_q(c).cast("string").cast("binary"), 256))) for c in cols]
+    counts = df.select(F.sha2(F.concat(*parts), 256).alias("_d")).distinct().agg(F.count(F.lit(1)).alias("_n_distinct"))
+    # three one-row results side by side
+    results = [df.agg(*aggs), counts]
+    if target is not None:
+        results.append(distinct_values(df, target).agg(F.count(F.lit(1)).alias("target_n_unique")))
+    rows = results[0]
+    for r in results[1:]:
+        rows = rows.unionByName(r, allowMissingColumns=True)
+    prof = rows.agg(*[F.first(c, ignorenulls=True).alias(c) for c in rows.columns])
+    prof = prof.withColumn("n_duplicate_rows", F.col("n_rows") - F.col("_n_distinct"))
+    names = ["n_rows", "n_duplicate_rows", "n_missing_rows", "n_empty_rows", "text_min_length", "text_max_length", "text_mean_length",
+             "target_min", "target_max", "target_n_unique", "positive_target_share"]
+    prof = prof.select(*[c for c in names if c in prof.columns], *[c for c in prof.columns if c.startswith("_")])
     miss = [F.coalesce(F.col(f"_miss{i}"), F.lit(False)).cast("int") for i in range(len(fields))]
     empt = [F.coalesce(F.col(f"_empty{i}"), F.lit(True)).cast("int") for i in range(len(fields))]
     seen, dups = set(), []

@@ -34,23 +34,25 @@ def latest_by_key(df: DataFrame, key: str, order: list[str], values: list[str])
 
 
 def state_warnings(state: DataFrame, instance: str = "instance_id", expected_version: str | None = None) -> DataFrame:
-    """Per state row: array of warnings (not loaded, reload not successful, unexpected version)."""
-    label = F.format_string("%s", F.col(instance).cast("string"))
+    """Per state row: array of warnings (not loaded, reload not successful, unexpected version).
+
+    Fixed values: the message texts, with strings in single quotes and None, True and False without.
+    """
+    def shown(c: str) -> Column:
+        quoted = F.concat(F.lit("'"), F.col(c).cast("string"), F.lit("'"))
+        word = F.when(F.col(c).cast("string") == "true", "True").otherwise("False") if dict(state.dtypes)[c] == "boolean" else quoted
+        return F.coalesce(F.when(F.col(c).isNotNull(), word), F.lit("None"))
+
+    about = F.concat(F.lit("Serving state diagnostic for instance '"), F.coalesce(F.col(instance).cast("string"), F.lit("None")), F.lit("' "))
     msgs = [
-        F.when(~F.coalesce(F.col("model_loaded"), F.lit(False)),
-               F.format_string("Serving state diagnostic for instance '%s' reports model_loaded=%s.",
-                               label, F.coalesce(F.col("model_loaded").cast("string"), F.lit("None")))),
+        F.when(~F.coalesce(F.col("model_loaded"), F.lit(False)), F.concat(about, F.lit("reports model_loaded="), shown("model_loaded"), F.lit("."))),
         F.when(~F.coalesce(F.col("last_reload_status") == "success", F.lit(False)),
-               F.format_string("Serving state diagnostic for instance '%s' reports last_reload_status='%s'.",
-                               label, F.coalesce(F.col("last_reload_status"), F.lit("None")))),
+               F.concat(about, F.lit("reports last_reload_status="), shown("last_reload_status"), F.lit("."))),
     ]
     if expected_version is not None:
         msgs.append(F.when(~F.coalesce(F.col("loaded_version") == expected_version, F.lit(False)),
-                           F.format_string("Serving state diagnostic for instance '%s' loaded unexpected model "
-                                           f"version: '%s' != '{expected_version}'.",
-                                           label, F.coalesce(F.col("loaded_version"), F.lit("None")))))
-    arr = F.filter(F.array(*msgs), lambda x: x.isNotNull())
-    return state.withColumn("warnings", arr)
+                           F.concat(about, F.lit("loaded unexpected model version: "), shown("loaded_version"), F.lit(f" != '{expected_version}'."))))
+    return state.withColumn("warnings", F.filter(F.array(*msgs), lambda x: x.isNotNull()))
 
 
 def worst_error_by_round(df: DataFrame, round_col: str, expected: str, got: str,
@@ -64,7 +66,3 @@ def worst_error_by_round(df: DataFrame, round_col: str, expected: str, got: str,
 def first_seen_order(df: DataFrame, key: str, order: str) -> DataFrame:
     """De-duplicate ``key`` keeping its first appearance in ``order`` (ordered de-duplication)."""
     return df.groupBy(key).agg(F.min(order).alias(order))
-
-
-def none_to_label(c) -> Column:
-    return none_label(c)

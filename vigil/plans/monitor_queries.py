@@ -5,6 +5,7 @@ from __future__ import annotations
 from vigil.operators import metrics
 from vigil.plans import monitoring as mon
 from vigil.plans.catalog import register, round_doubles, sql_rnd as R
+from vigil.tables import table
 
 _METRICS_SQL = f"""
     count(*) AS n_rows,
@@ -42,6 +43,17 @@ def hourly_regression_quality(spark, sf_dir):
     return round_doubles(metrics.hourly_regression_quality(df, mon.TIMESTAMP, mon.TARGET, mon.PREDICTION))
 
 
+@register("hourly_event_quality", sql=f"""
+    WITH m AS (SELECT ts, value AS price, user_id % 100 AS pred FROM events)
+    SELECT CAST(ts AS DATE) AS data_date, CAST(hour(ts) AS INTEGER) AS hour, {_METRICS_SQL}
+    FROM m GROUP BY 1, 2
+""")
+def hourly_event_quality(spark, sf_dir):
+    """A16 over timestamps that have hours: the events' values against a stand-in prediction from the user id."""
+    ev = table(spark, sf_dir, "events").select("ts", F.col("value").alias("price"), (F.col("user_id") % 100).alias("pred"))
+    return round_doubles(metrics.hourly_regression_quality(ev, "ts", "price", "pred"))
+
+
 # ---------------------------------------------------------------- drift
 
 from itertools import combinations  # noqa: E402

@@ -59,21 +59,28 @@ def alias_resolve(spark, sf_dir):
                       F.col("n_rows").alias("n_assignments"))
 
 
+# a 'view' as last event stands for a state that was never reported, 'error' for a failed reload
 @register("state_warnings", sql="""
     WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events),
-    s AS (SELECT user_id AS instance_id, event_type <> 'error' AS model_loaded,
-                 CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS last_reload_status
+    s AS (SELECT 'Serving state diagnostic for instance ''' || user_id || ''' ' AS about, user_id AS instance_id,
+                 CASE event_type WHEN 'view' THEN NULL ELSE event_type <> 'error' END AS model_loaded,
+                 CASE event_type WHEN 'error' THEN 'failed' WHEN 'view' THEN NULL ELSE 'success' END AS last_reload_status,
+                 CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(event_id % 3 AS VARCHAR) END AS loaded_version
           FROM r WHERE rn = 1)
     SELECT instance_id, list_filter([
-        CASE WHEN NOT coalesce(model_loaded, false) THEN printf('Serving state diagnostic for instance ''%s'' reports model_loaded=%s.', CAST(instance_id AS VARCHAR), coalesce(CAST(model_loaded AS VARCHAR), 'None')) END,
-        CASE WHEN NOT coalesce(last_reload_status = 'success', false) THEN printf('Serving state diagnostic for instance ''%s'' reports last_reload_status=''%s''.', CAST(instance_id AS VARCHAR), coalesce(last_reload_status, 'None')) END
+        CASE WHEN model_loaded IS NULL THEN about || 'reports model_loaded=None.'
+             WHEN NOT model_loaded THEN about || 'reports model_loaded=False.' END,
+        CASE WHEN last_reload_status IS NULL THEN about || 'reports last_reload_status=None.'
+             WHEN last_reload_status <> 'success' THEN about || 'reports last_reload_status=''failed''.' END,
+        CASE WHEN loaded_version IS NULL THEN about || 'loaded unexpected model version: None != ''1''.'
+             WHEN loaded_version <> '1' THEN about || 'loaded unexpected model version: ''' || loaded_version || ''' != ''1''.' END
     ], lambda x: x IS NOT NULL) AS warnings FROM s
 """)
 def state_warnings(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
-    latest = serving.latest_by_key(ev, "user_id", ["ts", "event_id"], ["event_type"])
-    state = latest.select(F.col("user_id").alias("instance_id"),
-                          (F.col("event_type") != "error").alias("model_loaded"),
-                          F.when(F.col("event_type") == "error", "failed").otherwise("success")
-                           .alias("last_reload_status"))
-    return serving.state_warnings(state).select("instance_id", "warnings")
+    latest = serving.latest_by_key(ev, "user_id", ["ts", "event_id"], ["event_type", "event_id"])
+    kind = F.col("event_type")
+    state = latest.select(F.col("user_id").alias("instance_id"), F.when(kind != "view", kind != "error").alias("model_loaded"),
+                          F.when(kind == "error", "failed").when(kind != "view", "success").alias("last_reload_status"),
+                          F.when(F.col("event_id") % 3 != 0, (F.col("event_id") % 3).cast("string")).alias("loaded_version"))
+    return serving.state_warnings(state, expected_version="1").select("instance_id", "warnings")
