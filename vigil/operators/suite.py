@@ -33,6 +33,12 @@ TEST_NAMES = (
 )
 BASE_TESTS = 8
 MAX_DRIFT_SHARE = 0.3
+#: Conditions of the suite, by test in the order of TEST_NAMES: an operator (eq, lt, lte, gt, gte) and a number, or
+#: "reference" for the reference table's own value with the relative tolerance above.
+CHECKS = {
+    "mape": ("eq", "reference"), "rmse": ("eq", "reference"), "missing": ("lte", "reference"), "constant_columns": ("eq", 0.0), "empty_rows": ("eq", 0.0),
+    "empty_columns": ("eq", 0.0), "duplicated_columns": ("eq", 0.0), "drift_share": ("lt", MAX_DRIFT_SHARE), "n_rows": ("gt", 0.0), "n_columns": ("eq", "reference"),
+}
 FAILED = ("FAIL", "ERROR")
 
 
@@ -62,15 +68,23 @@ def _status(ok: Column, value: Column) -> Column:
     return F.when(value.isNull(), F.lit("ERROR")).when(ok, F.lit("SUCCESS")).otherwise(F.lit("FAIL"))
 
 
+def _holds(value: Column, op: str, bound: float | None, slack: float) -> Column:
+    if bound is None:
+        return F.lit(None).cast("boolean")
+    tests = {"eq": lambda: F.abs(value - bound) <= slack, "lt": lambda: value < bound + slack, "lte": lambda: value <= bound + slack,
+             "gt": lambda: value > bound - slack, "gte": lambda: value >= bound - slack}
+    return tests[op]()
+
+
 def daily_suite(ref: DataFrame, cur: DataFrame, ts: str, target: str, prediction: str,
-                categorical, numeric=(), source=None) -> DataFrame:
+                categorical, numeric=(), source=None, checks: dict | None = None) -> DataFrame:
     """One row per (data_date, test): data_date, report_date, test_index, test_name, status,
     value, condition, threshold, is_base_test.
 
     The share of drifted columns covers ``categorical`` (Jensen-Shannon) and
     ``numeric`` (normed Wasserstein) columns, each day against the whole reference.
     ``source`` = (table, is_reference column) names the one table both sides come
-    from, so the numeric drift reads it in one pass instead of one per side."""
+    from, so the numeric drift reads it in one pass instead of one per side. ``checks`` replaces conditions of CHECKS."""
     fields = cur.schema.fields
     columns = [f.name for f in fields]
     ref_row = ref.agg(_mape(target, prediction).alias("mape"), _rmse(target, prediction).alias("rmse"),
@@ -119,28 +133,14 @@ def daily_suite(ref: DataFrame, cur: DataFrame, ts: str, target: str, prediction
     else:
         day = day.withColumn("drift_share", F.lit(None).cast("double"))
 
-    def lit(x):
-        return F.lit(None).cast("double") if x is None else F.lit(float(x))
-
-    def eq_ref(v, r):
-        return (F.abs(v - lit(r)) <= lit(_tol(r))) if r is not None else F.lit(None).cast("boolean")
-
-    v = {k: F.col(k).cast("double") for k in ("mape", "rmse", "missing", "constant_columns", "empty_rows",
-                                              "empty_columns", "duplicated_columns", "drift_share", "n_rows")}
-    n_cols = F.lit(float(len(columns)))
-    tests = [
-        (v["mape"], "eq", lit(r_mape), eq_ref(v["mape"], r_mape)),
-        (v["rmse"], "eq", lit(r_rmse), eq_ref(v["rmse"], r_rmse)),
-        (v["missing"], "lte", lit(r_missing),
-         (v["missing"] <= lit(r_missing) + lit(_tol(r_missing))) if r_missing is not None else F.lit(None)),
-        (v["constant_columns"], "eq", F.lit(0.0), v["constant_columns"] == 0),
-        (v["empty_rows"], "eq", F.lit(0.0), v["empty_rows"] == 0),
-        (v["empty_columns"], "eq", F.lit(0.0), v["empty_columns"] == 0),
-        (v["duplicated_columns"], "eq", F.lit(0.0), v["duplicated_columns"] == 0),
-        (v["drift_share"], "lt", F.lit(MAX_DRIFT_SHARE), v["drift_share"] < MAX_DRIFT_SHARE),
-        (v["n_rows"], "gt", F.lit(0.0), v["n_rows"] > 0),
-        (n_cols, "eq", n_cols, F.lit(True)),
-    ]
+    of_reference = {"mape": r_mape, "rmse": r_rmse, "missing": r_missing, "n_columns": len(ref.columns)}
+    day = day.withColumn("n_columns", F.lit(len(columns)))
+    tests = []
+    for name, (op, limit) in {**CHECKS, **(checks or {})}.items():
+        value = F.col(name).cast("double")
+        bound = of_reference.get(name) if limit == "reference" else limit
+        slack = _tol(bound) if limit == "reference" and name != "n_columns" and bound is not None else 0.0
+        tests.append((value, op, F.lit(None if bound is None else float(bound)).cast("double"), _holds(value, op, bound, slack)))
     structs = [F.struct(F.lit(i).alias("test_index"), F.lit(TEST_NAMES[i]).alias("test_name"),
                         _status(F.coalesce(ok, F.lit(False)), val).alias("status"),
                         val.alias("value"), F.lit(cond).alias("condition"), thr.alias("threshold"),
@@ -155,6 +155,19 @@ def failed_tests(suite: DataFrame, base_only: bool = False) -> DataFrame:
     return out.filter("is_base_test") if base_only else out
 
 
+def failures_on_day(suite: DataFrame, day: str, base_only: bool = True) -> DataFrame:
+    """The failed (base) tests of one report date, each with its number among them and the day's total, a text of what
+    failed, and the condition's parameters as JSON."""
+    from pyspark.sql import Window
+    out = failed_tests(suite, base_only).filter(F.col("report_date") == F.lit(day).cast("date"))
+    text = F.concat("test_name", F.lit(" is "), F.coalesce(F.format_string("%.3f", "value"), F.lit("not known")), F.lit("; the condition is "), "condition",
+                    F.lit(" "), F.coalesce(F.format_string("%.3f", "threshold"), F.lit("not known")), F.lit("."))
+    # at most a row for each test: the windows run over that many rows
+    return out.select("report_date", "test_index", "test_name", "status", text.alias("description"),
+                      F.to_json(F.struct("condition", F.format_string("%.3f", "threshold").alias("threshold"))).alias("parameters"),
+                      F.count(F.lit(1)).over(Window.partitionBy("report_date")).alias("n_failed"))
+
+
 def failures_by_test(suite: DataFrame) -> DataFrame:
     """Failures per test name, most frequent first (rank 1 = most frequent; ties by name)."""
     from pyspark.sql import Window

@@ -236,7 +236,7 @@ def daily_drift_share(spark, sf_dir):
 
 # ---------------------------------------------------------------- suite
 
-def _suite_sql() -> str:
+def _suite_sql(fixed: dict | None = None) -> str:
     cols = list(mon.COLUMNS)
     types = {"start_date": "ts", "price": "d", "pred": "d", "l_quantity": "d", "l_discount": "d", "l_tax": "d",
              "p_size": "i", "p_retailprice": "d", "l_returnflag": "s", "l_linestatus": "s", "p_brand": "s",
@@ -278,6 +278,8 @@ def _suite_sql() -> str:
         ("CAST(n_rows AS DOUBLE)", "gt", "0.0", "n_rows > 0"),
         (f"{float(k)}", "eq", f"{float(k)}", "true"),
     ]
+    for i, (cond, limit) in (fixed or {}).items():  # by test index
+        tests[i] = (tests[i][0], cond, f"{limit}", f"{tests[i][0]} < {limit}")
     parts = []
     for i, (val, cond, thr, ok) in enumerate(tests):
         parts.append(f"""SELECT data_date, {i} AS test_index, '{suite.TEST_NAMES[i]}' AS test_name,
@@ -307,6 +309,26 @@ def suite_status_by_day(spark, sf_dir):
     return round_doubles(out)
 
 
+# The limits of the suite that does not take them from the reference.
+_FIXED_LIMITS = {"mape": ("lt", 16.0), "rmse": ("lt", 5.1e5), "missing": ("lt", 0.0155), "drift_share": ("lt", 0.7)}
+_FIXED_DAY = "2000-03-02"
+
+
+@register("base_failures_on_day", sql=f"""
+    {_suite_sql({0: ("lt", 16.0), 1: ("lt", 5.1e5), 2: ("lt", 0.0155), 7: ("lt", 0.7)})}
+    SELECT data_date + 1 AS report_date, test_index, test_name, status,
+           test_name || ' is ' || coalesce(printf('%.3f', value), 'not known') || '; the condition is ' || condition || ' ' || printf('%.3f', threshold) || '.' AS description,
+           '{{"condition":"' || condition || '","threshold":"' || printf('%.3f', threshold) || '"}}' AS parameters, count(*) OVER () AS n_failed
+    FROM t WHERE status IN ('FAIL', 'ERROR') AND is_base_test AND data_date + 1 = DATE '{_FIXED_DAY}'
+""")
+def base_failures_on_day(spark, sf_dir):
+    """Q8 with given limits, then the base failures of one report date."""
+    m = mon.monitoring_table(spark, sf_dir)
+    s = suite.daily_suite(mon.reference_part(m), mon.current_part(m), mon.TIMESTAMP, mon.TARGET, mon.PREDICTION,
+                          list(mon.CATEGORICAL_FEATURES), list(_NUMERIC_DRIFT_COLS), source=(m, mon.is_reference()), checks=_FIXED_LIMITS)
+    return suite.failures_on_day(s, _FIXED_DAY)
+
+
 @register("failed_checks_rollup", sql=f"""
     {_SUITE_WITH},
     g AS (SELECT test_name, count(*) AS n_failures FROM t WHERE status IN ('FAIL', 'ERROR') GROUP BY test_name)
