@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vigil.operators import profile, rules
 from vigil.plans import sqlfrag as S
 from vigil.plans.catalog import register, rnd, sql_rnd as R
+from vigil.sources.thresholds import thresholds_table
 from vigil.tables import table
 
 TEXT, TARGET = "text", "quality"
@@ -183,3 +184,22 @@ def basic_data_tests(spark, sf_dir):
     """V4: the non-blocking data tests (rows, missing share, empty rows / columns, duplicated columns)."""
     out = profile.basic_data_tests(table(spark, sf_dir, "documents"))
     return out.withColumn("value", rnd("value"))
+
+
+@register("thresholds_resolved", sql="""
+    WITH o AS (SELECT avg(CAST(quality > 0 AS DOUBLE)) AS share, max(length(text)) AS longest FROM documents JOIN labels USING (doc_id)),
+    t AS (SELECT * FROM (VALUES ('min_positive_target_share', 0.3), ('max_positive_target_share', 0.7), ('max_password_length', 128.0)) AS x(key, threshold))
+    SELECT 'schema' AS section, key, CAST(threshold AS DOUBLE) AS threshold, observed,
+           CASE WHEN key LIKE 'min%' THEN observed >= threshold ELSE observed <= threshold END AS passed
+    FROM (SELECT key, threshold, CASE WHEN key = 'max_password_length' THEN CAST(longest AS DOUBLE) ELSE share END AS observed FROM t, o)
+""")
+def thresholds_resolved(spark, sf_dir):
+    """The thresholds table joined with what the labelled documents show for each key."""
+    seen = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id").agg(
+        F.avg((F.col("quality") > 0).cast("double")).alias("share"), F.max(F.length("text")).cast("double").alias("longest"))
+    observed = seen.select(F.inline(F.array(*[F.struct(F.lit(k).alias("key"), F.col(c).alias("observed")) for k, c in (
+        ("min_positive_target_share", "share"), ("max_positive_target_share", "share"), ("max_password_length", "longest"))])))
+    low = F.col("key").startswith("min")
+    return thresholds_table(spark).join(observed, "key").select(
+        "section", "key", F.col("value").alias("threshold"), "observed",
+        F.when(low, F.col("observed") >= F.col("value")).otherwise(F.col("observed") <= F.col("value")).alias("passed"))
