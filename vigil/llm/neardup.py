@@ -8,10 +8,10 @@ documents form a class. Equal texts are one node from the start, so copies cost
 
 1. BANDS * ROWS consistent samples of each set; ROWS equal samples put two nodes in one bucket of a band.
 2. In each bucket all nodes are verified against the smallest node, then, where they are in other classes still,
-   against the largest: rows in proportion to the nodes, however large the bucket.
-3. Nodes of one bucket that are in different classes still are compared by their samples in blocks of BLOCK nodes, inside
-   the tasks; a pair of similarity THRESHOLD has fewer than MIN_EQUAL equal samples once in more than 10^7 times. Those
-   that pass are verified too. So no pair that shares a bucket goes unseen, and pairs far apart never become rows.
+   against HUBS nodes drawn by a hash: rows in proportion to the nodes, however large the bucket.
+3. Nodes of one bucket that are in different classes still are compared in blocks of BLOCK nodes, inside the tasks:
+   first by their samples (of 20,000 pairs of similarity THRESHOLD, about one has fewer than MIN_EQUAL equal ones), then
+   exactly. So every pair that shares a bucket is looked at, and only links leave a task as rows.
 
 Null texts are classes of their own. Texts without words equal only their copies. Rows with one doc_id are one
 document, in one class; a null id has no say in the class id, which is the smallest doc_id of the class. Tables
@@ -30,15 +30,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigil.llm.common import Vocabulary, arrow_columns, cut_batch, offsets, texts_of, written
+from vigil.llm.common import Vocabulary, arrow_columns, cut_batch, offsets, ragged, texts_of, written
 from vigil.llm.components import components
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 16, 4
 CELLS = 1 << 18
 POOL = 1 << 16
-BLOCK = 4096
-MIN_EQUAL = 32
+BLOCK = 512
+MIN_EQUAL = 38
+HUBS = 8
 CACHE_WORDS = 400_000
 MIX = np.random.default_rng(11).integers(1, 2**63, SHINGLE + BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -202,19 +203,37 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
     return written(joined.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"))
 
 
-def alike(group: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a bucket's nodes in two blocks (or one) whose classes differ and whose samples agree often enough."""
-    s = np.array([np.frombuffer(x, np.int64) for x in group["samples"]])
-    node, comp, block = (group[c].to_numpy() for c in ("node", "comp", "block"))
-    lo, hi = group["lo"].iloc[0], group["hi"].iloc[0]
-    left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
-    out = []
-    for i in left:
-        j = right[(node[right] > node[i]) | (lo != hi)]
-        j = j[comp[j] != comp[i]]
-        j = j[(s[j] == s[i]).sum(axis=1) >= MIN_EQUAL]
-        out += [(min(node[i], x), max(node[i], x)) for x in node[j]]
-    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+def linked_in_blocks(rows: DataFrame, idf: np.ndarray) -> DataFrame:
+    """The linked pairs (a, b) of each bucket's nodes in two blocks (or one) whose classes differ.
+
+    A pair is looked at in the first band that it shares, and compared exactly if its samples agree often enough.
+    Each node's shingles are made once a group; only links leave the task.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(idf)
+
+    def links(group: pd.DataFrame) -> pd.DataFrame:
+        s = np.array([np.frombuffer(x, np.int64) for x in group["samples"]])
+        bands = np.array(group["bands"].tolist())
+        node, comp, block, band = (group[c].to_numpy() for c in ("node", "comp", "block", "band"))
+        lo, hi = group["lo"].iloc[0], group["hi"].iloc[0]
+        h, w, n = shingles(Words(shared.value), group["text"].tolist())
+        at, size = offsets(n), np.add.reduceat(np.append(w, 0.0), offsets(n)[:-1])
+
+        right, out = np.flatnonzero(block == hi), []
+        for i in np.flatnonzero(block == lo):
+            j = right[((node[right] > node[i]) | (lo != hi)) & (comp[right] != comp[i])]
+            j = j[(s[j] == s[i]).sum(axis=1) >= MIN_EQUAL]
+            j = j[(bands[j] == bands[i]).argmax(axis=1) == band[i]]
+            if not len(j):
+                continue
+            theirs, own = ragged(at[j], n[j]), slice(at[i], at[i + 1])
+            place = np.minimum(np.searchsorted(h[own], h[theirs]), n[i] - 1)
+            common = np.where(h[own][place] == h[theirs], np.minimum(w[own][place], w[theirs]), 0)
+            both = np.add.reduceat(common, offsets(n[j])[:-1])
+            out += [(min(node[i], node[k]), max(node[i], node[k])) for k in j[both >= THRESHOLD * (size[i] + size[j] - both)]]
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    return rows.groupBy("bucket", "lo", "hi").applyInPandas(links, "a long, b long")
 
 
 def classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -225,28 +244,29 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     node = F.coalesce(F.min("id"), F.xxhash64("text_md5")).alias("node")
     nodes = written(rows.groupBy("text_md5").agg(node, F.count(F.lit(1)).alias("rows"), F.any_value("samples").alias("samples"), F.any_value("bands").alias("bands")))
 
-    placed = nodes.select("node", F.explode("bands").alias("bucket"))
-    spread = placed.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
-    placed = written(placed.join(spread, "bucket"))
+    placed = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
+    hubs = placed.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").drop("high")
+    placed = written(placed.join(hubs, "bucket"))
     # texts of the nodes that share a bucket
-    shared = placed.select("node").distinct()
-    wanted = nodes.join(shared, "node").select("node", "text_md5")
+    wanted = nodes.join(placed.select("node").distinct(), "node").select("node", "text_md5")
     texts = written(docs.select("id", "text_md5", "text").join(wanted, "text_md5").filter(F.coalesce("id", "node") == F.col("node")).select("node", "text").groupBy("node").agg(F.any_value("text").alias("text")))
 
-    star = lambda p, hub: p.filter(F.col("node") != F.col(hub)).select(F.least("node", hub).alias("a"), F.greatest("node", hub).alias("b")).distinct()
-    edges = verified(star(placed, "low"), texts, idf)
+    star = placed.filter("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
+    edges = verified(star, texts, idf)
     comps = components(edges)
     apart = mixed(placed, comps)
-    edges = edges.unionByName(verified(star(apart, "high"), texts, idf))
+    drawn = apart.groupBy("bucket").agg(*[F.min_by(F.struct("node", "comp"), F.xxhash64(F.lit(r), "node")).alias(f"h{r}") for r in range(HUBS)])
+    star = (apart.join(drawn.select("bucket", F.explode(F.array(*[f"h{r}" for r in range(HUBS)])).alias("hub")).distinct(), "bucket").filter("comp <> hub.comp")
+            .select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct())
+    edges = edges.unionByName(verified(star, texts, idf))
     comps = components(edges)
     # what is left: buckets with nodes of several classes, compared in blocks
     apart = mixed(placed, comps)
     blocks = apart.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_blocks"))
     apart = apart.join(blocks, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
     apart = apart.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-    apart = apart.join(nodes.select("node", "samples"), "node").select("bucket", "lo", "hi", "block", "node", "comp", "samples")
-    more = written(apart.groupBy("bucket", "lo", "hi").applyInPandas(alike, "a long, b long").distinct())
-    comps = components(edges.unionByName(verified(more, texts, idf)))
+    apart = apart.join(nodes.select("node", "samples", "bands"), "node").join(texts, "node").select("bucket", "lo", "hi", "block", "band", "node", "comp", "samples", "bands", "text")
+    comps = components(edges.unionByName(linked_in_blocks(apart, idf)))
     return nodes.join(comps, "node", "left").select("text_md5", "node", "rows", F.coalesce("comp", "node").alias("class_id"))
 
 
