@@ -247,7 +247,9 @@ def covered(base: DataFrame, text: str) -> DataFrame:
     """Byte ranges (doc, lo, hi) of ``base`` (column doc: a distinct long) that strings standing earlier cover."""
     runs = base.select("doc", F.col(text).alias("text")).mapInArrow(text_runs, "key long, seg long, doc long, first int, n int")
     keys = runs.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("seg").alias("s0"), F.max("seg").alias("s1")).filter("rows > 1")
-    shared = written(runs.join(keys.select("key", (F.col("s0") != F.col("s1")).alias("mixed")), "key"))
+    # written, so that the join has a shuffle of its own on both sides and can split the rows of a hot key
+    keys = written(keys.select("key", (F.col("s0") != F.col("s1")).alias("mixed")))
+    shared = written(runs.join(keys, "key"))
 
     heads = written(shared.groupBy("key", "seg").agg(F.min(F.struct("doc", "first")).alias("head"), F.any_value("n").alias("n"), F.any_value("mixed").alias("mixed")))
     again = (shared.join(heads.select("key", "seg", "head"), ["key", "seg"]).filter((F.col("doc") != F.col("head.doc")) | (F.col("first") != F.col("head.first")))
@@ -301,7 +303,8 @@ RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans
 def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = True) -> DataFrame:
     """``df`` with what is left of ``text`` (dropped, if not ``with_text``), n_bytes, n_removed, n_spans, kept_sha256 and spans."""
     own = [c for c in df.columns if c not in ("doc", "__spans", *T.StructType.fromDDL(RESULT).fieldNames())]
-    base = distinct_ids(df.select(*own), key, text)
+    # no id is null here; said so, both joins read the texts through the same filter and share one shuffle of them
+    base = distinct_ids(df.select(*own), key, text).filter(F.col("doc").isNotNull())
     spans = covered(base, text).groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("__spans"))
 
     def make():
