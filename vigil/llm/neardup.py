@@ -216,21 +216,25 @@ def linked_in_blocks(rows: DataFrame, idf: np.ndarray) -> DataFrame:
         bands = np.array(group["bands"].tolist())
         node, comp, block, band = (group[c].to_numpy() for c in ("node", "comp", "block", "band"))
         lo, hi = group["lo"].iloc[0], group["hi"].iloc[0]
-        h, w, n = shingles(Words(shared.value), group["text"].tolist())
-        at, size = offsets(n), np.add.reduceat(np.append(w, 0.0), offsets(n)[:-1])
-
-        right, out = np.flatnonzero(block == hi), []
+        right, near = np.flatnonzero(block == hi), {}
         for i in np.flatnonzero(block == lo):
             j = right[((node[right] > node[i]) | (lo != hi)) & (comp[right] != comp[i])]
             j = j[(s[j] == s[i]).sum(axis=1) >= MIN_EQUAL]
             j = j[(bands[j] == bands[i]).argmax(axis=1) == band[i]]
-            if not len(j):
-                continue
-            theirs, own = ragged(at[j], n[j]), slice(at[i], at[i + 1])
-            place = np.minimum(np.searchsorted(h[own], h[theirs]), n[i] - 1)
+            if len(j):
+                near[i] = j
+
+        # only texts that have such a partner are taken apart
+        used = np.unique(np.concatenate([np.array(list(near), np.int64), *near.values()]))
+        h, w, n = shingles(Words(shared.value), group["text"].iloc[used].tolist())
+        at, size, out = offsets(n), np.add.reduceat(np.append(w, 0.0), offsets(n)[:-1]), []
+        for i, j in near.items():
+            x, y = np.searchsorted(used, i), np.searchsorted(used, j)
+            theirs, own = ragged(at[y], n[y]), slice(at[x], at[x + 1])
+            place = np.minimum(np.searchsorted(h[own], h[theirs]), n[x] - 1)
             common = np.where(h[own][place] == h[theirs], np.minimum(w[own][place], w[theirs]), 0)
-            both = np.add.reduceat(common, offsets(n[j])[:-1])
-            out += [(min(node[i], node[k]), max(node[i], node[k])) for k in j[both >= THRESHOLD * (size[i] + size[j] - both)]]
+            both = np.add.reduceat(common, offsets(n[y])[:-1]) if len(theirs) else np.zeros(0)
+            out += [(min(node[i], node[k]), max(node[i], node[k])) for k in j[both >= THRESHOLD * (size[x] + size[y] - both)]]
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     return rows.groupBy("bucket", "lo", "hi").applyInPandas(links, "a long, b long")
