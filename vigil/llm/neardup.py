@@ -38,6 +38,7 @@ BANDS, ROWS = 16, 4
 CELLS = 1 << 18
 POOL = 1 << 16
 BLOCK = 512
+BATCH_ROWS = 2000
 MIN_EQUAL = 38
 HUBS = 8
 CACHE_WORDS = 400_000
@@ -211,7 +212,12 @@ def linked_in_blocks(rows: DataFrame, idf: np.ndarray) -> DataFrame:
     """
     shared = rows.sparkSession.sparkContext.broadcast(idf)
 
-    def links(group: pd.DataFrame) -> pd.DataFrame:
+    def links(batch: pd.DataFrame) -> pd.DataFrame:
+        words = Words(shared.value)
+        out = [x for _, group in batch.groupby(["bucket", "lo", "hi"], sort=False) for x in links_of(group, words)]
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    def links_of(group: pd.DataFrame, words: Words) -> list[tuple[int, int]]:
         s = np.array([np.frombuffer(x, np.int64) for x in group["samples"]])
         bands = np.array(group["bands"].tolist())
         node, comp, block, band = (group[c].to_numpy() for c in ("node", "comp", "block", "band"))
@@ -224,9 +230,11 @@ def linked_in_blocks(rows: DataFrame, idf: np.ndarray) -> DataFrame:
             if len(j):
                 near[i] = j
 
+        if not near:
+            return []
         # only texts that have such a partner are taken apart
         used = np.unique(np.concatenate([np.array(list(near), np.int64), *near.values()]))
-        h, w, n = shingles(Words(shared.value), group["text"].iloc[used].tolist())
+        h, w, n = shingles(words, group["text"].iloc[used].tolist())
         at, size, out = offsets(n), np.add.reduceat(np.append(w, 0.0), offsets(n)[:-1]), []
         for i, j in near.items():
             x, y = np.searchsorted(used, i), np.searchsorted(used, j)
@@ -235,9 +243,9 @@ def linked_in_blocks(rows: DataFrame, idf: np.ndarray) -> DataFrame:
             common = np.where(h[own][place] == h[theirs], np.minimum(w[own][place], w[theirs]), 0)
             both = np.add.reduceat(common, offsets(n[y])[:-1]) if len(theirs) else np.zeros(0)
             out += [(min(node[i], node[k]), max(node[i], node[k])) for k in j[both >= THRESHOLD * (size[x] + size[y] - both)]]
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+        return out
 
-    return rows.groupBy("bucket", "lo", "hi").applyInPandas(links, "a long, b long")
+    return rows.groupBy("batch").applyInPandas(links, "a long, b long")
 
 
 def classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -266,10 +274,13 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     comps = components(edges)
     # what is left: buckets with nodes of several classes, compared in blocks
     apart = mixed(placed, comps)
+    n_apart = apart.count()
     blocks = apart.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_blocks"))
     apart = apart.join(blocks, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
     apart = apart.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-    apart = apart.join(nodes.select("node", "samples", "bands"), "node").join(texts, "node").select("bucket", "lo", "hi", "block", "band", "node", "comp", "samples", "bands", "text")
+    # small groups go together to a call, by a hash, so that a call has about BATCH_ROWS rows whatever the size of the corpus
+    apart = apart.withColumn("batch", F.pmod(F.xxhash64("bucket", "lo", "hi"), F.lit(max(1, n_apart // BATCH_ROWS))))
+    apart = apart.join(nodes.select("node", "samples", "bands"), "node").join(texts, "node").select("batch", "bucket", "lo", "hi", "block", "band", "node", "comp", "samples", "bands", "text")
     comps = components(edges.unionByName(linked_in_blocks(apart, idf)))
     return nodes.join(comps, "node", "left").select("text_md5", "node", "rows", F.coalesce("comp", "node").alias("class_id"))
 
