@@ -74,6 +74,19 @@ def test_planted_groups(spark, planted, monkeypatch):
     assert sorted(r["doc_id"] for r in kept) == sorted(set(want.values()))
 
 
+def test_calls_do_not_grow_with_a_bucket(spark, monkeypatch):
+    """One bucket of many nodes in different classes, and many small ones: calls stay small, and all pairs of a bucket meet once."""
+    monkeypatch.setattr(neardup, "BLOCK", 10)
+    monkeypatch.setattr(neardup, "BATCH_ROWS", 40)
+    rows = [(7, i) for i in range(300)] + [(100 + i % 60, 1000 + i) for i in range(240)]
+    out = neardup.dealt(spark.createDataFrame(rows, "bucket long, node long").withColumn("comp", F.col("node"))).toPandas()
+    assert out.groupby("batch").size().max() <= 3 * 40
+    assert (out[out["bucket"] == 7].groupby("batch")[["lo", "hi"]].nunique() == 1).all(axis=None)
+    met = [(b, i, j) for (_, b, lo, hi), g in out.groupby(["batch", "bucket", "lo", "hi"]) for i in g["node"][g["block"] == lo] for j in g["node"][g["block"] == hi] if i < j or lo != hi]
+    want = {(b, i, j) for b, i in rows for c, j in rows if b == c and i < j}
+    assert len(met) == len(want) and {(b, min(i, j), max(i, j)) for b, i, j in met} == want
+
+
 def test_samples_estimate_the_similarity():
     rng = np.random.default_rng(0)
     x = [str(rng.integers(10**6)) for _ in range(400)]

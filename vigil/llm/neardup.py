@@ -274,17 +274,25 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     comps = components(edges)
     # what is left: buckets with nodes of several classes, compared in blocks
     apart = mixed(placed, comps)
-    n_apart = apart.count()
-    blocks = apart.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_blocks"))
-    apart = apart.join(blocks, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
-    apart = apart.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-    # small groups go together to a call, by a hash, so that a call has about BATCH_ROWS rows whatever the size of the corpus
-    apart = apart.withColumn("batch", F.pmod(F.xxhash64("bucket", "lo", "hi"), F.lit(max(1, n_apart // BATCH_ROWS))))
-    apart = apart.join(nodes.select("node", "samples", "bands"), "node").join(texts, "node").select("batch", "bucket", "lo", "hi", "block", "band", "node", "comp", "samples", "bands", "text")
+    apart = dealt(apart).join(nodes.select("node", "samples", "bands"), "node").join(texts, "node").select("batch", "bucket", "lo", "hi", "block", "band", "node", "comp", "samples", "bands", "text")
     comps = components(edges.unionByName(linked_in_blocks(apart, idf)))
     return nodes.join(comps, "node", "left").select("text_md5", "node", "rows", F.coalesce("comp", "node").alias("class_id"))
 
 
+def dealt(apart: DataFrame) -> DataFrame:
+    """The rows of ``apart`` once for each block that their own is compared with (lo, hi), and the call (``batch``) of each.
+
+    A bucket of one block shares its call with others, dealt by a hash: about BATCH_ROWS rows, counted over such buckets
+    only. In a larger bucket each two blocks are a call of their own, so no call grows with the bucket.
+    """
+    sizes = apart.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).select("bucket", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("n_blocks"))
+    n_small = sizes.filter("n_blocks = 1").agg(F.sum("n")).first()[0] or 0
+    rows = apart.join(sizes.drop("n"), "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
+    shared = F.concat(F.lit("shared "), F.pmod(F.xxhash64("bucket"), F.lit(max(1, n_small // BATCH_ROWS))))
+    return rows.withColumn("batch", F.when(F.col("n_blocks") == 1, shared).otherwise(F.concat_ws(" ", "bucket", "lo", "hi"))).drop("n_blocks", "other")
+
+
 def mixed(placed: DataFrame, comps: DataFrame) -> DataFrame:
     """Bucket rows (with their class ``comp``) of the buckets whose nodes are not all in one class."""
     own = placed.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
