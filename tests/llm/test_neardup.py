@@ -87,6 +87,18 @@ def test_calls_do_not_grow_with_a_bucket(spark, monkeypatch):
     assert len(met) == len(want) and {(b, min(i, j), max(i, j)) for b, i, j in met} == want
 
 
+def test_pairs_of_a_bucket_are_linked_whatever_their_samples(spark):
+    """Nodes of one bucket with no equal sample: linked if, and only if, their texts are alike enough."""
+    x = [f"w{i}" for i in range(200)]
+    edited = lambda step: " ".join("new" if i % step == 0 else w for i, w in enumerate(x))
+    texts = [" ".join(x), edited(60), edited(12), " ".join(reversed(x))]
+    idf = np.full(neardup.CELLS, 1.5)
+    rows = [("a", 5, 0, 0, 0, 0, n, n, np.arange(64 * n, 64 * n + 64).tobytes(), [5] + [100 * n + k for k in range(1, neardup.BANDS)], t) for n, t in enumerate(texts)]
+    schema = "batch string, bucket long, lo int, hi int, block int, band int, node long, comp long, samples binary, bands array<long>, text string"
+    got = neardup.linked_in_blocks(spark.createDataFrame(rows, schema), idf).collect()
+    assert [tuple(r) for r in got] == [(0, 1)]
+
+
 def test_samples_estimate_the_similarity():
     rng = np.random.default_rng(0)
     x = [str(rng.integers(10**6)) for _ in range(400)]

@@ -10,8 +10,8 @@ documents form a class. Equal texts are one node from the start, so copies cost
 2. In each bucket all nodes are verified against the smallest node, then, where they are in other classes still,
    against HUBS nodes drawn by a hash: rows in proportion to the nodes, however large the bucket.
 3. Nodes of one bucket that are in different classes still are compared in blocks of BLOCK nodes, inside the tasks:
-   first by their samples (of 20,000 pairs of similarity THRESHOLD, about one has fewer than MIN_EQUAL equal ones), then
-   exactly. So every pair that shares a bucket is looked at, and only links leave a task as rows.
+   first by a bound that their similarity cannot exceed, then exactly. So no pair that shares a bucket is lost, and only
+   links leave a task as rows.
 
 Null texts are classes of their own. Texts without words equal only their copies. Rows with one doc_id are one
 document, in one class; a null id has no say in the class id, which is the smallest doc_id of the class. Tables
@@ -39,7 +39,7 @@ CELLS = 1 << 18
 POOL = 1 << 16
 BLOCK = 512
 BATCH_ROWS = 2000
-MIN_EQUAL = 38
+PARTS = 256
 HUBS = 8
 CACHE_WORDS = 400_000
 MIX = np.random.default_rng(11).integers(1, 2**63, SHINGLE + BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -207,8 +207,9 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
 def linked_in_blocks(rows: DataFrame, idf: np.ndarray) -> DataFrame:
     """The linked pairs (a, b) of each bucket's nodes in two blocks (or one) whose classes differ.
 
-    A pair is looked at in the first band that it shares, and compared exactly if its samples agree often enough.
-    Each node's shingles are made once a group; only links leave the task.
+    A pair is looked at in the first band that it shares. Shingles fall into PARTS parts by their hash; the smaller weights
+    of two nodes' parts add up to at least their common weight, so only pairs whose sum is enough are compared shingle
+    by shingle. Each node's shingles are made once a group; only links leave the task.
     """
     shared = rows.sparkSession.sparkContext.broadcast(idf)
 
@@ -218,14 +219,12 @@ def linked_in_blocks(rows: DataFrame, idf: np.ndarray) -> DataFrame:
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     def links_of(group: pd.DataFrame, words: Words) -> list[tuple[int, int]]:
-        s = np.array([np.frombuffer(x, np.int64) for x in group["samples"]])
         bands = np.array(group["bands"].tolist())
         node, comp, block, band = (group[c].to_numpy() for c in ("node", "comp", "block", "band"))
         lo, hi = group["lo"].iloc[0], group["hi"].iloc[0]
         right, near = np.flatnonzero(block == hi), {}
         for i in np.flatnonzero(block == lo):
             j = right[((node[right] > node[i]) | (lo != hi)) & (comp[right] != comp[i])]
-            j = j[(s[j] == s[i]).sum(axis=1) >= MIN_EQUAL]
             j = j[(bands[j] == bands[i]).argmax(axis=1) == band[i]]
             if len(j):
                 near[i] = j
@@ -235,9 +234,16 @@ def linked_in_blocks(rows: DataFrame, idf: np.ndarray) -> DataFrame:
         # only texts that have such a partner are taken apart
         used = np.unique(np.concatenate([np.array(list(near), np.int64), *near.values()]))
         h, w, n = shingles(words, group["text"].iloc[used].tolist())
-        at, size, out = offsets(n), np.add.reduceat(np.append(w, 0.0), offsets(n)[:-1]), []
+        part = np.repeat(np.arange(len(n)), n) * PARTS + (h % np.uint64(PARTS)).astype(np.int64)
+        parts = np.bincount(part, w, len(n) * PARTS).reshape(-1, PARTS)
+        at, size, out = offsets(n), parts.sum(axis=1), []
         for i, j in near.items():
             x, y = np.searchsorted(used, i), np.searchsorted(used, j)
+            most = np.minimum(parts[y], parts[x]).sum(axis=1)
+            able = most * (1 + THRESHOLD) >= THRESHOLD * (size[x] + size[y]) * (1 - 1e-9)
+            j, y = j[able], y[able]
+            if not len(j):
+                continue
             theirs, own = ragged(at[y], n[y]), slice(at[x], at[x + 1])
             place = np.minimum(np.searchsorted(h[own], h[theirs]), n[x] - 1)
             common = np.where(h[own][place] == h[theirs], np.minimum(w[own][place], w[theirs]), 0)
@@ -252,9 +258,9 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     """One row per distinct text: text_md5, node (its smallest id), rows (copies), class_id (smallest id of the class)."""
     docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).filter(F.col("text").isNotNull()).withColumn("text_md5", F.md5("text"))
     idf = word_idf(docs, "text")
-    rows = written(sampled(docs, idf).drop("text"))
+    rows = written(sampled(docs, idf).drop("text", "samples"))
     node = F.coalesce(F.min("id"), F.xxhash64("text_md5")).alias("node")
-    nodes = written(rows.groupBy("text_md5").agg(node, F.count(F.lit(1)).alias("rows"), F.any_value("samples").alias("samples"), F.any_value("bands").alias("bands")))
+    nodes = written(rows.groupBy("text_md5").agg(node, F.count(F.lit(1)).alias("rows"), F.any_value("bands").alias("bands")))
 
     placed = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     hubs = placed.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").drop("high")
@@ -274,7 +280,7 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     comps = components(edges)
     # what is left: buckets with nodes of several classes, compared in blocks
     apart = mixed(placed, comps)
-    apart = dealt(apart).join(nodes.select("node", "samples", "bands"), "node").join(texts, "node").select("batch", "bucket", "lo", "hi", "block", "band", "node", "comp", "samples", "bands", "text")
+    apart = dealt(apart).join(nodes.select("node", "bands"), "node").join(texts, "node").select("batch", "bucket", "lo", "hi", "block", "band", "node", "comp", "bands", "text")
     comps = components(edges.unionByName(linked_in_blocks(apart, idf)))
     return nodes.join(comps, "node", "left").select("text_md5", "node", "rows", F.coalesce("comp", "node").alias("class_id"))
 
