@@ -47,6 +47,21 @@ def test_no_pair_is_lost_by_the_filters(spark):
     check(licenses.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect(), texts)
 
 
+def test_wrapped_notices(spark):
+    """A notice is found however its lines are wrapped, and not across a blank line."""
+    texts, want = [], []
+    for n, (label, t) in enumerate(licenses.TEMPLATES):
+        ws = t.split()
+        for k, width in enumerate((1, 2, 3, 5)):
+            lines = [" ".join(ws[i:i + width]) for i in range(0, len(ws), width)]
+            texts += [(10 * n + k, "before\n\n# " + "\n# ".join(lines) + "\n \nafter")]
+            want.append(label)
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert all(label in got[i]["labels"].split(",") and got[i]["score"] == 1.0 for (i, _), label in zip(texts, want))
+    apart = "This is free and unencumbered\n\nsoftware released into the public domain"
+    assert licenses.scan(spark.createDataFrame([(1, apart)], "doc_id long, text string")).first()["labels"] == ""
+
+
 def test_edge_rows_and_empty_table(edge, empty, edge_rows):
     check(licenses.scan(edge).collect(), [(r[0], r[1]) for r in edge_rows])
     assert licenses.scan(empty).count() == 0

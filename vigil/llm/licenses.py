@@ -1,6 +1,6 @@
 """License scan: phrases word by word, and an exact set-similarity join of text blocks with license templates.
 
-A block is a line. A template meets a block if at least THRESHOLD of the template's distinct words are in the block
+A block is a paragraph, up to a line of white space only, so a notice counts however its lines are wrapped. A template meets a block if at least THRESHOLD of the template's distinct words are in the block
 (containment). The join works on words in one global order, rare words first:
 
 - length filter: a block needs as many template words as the least that any template asks for;
@@ -46,6 +46,7 @@ TEMPLATES = [
     ("unlicense", "This is free and unencumbered software released into the public domain"),
 ]
 THRESHOLD = 0.95
+BLANK = "\\n\\s*\\n"
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
@@ -77,16 +78,16 @@ def phrase_places(words: Column, phrase: list[str]) -> Column:
 
 
 def read_words(df: DataFrame, key: str, text: str, phrases: dict[str, str], vocabulary: list[str], least: int) -> DataFrame:
-    """One pass over the texts: phrase places, and of each line with ``least`` template words or more those words."""
+    """One pass over the texts: phrase places, and of each paragraph with ``least`` template words or more those words."""
     lower = F.translate(F.coalesce(F.col(text), F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    lines = F.transform(F.split(lower, "\n"), lambda line: F.filter(F.split(line, NOT_WORD), lambda w: w != ""))
+    paragraphs = F.transform(F.split(lower, BLANK), lambda part: F.filter(F.split(part, NOT_WORD), lambda w: w != ""))
 
-    def facts(by_line):
-        blocks = F.filter(F.transform(by_line, lambda ws: F.array_distinct(F.filter(ws, lambda w: w.isin(vocabulary)))), lambda ws: F.size(ws) >= least)
+    def facts(by_block):
+        blocks = F.filter(F.transform(by_block, lambda ws: F.array_distinct(F.filter(ws, lambda w: w.isin(vocabulary)))), lambda ws: F.size(ws) >= least)
         places = lambda words: F.struct(F.size(words).cast("long").alias("n_words"), *[phrase_places(words, words_of(p)).alias(x) for x, p in phrases.items()])
-        return F.struct(blocks.alias("blocks"), let(F.flatten(by_line), places).alias("base"))
+        return F.struct(blocks.alias("blocks"), let(F.flatten(by_block), places).alias("base"))
 
-    return df.select(F.col(key).alias("__key"), F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("__text"), let(lines, facts).alias("x")).select("__key", "__text", "x.blocks", "x.base")
+    return df.select(F.col(key).alias("__key"), F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("__text"), let(paragraphs, facts).alias("x")).select("__key", "__text", "x.blocks", "x.base")
 
 
 def scan(df: DataFrame, key: str = "doc_id", text: str = "text", phrases: dict[str, str] = PHRASES, templates: list[tuple[str, str]] = TEMPLATES,
