@@ -25,6 +25,14 @@ def test_spans_of_mixed_text(spark):
     assert share("en", 0, cut) > 0.8 and share("de", cut, n) > 0.8
 
 
+def test_rare_languages_are_learned_at_every_size(spark):
+    rows = [(i, f"word and deed {i}", "en" if i % 2 else "de") for i in range(1200)] + [(5000 + i, f"rare{i} text", f"x{i}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = sorted(r["lang"] for r in docs.filter(~langid.held_out("doc_id")).select("lang").distinct().collect())
+    assert len(want) > 12 and langid.train(docs, max_docs=100)["langs"] == want == langid.train(docs, max_docs=5)["langs"]
+    assert langid.even_share([1, 2, 500, 700], 103) == 50 and langid.even_share([3, 4], 10) == 4 and langid.even_share([], 5) == 0
+
+
 def test_scripts_narrow_the_candidates(spark):
     rows = [(i, w, x) for i in range(60) for w, x in ((f"слово и дело мир {i}", "ru"), (f"word and deed peace {i}", "en"), (f"κόσμος και λόγος {i}", "el"))]
     model = langid.train(spark.createDataFrame([(100 * i + k, t, x) for k, (i, t, x) in enumerate(rows)], "doc_id long, text string, lang string"))

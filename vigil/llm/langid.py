@@ -5,8 +5,8 @@ its sequences; a language is a candidate for a word only if the word's script ho
 that the language was learned from. ``label`` runs Viterbi over the words of each whole text, where a change of
 language costs PENALTY, and gives the spans; the text's language is the one with most letters (ties: the first by code point).
 
-Trained on at most about MAX_TRAIN_DOCS labelled texts, the ones with the smallest hashes of their ids; the scores
-come from text alone. Null texts and texts without a letter have no span: "und", score 0. Words of a script that no
+Trained on at most about MAX_TRAIN_DOCS labelled texts, of each language the ones with the smallest hashes of their ids:
+rare languages give all their texts, the others alike many, and each at least one. The scores come from text alone. Null texts and texts without a letter have no span: "und", score 0. Words of a script that no
 language was learned from count for all alike. Repeated rows are labelled one by one; a table without rows gives none.
 Without any training row every text is "und".
 """
@@ -48,12 +48,25 @@ def grams(word: str) -> list[str]:
     return [w[i:i + GRAM] for i in range(len(w) - GRAM + 1)] + [w]
 
 
+def even_share(counts: list[int], total: int) -> float:
+    """The most that each language may give, so that all of them together give ``total`` at most (one each at least)."""
+    for k, n in enumerate(sorted(counts)):
+        share = total / (len(counts) - k)
+        if n > share:
+            return max(share, 1.0)
+        total -= n
+    return float(max(counts, default=0))
+
+
 def train(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", max_docs: int = MAX_TRAIN_DOCS) -> dict:
     """Counts per language of sequences and scripts, added up over the tasks; the tables are bounded by ``max_docs``."""
     rows = df.filter(~held_out(key) & F.col(lang).isNotNull())
-    n = rows.count()  # of ids and languages, no text is read
-    share = min(1.0, max_docs / max(n, 1))
-    rows = rows.filter(F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(1 << 30)) < int(share * (1 << 30)))
+    h = F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(1 << 30))
+    found = rows.groupBy(F.col(lang).alias("__lang")).agg(F.count(F.lit(1)).alias("n"), F.min(h).alias("least")).collect()  # a row for each language, no text is read
+    most = even_share([r["n"] for r in found], max_docs)
+    limits = [(r["__lang"], max(int(min(1.0, most / r["n"]) * (1 << 30)), r["least"] + 1)) for r in found]
+    limits = df.sparkSession.createDataFrame(limits, "__lang string, __limit long")
+    rows = rows.join(F.broadcast(limits), F.col(lang) == F.col("__lang")).filter(h < F.col("__limit"))
 
     def count(batches):
         seen: dict = {}
