@@ -115,3 +115,68 @@ FROM b LEFT JOIN f USING (doc_id)
 
 
 LICENSES = licenses_sql()
+
+
+def crc32_sql(x: str) -> str:
+    """crc32 of an ASCII text; a column t holds the list of the 256 remainders."""
+    step = "xor(t[CAST(xor(c, b) & 255 AS INTEGER) + 1], c >> 8)"
+    codes = f"list_prepend(4294967295::BIGINT, list_transform(list_filter(string_split({x}, ''), lambda z: z <> ''), lambda z: ascii(z)::BIGINT))"
+    return f"xor(list_reduce({codes}, lambda c, b: {step}), 4294967295::BIGINT)"
+
+
+def conversations_sql() -> str:
+    """The contract's dynamic program, row by row from each conversation's end, with costs, audits and repaired rows by state."""
+    def one(cost, edits, rows):
+        return f"{{'c': {cost}, 'a': {edits}, 'r': {rows}}}"
+
+    def insert(x, role):
+        return one(f"3 + {x}.c", f"'I' || {x}.a", f"chr(10) || '{role}:' || {x}.r")
+
+    def least(*ways):
+        return f"list_sort(list_filter([{', '.join(ways)}], lambda w: w.c IS NOT NULL))[1]"
+
+    into = {0: ("user", 2), 1: ("user", 2), 2: ("assistant", 3), 3: ("user", 2)}
+    keeps = {0: "CASE WHEN i = 's' THEN 1 WHEN i = 'u' THEN 2 END", 1: "CASE WHEN i = 'u' THEN 2 END", 2: "CASE WHEN i = 'a' THEN 3 END", 3: "CASE WHEN i = 'u' THEN 2 END"}
+    plain = []
+    for s in range(4):
+        role, to = into[s]
+        kept = f"s[({keeps[s]}) + 1]"
+        ways = [one(f"4 + s[{s + 1}].c", f"'D' || s[{s + 1}].a", f"s[{s + 1}].r"),
+                one(f"CASE WHEN NOT gone THEN late + {kept}.c END", f"'K' || {kept}.a", f"chr(10) || role || ':' || text || {kept}.r"),
+                one(f"CASE WHEN NOT gone THEN 3 + late + s[{to + 1}].c END", f"'R' || s[{to + 1}].a", f"chr(10) || '{role}:' || text || s[{to + 1}].r")]
+        plain.append(least(*ways))
+    final = []
+    for s in range(4):
+        role, to = into[s]
+        ways = [f"p[{s + 1}]", insert(f"p[{to + 1}]", role)]
+        if s < 2:
+            ways.append(insert(f"{insert('p[4]', 'assistant')}", "user"))
+        final.append(least(*ways))
+    end = ", ".join([one("0", "''", "''"), one("6", "'II'", "chr(10) || 'user:' || chr(10) || 'assistant:'"), one("3", "'I'", "chr(10) || 'assistant:'"), one("0", "''", "''")])
+    step = "if(c & 1 = 1, xor(3988292384::BIGINT, c >> 1), c >> 1)"
+    return f"""
+WITH RECURSIVE crc_table AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: {step})) AS t),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+      {crc32_sql("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS f FROM conversations, crc_table),
+d AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+      CASE WHEN f = 1 THEN '' WHEN f = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS nth FROM k WHERE f <> 0),
+o AS (SELECT *, substr(role, 1, 1) AS i, row_number() OVER w AS pos, count(*) OVER (PARTITION BY conv_id) AS n, lag(substr(role, 1, 1)) OVER w AS before
+      FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text))),
+q AS (SELECT *, NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') AS blank, row_number() OVER (PARTITION BY conv_id, role, md5(text) ORDER BY pos) > 1 AS again,
+      NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') AS open FROM o),
+u AS (SELECT conv_id, pos, n, i, role, text, blank OR again AS gone, blank, NOT blank AND again AS duplicate, NOT blank AND NOT again AND open AS truncated,
+      CASE WHEN NOT blank AND NOT again AND open THEN 3 ELSE 0 END AS late, pos > 1 AND before || i NOT IN ('su', 'ua', 'au') AS illegal, turn FROM q),
+dp AS (SELECT DISTINCT conv_id, n AS pos, [{end}] AS s FROM u
+       UNION ALL SELECT conv_id, pos, [{', '.join(final)}] AS s FROM (SELECT dp.conv_id, dp.pos - 1 AS pos, [{', '.join(plain)}] AS p
+       FROM dp JOIN u ON u.conv_id IS NOT DISTINCT FROM dp.conv_id AND u.pos = dp.pos)),
+sums AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank, count_if(duplicate) AS duplicate,
+         count_if(truncated) AS truncated, count_if(illegal) AS illegal FROM u GROUP BY conv_id),
+r AS (SELECT conv_id, s[1] AS x FROM dp WHERE pos = 0)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+       CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(x.c, 0) AS BIGINT) AS cost, coalesce(x.a, '') AS audit,
+       sha256(coalesce(substr(x.r, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN sums ON sums.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+CONVERSATIONS = conversations_sql()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, fingerprint, langid, licenses, mixing, neardup, oracles, quality, suffix, toxicity, warc
+from vigil.llm import bpe, dawg, fingerprint, langid, licenses, mixing, neardup, oracles, quality, suffix, toxicity, warc
 from vigil.llm.common import held_out, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,15 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return licenses.scan(docs, "doc_id", "text")
+
+
+@register("op13_conversation_repair", oracles.CONVERSATIONS)
+def op13(spark, sf_dir):
+    given = read(spark, sf_dir, "conversations")
+    reports, repaired = dawg.repair(dawg.damaged(given))
+    found = reports.join(dawg.digests(repaired).withColumnRenamed("conv_id", "c"), F.col("conv_id").eqNullSafe(F.col("c")), "left")
+    every = given.select(F.col("conv_id").alias("every")).distinct()
+    x = every.join(found, F.col("every").eqNullSafe(F.col("conv_id")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return x.select(F.col("every").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                    F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
