@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, dawg, fingerprint, langid, licenses, mixing, neardup, oracles, quality, suffix, toxicity, warc
+from vigil.llm import bpe, dawg, divergence, fingerprint, langid, licenses, mixing, neardup, oracles, quality, suffix, toxicity, warc
 from vigil.llm.common import held_out, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,8 @@ def op13(spark, sf_dir):
     counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
     return x.select(F.col("every").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"),
                     F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+@register("op12_source_divergence", oracles.DIVERGENCE)
+def op12(spark, sf_dir):
+    return divergence.audit(read(spark, sf_dir, "documents").select("text", "lang", "source"), min_docs=10, top=10)
