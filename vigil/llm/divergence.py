@@ -37,12 +37,12 @@ HELD, SLICE_BYTES = 200_000, 8_000_000
 BLOCK, GROUP_ROWS, STEP_CELLS = 64, 100_000, 4_000_000
 
 
-def cell_of(lang: str, term: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(term, xxhash.xxh3_64_intdigest(lang.encode()) & 0x7FFFFFFF) % CELLS
+def cell_of(lang: str, term: bytes, bits: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(term, xxhash.xxh3_64_intdigest(lang.encode())) % (8 * len(bits))
 
 
 def alive(bits: np.ndarray, lang: str, term: bytes) -> bool:
-    c = cell_of(lang, term)
+    c = cell_of(lang, term, bits)
     return bool(bits[c >> 3] >> (c & 7) & 1)
 
 
@@ -127,7 +127,7 @@ def bit_map(kept: DataFrame) -> np.ndarray:
         bits = np.zeros(CELLS // 8, np.uint8)
         for batch in batches:
             for x, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                c = cell_of(x, t)
+                c = cell_of(x, t, bits)
                 bits[c >> 3] |= 1 << (c & 7)
         at = np.flatnonzero(bits)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(bits[at], pa.int32())], names=["at", "bits"])
