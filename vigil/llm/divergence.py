@@ -48,7 +48,8 @@ def alive(bits: np.ndarray, lang: str, term: bytes) -> bool:
 
 def terms_of(col: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """For the texts of a column: the row and the term number of each term in them, and the terms as bytes."""
-    bare = pc.replace_substring_regex(pc.ascii_lower(pc.fill_null(col.cast(pa.large_string()), "")), GAP, " ")
+    own = col.take(pa.array(np.arange(len(col))))  # a copy: on slices of a batch, Arrow's ascii_lower can read beside the texts
+    bare = pc.replace_substring_regex(pc.ascii_lower(pc.fill_null(own, "")), GAP, " ")
     lists = pc.split_pattern(bare, " ")
     flat = pc.dictionary_encode(lists.flatten())
     rows = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
