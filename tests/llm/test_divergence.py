@@ -62,9 +62,8 @@ def test_blocks_of_sources(spark, monkeypatch):
     monkeypatch.setattr(divergence, "BLOCK", 3)
     monkeypatch.setattr(divergence, "GROUP_ROWS", 7)
     monkeypatch.setattr(divergence, "STEP_CELLS", 20)
-    monkeypatch.setattr(divergence, "HELD", 5)
     monkeypatch.setattr(divergence, "SLICE_BYTES", 100)
-    monkeypatch.setattr(divergence, "CELLS", 8)  # nearly every cell is alive: only the exact counts decide
+    monkeypatch.setattr(divergence, "BROADCAST_GROUPS", 0)
     rows = some_rows(8)
     assert got(spark, rows, 3, 4) == plain(rows, 3, 4)
 

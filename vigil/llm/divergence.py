@@ -2,11 +2,12 @@
 
 The terms of a language that are met in at least ``min_docs`` of its documents are found by iceberg prefix refinement: the
 distinct documents of each term prefix are counted, prefixes below the threshold are discarded, those left are extended by
-the next bytes, and so on until only complete terms remain (prefixes of 4, 8, 16, ... bytes; a term no longer than a
-level is complete there, and its count is its own). No term in ``min_docs`` documents has a prefix in fewer, so the result is
-that of counting every term, but the long tail of rare terms is never shuffled whole. Each level reads the texts
-again and shuffles sums by (language, prefix), combined in the tasks. The prefixes left reach the next level as a bit map of
-``CELLS`` hash cells, 2 MB whatever the input; two prefixes in one cell only cost work, since each level counts exactly.
+the next bytes, and so on until only complete terms remain (prefixes of 4, 8, 16, ... bytes). No term in ``min_docs``
+documents has a prefix in fewer, so the result is that of counting every term, but the long tail of rare terms never
+meets in the count by source. The texts are cut into terms once: each task writes, for slices of its documents, the
+documents of each (language, prefix) and the documents and occurrences of each (language, source, term); a document lies
+whole in one slice, so sums over slices are exact. Each level then reads only its own rows of that table and joins them
+to the prefixes that the level before has left.
 
 Terms are runs of letters A-Z and of characters beyond ASCII, with A-Z in lower case. A row of the table is a document.
 A null text, language or source counts as the empty one; columns but these three are left out, so their names never
@@ -19,7 +20,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,146 +30,107 @@ from vigil.llm.common import cut_batch, written
 GAP = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCS, TOP, FIRST_LEVEL = 10, 10, 4
 SCALE = 1_000_000_000
-#: Bits of the map of surviving prefixes, and the most terms that a task holds before it hands its sums on.
-CELLS = 1 << 24
-HELD, SLICE_BYTES = 200_000, 8_000_000
+#: Bytes of text whose terms are summed at once.
+SLICE_BYTES = 16_000_000
+#: The table of (language, source) groups is broadcast up to so many rows; a larger one is joined by a shuffle.
+BROADCAST_GROUPS = 200_000
 #: Sources compared at once in one matrix, about so many (source, term) counts to a group, and the cells of one step's array.
 BLOCK, GROUP_ROWS, STEP_CELLS = 64, 100_000, 4_000_000
+#: level 0: a whole term of one source; else the bytes of the prefix, of all sources (source is null).
+SUMS = T.StructType([T.StructField("level", T.IntegerType()), T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
+                     T.StructField("term", T.BinaryType()), T.StructField("docs", T.LongType()), T.StructField("n", T.LongType())])
 
 
-def cell_of(lang: str, term: bytes, bits: np.ndarray) -> int:
-    return xxhash.xxh3_64_intdigest(term, xxhash.xxh3_64_intdigest(lang.encode())) % (8 * len(bits))
-
-
-def alive(bits: np.ndarray, lang: str, term: bytes) -> bool:
-    c = cell_of(lang, term, bits)
-    return bool(bits[c >> 3] >> (c & 7) & 1)
-
-
-def terms_of(col: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+def terms_of(col: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """For the texts of a column: the row and the term number of each term in them, and the terms as bytes."""
     own = col.take(pa.array(np.arange(len(col))))  # a copy: on slices of a batch, Arrow's ascii_lower can read beside the texts
     bare = pc.replace_substring_regex(pc.ascii_lower(pc.fill_null(own, "")), GAP, " ")
     lists = pc.split_pattern(bare, " ")
     flat = pc.dictionary_encode(lists.flatten())
     rows = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-    code, names = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64), flat.dictionary.cast(pa.large_binary()).to_pylist()
-    if b"" in names:
-        there = code != names.index(b"")
+    code, names = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64), flat.dictionary.cast(pa.binary())
+    blank = pc.index(names, pa.scalar(b"", pa.binary())).as_py()
+    if blank >= 0:
+        there = code != blank
         rows, code = rows[there], code[there]
     return rows, code, names
 
 
-def _batches(df: DataFrame, schema: T.StructType, tell):
-    """``tell(rows, codes, terms, langs, sources)`` over slices of the documents: pairs (key, number), summed and passed on."""
-    def run(batches):
-        held = {}
-
-        def pour():
-            keys, sums = list(held), list(held.values())
-            held.clear()
-            fields = schema.fieldNames()
-            cols = [pa.array([k[i] for k in keys], pa.binary() if fields[i] == "term" else pa.bool_() if fields[i] == "whole" else pa.string()) for i in range(len(fields) - 1)]
-            return pa.RecordBatch.from_arrays([*cols, pa.array(sums, pa.int64())], names=fields)
-
-        for batch in batches:
-            for part in cut_batch(batch, ["text"], SLICE_BYTES):
-                text, lang, source = (part.column(part.schema.get_field_index(c)) for c in ("text", "lang", "source"))
-                for key, n in tell(*terms_of(text), lang.to_pylist(), source.to_pylist()):
-                    held[key] = held.get(key, 0) + n
-                if len(held) > HELD:
-                    yield pour()
-        if held:
-            yield pour()
-
-    return df.mapInArrow(run, schema)
-
-
-def _coded(values: list) -> tuple[np.ndarray, list]:
-    names = list(dict.fromkeys(values))
-    number = {v: i for i, v in enumerate(names)}
-    return np.array([number[v] for v in values], np.int64), names
-
-
-def _sums(group: np.ndarray, code: np.ndarray, size: int):
-    """Distinct (group, code) with their numbers of rows."""
-    key, n = np.unique(group * size + code, return_counts=True)
-    return (key // size).tolist(), (key % size).tolist(), n.tolist()
+def _codes(col: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    x = pc.dictionary_encode(col)
+    return x.indices.to_numpy(zero_copy_only=False).astype(np.int64), x.dictionary
 
 
-def prefix_docs(docs: DataFrame, level: int, before: int, bits) -> DataFrame:
-    """Documents of each (lang, term prefix of ``level`` bytes) whose first ``before`` bytes are alive; ``whole``: the prefix is a term."""
-    schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("term", T.BinaryType()), T.StructField("whole", T.BooleanType()), T.StructField("n", T.LongType())])
-
-    def tell(rows, code, terms, langs, sources):
-        size = max(len(terms), 1)
-        lang_of, names = _coded(langs)
-        pairs = np.unique(rows * size + code)
-        row, code = pairs // size, pairs % size
-        # of the terms longer than the level before, those whose prefix is alive in the language
-        met = np.unique(lang_of[row] * size + code)
-        fit = [len(terms[t]) > before and (not before or alive(bits.value, names[g], terms[t][:before])) for g, t in zip((met // size).tolist(), (met % size).tolist())]
-        ok = np.isin(lang_of[row] * size + code, met[np.array(fit, bool)])
-        # a prefix and a whole term of the same bytes are two things: the flag is part of the number
-        number, shown = _coded([(t[:level], len(t) <= level) for t in terms])
-        size = max(len(shown), 1)
-        pairs = np.unique(row[ok] * size + number[code[ok]])
-        for g, c, n in zip(*_sums(lang_of[pairs // size], pairs % size, size)):
-            yield (names[g], *shown[c]), n
-
-    return _batches(docs, schema, tell).groupBy("lang", "term", "whole").agg(F.sum("n").alias("n"))
-
-
-def bit_map(kept: DataFrame) -> np.ndarray:
-    """The cells of (lang, term) as bits: at most CELLS / 8 bytes, joined from a byte for each eight cells."""
-    spec = T.StructType([T.StructField("at", T.IntegerType()), T.StructField("bits", T.IntegerType())])
+def slice_sums(docs: DataFrame) -> DataFrame:
+    """SUMS over slices of the documents (text, lang, source)."""
+    def batch_of(level, lang, source, term, n_docs, n):
+        size = len(n_docs)
+        return pa.RecordBatch.from_arrays([pa.array(np.full(size, level), pa.int32()), lang, pa.nulls(size, pa.string()) if source is None else source, term,
+                                           pa.array(n_docs, pa.int64()), pa.array(n, pa.int64())], names=SUMS.fieldNames())
 
     def run(batches):
-        bits = np.zeros(CELLS // 8, np.uint8)
         for batch in batches:
-            for x, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                c = cell_of(x, t, bits)
-                bits[c >> 3] |= 1 << (c & 7)
-        at = np.flatnonzero(bits)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(bits[at], pa.int32())], names=["at", "bits"])
-
-    found = kept.select("lang", "term").mapInArrow(run, spec).groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(CELLS // 8, np.uint8)
-    out[found.column("at").to_numpy()] = found.column("bits").to_numpy().astype(np.uint8)
-    return out
-
-
-def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(lang, term) of every term met in ``min_docs`` documents of its language; terms as bytes."""
-    sc = docs.sparkSession.sparkContext
-    before, level, bits, out = 0, FIRST_LEVEL, None, []
-    while True:
-        found = written(prefix_docs(docs, level, before, bits).filter(F.col("n") >= min_docs))
-        out.append(found.filter("whole").select("lang", "term"))
-        left = found.filter(~F.col("whole"))
-        if left.isEmpty():
-            break
-        bits = sc.broadcast(bit_map(left))
-        before, level = level, 2 * level
-    kept = out[0]
-    for more in out[1:]:
-        kept = kept.unionByName(more)
-    return kept
-
-
-def term_counts(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """(lang, source, term, n > 0): occurrences of the kept terms in each source."""
-    schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()), T.StructField("term", T.BinaryType()), T.StructField("n", T.LongType())])
-    bits = docs.sparkSession.sparkContext.broadcast(bit_map(kept))
-
-    def tell(rows, code, terms, langs, sources):
-        size = max(len(terms), 1)
-        group, names = _coded(list(zip(langs, sources)))
-        for g, c, n in zip(*_sums(group[rows], code, size)):
-            if alive(bits.value, names[g][0], terms[c]):
-                yield (*names[g], terms[c]), n
-
-    return _batches(docs, schema, tell).groupBy("lang", "source", "term").agg(F.sum("n").alias("n")).join(kept, ["lang", "term"], "left_semi")
+            for part in cut_batch(batch, ["text"], SLICE_BYTES):
+                text, lang, source = (part.column(part.schema.get_field_index(c)) for c in ("text", "lang", "source"))
+                rows, code, names = terms_of(text)
+                if not len(code):
+                    continue
+                lang_of, langs = _codes(lang)
+                source_of, sources = _codes(source)
+                group_of, groups = lang_of * len(sources) + source_of, len(langs) * len(sources)
+                size = len(names)
+                # distinct terms of each document, then of each group
+                pairs, times = np.unique(rows * size + code, return_counts=True)
+                row, code = pairs // size, pairs % size
+                key, at, docs_in = np.unique(group_of[row] * size + code, return_inverse=True, return_counts=True)
+                n = np.bincount(at, times, len(key)).astype(np.int64)
+                g, c = key // size, key % size
+                assert groups > g.max()
+                yield batch_of(0, langs.take(pa.array(g // len(sources))), sources.take(pa.array(g % len(sources))), names.take(pa.array(c)), docs_in, n)
+                length, level = pc.binary_length(names).to_numpy(zero_copy_only=False), FIRST_LEVEL
+                while (longer := length[code] > level).any():
+                    row, code = row[longer], code[longer]
+                    begins = np.flatnonzero(length > level)
+                    number, prefixes = _codes(pc.binary_slice(names.take(pa.array(begins)), 0, level))
+                    prefix_of = np.zeros(size, np.int64)
+                    prefix_of[begins] = number
+                    met = np.unique(row * len(prefixes) + prefix_of[code])
+                    key, docs_in = np.unique(lang_of[met // len(prefixes)] * len(prefixes) + met % len(prefixes), return_counts=True)
+                    yield batch_of(level, langs.take(pa.array(key // len(prefixes))), None, prefixes.take(pa.array(key % len(prefixes))), docs_in, np.zeros(len(key), np.int64))
+                    level *= 2
+
+    return docs.select("text", "lang", "source").mapInArrow(run, SUMS)
+
+
+def refined(sums: DataFrame, min_docs: int) -> DataFrame | None:
+    """(lang, prefix) of every prefix, of any level, that ``min_docs`` documents and no discarded prefix hold; None: no term is longer than the first level."""
+    levels = sorted(r["level"] for r in sums.select("level").distinct().collect() if r["level"])  # doubling lengths: a few dozen at most
+    left = None
+    for level in levels:
+        rows = sums.filter(F.col("level") == level).select("lang", F.col("term").alias("prefix"), "docs")
+        if level > FIRST_LEVEL:
+            before = left.filter(F.octet_length("prefix") == level // 2).withColumnRenamed("prefix", "head")
+            rows = rows.withColumn("head", F.substring("prefix", 1, level // 2)).join(before, ["lang", "head"], "left_semi")
+        found = written(rows.groupBy("lang", "prefix").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= min_docs).select("lang", "prefix"))
+        left = found if left is None else left.unionByName(found)
+    return left
+
+
+def term_counts(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(lang, source, term, n): occurrences by source of the terms met in ``min_docs`` documents of their language; terms as bytes."""
+    sums = written(slice_sums(docs), partition_by="level")
+    left = refined(sums, min_docs)
+    whole = sums.filter("level = 0").select("lang", "source", "term", "docs", "n")
+    if left is not None:
+        # the longest level below the term's length; terms within the first level have no prefix to look for
+        size = F.octet_length("term")
+        power = F.floor(F.log2((size - 1) / FIRST_LEVEL) + 1e-9)
+        whole = whole.withColumn("prefix", F.when(size > FIRST_LEVEL, F.substring(F.col("term"), F.lit(1), (FIRST_LEVEL * F.pow(F.lit(2), power)).cast("int"))))
+        short = whole.filter("prefix IS NULL").drop("prefix")
+        whole = whole.filter("prefix IS NOT NULL").join(left, ["lang", "prefix"], "left_semi").drop("prefix").unionByName(short)
+    by_source = written(whole.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")))
+    kept = by_source.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= min_docs).select("lang", "term")
+    return by_source.drop("docs").join(kept, ["lang", "term"], "left_semi")
 
 
 def share(n: Column, total: Column, kept: Column) -> Column:
@@ -186,7 +147,7 @@ def distance(p: Column, q: Column) -> Column:
 def pair_sums(counts: DataFrame, groups: DataFrame) -> DataFrame:
     """(lang, a, b, seen, value): for source numbers a < b, f summed over the terms of one group of terms that a block of sources has.
 
-    ``counts`` has lang, term, s (number of the source in its language), p; ``groups`` lang, s, zero (p of a count of 0), salt_n.
+    ``counts`` has lang, term, s (number of the source in its language), p; ``groups`` lang, s, zero (p of a count of 0); both the language's top (last block) and salt_n.
     Each count meets its block of sources once for each other block, never each other source."""
     schema = T.StructType([T.StructField("lang", T.StringType())] + [T.StructField(n, T.LongType()) for n in ("i", "j", "a", "b", "seen", "value")])
 
@@ -221,12 +182,11 @@ def pair_sums(counts: DataFrame, groups: DataFrame) -> DataFrame:
         out += [pa.array(v, pa.int64()) for v in (np.full(there.sum(), i), np.full(there.sum(), j), x[there], y[there], np.full(there.sum(), m), total[there])]
         return pa.table(out, names=schema.fieldNames())
 
-    n_blocks = groups.groupBy("lang").agg((F.max("s").cast("long") / BLOCK).cast("long").alias("top"), F.max("salt_n").alias("salt_n"))
     # block pairs (i, j), i <= j, that hold a block
     mine = F.expr(f"transform(sequence(0L, top), z -> struct(least(z, floor(s / {BLOCK})) AS i, greatest(z, floor(s / {BLOCK})) AS j))")
-    body = counts.join(n_blocks, "lang").withColumn("salt", F.pmod(F.xxhash64("term"), F.col("salt_n")))
+    body = counts.withColumn("salt", F.pmod(F.xxhash64("term"), F.col("salt_n")))
     body = body.select("lang", F.explode(mine).alias("ij"), "salt", F.lit(1).alias("kind"), "s", "p", "term")
-    head = groups.select("lang", "s", "zero").join(n_blocks, "lang").withColumn("salt", F.explode(F.expr("sequence(0L, salt_n - 1)")))
+    head = groups.withColumn("salt", F.explode(F.expr("sequence(0L, salt_n - 1)")))
     head = head.select("lang", F.explode(mine).alias("ij"), "salt", F.lit(0).alias("kind"), "s", F.col("zero").alias("p"), F.lit(None).cast("binary").alias("term"))
     both = body.unionByName(head).select("lang", "ij.i", "ij.j", "salt", "kind", "s", "p", "term")
     return both.groupBy("lang", "i", "j", "salt").applyInArrow(run, schema).groupBy("lang", "a", "b").agg(F.sum("seen").alias("seen"), F.sum("value").alias("value"))
@@ -235,19 +195,18 @@ def pair_sums(counts: DataFrame, groups: DataFrame) -> DataFrame:
 def audit(df: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> DataFrame:
     """lang, source, part, item, value, rank: for each (lang, source), every other source by distance, and the ``top`` terms above the language."""
     docs = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
-    kept = written(kept_terms(docs, min_docs))
-    counts = written(term_counts(docs, kept))
-    size = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"))
+    counts = written(term_counts(docs, min_docs))
+    kept = counts.select("lang", "term").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("kept"))
     groups = docs.select("lang", "source").distinct().join(counts.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("met")), ["lang", "source"], "left")
-    groups = groups.join(size, "lang", "left").na.fill(0, ["total", "met", "kept"])
-    salt_n = F.floor(F.sum("met").over(Window.partitionBy("lang")) / GROUP_ROWS) + 1
-    number = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
-    groups = written(groups.withColumn("s", number.cast("long")).withColumn("salt_n", salt_n.cast("long"))
-                     .withColumn("zero", F.when(F.col("kept") > 0, share(F.lit(0).cast("long"), F.col("total"), F.col("kept"))).otherwise(1)))
-    shares = written(counts.join(groups.select("lang", "source", "s", "total", "kept"), ["lang", "source"])
-                     .withColumn("p", share(F.col("n"), F.col("total"), F.col("kept"))).select("lang", "source", "s", "term", "n", "p"))
-
-    sums = pair_sums(shares.select("lang", "s", "p", "term"), groups)
+    groups = groups.join(kept, "lang", "left").na.fill(0, ["total", "met", "kept"])
+    of_lang = Window.partitionBy("lang")  # a row for each source: as many as the report has for each of them
+    groups = groups.select("*", (F.row_number().over(of_lang.orderBy("source")) - 1).cast("long").alias("s"), F.sum("total").over(of_lang).alias("all_total"),
+                           (F.floor((F.count(F.lit(1)).over(of_lang) - 1) / BLOCK)).cast("long").alias("top"), (F.floor(F.sum("met").over(of_lang) / GROUP_ROWS) + 1).cast("long").alias("salt_n"))
+    groups = written(groups.withColumn("zero", F.when(F.col("kept") > 0, share(F.lit(0).cast("long"), F.col("total"), F.col("kept"))).otherwise(1)))
+    shown = F.broadcast(groups) if groups.count() <= BROADCAST_GROUPS else groups
+    shares = written(counts.join(shown, ["lang", "source"]).withColumn("p", share(F.col("n"), F.col("total"), F.col("kept"))))
+
+    sums = pair_sums(shares, groups)
     facts = groups.select("lang", "s", "source", "zero", "kept")
     a = facts.select("lang", F.col("s").alias("a"), F.col("source").alias("a_source"), F.col("zero").alias("a_zero"), "kept")
     b = facts.select("lang", F.col("s").alias("b"), F.col("source").alias("b_source"), F.col("zero").alias("b_zero"))
@@ -257,10 +216,10 @@ def audit(df: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> DataFrame:
     pair = both.select("lang", F.col("a_source").alias("source"), F.col("b_source").alias("item"), "value").unionByName(
         both.select("lang", F.col("b_source").alias("source"), F.col("a_source").alias("item"), "value")).withColumn("part", F.lit("pair"))
 
-    whole = shares.groupBy("lang", "term").agg(F.sum("n").alias("all_n"))
-    all_total = shares.groupBy("lang").agg(F.sum("n").alias("all_total")).join(size, "lang")
-    q = whole.join(all_total, "lang").select("lang", "term", share(F.col("all_n"), F.col("all_total"), F.col("kept")).alias("q"))
-    term = shares.join(q, ["lang", "term"]).filter("p > q").select("lang", "source", F.col("term").cast("string").alias("item"), distance(F.col("p"), F.col("q")).alias("value"))
+    q = shares.groupBy("lang", "term").agg(F.sum("n").alias("all_n"), F.max("all_total").alias("all_total"), F.max("kept").alias("kept"))
+    q = q.select("lang", "term", share(F.col("all_n"), F.col("all_total"), F.col("kept")).alias("q"))
+    term = shares.select("lang", "source", "term", "p").join(q, ["lang", "term"]).filter("p > q").select(
+        "lang", "source", F.col("term").cast("string").alias("item"), distance(F.col("p"), F.col("q")).alias("value"))
     by = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     term = term.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= top).withColumn("part", F.lit("term"))
     out = ["lang", "source", "part", "item", F.col("value").cast("long").alias("value"), "rank"]
