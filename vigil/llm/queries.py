@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, dawg, divergence, fingerprint, langid, licenses, mixing, neardup, oracles, quality, suffix, toxicity, warc
+from vigil.llm import bpe, dawg, divergence, fingerprint, langid, licenses, mixing, neardup, oracles, packing, quality, suffix, toxicity, warc
 from vigil.llm.common import held_out, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +121,9 @@ def op13(spark, sf_dir):
 @register("op12_source_divergence", oracles.DIVERGENCE)
 def op12(spark, sf_dir):
     return divergence.audit(read(spark, sf_dir, "documents").select("text", "lang", "source"), min_docs=10, top=10)
+
+
+@register("op11_best_fit_packing")
+def op11(spark, sf_dir):
+    packed, _ = packing.pack(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(), size=1024, end=2)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
