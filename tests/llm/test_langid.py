@@ -46,3 +46,16 @@ def test_edge_rows_and_empty_tables(edge, empty, edge_rows):
     assert len(out) == len(edge_rows) and all(r["lang_pred"] == "und" and r["score"] == 0 for r in out if not (r["text"] or "").strip())
     assert langid.label(empty, model).count() == 0
     assert {r["lang_pred"] for r in langid.label(edge, langid.train(empty)).collect()} == {"und"}
+
+
+def test_more_languages_than_a_byte_counts(spark):
+    """200 languages of one word each: all are told apart, and their spans name them."""
+    words = ["".join(chr(97 + (i * k) % 26) for k in (1, 3, 7, 11, 17)) + chr(97 + i // 26) * 3 for i in range(200)]
+    rows = [(i + 200 * j, " ".join([w] * 8), f"l{i:03d}") for i, w in enumerate(words) for j in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(df)
+    assert len(model["langs"]) > 190
+    out = langid.label(df, model).collect()
+    assert all(s["lang"] in model["langs"] for r in out for s in r["spans"])
+    known = [r for r in out if r["lang"] in model["langs"]]
+    assert sum(r["lang_pred"] == r["lang"] for r in known) > 0.95 * len(known)

@@ -22,11 +22,12 @@ def groups(lens: np.ndarray):
 
 def viterbi(scores: np.ndarray, lens: np.ndarray, penalty: float) -> np.ndarray:
     """Best state of each position, for scores (positions x states) and a penalty for each change of state."""
-    out = np.zeros(len(scores), np.int8)
+    kind = np.int16 if scores.shape[1] < 1 << 15 else np.int32
+    out = np.zeros(len(scores), kind)
     for _, at, inside in groups(lens):
         s = scores[at] * inside[:, :, None]  # steps beyond the end change no maximum
         steps, m = at.shape
-        best, stay, back = np.zeros((m, scores.shape[1]), s.dtype), np.ones(s.shape, bool), np.zeros((steps, m), np.int8)
+        best, stay, back = np.zeros((m, scores.shape[1]), s.dtype), np.ones(s.shape, bool), np.zeros((steps, m), kind)
         for t in range(steps):
             if t:
                 top = best.max(1, keepdims=True) - penalty
@@ -34,7 +35,7 @@ def viterbi(scores: np.ndarray, lens: np.ndarray, penalty: float) -> np.ndarray:
                 stay[t] = best >= top
                 np.maximum(best, top, out=best)
             best = best + s[t]
-        state, col, path = best.argmax(1), np.arange(m), np.zeros((steps, m), np.int8)
+        state, col, path = best.argmax(1), np.arange(m), np.zeros((steps, m), kind)
         for t in range(steps - 1, -1, -1):
             path[t] = state
             state = np.where(stay[t, col, state], state, back[t])
