@@ -13,7 +13,7 @@ def sha(x):
 
 def tree(text):
     root, out = "", []
-    for section in re.split("\n[ \t]*\n", text):
+    for section in text.split("\n\n"):
         paras, shown = "", []
         for line in section.split("\n"):
             ds = [sha(p) for p in (re.findall(fingerprint.PIECES.replace("\\s", "[ \t\n\x0b\f\r]"), line) if line else [""])]
@@ -54,6 +54,12 @@ def test_odd_texts(spark, tmp_path):
     check(queries.QUERIES["op3_fingerprints"](spark, one).collect(), docs[1:2])
 
 
+def test_blank_lines_count(spark):
+    texts = ["a\n\nb", "a\n \t\nb", "a\n\n\nb", "a\n\n \nb", "a\nb", "a\n\nb "]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(fingerprint.fingerprint(F.col("t")).alias("p"))
+    assert len({r["p"].partition(":")[0] for r in df.collect()}) == len(texts)
+
+
 def test_branches_that_differ(spark):
     a, b = "x. y\nz\n\nq\nr", "x. y\nZ\n\nq\nr\nnew"
     df = spark.createDataFrame([(a, b), (a, a)], "a string, b string").select(fingerprint.fingerprint(F.col("a")).alias("a"), fingerprint.fingerprint(F.col("b")).alias("b"))

@@ -47,7 +47,7 @@ def fingerprint(text: Column) -> Column:
     def section(part):
         return node(F.transform(F.split(part, "\n"), paragraph))(",")
 
-    sections = F.transform(F.split(F.coalesce(text, F.lit("")), "\n[ \\t]*\n"), section)
+    sections = F.transform(F.split(F.coalesce(text, F.lit("")), "\n\n"), section)
     return let(node(sections)(";"), lambda root: F.concat(root["d"], F.lit(":"), root["s"]))
 
 

@@ -39,7 +39,7 @@ def tree_sql(text: str) -> str:
     """The fingerprint of a text, level by level, as in the definition."""
     pieces = f"CASE WHEN l = '' THEN [''] ELSE regexp_extract_all(l, {quoted(fingerprint.PIECES)}) END"
     paras = f"list_transform(string_split(s, chr(10)), lambda l: list_transform({pieces}, lambda p: sha256(p)))"
-    return f"list_transform(regexp_split_to_array({text}, {quoted(chr(10) + '[ ' + chr(9) + ']*' + chr(10))}), lambda s: {paras})"
+    return f"list_transform(string_split({text}, chr(10) || chr(10)), lambda s: {paras})"
 
 
 def print_sql(tree: str) -> str:
