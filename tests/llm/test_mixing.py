@@ -38,6 +38,23 @@ def test_query_meets_the_targets(spark, small_rows):
         assert abs(taken[s] - want[s]) <= max(size[i] for i in size if source[i] == s)
 
 
+def test_equal_and_missing_ids_in_any_order(spark):
+    """Ties of the seeded order are settled by the rows themselves, and a source without ids still comes near its target."""
+    def mixed(rows, share):
+        docs = spark.createDataFrame(rows, "doc_id long, source string, size long, tag string").coalesce(1)
+        weights = spark.createDataFrame([("a", 1.0), ("b", 1.0)], "source string, weight double")
+        return mixing.mix(docs, weights, "doc_id", "source", "size", share, 2.0).collect()
+
+    rows = [(7, "a", 10, "x"), (7, "a", 1, "y"), (7, "b", 100, "z")]
+    one, two = mixed(rows, 8 / 111), mixed(rows[::-1], 8 / 111)
+    assert sorted(map(str, one)) == sorted(map(str, two))
+    rows = [(None, "a", 10, f"t{i}") for i in range(200)] + [(i, "b", 10, "t") for i in range(200)]
+    one, two = mixed(rows, 0.5), mixed(rows[::-1], 0.5)
+    assert sorted(map(str, one)) == sorted(map(str, two))
+    for s in "ab":
+        assert abs(sum(r["taken"] for r in one if r["source"] == s) - 1000) <= 10
+
+
 def test_edge_rows_and_empty_table(spark, edge, empty, edge_rows):
     def mixed(df):
         docs = df.select("doc_id", "source", mixing.word_count("text").alias("size"))

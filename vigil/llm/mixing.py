@@ -7,7 +7,8 @@ come first in a seeded order of the source, as long as the fractional part of th
 source's amount is off its target by less than one document, and reruns take the same documents.
 
 Sizes are whole numbers. A null source is a source of its own, a null size counts as 0; sources of size 0 get the
-target 0. Rows with equal keys come first or last together. Tables without rows give none. Only the listed columns are read.
+target 0. Rows with equal keys (or none) go by a hash of all their columns; rows equal in every column are taken or left
+together. Tables without rows give none. A column of ``docs`` that has the name of a result column is left out; others keep their names.
 """
 
 from __future__ import annotations
@@ -52,7 +53,8 @@ def targets(sources: DataFrame, total: float, epochs: float) -> DataFrame:
 
 def plan(docs: DataFrame, weights: DataFrame, key: str, source: str, size: str, share: float, epochs: float, seed: int) -> DataFrame:
     """One row per source: its target, its whole repetitions, and where the additional one ends (slice and order number)."""
-    rows = written(docs.select(F.col(source).alias("__source"), F.coalesce(F.col(size), F.lit(0)).cast("long").alias("__size"), order_number(key, seed).alias("__u")).withColumn("__slice", slice_of(F.col("__u"))))
+    rows = written(docs.select(F.col(source).alias("__source"), F.coalesce(F.col(size), F.lit(0)).cast("long").alias("__size"), order_number(key, seed).alias("__u"), tie_number(docs).alias("__v"))
+                   .withColumn("__slice", slice_of(F.col("__u"))))
     slices = written(rows.groupBy("__source", "__slice").agg(F.sum("__size").alias("slice_size")))
     per_source = slices.groupBy("__source").agg(F.sum("slice_size").alias("source_size"))
     weighed = written(per_source.join(weights.select(F.col(source).alias("__name"), "weight"), F.col("__source").eqNullSafe(F.col("__name")), "left")
@@ -67,10 +69,12 @@ def plan(docs: DataFrame, weights: DataFrame, key: str, source: str, size: str,
            .filter((F.col("before") < F.col("extra")) & (F.col("before") + F.col("slice_size") >= F.col("extra"))).groupBy("__name").agg(F.max(F.struct("__slice", "before", "extra")).alias("cut")))
     # the slice that the cut falls in, in its seeded order: a document is taken while more than half of it fits
     inside = rows.join(cut.select("__name", "cut.*").withColumnRenamed("__slice", "cut_slice"), F.col("__source").eqNullSafe(F.col("__name")) & (F.col("__slice") == F.col("cut_slice")))
-    upto = F.col("before") + F.sum("__size").over(Window.partitionBy("__source").orderBy("__u").rowsBetween(Window.unboundedPreceding, 0))
-    last = inside.withColumn("upto", upto).filter(F.col("upto") - F.col("__size") / 2 <= F.col("extra")).groupBy("__name").agg(F.max("__u").alias("cut_u"))
-    found = cut.join(last.withColumnRenamed("__name", "__n"), F.col("__name").eqNullSafe(F.col("__n")), "left").select(F.col("__name").alias("__m"), F.col("cut.__slice").alias("cut_slice"), "cut_u")
-    return written(aims.join(found, F.col("__name").eqNullSafe(F.col("__m")), "left").select("__name", "source_size", "target", "whole", "extra", "cut_slice", "cut_u"))
+    # rows equal in all columns are one unit, so no order among them can matter
+    units = inside.groupBy("__name", "before", "extra", "__u", "__v").agg(F.sum("__size").alias("__size"))
+    upto = F.col("before") + F.sum("__size").over(Window.partitionBy("__name").orderBy("__u", "__v").rowsBetween(Window.unboundedPreceding, 0))
+    last = units.withColumn("upto", upto).filter(F.col("upto") - F.col("__size") / 2 <= F.col("extra")).groupBy("__name").agg(F.max(F.struct("__u", "__v")).alias("cut_at"))
+    found = cut.join(last.withColumnRenamed("__name", "__n"), F.col("__name").eqNullSafe(F.col("__n")), "left").select(F.col("__name").alias("__m"), F.col("cut.__slice").alias("cut_slice"), "cut_at")
+    return written(aims.join(found, F.col("__name").eqNullSafe(F.col("__m")), "left").select("__name", "source_size", "target", "whole", "extra", "cut_slice", "cut_at"))
 
 
 def order_number(key: str, seed: int) -> Column:
@@ -79,6 +83,11 @@ def order_number(key: str, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
+def tie_number(docs: DataFrame) -> Column:
+    """Orders rows with equal keys (or none): a hash of all columns."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def slice_of(u: Column) -> Column:
     return F.pmod(F.shiftright(u, 40), F.lit(SLICES)).cast("int")
 
@@ -89,10 +98,12 @@ def mix(docs: DataFrame, weights: DataFrame, key: str, source: str, size: str, s
     ``share``: the mix in parts of the sum of all sizes. ``weights`` has one row per source: source, weight. A row's
     copies follow from its key and its source's row of the plan, so the documents are joined with one row per source.
     """
-    own = [c for c in docs.columns if c not in ("source_size", "target", "copies", "taken")]
+    own = [f"`{c}`" for c in docs.columns if c not in ("source_size", "target", "copies", "taken")]
+    docs = docs.select(*own)
     p = plan(docs, weights, key, source, size, share, epochs, seed)
     u = order_number(key, seed)
-    more = (F.col("extra") > 0) & ((slice_of(u) < F.col("cut_slice")) | ((slice_of(u) == F.col("cut_slice")) & (u <= F.coalesce("cut_u", F.lit(-(2**63))))))
-    copies = F.least(F.col("whole") + F.coalesce(more, F.lit(False)).cast("long"), F.lit(int(epochs)))
+    more = (F.col("__p_extra") > 0) & ((slice_of(u) < F.col("__p_cut_slice")) | ((slice_of(u) == F.col("__p_cut_slice")) & F.coalesce(F.struct(u.alias("__u"), tie_number(docs).alias("__v")) <= F.col("__p_cut_at"), F.lit(False))))
+    copies = F.least(F.col("__p_whole") + F.coalesce(more, F.lit(False)).cast("long"), F.lit(int(epochs)))
+    p = p.toDF(*[c if c.startswith("__") else f"__p_{c}" for c in p.columns])
     joined = docs.join(p, F.col(source).eqNullSafe(F.col("__name")))
-    return joined.select(*own, "source_size", "target", copies.alias("copies"), (F.coalesce(F.col(size), F.lit(0)) * copies).alias("taken"))
+    return joined.select(*own, F.col("__p_source_size").alias("source_size"), F.col("__p_target").alias("target"), copies.alias("copies"), (F.coalesce(F.col(size), F.lit(0)) * copies).alias("taken"))
