@@ -9,11 +9,14 @@ one's ``docs``. All but the last return the columns of ``documents``. Stages wor
 - mixing: every document is repeated as often as the mix takes it, 0 to 2 times, so repeated rows are meant;
 - tokenizing: the ids of each text, and whether they decode to it again.
 
-A table without rows passes through as one; nulls are treated as each operator states.
+A table without rows passes through as one; nulls are treated as each operator states. Extra columns of any name pass
+every stage unchanged (the last stage's own four columns replace columns of their names).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,20 +35,35 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return neardup.deduplicated(docs, neardup.classes(docs))
 
 
+def by_place(docs: DataFrame) -> tuple[DataFrame, list[str], Callable[[str], str]]:
+    """``docs`` under names that no operator uses, these names, and the new name of a column: extra columns never clash."""
+    names = [f"__c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), names, lambda c: names[docs.columns.index(c)]
+
+
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return suffix.dedup(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    plain, names, place = by_place(docs)
+    left = suffix.dedup(plain, place("doc_id"), place("text"))
+    if "n_chars" in docs.columns:
+        left = left.withColumn(place("n_chars"), F.length(place("text")).cast("long"))
+    return left.select(*names).toDF(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    sized = docs.withColumn("__size", mixing.word_count("text"))
-    mixed = mixing.mix(sized, mixing.ranked_weights(docs, "source", WEIGHTS), "doc_id", "source", "__size", SHARE, EPOCHS)
-    return mixed.filter("copies > 0").withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    plain, names, place = by_place(docs)
+    sized = plain.withColumn("__size", mixing.word_count(place("text")))
+    mixed = mixing.mix(sized, mixing.ranked_weights(plain, place("source"), WEIGHTS), place("doc_id"), place("source"), "__size", SHARE, EPOCHS)
+    again = mixed.filter("copies > 0").withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return again.select(*names).toDF(*docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    coded = bpe.decode(bpe.encode(docs, tokenizer_path()), tokenizer_path())
-    return coded.select(*docs.columns, "ids", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-                        F.sha2("decoded", 256).alias("decoded_sha256"))
+    """The columns of ``docs``, ids, n_tokens, ids_sha256 and decoded_sha256; a column of ``docs`` with one of these four names gives way."""
+    plain, names, place = by_place(docs)
+    coded = bpe.decode(bpe.encode(plain, tokenizer_path(), place("text")), tokenizer_path())
+    result = [F.col("ids"), (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")]
+    own = [F.col(n).alias(c) for n, c in zip(names, docs.columns) if c not in ("ids", "n_tokens", "ids_sha256", "decoded_sha256")]
+    return coded.select(*own, *result)
 
 
 STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup), ("suffix_dedup", suffix_dedup), ("mixing", mix_sources), ("bpe", tokenize)]
