@@ -4,6 +4,8 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
+from pyspark.sql import Row
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -74,6 +76,23 @@ def test_stages_equal_brute_force(spark, small_rows):
         assert r["decoded_sha256"] == hashlib.sha256(r["text"].encode()).hexdigest()
 
 
+def test_extra_columns_pass_every_stage(spark, edge):
+    """Columns named like inner and output columns of the operators come out as they went in."""
+    extra = ["doc", "target", "copies", "taken", "source_size", "spans", "n_removed", "n_bytes", "n_spans", "kept_sha256", "__size", "size", "weight", "node", "class_id", "text_md5",
+             "cut_slice", "whole", "extra", "decoded", "n_words", "base_failed", "kept", "value", "rate", "bucket", "fence", "lo", "hi", "key", "rows", "__key", "__text"]
+    docs = edge.select("doc_id", "text", "lang", "source", "n_chars").filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    fine = spark.createDataFrame([(50 + k, " ".join(f"w{i}x{k}" for i in range(60)), "en", "s", 1) for k in range(4)], docs.schema)
+    docs = docs.unionByName(fine)
+    tagged = docs.select("*", *[F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in extra])
+    for name, stage in corpus_pipeline.STAGES:
+        plain, more = stage(spark, written(docs), SMALL), stage(spark, written(tagged), SMALL)
+        assert more.columns == docs.columns + extra + (["ids", "n_tokens", "ids_sha256", "decoded_sha256"] if name == "bpe" else [])
+        rows = [r.asDict() for r in more.collect()]
+        assert rows and all(r[c] == f"{c}{r['doc_id']}" for r in rows for c in extra), name
+        if name != "mixing":  # rows tie by all their columns there
+            assert Counter(map(str, plain.collect())) == Counter(str(Row(**{c: r[c] for c in plain.columns})) for r in rows), name
+
+
 def test_run_on_edge_rows_and_an_empty_table(spark, edge, empty, tmp_path):
     fine = [(50 + k, " ".join(f"w{i}x{k}" for i in range(60)), None, [None, "s"][k % 2], 1, 7, None, None) for k in range(4)]
     for name, df in (("edge", edge.unionByName(spark.createDataFrame(fine, edge.schema))), ("empty", empty)):
