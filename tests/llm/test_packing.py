@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from vigil.llm import packing
+from vigil.llm import bpe, packing
 from vigil.llm.queries import tokenizer_path
 
 
@@ -79,6 +79,13 @@ def rows_of(texts, size=1024):
     return out
 
 
+def test_ids_of_odd_texts():
+    tables = bpe.load(tokenizer_path())
+    encode, other = packing.ids_of(tables), bpe.Encoder(tables)
+    for text in ("", " " * 1_500_000 + "x", "\n" * 1_200_000, "a  b\n\n  c<|endoftext|> <|endoftext|>x", "\u0085  x　y", "'s I'll 123 ½²³ éá", "a" * 200_000):
+        assert encode(text).tolist() == other([text])[0].tolist()
+
+
 def test_pieces_and_places(spark, edge, edge_rows, empty):
     for size in (1024, 16):
         clash = edge.withColumn("start", edge.doc_id).withColumn("sequence_id", edge.kept).withColumn("__task", edge.kept)

@@ -19,10 +19,12 @@ are kept under their own names unless a column of the result has that name; thos
 from __future__ import annotations
 
 import zlib
+from functools import lru_cache
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -214,6 +216,36 @@ PLACE = T.StructType([T.StructField("sequence_id", T.LongType()), T.StructField(
 INNER = ("__task", "__nth")
 
 
+@lru_cache(maxsize=2)
+def coder(ranks: tuple, special: tuple) -> tiktoken.Encoding:
+    """The byte-level BPE of a tokenizer file whose ids of merged tokens follow the order of the merges."""
+    return tiktoken.Encoding("packing", pat_str=bpe.PATTERN, mergeable_ranks=dict(ranks), special_tokens=dict(special))
+
+
+def vocabulary(t: bpe.Tables) -> tuple[tuple, tuple]:
+    """(bytes, id) of the plain tokens and (text, id) of the special ones of a tokenizer file."""
+    if np.any(np.diff(t.made) <= 0):
+        raise ValueError("the ids of merged tokens must follow the order of the merges")
+    raw, special = t.token_bytes.tobytes(), set(t.special.values())
+    return tuple((raw[t.token_at[i]:t.token_at[i + 1]], i) for i in range(t.size) if i not in special and t.token_at[i] < t.token_at[i + 1]), tuple(t.special.items())
+
+
+def ids_of(tables: bpe.Tables):
+    """A function from a text to its ids. The library's pattern search has a bounded stack, which a run of a million
+    spaces passes; such texts are encoded by the operator in ``bpe``, to the same ids."""
+    encode, other = coder(*vocabulary(tables)).encode_to_numpy, []
+
+    def run(text: str) -> np.ndarray:
+        try:
+            return encode(text, allowed_special="all")
+        except ValueError:
+            if not other:
+                other.append(bpe.Encoder(tables))
+            return other[0]([text])[0]
+
+    return run
+
+
 def pieces(df: DataFrame, tokenizer: str, text: str = "text", size: int = SIZE, end: int = END) -> DataFrame:
     """A row for each piece of each document's ids and ``end``, with the columns of PIECE, the task that cut it and its number among the task's pieces of its length."""
     keep = [c for c in df.columns if c not in (text, *PIECE.fieldNames(), *PLACE.fieldNames(), *INNER)]
@@ -221,12 +253,12 @@ def pieces(df: DataFrame, tokenizer: str, text: str = "text", size: int = SIZE,
     shared = df.sparkSession.sparkContext.broadcast(bpe.load(tokenizer))
 
     def run(batches):
-        encoder, task, met = bpe.Encoder(shared.value), TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
+        encode, task, met = ids_of(shared.value), TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
         for batch in batches:
             for part in cut_batch(batch, [text]):
                 row, piece, start, length, crc, nth = [], [], [], [], [], []
-                for i, ids in enumerate(encoder(texts_of(part.column(part.schema.get_field_index(text))))):
-                    raw = np.append(ids, end).astype("<u4")
+                for i, t in enumerate(texts_of(part.column(part.schema.get_field_index(text)))):
+                    raw = np.append(encode(t), end).astype("<u4")
                     first = (len(raw) - 1) % size + 1
                     for p, lo in enumerate([0, *range(first, len(raw), size)]):
                         hi = first if p == 0 else lo + size
