@@ -52,7 +52,11 @@ def _result(scores: DataFrame, columns, stattest: str, threshold: float) -> Data
 
 
 def categorical_drift(ref: DataFrame, cur: DataFrame, columns, threshold: float = DRIFT_THRESHOLD) -> DataFrame:
-    counts = _side_counts(ref, cur, columns, "string")
+    return categorical_drift_of_counts(_side_counts(ref, cur, columns, "string"), columns, threshold)
+
+
+def categorical_drift_of_counts(counts: DataFrame, columns, threshold: float = DRIFT_THRESHOLD) -> DataFrame:
+    """The same from counts (column_name, value, nr, nc): rows of each value in the reference and in the current table."""
     totals = counts.groupBy("column_name").agg(F.sum("nr").alias("tr"), F.sum("nc").alias("tc")).filter("tr > 0 AND tc > 0")
     # one row per column: a bound fixed by the column list
     j = counts.join(F.broadcast(totals), "column_name")
@@ -73,7 +77,11 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, columns, threshold: float = DR
     buckets, no single-task window).  The distinct-value table is written to the
     checkpoint folder once; the reference's mean and std come from it too.
     """
-    vals = cut_lineage(_side_counts(ref, cur, columns, "double"))
+    return numeric_drift_of_counts(cut_lineage(_side_counts(ref, cur, columns, "double")), columns, threshold, n_buckets)
+
+
+def numeric_drift_of_counts(vals: DataFrame, columns, threshold: float = DRIFT_THRESHOLD, n_buckets: int | None = None) -> DataFrame:
+    """The same from counts (column_name, value, nr, nc), a table that is read several times."""
     rt = running_totals(vals, "value", ["nr", "nc"], by="column_name", n_buckets=n_buckets)
     contrib = (F.abs(F.try_divide(F.col("cum_nr"), F.col("total_nr")) - F.try_divide(F.col("cum_nc"), F.col("total_nc")))
                * (F.col("next_value") - F.col("value")))
@@ -119,10 +127,14 @@ def categorical_drift_by_day(ref: DataFrame, cur: DataFrame, columns, ts: str,
     """
     rs = _stack(ref, columns, "string").filter(_valid("string"))
     rc = rs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("nr"))
-    rt = rc.groupBy("column_name").agg(F.sum("nr").alias("tr"))
     cs = (_stack(cur.withColumn("data_date", F.to_date(ts)), columns, "string", keep=("data_date",))
           .filter(_valid("string")))
-    cc = cs.groupBy("data_date", "column_name", "value").agg(F.count(F.lit(1)).alias("nc"))
+    return categorical_drift_by_day_of_counts(rc, cs.groupBy("data_date", "column_name", "value").agg(F.count(F.lit(1)).alias("nc")), threshold)
+
+
+def categorical_drift_by_day_of_counts(rc: DataFrame, cc: DataFrame, threshold: float = DRIFT_THRESHOLD) -> DataFrame:
+    """The same from counts: of the reference (column_name, value, nr) and by day (data_date, column_name, value, nc)."""
+    rt = rc.groupBy("column_name").agg(F.sum("nr").alias("tr"))
     ct = cc.groupBy("data_date", "column_name").agg(F.sum("nc").alias("tc"))
     both = (cc.join(rc, ["column_name", "value"])
               .join(F.broadcast(rt), "column_name"))
@@ -202,8 +214,13 @@ def numeric_drift_by_day_sided(df: DataFrame, is_reference, columns, ts: str,
     rv = vals.filter("_ref").select("column_name", "value", F.col("n").alias("nr"))
     cv = vals.filter(~F.col("_ref")).select("column_name", F.col("_d").alias("data_date"), "value",
                                              F.col("n").alias("nc"))
+    return numeric_drift_by_day_of_counts(rv, cv, threshold, n_buckets)
+
+
+def numeric_drift_by_day_of_counts(rv: DataFrame, cv: DataFrame, threshold: float = DRIFT_THRESHOLD, n_buckets: int | None = None) -> DataFrame:
+    """The same from counts: of the reference (column_name, value, nr) and by day (column_name, data_date, value, nc)."""
     # one set of value-axis cut points (over both sides) for every value-ordered step below
-    vb = range_bounds(vals, "value", "column_name", n_buckets)
+    vb = range_bounds(rv.select("column_name", "value").unionByName(cv.select("column_name", "value")), "value", "column_name", n_buckets)
     knots = cut_lineage(_reference_knots(rv, n_buckets, vb))
     rstats = (knots.groupBy("column_name")
                    .agg(F.max("value").alias("r_max"), F.max_by("G", "value").alias("g_max")))

@@ -7,7 +7,7 @@ where identical copies collapse before they leave their task.
 
 from __future__ import annotations
 
-from itertools import combinations
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 from vigil.functions.parse import numeric_or_null
 from vigil.functions.text import strip_ws
+from vigil.operators.digest import column_digests, column_hashes, first_equal
+from vigil.operators.orderstats import most_frequent, quantiles, value_counts
 
 
 def _q(c: str) -> Column:
@@ -112,31 +114,18 @@ def column_checks(df: DataFrame) -> DataFrame:
     """Per column: n_missing, is_empty (all null), is_constant (≤ 1 distinct non-null value),
     duplicate_of (first earlier column with identical content, null-safe, same type).
 
-    One pass: null counts, min/max per column and a mismatch count per same-type
-    column pair, then an unpivot of the single result row.
+    One pass, linear in the columns: null counts, the least and greatest hash and an order-free digest per column
+    (``digest``), then an unpivot of the single result row. No text leaves its task.
     """
     fields = df.schema.fields
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, f in enumerate(fields):
-        aggs += [F.count_if(_q(f.name).isNull()).alias(f"_null{i}"),
-                 F.min(_q(f.name)).alias(f"_min{i}"), F.max(_q(f.name)).alias(f"_max{i}")]
-    pairs = [(i, j) for i, j in combinations(range(len(fields)), 2)
-             if fields[i].dataType == fields[j].dataType]
-    for i, j in pairs:
-        aggs.append(F.count_if(~_q(fields[i].name).eqNullSafe(_q(fields[j].name))).alias(f"_diff{i}_{j}"))
-    row = df.agg(*aggs)
+    row = column_hashes(df, [f.name for f in fields]).agg(F.count(F.lit(1)).alias("_rows"), *column_digests(len(fields)))
+    same = first_equal(fields)
     structs = []
     for j, f in enumerate(fields):
-        earlier = [i for i, jj in pairs if jj == j]
-        dup = F.lit(None).cast("string")
-        for i in reversed(earlier):  # the first earlier equal column wins
-            dup = F.when(F.col(f"_diff{i}_{j}") == 0, F.lit(fields[i].name)).otherwise(dup)
+        name_of = F.coalesce(*[F.when(same[j] == i, F.lit(fields[i].name)) for i in range(j)]) if j else F.lit(None).cast("string")
         structs.append(F.struct(
-            F.lit(j).alias("column_index"), F.lit(f.name).alias("column_name"),
-            F.col(f"_null{j}").alias("n_missing"),
-            (F.col(f"_null{j}") == F.col("_rows")).alias("is_empty"),
-            F.coalesce(F.col(f"_min{j}") == F.col(f"_max{j}"), F.lit(True)).alias("is_constant"),
-            dup.alias("duplicate_of")))
+            F.lit(j).alias("column_index"), F.lit(f.name).alias("column_name"), (F.col("_rows") - F.col(f"values{j}")).alias("n_missing"),
+            (F.col(f"values{j}") == 0).alias("is_empty"), F.coalesce(F.col(f"least{j}") == F.col(f"most{j}"), F.lit(True)).alias("is_constant"), name_of.alias("duplicate_of")))
     return row.select(F.explode(F.array(*structs)).alias("c")).select("c.*")
 
 
@@ -149,20 +138,77 @@ def dataset_checks(df: DataFrame) -> DataFrame:
     return per_col
 
 
+QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
+
+
+def _long(rows: DataFrame, stats: dict[str, tuple[Column | None, Column | None]]) -> DataFrame:
+    """One row per statistic (name: number or None, text or None) of each row of ``rows`` (column_name, ...)."""
+    none = (F.lit(None).cast("double"), F.lit(None).cast("string"))
+    cells = F.array(*[F.struct(F.lit(k).alias("stat"), (none[0] if v is None else v.cast("double")).alias("value"), (none[1] if t is None else t.cast("string")).alias("text"))
+                      for k, (v, t) in stats.items()])
+    return rows.select("column_name", F.inline(cells))
+
+
+def _moments(df: DataFrame, columns: list[str]) -> DataFrame:
+    """column_name, n_rows, count, mean, std, min, max of numeric columns (nulls and NaN are no values), in one aggregate of one row."""
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for i, c in enumerate(columns):
+        v = F.nanvl(_q(c).cast("double"), F.lit(None).cast("double"))
+        aggs += [F.count(v).alias(f"c{i}"), F.avg(v).alias(f"m{i}"), F.stddev_samp(v).alias(f"s{i}"), F.min(v).alias(f"l{i}"), F.max(v).alias(f"h{i}")]
+    return df.agg(*aggs).select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col("n").alias("n_rows"), F.col(f"c{i}").alias("count"), F.col(f"m{i}").alias("mean"),
+                                                            F.col(f"s{i}").alias("std"), F.col(f"l{i}").alias("min"), F.col(f"h{i}").alias("max")) for i, c in enumerate(columns)])))
+
+
+def _counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """column_name, n_rows, count of any columns."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(_q(c)).alias(f"c{i}") for i, c in enumerate(columns)])
+    return row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col("n").alias("n_rows"), F.col(f"c{i}").alias("count")) for i, c in enumerate(columns)])))
+
+
+def _quartile_rows(df: DataFrame, numeric: list[str]) -> DataFrame:
+    names = F.coalesce(*[F.when(F.col("prob") == p, F.lit(k)) for k, p in QUARTILES.items()])
+    return quantiles(df, numeric, list(QUARTILES.values())).select("column_name", names.alias("stat"), "value", F.lit(None).cast("string").alias("text"))
+
+
 def describe(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
-    """Long-form describe: (column_name, stat, value) — numeric: count/mean/std/min/max; other: count/unique."""
-    aggs = []
-    for c in numeric:
-        aggs += [F.count(_q(c)).cast("double").alias(f"{c}|count"), F.avg(_q(c)).alias(f"{c}|mean"),
-                 F.stddev_samp(_q(c)).alias(f"{c}|std"), F.min(_q(c)).cast("double").alias(f"{c}|min"),
-                 F.max(_q(c)).cast("double").alias(f"{c}|max")]
-    for c in categorical:
-        aggs += [F.count(_q(c)).cast("double").alias(f"{c}|count"),
-                 F.count_distinct(_q(c)).cast("double").alias(f"{c}|unique")]
-    row = df.agg(*aggs)
-    return row.select(F.explode(F.array(*[
-        F.struct(F.lit(a.split("|")[0]).alias("column_name"), F.lit(a.split("|")[1]).alias("stat"),
-                 F.col(f"`{a}`").alias("value")) for a in row.columns])).alias("s")).select("s.*")
+    """Long-form describe (column_name, stat, value, text). Numeric: count, mean, std, min, exact quartiles, max; other: count, unique, top (as text), freq."""
+    parts = []
+    if numeric:
+        c = F.col
+        parts += [_long(_moments(df, numeric), {"count": (c("count"), None), "mean": (c("mean"), None), "std": (c("std"), None), "min": (c("min"), None), "max": (c("max"), None)}),
+                  _quartile_rows(df, numeric)]
+    if categorical:
+        tops = _counts(df, categorical).join(most_frequent(value_counts(df, categorical)), "column_name", "left")
+        parts.append(_long(tops, {"count": (F.col("count"), None), "unique": (F.coalesce("n_unique", F.lit(0)), None), "top": (None, F.col("top")), "freq": (F.col("freq"), None)}))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def column_profile(df: DataFrame) -> DataFrame:
+    """Data-quality profile (column_name, stat, value, text) of every column by its type: count, missing, missing_share, unique, most_common and its share for all;
+    mean, std, min, exact quartiles and max for numbers; first and last for dates and timestamps (as text)."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    numeric = [n for n, t in kinds.items() if isinstance(t, T.NumericType)]
+    others = [n for n in kinds if n not in numeric]
+    times = [n for n in others if isinstance(kinds[n], (T.DateType, T.TimestampType, T.TimestampNTZType))]
+    c, share = F.col, lambda n: F.try_divide(n, F.col("n_rows"))
+
+    def common(numbers: bool) -> dict:
+        top = F.col("top")
+        return {"count": (c("count"), None), "missing": (c("n_rows") - c("count"), None), "missing_share": (share(c("n_rows") - c("count")), None),
+                "unique": (F.coalesce("n_unique", F.lit(0)), None), "most_common": (top, None) if numbers else (None, top), "most_common_share": (share(c("freq")), None)}
+
+    parts = []
+    if numeric:
+        rows = _moments(df, numeric).join(most_frequent(value_counts(df, numeric, "double")), "column_name", "left")
+        parts += [_long(rows, {**common(True), "mean": (c("mean"), None), "std": (c("std"), None), "min": (c("min"), None), "max": (c("max"), None)}), _quartile_rows(df, numeric)]
+    if others:
+        rows = _counts(df, others).join(most_frequent(value_counts(df, others)), "column_name", "left")
+        parts.append(_long(rows, common(False)))
+    if times:
+        ends = df.agg(*[f(_q(n)).cast("string").alias(f"{k}{i}") for i, n in enumerate(times) for k, f in (("a", F.min), ("z", F.max))])
+        rows = ends.select(F.inline(F.array(*[F.struct(F.lit(n).alias("column_name"), c(f"a{i}").alias("a"), c(f"z{i}").alias("z")) for i, n in enumerate(times)])))
+        parts.append(_long(rows, {"first": (None, c("a")), "last": (None, c("z"))}))
+    return reduce(DataFrame.unionByName, parts)
 
 
 # The basic data tests run after validation (name, condition, expected).
@@ -185,11 +231,13 @@ def basic_data_tests(df: DataFrame) -> DataFrame:
                  F.count_if(nulls == len(cols)).cast("double").alias("empty_rows"))
     cc = column_checks(df).agg(F.count_if("is_empty").cast("double").alias("empty_cols"),
                                F.count_if(F.col("duplicate_of").isNotNull()).cast("double").alias("dup_cols"))
-    r, c = row.collect()[0], cc.collect()[0]   # two one-row results
-    values = [r.n, (r.cells / (r.n * len(cols))) if r.n else None, r.empty_rows, c.empty_cols, c.dup_cols]
-    out = []
-    for i, ((name, cond, expected), v) in enumerate(zip(BASIC_TESTS, values)):
-        ok = v is not None and (v > expected if cond == "gt" else v == expected)
-        out.append((i, name, None if v is None else float(v), cond, expected, "SUCCESS" if ok else "FAIL"))
-    return df.sparkSession.createDataFrame(
-        out, "test_index int, test_name string, value double, condition string, expected double, status string")
+    c = F.col
+    # two one-row results side by side, as one row
+    both = row.unionByName(cc, allowMissingColumns=True).agg(*[F.first(x, ignorenulls=True).alias(x) for x in ("n", "cells", "empty_rows", "empty_cols", "dup_cols")])
+    values = [c("n"), F.try_divide(c("cells"), c("n") * len(cols)), c("empty_rows"), c("empty_cols"), c("dup_cols")]
+    tests = []
+    for i, ((name, condition, expected), v) in enumerate(zip(BASIC_TESTS, values)):
+        ok = v > expected if condition == "gt" else v == expected
+        tests.append(F.struct(F.lit(i).alias("test_index"), F.lit(name).alias("test_name"), v.cast("double").alias("value"), F.lit(condition).alias("condition"),
+                              F.lit(expected).alias("expected"), F.when(F.coalesce(ok, F.lit(False)), "SUCCESS").otherwise("FAIL").alias("status")))
+    return both.select(F.inline(F.array(*tests)))

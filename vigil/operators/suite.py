@@ -1,18 +1,20 @@
 """Daily test suite: per-day metrics checked against reference-derived or fixed conditions.
 
-The reference table yields one row of metrics (collected: a handful of
-numbers); every day of the current table is one group of a single grouped
-aggregate; the checks are column expressions on that per-day row and are then
-unpivoted to one row per (day, test).
+Both sides yield one row of sums per day, from a single grouped aggregate; the
+reference's rows add up to a handful of numbers (collected); the checks are
+column expressions on the per-day row and are then unpivoted to one row per
+(day, test).
 """
 
 from __future__ import annotations
 
-from itertools import combinations
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vigil.operators.cube import Cube, day_facts, merged_facts
+from vigil.operators.digest import first_equal
 from vigil.operators.drift import categorical_drift_by_day, numeric_drift_by_day, numeric_drift_by_day_sided
 
 # Relative tolerance of reference-derived conditions and the absolute floor.
@@ -46,20 +48,6 @@ def _q(c: str) -> Column:
     return F.col(f"`{c}`")
 
 
-def _mape(target: str, prediction: str) -> Column:
-    y, e = _q(target), _q(prediction) - _q(target)
-    return F.lit(100.0) * F.avg(F.when(y != 0, F.abs(e) / F.abs(y)))
-
-
-def _rmse(target: str, prediction: str) -> Column:
-    e = _q(prediction) - _q(target)
-    return F.sqrt(F.avg(e * e))
-
-
-def _null_cells(columns) -> Column:
-    return sum((_q(c).isNull().cast("long") for c in columns[1:]), _q(columns[0]).isNull().cast("long"))
-
-
 def _tol(r: float) -> float:
     return max(RELATIVE * abs(r), ABSOLUTE)
 
@@ -84,39 +72,11 @@ def daily_suite(ref: DataFrame, cur: DataFrame, ts: str, target: str, prediction
     The share of drifted columns covers ``categorical`` (Jensen-Shannon) and
     ``numeric`` (normed Wasserstein) columns, each day against the whole reference.
     ``source`` = (table, is_reference column) names the one table both sides come
-    from, so the numeric drift reads it in one pass instead of one per side. ``checks`` replaces conditions of CHECKS."""
-    fields = cur.schema.fields
-    columns = [f.name for f in fields]
-    ref_row = ref.agg(_mape(target, prediction).alias("mape"), _rmse(target, prediction).alias("rmse"),
-                      (F.sum(_null_cells(columns)) / (F.count(F.lit(1)) * len(columns))).alias("missing")
-                      ).collect()[0]
-    r_mape, r_rmse, r_missing = (ref_row["mape"], ref_row["rmse"], ref_row["missing"])
-    aggs = [F.count(F.lit(1)).alias("n_rows"), _mape(target, prediction).alias("mape"),
-            _rmse(target, prediction).alias("rmse"),
-            (F.sum(_null_cells(columns)) / (F.count(F.lit(1)) * len(columns))).alias("missing"),
-            F.count_if(sum((_q(c).isNull().cast("int") for c in columns[1:]), _q(columns[0]).isNull().cast("int"))
-                       == len(columns)).alias("empty_rows")]
-    for i, c in enumerate(columns):
-        aggs += [F.count(_q(c)).alias(f"_nn{i}"), F.min(_q(c)).alias(f"_mn{i}"), F.max(_q(c)).alias(f"_mx{i}")]
-    pairs = [(i, j) for i, j in combinations(range(len(fields)), 2) if fields[i].dataType == fields[j].dataType]
-    for i, j in pairs:
-        aggs.append(F.count_if(~_q(columns[i]).eqNullSafe(_q(columns[j]))).alias(f"_d{i}_{j}"))
-    day = cur.groupBy(F.to_date(_q(ts)).alias("data_date")).agg(*aggs)
-    const = sum((F.coalesce(F.col(f"_mn{i}") == F.col(f"_mx{i}"), F.lit(True)).cast("int")
-                 for i in range(len(columns))), F.lit(0))
-    empty = sum(((F.col(f"_nn{i}") == 0).cast("int") for i in range(len(columns))), F.lit(0))
-    dup_flags = []
-    for j in range(len(columns)):
-        earlier = [F.col(f"_d{i}_{jj}") == 0 for i, jj in pairs if jj == j]
-        if earlier:
-            any_eq = earlier[0]
-            for e in earlier[1:]:
-                any_eq = any_eq | e
-            dup_flags.append(any_eq.cast("int"))
-    dups = sum(dup_flags, F.lit(0)) if dup_flags else F.lit(0)
-    day = day.select("data_date", "n_rows", "mape", "rmse", "missing", "empty_rows",
-                     const.alias("constant_columns"), empty.alias("empty_columns"),
-                     dups.alias("duplicated_columns"))
+    from, so it is read in one pass instead of one per side. ``checks`` replaces conditions of CHECKS.
+    ``suite_of_cube`` gives the same from a kept count cube."""
+    sided = (source[0].withColumn("_ref", F.coalesce(source[1], F.lit(True))) if source is not None
+             else ref.withColumn("_ref", F.lit(True)).unionByName(cur.withColumn("_ref", F.lit(False))))
+    facts = day_facts(sided.withColumn("_day", F.to_date(_q(ts))), cur.schema.fields, target, prediction)
     per_column = []
     if categorical:
         per_column.append(categorical_drift_by_day(ref, cur, categorical, ts).select("data_date", "drift_detected"))
@@ -124,16 +84,35 @@ def daily_suite(ref: DataFrame, cur: DataFrame, ts: str, target: str, prediction
         nd = (numeric_drift_by_day_sided(source[0], source[1], numeric, ts) if source is not None
               else numeric_drift_by_day(ref, cur, numeric, ts))
         per_column.append(nd.select("data_date", "drift_detected"))
-    if per_column:
-        flags = per_column[0]
-        for extra in per_column[1:]:
-            flags = flags.unionByName(extra)
+    flags = reduce(DataFrame.unionByName, per_column) if per_column else None
+    return _suite(facts, flags, cur.schema.fields, len(ref.columns), checks)
+
+
+def suite_of_cube(cube: Cube, checks: dict | None = None) -> DataFrame:
+    """``daily_suite`` from a count cube: the monitored table itself is not read."""
+    return _suite(cube.facts(), cube.daily_drift().select("data_date", "drift_detected"), cube.schema.fields, len(cube.schema.fields), checks)
+
+
+def _suite(facts: DataFrame, flags: DataFrame | None, fields, n_reference_columns: int, checks: dict | None) -> DataFrame:
+    columns = [f.name for f in fields]
+    mape = F.lit(100.0) * F.try_divide(F.col("shares"), F.col("n_shares"))
+    rmse = F.sqrt(F.try_divide(F.col("squares"), F.col("n_squares")))
+    missing = F.try_divide(F.col("null_cells"), F.col("n_rows") * len(columns))
+    ref_row = merged_facts(facts.filter("is_reference"), []).select(mape.alias("mape"), rmse.alias("rmse"), missing.alias("missing")).first()  # three numbers
+    r_mape, r_rmse, r_missing = (ref_row["mape"], ref_row["rmse"], ref_row["missing"])
+    const = sum((F.coalesce(F.col(f"least{i}") == F.col(f"most{i}"), F.lit(True)).cast("int") for i in range(len(columns))), F.lit(0))
+    empty = sum(((F.col(f"values{i}") == 0).cast("int") for i in range(len(columns))), F.lit(0))
+    dups = sum((c.isNotNull().cast("int") for c in first_equal(fields)), F.lit(0))
+    day = merged_facts(facts.filter("NOT is_reference"), ["data_date"]).select(
+        "data_date", "n_rows", mape.alias("mape"), rmse.alias("rmse"), missing.alias("missing"), "empty_rows",
+        const.alias("constant_columns"), empty.alias("empty_columns"), dups.alias("duplicated_columns"))
+    if flags is not None:
         drift = flags.groupBy("data_date").agg(F.avg(F.col("drift_detected").cast("double")).alias("drift_share"))
         day = day.join(drift, "data_date", "left")
     else:
         day = day.withColumn("drift_share", F.lit(None).cast("double"))
 
-    of_reference = {"mape": r_mape, "rmse": r_rmse, "missing": r_missing, "n_columns": len(ref.columns)}
+    of_reference = {"mape": r_mape, "rmse": r_rmse, "missing": r_missing, "n_columns": n_reference_columns}
     day = day.withColumn("n_columns", F.lit(len(columns)))
     tests = []
     for name, (op, limit) in {**CHECKS, **(checks or {})}.items():

@@ -62,6 +62,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from vigil.operators import drift, profile, suite  # noqa: E402
 from vigil.plans.catalog import rnd  # noqa: E402
+from vigil.session import cut_lineage  # noqa: E402
 
 _SPLIT_SQL = f"""
     m AS ({mon.MONITORING_SQL}),
@@ -70,17 +71,12 @@ _SPLIT_SQL = f"""
 """
 
 
-def _split(spark, sf_dir):
-    m = mon.monitoring_table(spark, sf_dir)
-    return mon.reference_part(m), mon.current_part(m)
-
-
 def _stack_sql(src: str, cols, cast: str, extra: str = "") -> str:
     return " UNION ALL ".join(
         f"SELECT {extra}'{c}' AS column_name, CAST({c} AS {cast}) AS value FROM {src}" for c in cols)
 
 
-_NUMERIC_DRIFT_COLS = (mon.TARGET, mon.PREDICTION) + mon.NUMERIC_FEATURES
+_NUMERIC_DRIFT_COLS = mon.NUMERIC
 
 
 _NUM_SQL = f"""
@@ -107,8 +103,8 @@ _NUM_SQL = f"""
            {drift.DRIFT_THRESHOLD} AS threshold, score >= {drift.DRIFT_THRESHOLD} AS drift_detected FROM nsc
 """)
 def numeric_drift_wasserstein(spark, sf_dir):
-    ref, cur = _split(spark, sf_dir)
-    return drift.numeric_drift(ref, cur, list(_NUMERIC_DRIFT_COLS)).withColumn("drift_score", rnd("drift_score"))
+    d = mon.monitoring_cube(spark, sf_dir).overall_drift(categorical=False)
+    return d.withColumn("drift_score", rnd("drift_score"))
 
 
 _CAT_SQL = f"""
@@ -130,8 +126,8 @@ _CAT_SQL = f"""
            {drift.DRIFT_THRESHOLD} AS threshold, score >= {drift.DRIFT_THRESHOLD} AS drift_detected FROM sc
 """)
 def categorical_drift_js(spark, sf_dir):
-    ref, cur = _split(spark, sf_dir)
-    return drift.categorical_drift(ref, cur, list(mon.CATEGORICAL_FEATURES)).withColumn("drift_score", rnd("drift_score"))
+    d = mon.monitoring_cube(spark, sf_dir).overall_drift(numeric=False)
+    return d.withColumn("drift_score", rnd("drift_score"))
 
 
 @register("drift_share", sql=f"""
@@ -142,8 +138,7 @@ def categorical_drift_js(spark, sf_dir):
     FROM both_kinds
 """)
 def drift_share(spark, sf_dir):
-    ref, cur = _split(spark, sf_dir)
-    t = drift.drift_table(ref, cur, list(_NUMERIC_DRIFT_COLS), list(mon.CATEGORICAL_FEATURES))
+    t = mon.monitoring_cube(spark, sf_dir).overall_drift()
     return drift.drift_share(t).withColumn("share_of_drifted_columns", rnd("share_of_drifted_columns"))
 
 
@@ -170,8 +165,7 @@ _DAY_JS_SQL = f"""
     SELECT data_date, column_name, {R("score")} AS drift_score, score >= {drift.DRIFT_THRESHOLD} AS drift_detected FROM js
 """)
 def daily_categorical_drift(spark, sf_dir):
-    ref, cur = _split(spark, sf_dir)
-    d = drift.categorical_drift_by_day(ref, cur, list(mon.CATEGORICAL_FEATURES), mon.TIMESTAMP)
+    d = mon.monitoring_cube(spark, sf_dir).daily_drift().filter("stattest = 'jensen_shannon'")
     return d.select("data_date", "column_name", rnd("drift_score").alias("drift_score"), "drift_detected")
 
 
@@ -208,8 +202,7 @@ _DAY_W_SQL = f"""
     SELECT data_date, column_name, {R("score")} AS drift_score, score >= {drift.DRIFT_THRESHOLD} AS drift_detected FROM nws
 """)
 def daily_numeric_drift(spark, sf_dir):
-    m = mon.monitoring_table(spark, sf_dir)
-    d = drift.numeric_drift_by_day_sided(m, mon.is_reference(), list(_NUMERIC_DRIFT_COLS), mon.TIMESTAMP)
+    d = mon.monitoring_cube(spark, sf_dir).daily_drift().filter("stattest = 'wasserstein_normed'")
     return d.select("data_date", "column_name", rnd("drift_score").alias("drift_score"), "drift_detected")
 
 
@@ -223,15 +216,10 @@ def daily_numeric_drift(spark, sf_dir):
 """)
 def daily_drift_share(spark, sf_dir):
     """Q3 + Q12 per day over every column: numeric (Wasserstein) and categorical (JS)."""
-    m = mon.monitoring_table(spark, sf_dir)
-    ref, cur = mon.reference_part(m), mon.current_part(m)
-    num = drift.numeric_drift_by_day_sided(m, mon.is_reference(), list(_NUMERIC_DRIFT_COLS), mon.TIMESTAMP)
-    cat = drift.categorical_drift_by_day(ref, cur, list(mon.CATEGORICAL_FEATURES), mon.TIMESTAMP)
-    cols = ["data_date", "column_name", "drift_detected"]
-    return (num.select(*cols).unionByName(cat.select(*cols))
-               .groupBy("data_date")
-               .agg(F.count(F.lit(1)).alias("n_columns"), F.count_if("drift_detected").alias("n_drifted_columns"))
-               .withColumn("share_of_drifted_columns", rnd(F.col("n_drifted_columns") / F.col("n_columns"))))
+    d = mon.monitoring_cube(spark, sf_dir).daily_drift()
+    return (d.groupBy("data_date")
+             .agg(F.count(F.lit(1)).alias("n_columns"), F.count_if("drift_detected").alias("n_drifted_columns"))
+             .withColumn("share_of_drifted_columns", rnd(F.col("n_drifted_columns") / F.col("n_columns"))))
 
 
 # ---------------------------------------------------------------- suite
@@ -303,10 +291,7 @@ _SUITE_WITH = _suite_sql()
            condition, {R("threshold")} AS threshold, is_base_test FROM t
 """)
 def suite_status_by_day(spark, sf_dir):
-    m = mon.monitoring_table(spark, sf_dir)
-    out = suite.daily_suite(mon.reference_part(m), mon.current_part(m), mon.TIMESTAMP, mon.TARGET, mon.PREDICTION,
-                            list(mon.CATEGORICAL_FEATURES), list(_NUMERIC_DRIFT_COLS), source=(m, mon.is_reference()))
-    return round_doubles(out)
+    return round_doubles(suite.suite_of_cube(mon.monitoring_cube(spark, sf_dir)))
 
 
 # The limits of the suite that does not take them from the reference.
@@ -323,9 +308,7 @@ _FIXED_DAY = "2000-03-02"
 """)
 def base_failures_on_day(spark, sf_dir):
     """Q8 with given limits, then the base failures of one report date."""
-    m = mon.monitoring_table(spark, sf_dir)
-    s = suite.daily_suite(mon.reference_part(m), mon.current_part(m), mon.TIMESTAMP, mon.TARGET, mon.PREDICTION,
-                          list(mon.CATEGORICAL_FEATURES), list(_NUMERIC_DRIFT_COLS), source=(m, mon.is_reference()), checks=_FIXED_LIMITS)
+    s = suite.suite_of_cube(mon.monitoring_cube(spark, sf_dir), checks=_FIXED_LIMITS)
     return suite.failures_on_day(s, _FIXED_DAY)
 
 
@@ -335,9 +318,7 @@ def base_failures_on_day(spark, sf_dir):
     SELECT test_name, n_failures, CAST(row_number() OVER (ORDER BY n_failures DESC, test_name) AS INTEGER) AS failure_rank FROM g
 """)
 def failed_checks_rollup(spark, sf_dir):
-    m = mon.monitoring_table(spark, sf_dir)
-    s = suite.daily_suite(mon.reference_part(m), mon.current_part(m), mon.TIMESTAMP, mon.TARGET, mon.PREDICTION,
-                          list(mon.CATEGORICAL_FEATURES), list(_NUMERIC_DRIFT_COLS), source=(m, mon.is_reference()))
+    s = suite.suite_of_cube(mon.monitoring_cube(spark, sf_dir))
     return suite.failures_by_test(s)
 
 
@@ -346,9 +327,7 @@ def failed_checks_rollup(spark, sf_dir):
     SELECT data_date + 1 AS window_start, count(*) AS n_failed FROM t WHERE status IN ('FAIL', 'ERROR') GROUP BY 1
 """)
 def failures_by_day(spark, sf_dir):
-    m = mon.monitoring_table(spark, sf_dir)
-    s = suite.daily_suite(mon.reference_part(m), mon.current_part(m), mon.TIMESTAMP, mon.TARGET, mon.PREDICTION,
-                          list(mon.CATEGORICAL_FEATURES), list(_NUMERIC_DRIFT_COLS), source=(m, mon.is_reference()))
+    s = suite.suite_of_cube(mon.monitoring_cube(spark, sf_dir))
     return suite.failures_by_day(s)
 
 
@@ -380,22 +359,56 @@ def split_summary(spark, sf_dir):
         F.count(F.lit(1)).alias("n_rows"), F.min(mon.TIMESTAMP).alias("min_start"), F.max(mon.TIMESTAMP).alias("max_start"))
 
 
+def _describe_sql(src: str, numeric, categorical) -> str:
+    row = "SELECT '{c}' AS column_name, '{stat}' AS stat, {v} AS value, {t} AS text FROM {src}"
+    none = "CAST(NULL AS VARCHAR)"
+    parts = []
+    for c in numeric:
+        x = f"CAST({c} AS DOUBLE)"
+        stats = {"count": f"CAST(count({c}) AS DOUBLE)", "mean": R(f"avg({x})"), "std": R(f"stddev_samp({x})"), "min": R(f"min({x})"), "max": R(f"max({x})"),
+                 **{k: R(f"quantile_cont({x}, {p})") for k, p in profile.QUARTILES.items()}}
+        parts += [row.format(c=c, stat=k, v=v, t=none, src=src) for k, v in stats.items()]
+    for c in categorical:
+        top = f"(SELECT {c} FROM {src} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
+        freq = f"(SELECT CAST(count(*) AS DOUBLE) FROM {src} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY 1 DESC LIMIT 1)"
+        parts += [row.format(c=c, stat=k, v=v, t=t, src=src) for k, v, t in (
+            ("count", f"CAST(count({c}) AS DOUBLE)", none), ("unique", f"CAST(count(DISTINCT {c}) AS DOUBLE)", none), ("top", "CAST(NULL AS DOUBLE)", f"any_value({top})"), ("freq", f"any_value({freq})", none))]
+    return " UNION ALL ".join(parts)
+
+
 @register("monitoring_describe", sql=f"""
-    WITH m AS ({mon.MONITORING_SQL})
-    {" UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, 'count' AS stat, {R(f'CAST(count({c}) AS DOUBLE)')} AS value FROM m "
-        f"UNION ALL SELECT '{c}', 'mean', {R(f'avg({c})')} FROM m "
-        f"UNION ALL SELECT '{c}', 'min', {R(f'CAST(min({c}) AS DOUBLE)')} FROM m "
-        f"UNION ALL SELECT '{c}', 'max', {R(f'CAST(max({c}) AS DOUBLE)')} FROM m "
-        f"UNION ALL SELECT '{c}', 'std', {R(f'stddev_samp(CAST({c} AS DOUBLE))')} FROM m"
-        for c in (mon.TARGET, mon.PREDICTION) + mon.NUMERIC_FEATURES)}
-    UNION ALL
-    {" UNION ALL ".join(
-        f"SELECT '{c}', 'count', CAST(count({c}) AS DOUBLE) FROM m "
-        f"UNION ALL SELECT '{c}', 'unique', CAST(count(DISTINCT {c}) AS DOUBLE) FROM m"
-        for c in mon.CATEGORICAL_FEATURES)}
+    WITH m AS MATERIALIZED ({mon.MONITORING_SQL})
+    {_describe_sql("m", mon.NUMERIC, mon.CATEGORICAL_FEATURES)}
 """)
 def monitoring_describe(spark, sf_dir):
-    m = mon.monitoring_table(spark, sf_dir)
-    d = profile.describe(m, list((mon.TARGET, mon.PREDICTION) + mon.NUMERIC_FEATURES), list(mon.CATEGORICAL_FEATURES))
-    return d.withColumn("value", rnd("value"))
+    """Count, mean, std, ends and exact quartiles of numbers; count, unique, top and freq of texts."""
+    m = cut_lineage(mon.monitoring_table(spark, sf_dir))  # read by several passes
+    return profile.describe(m, list(mon.NUMERIC), list(mon.CATEGORICAL_FEATURES)).withColumn("value", rnd("value"))
+
+
+def _profile_sql(src: str, numeric, texts, times) -> str:
+    row = "SELECT '{c}' AS column_name, '{stat}' AS stat, {v} AS value, {t} AS text FROM {src}"
+    none, null = "CAST(NULL AS VARCHAR)", "CAST(NULL AS DOUBLE)"
+    parts = []
+    for c in [*numeric, *texts, *times]:
+        x = f"CAST({c} AS DOUBLE)" if c in numeric else f"CAST({c} AS VARCHAR)"
+        best = f"FROM {src} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {x} LIMIT 1"
+        stats = [("count", f"CAST(count({c}) AS DOUBLE)", none), ("missing", f"CAST(count(*) - count({c}) AS DOUBLE)", none), ("missing_share", R(f"(count(*) - count({c})) / count(*)"), none),
+                 ("unique", f"CAST(count(DISTINCT {c}) AS DOUBLE)", none), ("most_common_share", R(f"any_value((SELECT count(*) {best})) / count(*)"), none),
+                 ("most_common", R(f"any_value((SELECT {x} {best}))") if c in numeric else null, none if c in numeric else f"any_value((SELECT {x} {best}))")]
+        if c in numeric:
+            stats += [("mean", R(f"avg({x})"), none), ("std", R(f"stddev_samp({x})"), none), ("min", R(f"min({x})"), none), ("max", R(f"max({x})"), none)]
+            stats += [(k, R(f"quantile_cont({x}, {p})"), none) for k, p in profile.QUARTILES.items()]
+        if c in times:
+            stats += [("first", null, f"CAST(min({c}) AS VARCHAR)"), ("last", null, f"CAST(max({c}) AS VARCHAR)")]
+        parts += [row.format(c=c, stat=k, v=v, t=t, src=src) for k, v, t in stats]
+    return " UNION ALL ".join(parts)
+
+
+@register("column_profile", sql=f"""
+    WITH m AS MATERIALIZED ({mon.MONITORING_SQL})
+    {_profile_sql("m", mon.NUMERIC, mon.CATEGORICAL_FEATURES, [mon.TIMESTAMP])}
+""")
+def column_profile(spark, sf_dir):
+    """Q2: the data-quality profile of every column of the monitoring table."""
+    return profile.column_profile(cut_lineage(mon.monitoring_table(spark, sf_dir))).withColumn("value", rnd("value"))

@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.tables import table
+from vigil.operators.cube import Cube
+from vigil.session import checkpoint_dir, cut_lineage
+from vigil.tables import source_key, table
 
 # First day of the "current" period; earlier rows are the reference.
 CURRENT_FROM = "2000-01-01"
@@ -44,6 +46,22 @@ def current_part(df: DataFrame) -> DataFrame:
     return df.filter(F.col(TIMESTAMP) >= F.lit(CURRENT_FROM).cast("timestamp_ntz"))
 
 
+NUMERIC = (TARGET, PREDICTION) + NUMERIC_FEATURES
+_CUBES: dict[str, Cube] = {}
+
+
+def monitoring_cube(spark: SparkSession, sf_dir: str) -> Cube:
+    """The count cube of the monitoring table, in the checkpoint folder. It is built once for a state of the source files (names, lengths
+    and times make its name), and again when they change; queries over the same state share it."""
+    key = f"{checkpoint_dir(spark).rstrip('/')}/monitoring-{source_key(spark, sf_dir, ['lineitem', 'part'])}"
+    if key not in _CUBES:
+        m = monitoring_table(spark, sf_dir)
+        cube = Cube(spark, key, m.schema, TIMESTAMP, TARGET, PREDICTION, NUMERIC, CATEGORICAL_FEATURES)
+        cube.add(cut_lineage(m), is_reference())  # the join runs once for both tables of the cube
+        _CUBES[key] = cube
+    return _CUBES[key]
+
+
 MONITORING_SQL = """
     SELECT l.l_shipdate AS start_date, l.l_extendedprice AS price,
            l.l_quantity * p.p_retailprice AS pred,
