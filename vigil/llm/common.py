@@ -23,10 +23,12 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{spark.sparkContext.applicationId}"
 
 
-def written(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+def written(df: DataFrame, partition_by: str | None = None, compression: str | None = None) -> DataFrame:
     """``df`` as a table in the shared checkpoint folder: computed once, survives lost executors."""
     path = f"{scratch_root(df.sparkSession)}/{uuid.uuid4().hex}"
     w = df.write.mode("errorifexists")
+    if compression:
+        w = w.option("compression", compression)
     (w.partitionBy(partition_by) if partition_by else w).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -36,7 +36,8 @@ SLICE_BYTES = 16_000_000
 BROADCAST_GROUPS = 200_000
 #: Sources compared at once in one matrix, about so many (source, term) counts to a group, and the cells of one step's array.
 BLOCK, GROUP_ROWS, STEP_CELLS = 64, 100_000, 4_000_000
-#: level 0: a whole term of one source; else the bytes of the prefix, of all sources (source is null).
+#: level 0: a whole term of one source; else the bytes of the prefix, of all sources (source is null), of the terms longer than the
+#: level; the first level has all terms, short ones as they are.
 SUMS = T.StructType([T.StructField("level", T.IntegerType()), T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
                      T.StructField("term", T.BinaryType()), T.StructField("docs", T.LongType()), T.StructField("n", T.LongType())])
 
@@ -88,9 +89,8 @@ def slice_sums(docs: DataFrame) -> DataFrame:
                 assert groups > g.max()
                 yield batch_of(0, langs.take(pa.array(g // len(sources))), sources.take(pa.array(g % len(sources))), names.take(pa.array(c)), docs_in, n)
                 length, level = pc.binary_length(names).to_numpy(zero_copy_only=False), FIRST_LEVEL
-                while (longer := length[code] > level).any():
-                    row, code = row[longer], code[longer]
-                    begins = np.flatnonzero(length > level)
+                while len(code):
+                    begins = np.unique(code)
                     number, prefixes = _codes(pc.binary_slice(names.take(pa.array(begins)), 0, level))
                     prefix_of = np.zeros(size, np.int64)
                     prefix_of[begins] = number
@@ -98,12 +98,14 @@ def slice_sums(docs: DataFrame) -> DataFrame:
                     key, docs_in = np.unique(lang_of[met // len(prefixes)] * len(prefixes) + met % len(prefixes), return_counts=True)
                     yield batch_of(level, langs.take(pa.array(key // len(prefixes))), None, prefixes.take(pa.array(key % len(prefixes))), docs_in, np.zeros(len(key), np.int64))
                     level *= 2
+                    longer = length[code] > level
+                    row, code = row[longer], code[longer]
 
     return docs.select("text", "lang", "source").mapInArrow(run, SUMS)
 
 
 def refined(sums: DataFrame, min_docs: int) -> DataFrame | None:
-    """(lang, prefix) of every prefix, of any level, that ``min_docs`` documents and no discarded prefix hold; None: no term is longer than the first level."""
+    """(lang, prefix) of every prefix, of any level, that ``min_docs`` documents and no discarded prefix hold; None: there is no term."""
     levels = sorted(r["level"] for r in sums.select("level").distinct().collect() if r["level"])  # doubling lengths: a few dozen at most
     left = None
     for level in levels:
@@ -118,16 +120,14 @@ def refined(sums: DataFrame, min_docs: int) -> DataFrame | None:
 
 def term_counts(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(lang, source, term, n): occurrences by source of the terms met in ``min_docs`` documents of their language; terms as bytes."""
-    sums = written(slice_sums(docs), partition_by="level")
+    sums = written(slice_sums(docs), partition_by="level", compression="zstd")
     left = refined(sums, min_docs)
     whole = sums.filter("level = 0").select("lang", "source", "term", "docs", "n")
     if left is not None:
-        # the longest level below the term's length; terms within the first level have no prefix to look for
+        # the longest level below the term's length, or the first level
         size = F.octet_length("term")
-        power = F.floor(F.log2((size - 1) / FIRST_LEVEL) + 1e-9)
-        whole = whole.withColumn("prefix", F.when(size > FIRST_LEVEL, F.substring(F.col("term"), F.lit(1), (FIRST_LEVEL * F.pow(F.lit(2), power)).cast("int"))))
-        short = whole.filter("prefix IS NULL").drop("prefix")
-        whole = whole.filter("prefix IS NOT NULL").join(left, ["lang", "prefix"], "left_semi").drop("prefix").unionByName(short)
+        power = F.greatest(F.floor(F.log2(F.greatest(size - 1, F.lit(1)) / FIRST_LEVEL) + 1e-9), F.lit(0))
+        whole = whole.withColumn("prefix", F.substring(F.col("term"), F.lit(1), (FIRST_LEVEL * F.pow(F.lit(2), power)).cast("int"))).join(left, ["lang", "prefix"], "left_semi").drop("prefix")
     by_source = written(whole.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")))
     kept = by_source.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= min_docs).select("lang", "term")
     return by_source.drop("docs").join(kept, ["lang", "term"], "left_semi")
