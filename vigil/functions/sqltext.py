@@ -6,10 +6,16 @@ from __future__ import annotations
 from vigil.functions.text import WHITESPACE_CLASS
 
 
+def run_lengths_sql(items: str) -> str:
+    """array<struct<value, n>> of an array: sorted once, cut where neighbours differ."""
+    starts = "filter(sequence(0, greatest(size(x) - 1, 0)), i -> i < size(x) AND (i = 0 OR x[i] != x[i - 1]))"
+    runs = "transform(st, (i, k) -> named_struct('value', x[i], 'n', coalesce(get(st, k + 1), size(x)) - i))"
+    return f"transform(array(array_sort({items})), x -> transform(array({starts}), st -> {runs})[0])[0]"
+
+
 def entropy_sql(c: str) -> str:
     return (f"CASE WHEN {c} IS NULL THEN CAST(NULL AS DOUBLE) WHEN length({c}) = 0 THEN 0.0D "
-            f"ELSE log2(length({c})) - aggregate(transform(array_distinct(split({c}, '')), "
-            f"ch -> length({c}) - length(replace({c}, ch, ''))), 0D, (acc, n) -> acc + n * log2(n)) "
+            f"ELSE log2(length({c})) - aggregate({run_lengths_sql(f'split({c}, {chr(39) * 2})')}, 0D, (acc, r) -> acc + r.n * log2(r.n)) "
             f"/ length({c}) + 0.0D END")
 
 

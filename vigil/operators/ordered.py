@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vigil.session import cut_lineage
+
 
 def _count_below(v: Column, arr: Column) -> Column:
     """Number of elements of ``arr`` strictly below ``v`` (0 for a null array)."""
@@ -167,3 +169,18 @@ def global_position(df: DataFrame, order_col: str, n_buckets: int | None = None)
     one = df.withColumn("_one", F.lit(1).cast("long"))
     rt = running_totals(one, order_col, ["_one"], n_buckets=n_buckets)
     return rt.select(*df.columns, (F.col("cum__one") - 1).alias("position"), F.col("total__one").alias("n_total"))
+
+
+def numbered(df: DataFrame, order: list[str], out: str) -> DataFrame:
+    """``df`` with its 0-based global place in ascending ``order`` (any types, nulls first), without one task for all rows.
+
+    Rows are dealt in ranges and written with the range they fell in (ranges are sampled; writing fixes them), numbered inside
+    each, and shifted by the sizes of the ranges before: a table with one row per range, so its window is bounded.
+    """
+    by = [F.col(f"`{c}`").asc_nulls_first() for c in order]
+    fixed = cut_lineage(df.repartitionByRange(*by).withColumn("_range", F.spark_partition_id()))
+    sizes = fixed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    shift = sizes.select("_range", F.coalesce(before, F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*by)) - 1
+    return fixed.withColumn(out, inside).join(F.broadcast(shift), "_range").select(*[F.col(f"`{c}`") for c in df.columns], (F.col(out) + F.col("_before")).alias(out))

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.functions.text import char_entropy, ngrams_from_chars, normalized_chars
+from vigil.functions.text import char_entropy, ngrams_from_chars, normalized_chars, run_lengths
+from vigil.operators.ordered import numbered
 
 
 def exploded_ngrams(df: DataFrame, key: str, text: str, n_min: int = 1, n_max: int = 3) -> DataFrame:
@@ -52,3 +53,42 @@ def tfidf_weights(df: DataFrame, key: str, text: str, n_min: int = 1, n_max: int
 
 def with_entropy(df: DataFrame, text: str, out: str = "entropy") -> DataFrame:
     return df.withColumn(out, char_entropy(F.col(text)))
+
+
+def document_grams(df: DataFrame, key: str, text: str, n_min: int = 1, n_max: int = 3) -> DataFrame:
+    """(key, ngram, tf): the distinct n-grams of each row's text, counted inside the row, so nothing is shuffled.
+
+    The rows are dealt by key first: a table stored in one file would give all the work to one task."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chars = df.select(key, text).repartition(n, key).select(key, normalized_chars(F.col(text)).alias("_chars"))
+    grams = chars.select(key, ngrams_from_chars("_chars", n_min, n_max).alias("_grams"))
+    return grams.select(key, F.inline(run_lengths("_grams"))).select(key, F.col("value").alias("ngram"), F.col("n").cast("long").alias("tf"))
+
+
+def ngram_dictionary(df: DataFrame, key: str, text: str, n_min: int = 1, n_max: int = 3, grams: DataFrame | None = None) -> DataFrame:
+    """(id, ngram, doc_freq, idf) of every n-gram of all texts: ids are places in the n-grams' order, smooth idf + 1.
+
+    Document frequencies are summed in the tasks before they are shuffled by n-gram; ids come from ranges of the sorted
+    n-grams, so neither the dictionary nor its numbering passes one task or the driver. Rows with a null text count as documents."""
+    grams = document_grams(df, key, text, n_min, n_max) if grams is None else grams
+    n_docs = df.count()
+    counts = grams.groupBy("ngram").agg(F.count(F.lit(1)).alias("doc_freq"))
+    idf = F.log((F.lit(1.0 + n_docs)) / (F.lit(1.0) + F.col("doc_freq"))) + F.lit(1.0)
+    return numbered(counts, ["ngram"], "id").select("id", "ngram", "doc_freq", idf.alias("idf"))
+
+
+def sparse_weights(grams: DataFrame, dictionary: DataFrame, key: str, tfidf: bool = True) -> DataFrame:
+    """(key, id, weight) of the dictionary's n-grams in ``grams`` (key, ngram, tf): tf times idf scaled to unit length per key, or tf
+    alone. N-grams that the dictionary lacks count for nothing, neither in the length."""
+    hit = grams.join(dictionary, "ngram")
+    if not tfidf:
+        return hit.select(key, "id", F.col("tf").cast("double").alias("weight"))
+    raw = hit.select(key, "id", (F.col("tf") * F.col("idf")).alias("raw"))
+    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
+    return raw.select(key, "id", (F.col("raw") / length).alias("weight"))
+
+
+def sparse_vectors(weights: DataFrame, key: str) -> DataFrame:
+    """(key, ids, weights): each key's entries as two arrays in ascending order of id. An entry is a distinct n-gram of one text."""
+    entries = F.array_sort(F.collect_list(F.struct("id", "weight")))
+    return weights.groupBy(key).agg(entries.alias("e")).select(key, F.col("e.id").alias("ids"), F.col("e.weight").alias("weights"))
