@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import json
-import re
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vigil.functions.text import WHITESPACE_CLASS
+from vigil.functions.text import WHITESPACE_CLASS, let
 
 # Replacement marker and the key fragments that mark a key as sensitive.
 REDACTED = "[REDACTED]"
@@ -18,7 +14,6 @@ SENSITIVE_KEY_PARTS = ("secret", "credential", "password", "token", "key")
 _NOT_WS = WHITESPACE_CLASS[1:-1]
 # Fixed value: '://user:pass@' inside a url.
 URL_CREDENTIALS_PATTERN = rf"(://)([^/{_NOT_WS}:@]+):([^@/{_NOT_WS}]+)@"
-_URL_CREDENTIALS = re.compile(r"(://)([^/\s:@]+):([^@/\s]+)@")
 
 
 def _col(c) -> Column:
@@ -45,42 +40,89 @@ def is_sensitive_key(k) -> Column:
     return cond
 
 
-def _clean_text(text: str, secrets: list[str]) -> str:
-    text = _URL_CREDENTIALS.sub(rf"\1{REDACTED}:{REDACTED}@", text)
-    for value in secrets:
-        text = text.replace(value, REDACTED)
-    return text
+#: Stand-ins for an escaped backslash and an escaped quote; valid JSON has no such control characters in its text.
+_BACKSLASH, _QUOTE = "\x01", "\x02"
+
+
+def _raw(c: Column) -> Column:
+    """A JSON string's inside with its escapes back."""
+    return F.replace(F.replace(c, F.lit(_BACKSLASH), F.lit("\\\\")), F.lit(_QUOTE), F.lit('\\"'))
+
+
+def _decoded(c: Column) -> Column:
+    """The text of a JSON string's inside."""
+    plain = ~(c.contains("\\") | c.contains(_BACKSLASH) | c.contains(_QUOTE))
+    return F.when(plain, c).otherwise(F.get(F.from_json(F.concat(F.lit('["'), _raw(c), F.lit('"]')), "array<string>"), F.lit(0)))
+
 
+def _encoded(c: Column) -> Column:
+    listed = F.to_json(F.array(c))
+    return F.substring(listed, F.lit(2), F.length(listed) - 2)
 
-def _clean_json(value, secrets: list[str]):
-    if isinstance(value, dict):
-        return {_clean_text(k, secrets): REDACTED if any(p in k.lower() for p in SENSITIVE_KEY_PARTS) else _clean_json(v, secrets) for k, v in value.items()}
-    if isinstance(value, list):
-        return [_clean_json(v, secrets) for v in value]
-    return _clean_text(value, secrets) if isinstance(value, str) else value
+
+def _end_of_container(structure: Column, depth: Column) -> Column:
+    """Where, in a piece between strings, ``depth`` open brackets are all closed: the place after the last bracket (from 1), else 0; and the depth at the end."""
+    start = F.struct(depth.cast("int").alias("depth"), F.lit(0).alias("at"), F.lit(0).alias("i"))
+
+    def step(z, ch):
+        d = z["depth"] + F.when(ch.isin("{", "["), 1).when(ch.isin("}", "]"), -1).otherwise(0)
+        i = z["i"] + 1
+        return F.struct(F.when(z["at"] > 0, z["depth"]).otherwise(d).cast("int").alias("depth"),
+                        F.when(z["at"] > 0, z["at"]).when((d == 0) & ch.isin("}", "]"), i).otherwise(0).cast("int").alias("at"), i.cast("int").alias("i"))
+
+    return F.aggregate(F.split(structure, ""), start, step)
 
 
 def redact_json(c, secrets=()) -> Column:
     """JSON text of any depth: values under a sensitive key become the marker, at every level and inside lists, other
-    strings get url and secret redaction. Text that is no JSON is redacted as free text; null stays null.
+    strings get url and secret redaction; white space between values goes. Text that is no JSON, or repeats a key in an object, is redacted as
+    free text; null stays null.
 
-    JSON of unknown depth has no built-in expression, so this is an Arrow-batched function over the one column.
+    One fold over the text's quoted strings and what stands between them, all in the engine: with escaped quotes out of the
+    way, every second piece of the text split at quotes is a string. A string before a colon is a key. A value under a sensitive
+    key is a string, a bare word, or a container, which is left out up to the bracket that closes it. The fold copies what it has put
+    out at each string, so its cost grows with the square of the number of strings in one text.
     """
     known = sorted({s for s in secrets if s}, key=lambda s: (-len(s), s))
-
-    @F.pandas_udf("string")
-    def parsed(values: pd.Series) -> pd.Series:
-        def one(text):
-            if text is None:
-                return None
-            try:
-                return json.dumps(_clean_json(json.loads(text), known), ensure_ascii=False, separators=(",", ":"))
-            except (ValueError, RecursionError):
-                return None
-        return values.map(one)
-
     text = _col(c)
-    return F.coalesce(parsed(text), redact_secret_values(redact_key_value_text(redact_url_credentials(text)), known))
+    free = redact_secret_values(redact_key_value_text(redact_url_credentials(text)), known)
+    hidden = F.replace(F.replace(text, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
+    marker = F.lit(f'"{REDACTED}"')
+
+    def piece(parts, k):
+        """The k-th string with what stands before and after it."""
+        inside = F.get(parts, 2 * k + 1)
+        after = F.regexp_replace(F.get(parts, 2 * k + 2), r"\s", "")
+        key = after.startswith(":")
+        clean = redact_secret_values(redact_url_credentials(_decoded(inside)), known)
+        shown = F.when(inside.isNull(), "").when(key, F.concat(F.lit('"'), _raw(inside), F.lit('"'))).otherwise(_encoded(clean))
+        return F.struct(F.regexp_replace(F.get(parts, 2 * k), r"\s", "").alias("before"), F.coalesce(shown, F.lit("")).alias("shown"),
+                        F.coalesce(key & is_sensitive_key(_decoded(inside)), F.lit(False)).alias("sensitive"), inside.isNotNull().alias("string"))
+
+    def step(z, p):
+        # below: the piece between strings, then the string after it
+        value = F.substring(p["before"], F.lit(2), F.length(p["before"]))  # after a colon
+        opens = z["pending"] & value.rlike(r"^[\[{]")
+        walk = let(F.when(opens, value).otherwise(p["before"]), lambda s: let(_end_of_container(s, F.when(opens, 0).otherwise(z["muted"])), lambda w: F.struct(
+            F.when(w["at"] > 0, F.substring(s, w["at"] + 1, F.length(s))).otherwise("").alias("rest"), F.when(w["at"] > 0, 0).otherwise(w["depth"]).alias("muted"))))
+
+        def go(w):
+            bare = z["pending"] & ~opens & (value != "")
+            masks = z["pending"] & (value == "")
+            between = (F.when(z["muted"] > 0, w["rest"]).when(opens, F.concat(F.lit(":"), marker, w["rest"]))
+                       .when(bare, F.concat(F.lit(":"), marker, F.regexp_replace(value, r"^[^,}\]]+", ""))).otherwise(p["before"]))
+            muted = F.when((z["muted"] > 0) | opens, w["muted"]).otherwise(0)
+            string = F.when((muted > 0) | ~p["string"], "").when(masks, marker).otherwise(p["shown"])
+            return F.struct(F.concat(z["out"], F.array(F.concat(between, string))).alias("out"), muted.cast("int").alias("muted"), (p["sensitive"] & (muted == 0) & ~masks).alias("pending"))
+
+        return let(walk, go)
+
+    def fold(parts):
+        pieces = F.transform(F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / 2).cast("int")), lambda k: piece(parts, k))
+        start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).alias("muted"), F.lit(False).alias("pending"))
+        return F.aggregate(pieces, start, step, lambda z: F.array_join(z["out"], ""))
+
+    return F.when(F.try_parse_json(text).isNotNull(), let(F.split(hidden, '"'), fold)).otherwise(free)
 
 
 def redact_sensitive_map(c) -> Column:

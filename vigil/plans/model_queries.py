@@ -97,12 +97,14 @@ def _halves_sql() -> str:
 
 
 def _grams_sql(name: str, src: str, n_max: int) -> str:
-    """(doc_id, ngram, tf) of the texts of ``src``."""
+    """(doc_id, ngram, tf) of the texts of ``src``: characters with the ones after them."""
+    after = ", ".join(f"lead(ch, {k}) OVER (PARTITION BY doc_id ORDER BY pos) AS c{k}" for k in range(1, n_max)) or "NULL AS c0"
+    grams = " UNION ALL ".join(f"SELECT doc_id, {' || '.join(['ch'] + [f'c{k}' for k in range(1, n)])} AS ngram FROM {name}_l" + (f" WHERE c{n - 1} IS NOT NULL" if n > 1 else "") for n in range(1, n_max + 1))
     return f"""
-    {name}_t AS (SELECT doc_id, {S.squeeze("lower(text)")} AS t FROM {src} WHERE text IS NOT NULL),
-    {name}_c AS (SELECT doc_id, string_split(t, '') AS c FROM {name}_t WHERE length(t) > 0),
-    {name}_g AS (SELECT doc_id, unnest([{", ".join(f"list_transform(range(1, len(c) - {n - 2}), lambda i: array_to_string(c[i:i + {n - 1}], ''))" for n in range(1, n_max + 1))}].flatten()) AS ngram FROM {name}_c),
-    {name} AS (SELECT doc_id, ngram, count(*) AS tf FROM {name}_g GROUP BY ALL)
+    {name}_t AS (SELECT doc_id, string_split({S.squeeze("lower(text)")}, '') AS c FROM {src} WHERE length(text) > 0),
+    {name}_p AS (SELECT doc_id, unnest(c) AS ch, unnest(range(len(c))) AS pos FROM {name}_t),
+    {name}_l AS (SELECT doc_id, ch, {after} FROM {name}_p),
+    {name} AS (SELECT doc_id, ngram, count(*) AS tf FROM ({grams}) GROUP BY ALL)
     """
 
 

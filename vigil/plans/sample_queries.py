@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from vigil.operators import sample
 from vigil.plans.catalog import register
 from vigil.tables import table
@@ -35,16 +37,20 @@ def stratified_sample(spark, sf_dir):
     return sample.stratified_sample(orders, "o_orderkey", "o_orderpriority")
 
 
-# a numeric stratum that comes as text: one large stratum, two too small for their quotas, and values that don't count
-_TEXT_STRATUM = """CASE WHEN o_orderkey % 500 = 1 THEN '1' WHEN o_orderkey % 500 = 2 THEN '2' WHEN o_orderkey % 500 = 3 THEN 'x'
-    WHEN o_orderkey % 500 = 4 THEN '-1' WHEN o_orderkey % 500 = 5 THEN 'NaN' WHEN o_orderkey % 500 = 6 THEN NULL ELSE '0' END"""
+# a numeric stratum that comes as text: one large stratum, two with a row each at any size (the ends of the keys), and values that don't count
+_TEXT_STRATUM = """CASE WHEN o_orderkey = (SELECT min(o_orderkey) FROM orders) THEN '1' WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN '2'
+    WHEN o_orderkey % 500 = 3 THEN 'x' WHEN o_orderkey % 500 = 4 THEN '-1' WHEN o_orderkey % 500 = 5 THEN 'NaN' WHEN o_orderkey % 500 = 6 THEN NULL ELSE '0' END"""
 
 
 @register("stratified_sample_small_strata", sql=_quota_sql(
     f"""SELECT k, CASE WHEN isnan(v) OR v < 0 THEN NULL ELSE v END AS s
-        FROM (SELECT o_orderkey AS k, TRY_CAST({_TEXT_STRATUM} AS DOUBLE) AS v FROM orders WHERE o_orderkey < 1000)""", "o_orderkey", "target"))
+        FROM (SELECT o_orderkey AS k, TRY_CAST({_TEXT_STRATUM} AS DOUBLE) AS v FROM orders)""", "o_orderkey", "target"))
 def stratified_sample_small_strata(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").filter("o_orderkey < 1000").selectExpr("o_orderkey", f"{_TEXT_STRATUM} AS target")
+    # quotas are for few strata, so the two rare ones are taken whole; the ends of the keys are one row of two numbers
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    low, high = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    stratum = _TEXT_STRATUM.replace("(SELECT min(o_orderkey) FROM orders)", str(low)).replace("(SELECT max(o_orderkey) FROM orders)", str(high))
+    orders = orders.selectExpr("o_orderkey", f"{stratum} AS target")
     return sample.stratified_sample(orders, "o_orderkey", "target", numeric=True, ordered=True)
 
 
