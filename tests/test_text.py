@@ -125,3 +125,36 @@ def test_redact_json_at_every_depth(spark):
     assert got[0] == '{"outer":{"password":"[REDACTED]"},"list":[{"token":"[REDACTED]"},"see http://[REDACTED]:[REDACTED]@h/x"],"n":1.5,"ok":null}'
     assert got[1] == "not json password=[REDACTED] [REDACTED]" and got[2] is None
     assert got[3] == '["[REDACTED]",{"API_KEY":"[REDACTED]"}]' and got[4] == "[" * 5000
+
+
+def test_redact_json_against_a_plain_walk(spark):
+    """Random JSON of any shape: the engine's fold equals a walk over the parsed value."""
+    import json
+    import random
+    import re
+
+    rng = random.Random(11)
+    words = ["password", "my_KEY", "name", "a", "to\\ken", 'to"ken', "é", "list", "credentials", "", "x\n", "\\", '"', ":", "{}", "[", "http://u:p@h", "abc123 z", " "]
+
+    def make(depth):
+        kind = rng.randrange(6 if depth else 4)
+        if kind == 4:
+            return {w: make(depth - 1) for w in rng.sample(words, rng.randrange(4))}
+        if kind == 5:
+            return [make(depth - 1) for _ in range(rng.randrange(4))]
+        return [rng.choice(words), rng.randrange(-5, 9), None, rng.choice([True, 1.5])][kind]
+
+    def walk(v):
+        if isinstance(v, dict):
+            return {k: "[REDACTED]" if any(p in k.lower() for p in redact.SENSITIVE_KEY_PARTS) else walk(x) for k, x in v.items()}
+        if isinstance(v, list):
+            return [walk(x) for x in v]
+        return re.sub(r"(://)([^/\s:@]+):([^@/\s]+)@", r"\1[REDACTED]:[REDACTED]@", v).replace("abc123", "[REDACTED]") if isinstance(v, str) else v
+
+    values = [make(5) for _ in range(150)] + [{"password": {"a": ["}", {"b": "]"}], "c": "x"}, "z": [{"key": []}, {"key": {}}, 1]}, [[], {}, ""]]
+    rows = [(i, json.dumps(v, ensure_ascii=bool(i % 2), indent=i % 3 or None)) for i, v in enumerate(values)]
+    got = {r["i"]: r["j"] for r in spark.createDataFrame(rows, "i int, j string").select("i", redact.redact_json("j", ["abc123"]).alias("j")).collect()}
+    for i, v in enumerate(values):
+        assert json.loads(got[i]) == walk(v), rows[i][1]
+    plan = spark.createDataFrame(rows, "i int, j string").select(redact.redact_json("j"))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -66,7 +66,7 @@ def quantiles(df: DataFrame, columns, probs, n_buckets: int | None = None) -> Da
     upto = F.sum("n").over(Window.partitionBy("column_name", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
     hit = alike.withColumn("upto", upto).join(ranks, ["column_name", "bucket"]).filter((F.col("place") <= F.col("upto")) & (F.col("place") > F.col("upto") - F.col("n")))
     # low + (high - low) * share, so that equal neighbours give their own value exactly
-    found = hit.groupBy("column_name", "prob").agg((F.min("value") + (F.max("value") - F.min("value")) * F.max_by("weight", "place")).alias("value"), F.count(F.lit(1)).alias("k"),
+    found = hit.groupBy("column_name", "prob").agg((F.min("value") + (F.max("value") - F.min("value")) * F.max_by("weight", "value")).alias("value"), F.count(F.lit(1)).alias("k"),
                                                    F.min("value").alias("only"))
     found = found.select("column_name", "prob", F.when(F.col("k") == 1, F.col("only")).otherwise(F.col("value")).alias("value"))
     every = F.broadcast(spark.createDataFrame([(c, float(p)) for c in columns for p in probs], "column_name string, prob double"))
