@@ -58,3 +58,11 @@ def test_sketches_merge_by_adding(spark, small_rows):
 def test_edge_rows_and_empty_table(edge, empty, edge_rows):
     assert quality.verdict(written(quality.text_stats(edge))).count() == len(edge_rows)
     assert quality.verdict(written(quality.text_stats(empty))).count() == 0
+
+
+def test_rows_that_are_all_alike_stay(spark):
+    """A group of equal rows rejects nothing, also where words are very long, and one row far above them goes."""
+    texts = {"cjk": " ".join(chr(0x4E00 + i) * 700 for i in range(60)), "loud": " ".join(f"AB#{i}" for i in range(60)), "plain": " ".join(f"w{i}x" for i in range(60))}
+    rows = [(k, texts[s], "x", s) for s in texts for k in range(250)] + [(9999, " ".join(f"#w{i}" for i in range(60)), "x", "plain")]
+    judged = quality.verdict(written(quality.text_stats(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))))
+    assert {r["doc_id"] for r in judged.filter("NOT kept").collect()} == {9999}

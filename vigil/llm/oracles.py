@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from vigil.llm import fingerprint, licenses, mixing, suffix
+from vigil.llm import fingerprint, licenses, mixing, quality, suffix
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -204,3 +204,43 @@ terms AS (SELECT lang, source, 'term' AS part, term AS item, CAST((p - q) * (p -
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
 SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 10
 """
+
+
+def quality_sql() -> str:
+    rates = {"symbol_rate": "n_symbols / word_chars", "dup_line_rate": "n_dup_lines / n_lines", "repeat_rate": "n_repeat_words / n_words", "upper_rate": "n_upper / word_chars",
+             "chars_per_word": "word_chars / n_words"}
+    shares = ", ".join(f"coalesce({x.split(' / ')[0]}::DOUBLE / nullif({x.split(' / ')[1]}, 0), 0) AS {r}" for r, x in rates.items())
+    pairs = " UNION ALL ".join(f"SELECT lang, source, '{r}' AS rate, {r} AS value FROM r WHERE NOT base_failed" for r in rates)
+    high, slack = ("CASE rate " + " ".join(f"WHEN '{r}' THEN {x[i]}" for r, x in quality.RATES.items()) + " END" for i in (0, 1))
+
+    def fences(name: str, by: str) -> str:
+        keys = f"{by}, " if by else ""
+        return f"""{name}_b AS (SELECT {keys}rate, bucket, sum(n) AS n FROM b GROUP BY ALL),
+        {name}_c AS (SELECT *, sum(n) OVER (PARTITION BY {keys}rate ORDER BY bucket NULLS FIRST) AS cum, sum(n) OVER (PARTITION BY {keys}rate) AS rows,
+                     coalesce(pow({1 + quality.STEP}, bucket), 0) AS value FROM {name}_b),
+        {name}_q AS (SELECT {keys}rate, any_value(rows) AS rows, min(value) FILTER (WHERE cum >= 0.5 * rows) AS mid, min(value) FILTER (WHERE cum >= {high} * rows) AS high FROM {name}_c GROUP BY ALL),
+        {name} AS (SELECT {keys}rate, rows, high + {quality.REACH} * (high - mid) + {slack} AS fence FROM {name}_q)"""
+
+    return f"""
+    WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, row_number() OVER () AS k FROM documents),
+    w AS (SELECT k, regexp_extract_all(t, '{WORD}') AS w FROM d),
+    p AS (SELECT k, unnest(w) AS a, unnest(range(len(w))) AS i FROM w),
+    t3 AS (SELECT *, lead(a) OVER o AS b, lead(a, 2) OVER o AS c FROM p WINDOW o AS (PARTITION BY k ORDER BY i)),
+    again AS (SELECT k, i FROM t3 WHERE c IS NOT NULL QUALIFY count(*) OVER (PARTITION BY k, a, b, c) > 1),
+    hit AS (SELECT k, count(DISTINCT i + x) AS n_repeat_words FROM again, (VALUES (0), (1), (2)) v(x) GROUP BY k),
+    l AS (SELECT k, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS l FROM d),
+    s AS (SELECT d.*, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+          len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+          len(l) AS n_lines, len(regexp_extract_all(t, '[A-Z]')) AS n_upper FROM d JOIN w USING (k) JOIN l USING (k) LEFT JOIN hit USING (k)),
+    r AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed, {shares} FROM s),
+    b AS (SELECT lang, source, rate, CASE WHEN value > 0 THEN ceil(ln(value) / ln({1 + quality.STEP})) END AS bucket, count(*) AS n FROM ({pairs}) GROUP BY ALL),
+    {fences("own", "lang, source")}, {fences("bylang", "lang")}, {fences("everything", "")},
+    f AS (SELECT own.lang, own.source, own.rate, CASE WHEN own.rows >= {quality.MIN_GROUP_ROWS} THEN own.fence WHEN bylang.rows >= {quality.MIN_GROUP_ROWS} THEN bylang.fence ELSE everything.fence END AS fence
+          FROM own JOIN bylang ON own.lang IS NOT DISTINCT FROM bylang.lang AND own.rate = bylang.rate JOIN everything ON everything.rate = own.rate),
+    long AS ({" UNION ALL ".join(f"SELECT k, lang, source, '{r}' AS rate, {r} AS value FROM r" for r in rates)}),
+    above AS (SELECT DISTINCT k FROM long JOIN f ON f.lang IS NOT DISTINCT FROM long.lang AND f.source IS NOT DISTINCT FROM long.source AND f.rate = long.rate WHERE value > fence)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND k NOT IN (SELECT k FROM above) AS kept, {", ".join(rates)} FROM r
+    """
+
+
+QUALITY = quality_sql()

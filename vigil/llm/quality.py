@@ -31,10 +31,10 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 STEP = 0.02
 #: Rows that a group needs for fences of its own.
 MIN_GROUP_ROWS = 200
-#: Fence: the quantile HIGH, plus REACH times its distance from the median, plus the rate's slack.
-HIGH, REACH = 0.75, 3.0
-#: Rates judged, with the slack of their fences: where a group is all alike, only what lies this far above it is rejected.
-RATES = {"symbol_rate": 0.05, "dup_line_rate": 0.4, "repeat_rate": 0.45, "upper_rate": 0.25, "chars_per_word": 6.0}
+#: Fence: a high quantile, plus REACH times its distance from the median, plus a slack near the sketch's resolution.
+REACH = 3.0
+#: Rates judged: the quantile that their fence starts from (repetition has a long tail in good text, so it starts further out), and the slack.
+RATES = {"symbol_rate": (0.9, 0.01), "dup_line_rate": (0.99, 0.02), "repeat_rate": (0.99, 0.02), "upper_rate": (0.9, 0.01), "chars_per_word": (0.9, 0.1)}
 
 
 def repeat_words(words: np.ndarray, kinds: int) -> int:
@@ -105,14 +105,16 @@ def merged(sketches: DataFrame, by: list[str]) -> DataFrame:
 
 
 def fences(sketches: DataFrame, by: list[str]) -> DataFrame:
-    """Per group and rate: rows, and the upper fence from the median and the quantile HIGH of its sketch."""
+    """Per group and rate: rows, and the upper fence from the median and the high quantile of its sketch. A quantile is the upper
+    edge of its bucket, so rows that are all alike are never above their fence."""
     group = Window.partitionBy(*by, "rate")
-    value = F.coalesce(F.pow(F.lit(1 + STEP), F.col("bucket") - 0.5), F.lit(0.0))
+    value = F.coalesce(F.pow(F.lit(1 + STEP), F.col("bucket").cast("double")), F.lit(0.0))
     cum = sketches.select("*", F.sum("n").over(group.orderBy(F.col("bucket").asc_nulls_first())).alias("cum"),
                           F.sum("n").over(group).alias("rows"), value.alias("value"))
     at = lambda q: F.min(F.when(F.col("cum") >= q * F.col("rows"), F.col("value")))
-    slack = F.coalesce(*[F.when(F.col("rate") == r, F.lit(x)) for r, x in RATES.items()])
-    return (cum.groupBy(*by, "rate").agg(F.max("rows").alias("rows"), at(0.5).alias("mid"), at(HIGH).alias("high"))
+    of_rate = lambda i: F.coalesce(*[F.when(F.col("rate") == r, F.lit(x[i])) for r, x in RATES.items()])
+    slack = of_rate(1)
+    return (cum.groupBy(*by, "rate").agg(F.max("rows").alias("rows"), at(0.5).alias("mid"), at(of_rate(0)).alias("high"))
             .select(*by, "rate", "rows", (F.col("high") + REACH * (F.col("high") - F.col("mid")) + slack).alias("fence")))
 
 

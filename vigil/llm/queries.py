@@ -53,7 +53,7 @@ def op1(spark, sf_dir):
     return suffix.dedup(docs, with_text=False).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-@register("op2_quality_rules")
+@register("op2_quality_rules", oracles.QUALITY)
 def op2(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     judged = quality.verdict(written(quality.text_stats(docs).drop("text")))
