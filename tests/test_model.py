@@ -102,3 +102,24 @@ def test_registry_never_overwrites(spark, fitted, tmpdir_path):
     broken = ModelRegistry(spark, tmpdir_path)
     with pytest.raises(Exception):
         broken._read("broken").count()
+
+
+def test_vocabulary_and_idf_cover_all_rows(spark):
+    """With a bounded fit the vectors still come from the whole corpus: n-grams that only other rows have count in idf and length."""
+    import math
+
+    rows = [(f"ab{'xyz'[i % 3]}{chr(97 + i)}", float(i % 2)) for i in range(20)]
+    df = spark.createDataFrame(rows, "t string, y double")
+    model = M.fit_text_regressor(df, "t", "y", n_max=2, max_rows=4, model="ridge")
+    vocabulary, idf, n_fit = M.corpus_vocabulary(df, M.fit_rows(df, "t", "y", 4), "t", 1, 2)
+    grams = {t: {t[i:i + n] for n in (1, 2) for i in range(len(t) - n + 1)} for t, _ in rows}
+    assert set(vocabulary) == set().union(*grams.values()) and 0 < n_fit < len(vocabulary)
+    for g, v in zip(vocabulary, idf):
+        assert abs(v - math.log(21 / (1 + sum(g in x for x in grams.values()))) - 1) < 1e-12
+    out = model.transform(df).select("t", "_tfidf", "_fit").collect()
+    weight = dict(zip(vocabulary, idf))
+    for r in out:
+        raw = {g: weight[g] * sum(r["t"].startswith(g, i) for i in range(len(r["t"]))) for g in grams[r["t"]]}
+        size = math.sqrt(sum(w * w for w in raw.values()))
+        assert all(abs(r["_tfidf"][vocabulary.index(g)] - w / size) < 1e-12 for g, w in raw.items())
+        assert r["_fit"].size == n_fit

@@ -8,9 +8,11 @@ ElementwiseProduct, Normalizer, VectorAssembler, regressor) and persists with
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import (IDF, CountVectorizer, ElementwiseProduct, Normalizer, SQLTransformer,
-                                VectorAssembler)
+from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer,
+                                VectorAssembler, VectorSlicer)
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark import StorageLevel
@@ -19,12 +21,13 @@ from pyspark.sql import functions as F
 
 from vigil.functions.sqltext import chars_sql, entropy_sql, ngrams_sql
 from vigil.operators.metrics import log_target, regression_metric_columns
+from vigil.operators.textfeatures import gram_frequencies
 
 # Forest settings and n-gram range of the reference model.
 FOREST = {"numTrees": 50, "maxDepth": 12, "seed": 42}
 NGRAM_RANGE = (1, 3)
-#: Labelled rows that a model is fitted on at most: those with the smallest hashes of their text. Every n-gram of these
-#: rows is a feature. Scoring and all metrics cover all rows.
+#: Labelled rows that the regressor is fitted on at most: those with the smallest hashes of their text. Vocabulary, document
+#: frequencies and so idf and vector lengths come from all labelled rows; scoring and all metrics cover all rows.
 MAX_FIT_ROWS = 1000
 #: The fit reads its rows in this many partitions, dealt and sorted by the text, so a refit gives the same model.
 FIT_PARTITIONS = 8
@@ -40,30 +43,46 @@ def fit_rows(df: DataFrame, text: str, target: str, max_rows: int | None) -> Dat
     return rows.repartition(FIT_PARTITIONS, h).sortWithinPartitions(text, target)
 
 
+def corpus_vocabulary(df: DataFrame, fit_on: DataFrame, text: str, n_min: int, n_max: int) -> tuple[list[str], list[float], int]:
+    """The n-grams of all texts of ``df`` with their smooth idf + 1, those of ``fit_on`` first, and how many these are.
+
+    Counting is distributed; the fitted vectorizer then holds the vocabulary, as it must for scoring: at most the distinct
+    strings of ``n_max`` characters that occur, whatever the number of rows."""
+    seen = gram_frequencies(fit_on, text, n_min, n_max).select("ngram", F.lit(True).alias("fit"))
+    rows = gram_frequencies(df, text, n_min, n_max).join(seen, "ngram", "left").select("ngram", "doc_freq", F.coalesce("fit", F.lit(False)).alias("fit")).toArrow()
+    n = df.count()
+    table = sorted(zip((not f for f in rows["fit"].to_pylist()), rows["ngram"].to_pylist(), rows["doc_freq"].to_pylist()))
+    return [g for _, g, _ in table], [math.log((1 + n) / (1 + k)) + 1 for _, _, k in table], sum(not late for late, _, _ in table)
+
+
 def fit_text_regressor(df: DataFrame, text: str, target: str, *, n_min: int = NGRAM_RANGE[0],
                        n_max: int = NGRAM_RANGE[1], max_rows: int | None = MAX_FIT_ROWS,
                        tfidf: bool = True, model: str = "forest", reg_param: float = 1.0,
                        forest: dict | None = None) -> PipelineModel:
-    """Fit on ``text`` → log10(target + 1); returns a PipelineModel that adds ``prediction``."""
+    """Fit on ``text`` → log10(target + 1); returns a PipelineModel that adds ``prediction``.
+
+    Vectors are made of the whole corpus vocabulary. The regressor sees those of its entries that the fit rows have: the others are
+    zero in every fit row, so no split and no coefficient could use them."""
     prep = SQLTransformer(statement=(
         f"SELECT *, {ngrams_sql('_chars', n_min, n_max)} AS _ngrams, {entropy_sql(text)} AS _entropy "
         f"FROM (SELECT *, {chars_sql(text)} AS _chars FROM __THIS__)"))
-    labeled = fit_rows(df, text, target, max_rows).withColumn(LABEL, log_target(F.col(target).cast("double")))
-    # Each estimator below reads the n-grams again; keep them once (recomputed from
-    # lineage if an executor is lost) and drop them when the fit is done.
+    usable = df.select(text, target).filter(F.col(text).isNotNull() & F.col(target).isNotNull())
+    chosen = fit_rows(df, text, target, max_rows)
+    vocabulary, idf, n_fit = corpus_vocabulary(usable, chosen, text, n_min, n_max)
+    labeled = chosen.withColumn(LABEL, log_target(F.col(target).cast("double")))
+    # Read several times below; kept once (recomputed from lineage if an executor is lost) and dropped when the fit is done.
     data = prep.transform(labeled).select("_ngrams", "_entropy", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n_grams = data.select(F.explode("_ngrams").alias("g")).distinct().count()
-        cv = CountVectorizer(inputCol="_ngrams", outputCol="_tf", vocabSize=max(n_grams, 1), minDF=1.0).fit(data)
+        cv = CountVectorizerModel.from_vocabulary(vocabulary or [""], inputCol="_ngrams", outputCol="_tf")
         stages = [prep, cv]
         feats = "_tf"
         if tfidf:
-            idf = IDF(inputCol="_tf", outputCol="_idf").fit(cv.transform(data))
-            # smooth idf + 1: Spark's IDF is ln((n+1)/(df+1)); scale raw counts by idf + 1
-            scale = DenseVector(idf.idf.toArray() + 1.0)
-            stages += [ElementwiseProduct(scalingVec=scale, inputCol="_tf", outputCol="_tfidf_raw"),
+            stages += [ElementwiseProduct(scalingVec=DenseVector(idf or [0.0]), inputCol="_tf", outputCol="_tfidf_raw"),
                        Normalizer(inputCol="_tfidf_raw", outputCol="_tfidf", p=2.0)]
             feats = "_tfidf"
+        if n_fit < len(vocabulary):
+            stages.append(VectorSlicer(inputCol=feats, outputCol="_fit", indices=list(range(n_fit))))
+            feats = "_fit"
         stages.append(VectorAssembler(inputCols=[feats, "_entropy"], outputCol="_features"))
         featurised = (PipelineModel(stages=stages[1:]).transform(data).select("_features", LABEL)
                       .persist(StorageLevel.MEMORY_AND_DISK))

@@ -65,6 +65,13 @@ def document_grams(df: DataFrame, key: str, text: str, n_min: int = 1, n_max: in
     return grams.select(key, F.inline(run_lengths("_grams"))).select(key, F.col("value").alias("ngram"), F.col("n").cast("long").alias("tf"))
 
 
+def gram_frequencies(df: DataFrame, text: str, n_min: int = 1, n_max: int = 3) -> DataFrame:
+    """(ngram, doc_freq) over all rows of ``df``, each n-gram counted once a row before anything is shuffled."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chars = df.select(text).repartition(n).select(normalized_chars(F.col(text)).alias("_chars")).select(ngrams_from_chars("_chars", n_min, n_max).alias("_grams"))
+    return chars.select(F.explode(F.array_distinct("_grams")).alias("ngram")).groupBy("ngram").agg(F.count(F.lit(1)).alias("doc_freq"))
+
+
 def ngram_dictionary(df: DataFrame, key: str, text: str, n_min: int = 1, n_max: int = 3, grams: DataFrame | None = None) -> DataFrame:
     """(id, ngram, doc_freq, idf) of every n-gram of all texts: ids are places in the n-grams' order, smooth idf + 1.
 

@@ -54,7 +54,8 @@ def train_and_gate(spark, sf_dir):
 
 @register("score_batch")
 def score_batch(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(KEY, TEXT)
+    # dealt by key first: a table in one file would leave the n-grams of all texts to one task
+    docs = table(spark, sf_dir, "documents").select(KEY, TEXT).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), KEY)
     # the model that passed the gate (trained on the train half) scores every document
     out = M.score(fitted(spark, sf_dir), docs, keep=[KEY])
     return out.select(KEY, rnd(M.PREDICTION).alias(M.PREDICTION))
