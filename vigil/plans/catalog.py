@@ -62,4 +62,4 @@ def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 def load_all() -> None:
     """Import every plan module so its queries register."""
     from vigil.plans import monitor_queries, quality_queries, text_queries, sample_queries  # noqa: F401
-    from vigil.plans import serving_queries, model_queries  # noqa: F401
+    from vigil.plans import serving_queries, model_queries, landing_queries  # noqa: F401

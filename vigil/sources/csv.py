@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.functions.parse import MISSING_TOKENS
+from vigil.session import cut_lineage
 
 CORRUPT = "_corrupt_record"
 
@@ -81,3 +82,34 @@ def landing_check(spark: SparkSession, path_glob: str) -> DataFrame:
     files = spark.read.format("binaryFile").load(path_glob).select("length")
     return files.agg(F.count(F.lit(1)).alias("n_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("n_bytes")).select(
         "n_files", "n_bytes", (F.col("n_files") == 0).alias("is_empty"), (F.col("n_files") > 0).alias("passed"))
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, value): every line of every text file under ``path`` with its number in its file, from 1, in parallel.
+
+    A file is read in splits that know where they begin (``_metadata.file_block_start``). The lines of a split are numbered by
+    their place in the task that read it; the lines of the splits before are added from one count per split. The lines
+    are written once, so both steps see the same places. Line breaks inside quotes end a line here."""
+    at = F.col("_metadata")
+    lines = cut_lineage(spark.read.text(path).select("value", at["file_path"].alias("file"), at["file_block_start"].alias("start"), F.monotonically_increasing_id().alias("place")))
+    splits = lines.groupBy("file", "start").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))  # a row for each split of a file
+    offsets = splits.select(F.col("file").alias("_f"), F.col("start").alias("_s"), "first", F.coalesce(before, F.lit(0)).alias("before"))
+    joined = lines.join(offsets, (F.col("file") == F.col("_f")) & (F.col("start") == F.col("_s")))
+    return joined.select("file", (F.col("before") + F.col("place") - F.col("first") + 1).alias("line"), "value")
+
+
+def rejected_lines(spark: SparkSession, path: str, n_columns: int) -> DataFrame:
+    """(file, line, reason, value) of the data lines that a strict landing refuses, with their place: more fields than the header
+    (``n_columns``), or nothing but empty fields and missing-value spellings (a fully empty row). Short rows are padded, so they pass."""
+    wide = ", ".join(f"c{i} string" for i in range(n_columns + 1))
+    cells = F.from_csv("value", F.lit(wide), {"mode": "PERMISSIVE"})
+    parsed = numbered_lines(spark, path).filter("line > 1").withColumn("cells", cells)
+    missing = lambda c: F.col(f"cells.{c}").isNull() | F.col(f"cells.{c}").isin("", *MISSING_TOKENS)
+    empty = F.lit(True)
+    for i in range(n_columns):
+        empty = empty & missing(f"c{i}")
+    # a field beyond the one too many is dropped by the reader, so the last column says that there is at least one
+    long = F.col(f"cells.c{n_columns}").isNotNull() | (F.size(F.split("value", ",")) > n_columns) & ~F.col("value").contains('"')
+    reason = F.when(long, "too many fields").when(empty, "fully empty row")
+    return parsed.select("file", "line", reason.alias("reason"), "value").filter("reason IS NOT NULL")
