@@ -123,3 +123,27 @@ def test_vocabulary_and_idf_cover_all_rows(spark):
         size = math.sqrt(sum(w * w for w in raw.values()))
         assert all(abs(r["_tfidf"][vocabulary.index(g)] - w / size) < 1e-12 for g, w in raw.items())
         assert r["_fit"].size == n_fit
+
+
+def test_alias_moves_of_two_writers(spark, tmpdir_path):
+    """Many writers move one alias at once: every move has its own place in the log, and a compare-and-set wins once."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = f"{tmpdir_path}/writers"
+    one, two = ModelRegistry(spark, root), ModelRegistry(spark, root)
+    with ThreadPoolExecutor(4) as pool:
+        assert all(pool.map(lambda i: (one, two)[i % 2].set_alias("m", "prod", i), range(1, 9)))
+    log = one._read("model_aliases").collect()
+    assert sorted(r["seq"] for r in log) == list(range(1, 9)) and {r["version"] for r in log} == set(range(1, 9))
+    now = one.resolve("m", alias="prod")
+    assert now == max(log, key=lambda r: r["seq"])["version"]
+    with ThreadPoolExecutor(4) as pool:
+        won = list(pool.map(lambda i: (one, two)[i % 2].set_alias("m", "prod", 100 + i, expected=now), range(4)))
+    assert sum(won) == 1 and two.resolve("m", alias="prod") == 100 + won.index(True)
+    assert one.set_alias("m", "new", 5, expected=0) and not one.set_alias("m", "new", 6, expected=0)
+
+
+def test_a_lost_writer_is_passed_over(spark, tmpdir_path):
+    reg = ModelRegistry(spark, f"{tmpdir_path}/lost")
+    assert reg._claim("m", "aliases", "prod", "s1")  # and never appended
+    assert reg.set_alias("m", "prod", 3, wait=0.2) and reg.resolve("m", alias="prod") == 3

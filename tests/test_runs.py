@@ -20,6 +20,7 @@ def test_good_run_registers_and_reports(spark, tmpdir_path):
     assert out["valid"] and out["registration"]["alias_verified"] is True
     rep = out["report"].collect()[0]
     assert rep.is_valid is True and rep.quality_valid in (True, False)
+    assert rep.schema_metrics["n_rows"] == 200 and rep.quality_metrics["row_count"] == 200 and rep.quality_metrics["rmse"] >= 0
     assert {r.step for r in out["steps"].collect()} == {"read", "validate", "train", "register", "quality"}
 
 

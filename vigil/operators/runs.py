@@ -8,12 +8,15 @@ from __future__ import annotations
 
 import time
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigil.operators import model as M
-from vigil.operators import rules
+from vigil.operators import profile, rules
+from vigil.session import cut_lineage
 from vigil.sources.csv import read_raw_csv
 from vigil.sources.registry import ModelRegistry
 from vigil.sources.thresholds import load_thresholds
@@ -35,18 +38,25 @@ class StepTimer:
         return spark.createDataFrame(self.rows, "step string, seconds double")
 
 
-def merged_report(schema_report: DataFrame, quality: DataFrame | None) -> DataFrame:
-    """Schema report and quality-gate result side by side, in one row (both sides are one row)."""
-    if quality is None:
-        return schema_report.withColumn("quality_valid", F.lit(None).cast("boolean")) \
-                            .withColumn("quality_errors", F.lit(None).cast("array<string>"))
-    q = quality.agg(F.min(F.col("passed").cast("int")).cast("boolean").alias("quality_valid"),
-                    F.filter(F.transform(F.sort_array(F.collect_list(F.struct("check_index", "error"))),
-                                         lambda x: x["error"]), lambda e: e.isNotNull()).alias("quality_errors"))
-    s = schema_report.collect()[0].asDict()
-    return q.select(*[F.lit(v).alias(k) if not isinstance(v, list) else
-                      F.array(*[F.lit(x) for x in v]).cast("array<string>").alias(k) for k, v in s.items()],
-                    "quality_valid", "quality_errors")
+def _as_map(row: DataFrame, name: str) -> DataFrame:
+    """A one-row frame's numbers as one map column."""
+    numbers = [f.name for f in row.schema.fields if isinstance(f.dataType, T.NumericType)]
+    pairs = [x for c in numbers for x in (F.lit(c), F.col(f"`{c}`").cast("double"))]
+    return row.select(F.create_map(*pairs).alias(name))
+
+
+def merged_report(schema_report: DataFrame, quality: DataFrame | None, schema_metrics: DataFrame | None = None, quality_metrics: DataFrame | None = None) -> DataFrame:
+    """Schema report and quality-gate result side by side in one row, with the numbers that they rest on as maps (null where a side did not run).
+    All sides are one row; they meet as rows of one small frame, so nothing is collected."""
+    parts = [schema_report]
+    if quality is not None:
+        errors = F.transform(F.sort_array(F.collect_list(F.struct("check_index", "error"))), lambda x: x["error"])
+        parts.append(quality.agg(F.min(F.col("passed").cast("int")).cast("boolean").alias("quality_valid"), F.filter(errors, lambda e: e.isNotNull()).alias("quality_errors")))
+    parts += [_as_map(m, n) for m, n in ((schema_metrics, "schema_metrics"), (quality_metrics, "quality_metrics")) if m is not None]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    rest = {"quality_valid": "boolean", "quality_errors": "array<string>", "schema_metrics": "map<string,double>", "quality_metrics": "map<string,double>"}
+    rows = rows.select("*", *[F.lit(None).cast(t).alias(c) for c, t in rest.items() if c not in rows.columns])
+    return rows.agg(*[F.first(F.col(c), ignorenulls=True).alias(c) for c in [*schema_report.columns, *rest]])
 
 
 def training_run(spark: SparkSession, csv_path: str, registry_root: str, *, text: str = "Password",
@@ -80,9 +90,8 @@ def training_run(spark: SparkSession, csv_path: str, registry_root: str, *, text
                 model, model_name, metrics=metrics, params=dict(M.FOREST, **(forest or {})), alias=alias)
         with timer.step("quality"):
             prod, _ = ModelRegistry(spark, registry_root).load(model_name, alias=alias)
-            quality = M.quality_gate(M.quality_metrics(M.scored_table(prod, clean, target), target), th)
-            merged = merged_report(report, quality)
-            merged.collect()
+            numbers = cut_lineage(M.quality_metrics(M.scored_table(prod, clean, target), target))  # one row, read by the gate and the report
+            merged = cut_lineage(merged_report(report, M.quality_gate(numbers, th), profile.raw_profile(clean, text, target), numbers))
     finally:
         clean.unpersist()
     return {"valid": True, "errors": [], "registration": reg, "report": merged, "steps": timer.table(spark)}

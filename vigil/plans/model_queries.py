@@ -20,7 +20,7 @@ from vigil.plans import sqlfrag as S
 from vigil.plans.catalog import register, rnd, round_doubles, sql_rnd as R
 from vigil.session import checkpoint_dir
 from vigil.sources.thresholds import DEFAULT_THRESHOLDS
-from vigil.tables import table
+from vigil.tables import source_key, table
 
 TEXT, TARGET, KEY = "text", "quality", "doc_id"
 PARITY_ROUNDS = 3
@@ -40,9 +40,21 @@ def _split(spark, sf_dir):
     return lab.filter(F.col("half") == "train"), lab.filter(F.col("half") == "test")
 
 
+def _model_path(spark, sf_dir, kind: str) -> str:
+    """A folder named after the state of the source files, so a model is fitted once for each and again when they change."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{kind}-{source_key(spark, sf_dir, ['documents', 'labels'])}"
+
+
+_SAVED: set[str] = set()
+
+
 def fitted(spark, sf_dir):
-    """Fitted on the train half; rows are put in a fixed order first, so each query that fits gets the same model."""
-    return M.fit_text_regressor(_split(spark, sf_dir)[0], TEXT, TARGET)
+    """Fitted on the train half and saved; queries over the same state of the files load it. Rows are put in a fixed order first, so a refit gives the same model."""
+    path = _model_path(spark, sf_dir, "forest")
+    if path not in _SAVED:
+        M.fit_text_regressor(_split(spark, sf_dir)[0], TEXT, TARGET).write().overwrite().save(path)
+        _SAVED.add(path)
+    return PipelineModel.load(path)
 
 
 @register("train_and_gate")
@@ -164,7 +176,11 @@ _RIDGE_SQL = _ridge_sql()
 
 
 def ridge_model(spark, sf_dir):
-    return ridge.fit(_split(spark, sf_dir)[0], KEY, TEXT, TARGET, reg=RIDGE_REG)
+    path = _model_path(spark, sf_dir, "ridge")
+    if path not in _SAVED:
+        ridge.save(ridge.fit(_split(spark, sf_dir)[0], KEY, TEXT, TARGET, reg=RIDGE_REG), path)
+        _SAVED.add(path)
+    return ridge.load(spark, path)
 
 
 @register("ridge_coefficients", sql=f"""{_RIDGE_SQL}

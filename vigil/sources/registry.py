@@ -9,6 +9,7 @@ from __future__ import annotations
 import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -30,24 +31,29 @@ class ModelRegistry:
         return f"{self.root}/{name}"
 
     def _read(self, name: str) -> DataFrame | None:
-        """The table, or None if its folder does not exist yet; any other failure is the caller's to see."""
+        """The table, or None if nothing has been appended yet; any other failure is the caller's to see."""
         try:
-            return self.spark.read.parquet(self._path(name))
+            return self.spark.read.parquet(self._path(name)).drop("batch")
         except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # the latter: a folder whose first batch is being written
                 raise
             return None
 
-    def _claim(self, name: str, version: int) -> bool:
-        """Create the version's marker file; False if another writer has it already."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/claims/{name}/v{version}")
+    def _claim(self, *place: str) -> bool:
+        """Create the marker file of a place in a log; False if another writer has it already."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.root, "claims", *place]))
         fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         fs.mkdirs(path.getParent())
-        return fs.createNewFile(path)
+        try:
+            return fs.createNewFile(path)
+        except Py4JJavaError as e:  # some file systems raise where others answer False
+            if "FileAlreadyExists" in str(e.java_exception):
+                return False
+            raise
 
     def _append(self, name: str, rows: list[tuple], schema: str) -> None:
         if rows:
-            self.spark.createDataFrame(rows, schema).write.mode("append").parquet(self._path(name))
+            self.spark.createDataFrame(rows, schema).write.parquet(f"{self._path(name)}/batch=b{uuid.uuid4().hex}")  # a folder a batch: writers do not share one job folder
 
     def versions(self) -> DataFrame | None:
         return self._read("model_versions")
@@ -61,7 +67,7 @@ class ModelRegistry:
         if prev is not None:
             last = prev.filter(F.col("name") == name).agg(F.max("version")).collect()[0][0]
             version = (last or 0) + 1
-        while not self._claim(name, version):
+        while not self._claim(name, f"v{version}"):
             version += 1
         run_id = uuid.uuid4().hex
         uri = f"{self.root}/artifacts/{name}/v{version}-{run_id}"
@@ -90,11 +96,26 @@ class ModelRegistry:
                 raise RuntimeError(f"alias {alias!r} of {name!r} does not point to version {version}")
         return out
 
-    def set_alias(self, name: str, alias: str, version: int) -> None:
-        moves = self._read("model_aliases")
-        seq = 1 if moves is None else (moves.agg(F.max("seq")).first()[0] or 0) + 1  # order of the log, not of a clock
-        self._append("model_aliases", [(name, alias, int(version), seq)],
-                     "name string, alias string, version long, seq long")
+    def set_alias(self, name: str, alias: str, version: int, expected: int | None = None, wait: float = 30.0) -> bool:
+        """Append an alias move. With ``expected`` only if the alias is at that version (0: not set) when the move's place in
+        the log is taken, else False and nothing changes.
+
+        A move takes the place after the last one by exclusive create, so of two writers that saw the same log one gets the place;
+        the other sees the first one's move before it tries again. A writer that took a place and was lost before it appended is
+        passed over after ``wait`` seconds."""
+        deadline, lost = time.time() + wait, 0
+        while True:
+            moves = self._read("model_aliases")
+            last = None if moves is None else moves.filter((F.col("name") == name) & (F.col("alias") == alias)).agg(F.max("seq").alias("seq"), F.max_by("version", "seq").alias("v")).first()
+            if expected is not None and ((last["v"] if last else None) or 0) != expected:
+                return False
+            seq = ((last["seq"] if last else None) or 0) + 1 + lost
+            if self._claim(name, "aliases", alias, f"s{seq}"):
+                self._append("model_aliases", [(name, alias, int(version), seq)], "name string, alias string, version long, seq long")
+                return True
+            if time.time() > deadline:
+                lost, deadline = lost + 1, time.time() + wait
+            time.sleep(0.05)
 
     def aliases(self) -> DataFrame | None:
         """Current alias table: latest assignment per (name, alias)."""
