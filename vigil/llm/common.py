@@ -62,11 +62,11 @@ def numbered(df: DataFrame, order: list[Column], out: str = "rank") -> DataFrame
     return fixed.withColumn(out, inside).join(offsets, part).withColumn(out, F.col(out) + F.col(base)).select(*df.columns, out)
 
 
-def arrow_columns(df: DataFrame, inputs: list[str], outputs: T.StructType, make: Callable[[], Callable]) -> DataFrame:
+def arrow_columns(df: DataFrame, inputs: list[str], outputs: T.StructType, make: Callable[[], Callable], limit: int | None = None) -> DataFrame:
     """``df`` with the columns ``outputs``, computed from whole Arrow batches of ``inputs`` and no shuffle.
 
     ``make()`` runs once in each task and returns a function from the input arrays to the output arrays.
-    An output replaces a column of ``df`` that has its name.
+    An output replaces a column of ``df`` that has its name. ``limit``: bytes of text handled at once, if not CHUNK_BYTES.
     """
     keep = [c for c in df.columns if c not in outputs.fieldNames()]
     need = list(dict.fromkeys([*keep, *inputs]))
@@ -75,7 +75,7 @@ def arrow_columns(df: DataFrame, inputs: list[str], outputs: T.StructType, make:
     def run(batches):
         fn = make()
         for batch in batches:
-            for rows in cut_batch(batch, inputs):
+            for rows in cut_batch(batch, inputs, limit):
                 cols = fn(*[rows.column(need.index(c)) for c in inputs])
                 yield pa.RecordBatch.from_arrays([rows.column(i) for i, c in enumerate(need) if c in keep] + cols, names=schema.fieldNames())
 

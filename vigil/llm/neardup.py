@@ -41,7 +41,9 @@ BLOCK = 512
 BATCH_ROWS = 2000
 PARTS = 256
 HUBS = 8
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
+#: Bytes of text whose shingles a task holds at once.
+SLICE_BYTES = 1_000_000
 MIX = np.random.default_rng(11).integers(1, 2**63, SHINGLE + BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -133,7 +135,7 @@ def word_idf(df: DataFrame, text: str) -> np.ndarray:
         words, total = Words(None), np.zeros(CELLS, np.int64)
         rows = 0
         for batch in batches:
-            for part in cut_batch(batch, [text]):
+            for part in cut_batch(batch, [text], SLICE_BYTES):
                 ids, lens = words(texts_of(part.column(0)))
                 n = max(len(words.number), 1)
                 pairs = np.unique(np.repeat(np.arange(len(lens)), lens) * n + ids)
@@ -171,7 +173,7 @@ def sampled(df: DataFrame, idf: np.ndarray, text: str = "text") -> DataFrame:
 
         return run
 
-    return arrow_columns(df, [text], fields, make)
+    return arrow_columns(df, [text], fields, make, SLICE_BYTES)
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -196,7 +198,7 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
             return h, w
 
         for batch in batches:
-            for part in cut_batch(batch, ["ta", "tb"]):
+            for part in cut_batch(batch, ["ta", "tb"], SLICE_BYTES):
                 a, b, ta, tb = (part.column(i).to_pylist() for i in range(4))
                 hit = [similarity(features(x), features(y)) >= THRESHOLD for x, y in zip(ta, tb)]
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, h in zip(v, hit) if h], pa.int64()) for v in (a, b)], names=["a", "b"])
