@@ -40,11 +40,18 @@ class ModelRegistry:
             return None
 
     def _claim(self, *place: str) -> bool:
-        """Create the marker file of a place in a log; False if another writer has it already."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.root, "claims", *place]))
+        """Create the marker file of a place in a log; False if another writer has it already.
+
+        The shared store's exclusive create is atomic; a local file system's looks first and then creates, so there the
+        operating system's own exclusive create is used."""
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path("/".join([self.root, "claims", *place]))
         fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         fs.mkdirs(path.getParent())
         try:
+            if fs.getUri().getScheme() == "file":
+                jvm.java.nio.file.Files.createFile(jvm.java.io.File(path.toUri().getPath()).toPath(), self.spark.sparkContext._gateway.new_array(jvm.java.nio.file.attribute.FileAttribute, 0))
+                return True
             return fs.createNewFile(path)
         except Py4JJavaError as e:  # some file systems raise where others answer False
             if "FileAlreadyExists" in str(e.java_exception):
