@@ -1,4 +1,5 @@
 import math
+import re
 from collections import Counter
 
 import pytest
@@ -158,3 +159,18 @@ def test_redact_json_against_a_plain_walk(spark):
         assert json.loads(got[i]) == walk(v), rows[i][1]
     plan = spark.createDataFrame(rows, "i int, j string").select(redact.redact_json("j"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tfidf_never_broadcasts_the_exploded_ngrams(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "ab"), (2, "abc"), (2, "b"), (None, "cab"), (3, None)], "k int, s string")
+    small = {(r.k, r.ngram): (r.tf, r.weight) for r in tx.tfidf_weights(df, "k", "s").collect()}
+    monkeypatch.setattr(tx, "MAX_BROADCAST_NGRAMS", 0, raising=False)
+    w = tx.tfidf_weights(df, "k", "s")
+    assert "Broadcast" not in plan_of(w) and "SortMergeJoin" in plan_of(w)
+    merged = {(r.k, r.ngram): (r.tf, r.weight) for r in w.collect()}
+    assert merged.keys() == small.keys() and (2, "b") in merged and merged[2, "b"][0] == 2 and (None, "ca") in merged
+    assert all(merged[k][0] == small[k][0] and abs(merged[k][1] - small[k][1]) < 1e-12 for k in small)

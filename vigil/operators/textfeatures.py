@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 from vigil.functions.text import char_entropy, ngrams_from_chars, normalized_chars, run_lengths
 from vigil.operators.ordered import numbered
+from vigil.session import cut_lineage
+
+#: Rows of a document-frequency table that is broadcast at most: some 20 MB of short strings and counts.
+MAX_BROADCAST_NGRAMS = 200_000
 
 
 def exploded_ngrams(df: DataFrame, key: str, text: str, n_min: int = 1, n_max: int = 3) -> DataFrame:
@@ -37,14 +41,15 @@ def tfidf_weights(df: DataFrame, key: str, text: str, n_min: int = 1, n_max: int
                   n_docs: int | None = None) -> DataFrame:
     """(key, ngram, tf, idf, weight) with smooth idf + 1 and per-document L2 normalisation.
 
-    The document-frequency table joins back on ``ngram``: Catalyst/AQE broadcast
-    it when its measured size is under the broadcast threshold, otherwise a
-    sort-merge join whose hot n-grams AQE splits.
+    The document-frequency table is written first, so its size is known: it is broadcast up to ``MAX_BROADCAST_NGRAMS`` rows,
+    beyond that both sides are sorted and merged. The plan's own estimate is no guide: it takes the exploded n-grams to be no
+    larger than the texts, and would broadcast them.
     """
     if n_docs is None:
         n_docs = df.select(key).count()
     tf = ngram_term_counts(df, key, text, n_min, n_max)
-    dfreq = tf.groupBy("ngram").agg(F.count(F.lit(1)).alias("doc_freq"))
+    dfreq = cut_lineage(tf.groupBy("ngram").agg(F.count(F.lit(1)).alias("doc_freq")))
+    dfreq = dfreq.hint("broadcast" if dfreq.count() <= MAX_BROADCAST_NGRAMS else "merge")
     idf = F.log((F.lit(1.0 + n_docs)) / (F.lit(1.0) + F.col("doc_freq"))) + F.lit(1.0)
     w = tf.join(dfreq, "ngram").withColumn("idf", idf).withColumn("raw", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
