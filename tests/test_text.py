@@ -174,3 +174,14 @@ def test_tfidf_never_broadcasts_the_exploded_ngrams(spark, monkeypatch):
     merged = {(r.k, r.ngram): (r.tf, r.weight) for r in w.collect()}
     assert merged.keys() == small.keys() and (2, "b") in merged and merged[2, "b"][0] == 2 and (None, "ca") in merged
     assert all(merged[k][0] == small[k][0] and abs(merged[k][1] - small[k][1]) < 1e-12 for k in small)
+
+
+def test_ngrams_are_counted_in_slices_of_texts(spark, monkeypatch):
+    monkeypatch.setattr(tx, "CHARS_PER_SLICE", 10, raising=False)
+    df = spark.createDataFrame([(i, "abcde") for i in range(40)] + [(1, "ab"), (None, "ab"), (None, "ab")], "k int, s string")
+    tf = tx.ngram_term_counts(df, "k", "s")
+    assert tf.rdd.getNumPartitions() >= 20  # as many as the characters need, whatever the input's partitions
+    assert "hashpartitioning(k#" in plan_of(tf) and not re.search(r"hashpartitioning\([^)]*ngram", plan_of(tf))  # the texts are shuffled by key, the n-grams are not
+    counts = {(r.k, r.ngram): r.tf for r in tf.collect()}
+    assert counts[1, "ab"] == 2 and counts[None, "ab"] == 2 and counts[0, "cde"] == 1 and len(counts) == 40 * 12 + 3
+    assert {r.ngram: (r.doc_freq, r.total_count) for r in tx.ngram_document_frequency(df, "k", "s").collect()}["ab"] == (41, 43)

@@ -23,9 +23,21 @@ def exploded_ngrams(df: DataFrame, key: str, text: str, n_min: int = 1, n_max: i
     return chars.select(key, F.explode(ngrams_from_chars("_chars", n_min, n_max)).alias("ngram"))
 
 
+#: Characters of text a slice: a task counts the n-grams of about so many characters, whatever the size of the table.
+CHARS_PER_SLICE = 500_000
+
+
+def dealt_by_key(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, text) dealt by key into slices of about ``CHARS_PER_SLICE`` characters, as many as the session's shuffle partitions at least."""
+    chars = df.agg(F.sum(F.length(text))).first()[0] or 0
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.select(key, text).repartition(max(least, -(-chars // CHARS_PER_SLICE)), F.col(key))
+
+
 def ngram_term_counts(df: DataFrame, key: str, text: str, n_min: int = 1, n_max: int = 3) -> DataFrame:
-    """(key, ngram, tf): occurrences per document; partial counts combine map-side."""
-    return (exploded_ngrams(df, key, text, n_min, n_max)
+    """(key, ngram, tf): occurrences per document. The texts are dealt by key, so their n-grams, many times larger, are counted
+    where they are made: they cross no shuffle, and a task holds those of one slice."""
+    return (exploded_ngrams(dealt_by_key(df, key, text), key, text, n_min, n_max)
             .groupBy(key, "ngram").agg(F.count(F.lit(1)).alias("tf")))
 
 
