@@ -77,3 +77,14 @@ def test_new_reference_rows_change_every_day(spark, table, tmp_path):
     whole = new_cube(spark, f"{tmp_path}/w", table)
     whole.add(table, is_ref())
     assert rounded(cube.daily_drift().select("data_date", "column_name", "drift_score").collect()) == rounded(whole.daily_drift().select("data_date", "column_name", "drift_score").collect())
+
+
+def test_a_kind_of_columns_is_scored_alone(spark, table, tmp_path, monkeypatch):
+    cube = new_cube(spark, f"{tmp_path}/e", table)
+    cube.add(table, is_ref())
+    monkeypatch.setattr(drift, "numeric_drift_by_day_of_counts", lambda *a: pytest.fail("numbers were scored"))
+    days = ["data_date", "column_name", "drift_score", "stattest"]
+    want = drift.categorical_drift_by_day(table.filter(is_ref()), table.filter(~is_ref()), ["c"], "ts")
+    for _ in range(2):
+        assert rounded(cube.daily_drift(numeric=False).select(days).collect()) == rounded(want.select(days).collect())
+    assert len(list(tmp_path.glob("e/drift-*/scores/*"))) == 1  # once

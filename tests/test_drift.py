@@ -130,3 +130,25 @@ def test_a_side_without_values_has_no_score(spark):
     assert share.n_columns == 2 and share.n_drifted_columns == 0 and share.dataset_drift is False
     none = drift.drift_share(drift.drift_table(ref, cur, ["x"], ["c"]).limit(0)).first()
     assert none.share_of_drifted_columns is None and none.dataset_drift is False
+
+
+def test_buckets_by_halving_are_the_numbers_of_bounds_below(spark):
+    from vigil.operators.ordered import bucket_from_bounds
+    bounds = {"a": [float(i) * 3 for i in range(1000)], "b": [5.0], "c": []}
+    df = spark.createDataFrame([(g, v) for g in ("a", "b", "c", "d", None) for v in (None, -1.0, 0.0, 0.1, 2.0, 3.0, 5.0, 6.5, 1500.0, 2997.0, 2998.0, 1e9, float("nan"))], "g string, v double")
+    out = df.withColumn("n", bucket_from_bounds("v", "g", bounds))
+    assert "filter(" not in out._jdf.queryExecution().executedPlan().toString()  # no pass over all bounds a row
+    for r in out.collect():
+        assert r.n == sum(r.v is not None and (b < r.v or r.v != r.v) for b in bounds.get(r.g, []))
+    for n in (0, 1, 2, 3, 64):
+        one = [float(i) for i in range(n)]
+        for r in df.withColumn("n", bucket_from_bounds("v", None, one)).collect():
+            assert r.n == sum(r.v is not None and (b < r.v or r.v != r.v) for b in one)
+
+
+def test_asof_carries_the_last_knot_over_empty_buckets(spark):
+    from vigil.operators.ordered import asof_last
+    knots = spark.createDataFrame([("a", 1.0, "x"), ("a", 2.0, "y"), ("a", 50.0, None), ("b", 7.0, "z")], "g string, k double, p string")
+    probes = spark.createDataFrame([(g, k) for g in ("a", "b", "c") for k in (0.0, 1.0, 3.5, 40.0, 60.0)], "g string, k double")
+    got = {(r.g, r.k): r.p for r in asof_last(probes, knots, "g", "k", ["p"], bounds={"a": [0.5, 2.0, 10.0, 20.0, 55.0], "b": [1.0, 30.0]}).collect()}
+    assert got == {("a", 0.0): None, ("a", 1.0): "x", ("a", 3.5): "y", ("a", 40.0): "y", ("a", 60.0): None, ("b", 0.0): None, ("b", 1.0): None, ("b", 3.5): None, ("b", 40.0): "z", ("b", 60.0): "z", **{("c", k): None for k in (0.0, 1.0, 3.5, 40.0, 60.0)}}

@@ -27,6 +27,10 @@ from vigil.operators.digest import column_digests, column_hashes
 from vigil.session import cut_lineage
 
 
+#: The test of each kind of columns.
+STATTEST = {"number": "wasserstein_normed", "text": "jensen_shannon"}
+
+
 def _q(c: str) -> Column:
     return F.col(f"`{c}`")
 
@@ -119,23 +123,33 @@ class Cube:
                 found.append(b)
         return found
 
-    def daily_drift(self) -> DataFrame:
-        """(data_date, column_name, drift_score, stattest, threshold, drift_detected) of every current day. Days of batches that
-        were not scored against this reference are scored and appended; of a day scored twice the later score, over all its rows, holds."""
+    def daily_drift(self, numeric: bool = True, categorical: bool = True) -> DataFrame:
+        """(data_date, column_name, drift_score, stattest, threshold, drift_detected) of every current day, of the kinds of columns
+        asked for; a kind asked for alone is scored alone, unless both were scored already. Days of batches that were not scored against
+        this reference are scored and appended; of a day scored twice the later score, over all its rows, holds."""
         place = f"drift-{uuid.uuid5(uuid.NAMESPACE_URL, ','.join(self._reference_batches())).hex}"
-        done = self._batches(f"{place}/covered")
-        had = {r["name"] for r in self._read(f"{place}/covered", done).collect()} if done else set()  # a row a batch
-        new = [b for b in self._batches("facts") if b not in had]
+        only = None if numeric and categorical else "number" if numeric else "text"
+        batches, done, had = self._scored(place)
+        if only is not None and had < set(batches):
+            place = f"{place}-{only}"
+            batches, done, had = self._scored(place)
+        new = [b for b in batches if b not in had]
         if new:
-            self._score(new, len(done), place)
+            self._score(new, len(done), place, *([] if only is None else [only]))
         best = F.max_by(F.struct("drift_score", "stattest", "threshold", "drift_detected"), "version").alias("s")
-        return self._read(f"{place}/scores").groupBy("data_date", "column_name").agg(best).select("data_date", "column_name", "s.*")
+        scores = self._read(f"{place}/scores").groupBy("data_date", "column_name").agg(best).select("data_date", "column_name", "s.*")
+        return scores if only is None else scores.filter(F.col("stattest") == STATTEST[only])
+
+    def _scored(self, place: str) -> tuple[list[str], list[str], set[str]]:
+        """All batches, the tables of names of those scored in ``place``, and these names."""
+        done = self._batches(f"{place}/covered")
+        return self._batches("facts"), done, {r["name"] for r in self._read(f"{place}/covered", done).collect()} if done else set()  # a row a batch
 
-    def _score(self, new: list[str], version: int, place: str) -> None:
+    def _score(self, new: list[str], version: int, place: str, only: str | None = None) -> None:
         days = self._read("facts", new).filter("NOT is_reference AND data_date IS NOT NULL").select("data_date").distinct()
         parts = []
         for kind, columns, by_day in (("number", self.numeric, drift.numeric_drift_by_day_of_counts), ("text", self.categorical, drift.categorical_drift_by_day_of_counts)):
-            if columns:
+            if columns and only in (None, kind):
                 counts = self.counts(kind)
                 ref = cut_lineage(counts.filter("is_reference").groupBy("column_name", "value").agg(F.sum("n").alias("nr")))
                 cur = counts.filter("NOT is_reference").join(days, "data_date", "left_semi")

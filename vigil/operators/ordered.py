@@ -13,12 +13,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vigil.functions.text import let
 from vigil.session import cut_lineage
 
 
-def _count_below(v: Column, arr: Column) -> Column:
-    """Number of elements of ``arr`` strictly below ``v`` (0 for a null array)."""
-    return F.when(arr.isNull(), F.lit(0)).otherwise(F.size(F.filter(arr, lambda b: b < v.cast("double"))))
+def _count_below(v: Column, arr: Column, most: int) -> Column:
+    """Number of elements of the ascending ``arr``, which has at most ``most``, strictly below ``v`` (0 for a null array).
+
+    Found by halving steps: the cost a row grows with the logarithm of the number of cut points, which itself grows with the table."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(most.bit_length()))]).cast("array<int>")
+
+    def search(a):
+        return F.aggregate(steps, F.lit(0), lambda below, step: F.when(F.get(a, below + step - 1) < v.cast("double"), below + step).otherwise(below))
+
+    return F.coalesce(let(arr, search), F.lit(0))
 
 
 def _bounds_array(bounds: list[float]) -> Column:
@@ -26,10 +34,7 @@ def _bounds_array(bounds: list[float]) -> Column:
 
 
 def _bucket_expr(v: Column, bounds: list[float]) -> Column:
-    # One higher-order function over a short literal array.  Measured on local[8]:
-    # ~3x faster than a nested CASE tree of comparisons, whose generated code
-    # grows too large to be compiled well.
-    return _count_below(v, _bounds_array(bounds))
+    return _count_below(v, _bounds_array(bounds), len(bounds))
 
 
 def _keys(by) -> list[str]:
@@ -72,7 +77,7 @@ def bucket_from_bounds(order_col: str, bound_by: str | None, bounds) -> Column:
         return F.lit(0)
     # the group's cut points by one map lookup, then one pass over them
     per_group = F.create_map(*[x for g, b in bounds.items() for x in (F.lit(g), _bounds_array(b))])
-    return _count_below(v, per_group[F.col(bound_by)])
+    return _count_below(v, per_group[F.col(bound_by)], max(map(len, bounds.values())))
 
 
 def bucket_column(df: DataFrame, order_col: str, bound_by: str | None, n_buckets: int | None = None, accuracy: int | None = None) -> Column:
@@ -151,12 +156,14 @@ def asof_last(probes: DataFrame, knots: DataFrame, by: str, key: str, payload: l
     w = (Window.partitionBy(by, "_bucket").orderBy("_key", "_probe")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = u.select(by, "_bucket", "_probe", "_row", F.last("_p", ignorenulls=True).over(w).alias("_lp"))
-    last_in_bucket = (u.groupBy(by, "_bucket")
-                       .agg(F.max_by(F.col("_p"), F.when(F.col("_probe") == 0, F.col("_key"))).alias("_bl")))
-    carry = last_in_bucket.select(
+    # the largest knot of each bucket by its key alone, a plain hash aggregate; only the keys carried on fetch their payload
+    last_in_bucket = u.groupBy(by, "_bucket").agg(F.max(F.when(F.col("_probe") == 0, F.col("_key"))).alias("_bl"))
+    before = last_in_bucket.select(
         by, "_bucket",
         F.last("_bl", ignorenulls=True).over(
-            Window.partitionBy(by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
+            Window.partitionBy(by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)).alias("_key"))
+    fetched = k.join(F.broadcast(before.select(by, "_key").distinct()), [by, "_key"]).groupBy(by, "_key").agg(F.first("_p").alias("_carry"))
+    carry = before.join(F.broadcast(fetched), [by, "_key"], "left").select(by, "_bucket", "_carry")
     out = (local.filter(F.col("_probe") == 1)
                 .join(F.broadcast(carry), [by, "_bucket"])
                 .select(by, "_row", F.coalesce("_lp", "_carry").alias("_hit")))

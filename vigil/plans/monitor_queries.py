@@ -165,7 +165,7 @@ _DAY_JS_SQL = f"""
     SELECT data_date, column_name, {R("score")} AS drift_score, score >= {drift.DRIFT_THRESHOLD} AS drift_detected FROM js
 """)
 def daily_categorical_drift(spark, sf_dir):
-    d = mon.monitoring_cube(spark, sf_dir).daily_drift().filter("stattest = 'jensen_shannon'")
+    d = mon.monitoring_cube(spark, sf_dir).daily_drift(numeric=False)
     return d.select("data_date", "column_name", rnd("drift_score").alias("drift_score"), "drift_detected")
 
 
@@ -202,7 +202,7 @@ _DAY_W_SQL = f"""
     SELECT data_date, column_name, {R("score")} AS drift_score, score >= {drift.DRIFT_THRESHOLD} AS drift_detected FROM nws
 """)
 def daily_numeric_drift(spark, sf_dir):
-    d = mon.monitoring_cube(spark, sf_dir).daily_drift().filter("stattest = 'wasserstein_normed'")
+    d = mon.monitoring_cube(spark, sf_dir).daily_drift(categorical=False)
     return d.select("data_date", "column_name", rnd("drift_score").alias("drift_score"), "drift_detected")
 
 
