@@ -88,3 +88,14 @@ def test_a_kind_of_columns_is_scored_alone(spark, table, tmp_path, monkeypatch):
     for _ in range(2):
         assert rounded(cube.daily_drift(numeric=False).select(days).collect()) == rounded(want.select(days).collect())
     assert len(list(tmp_path.glob("e/drift-*/scores/*"))) == 1  # once
+
+
+def test_digests_are_exact_sums_of_the_hashes(spark):
+    from vigil.operators.digest import column_digests, column_hashes
+    rows = spark.range(2000).select(F.col("id").alias("a"), F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).alias("b"))
+    h = column_hashes(rows, ["a", "b"])
+    got = h.agg(*column_digests(2))
+    assert "decimal(28,0)" not in got._jdf.queryExecution().executedPlan().toString()  # no decimal a cell
+    cells = h.select(F.xxhash64("_row", F.coalesce("_h0", F.lit(0)), F.col("_h0").isNull()).alias("x"), F.xxhash64("_row", F.coalesce("_h1", F.lit(0)), F.col("_h1").isNull()).alias("y")).collect()
+    r = got.first()
+    assert (int(r.digest0), int(r.digest1)) == (sum(c.x for c in cells), sum(c.y for c in cells)) and (r.values0, r.values1) == (2000, 1333)

@@ -23,13 +23,18 @@ def column_hashes(df: DataFrame, columns: list[str], keep: list[str] = (), extra
 
 
 def column_digests(n: int) -> list[Column]:
-    """Aggregates over ``column_hashes``: values{i} (not null), least{i} and most{i} (hashes: equal for a constant column), digest{i}."""
-    wide = T.DecimalType(28, 0)
+    """Aggregates over ``column_hashes``: values{i} (not null), least{i} and most{i} (hashes: equal for a constant column), digest{i}.
+
+    A digest is the exact sum of 64-bit hashes, added as two sums of their 32-bit halves and put together once a group: sums of
+    decimals would make an object a cell. A group holds up to 2^31 rows; more are an overflow error, sums of groups are decimals."""
+    wide, half = T.DecimalType(38, 0), T.DecimalType(20, 0)
     out = []
     for i in range(n):
         h = F.col(f"_h{i}")
+        cell = F.xxhash64(F.col("_row"), F.coalesce(h, F.lit(0)), h.isNull())
+        high, low = F.sum(F.shiftright(cell, 32)).cast(half), F.sum(cell.bitwiseAND(F.lit(0xFFFFFFFF))).cast(half)
         out += [F.count(h).alias(f"values{i}"), F.min(h).alias(f"least{i}"), F.max(h).alias(f"most{i}"),
-                F.sum(F.xxhash64(F.col("_row"), F.coalesce(h, F.lit(0)), h.isNull()).cast(wide)).alias(f"digest{i}")]
+                (high * F.lit(1 << 32).cast(T.DecimalType(10, 0)) + low).cast(wide).alias(f"digest{i}")]
     return out
 
 
