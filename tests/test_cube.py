@@ -99,3 +99,11 @@ def test_digests_are_exact_sums_of_the_hashes(spark):
     cells = h.select(F.xxhash64("_row", F.coalesce("_h0", F.lit(0)), F.col("_h0").isNull()).alias("x"), F.xxhash64("_row", F.coalesce("_h1", F.lit(0)), F.col("_h1").isNull()).alias("y")).collect()
     r = got.first()
     assert (int(r.digest0), int(r.digest1)) == (sum(c.x for c in cells), sum(c.y for c in cells)) and (r.values0, r.values1) == (2000, 1333)
+
+
+def test_large_tables_of_the_cube_are_written_as_zstd(spark, table, tmp_path):
+    import pyarrow.parquet as pq
+    cube = new_cube(spark, f"{tmp_path}/g", table)
+    cube.add(table, is_ref())
+    files = list(tmp_path.glob("g/counts/*/*.parquet"))
+    assert files and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}

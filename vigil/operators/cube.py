@@ -67,7 +67,7 @@ class Cube:
         """Append the counts and facts of ``df``, one pass over it for each table."""
         batch = uuid.uuid4().hex
         rows = df.select(*[_q(f.name) for f in self.schema.fields], F.coalesce(is_reference, F.lit(True)).alias("_ref"), F.to_date(_q(self.ts)).alias("_day"))
-        self._counts_of(rows).write.mode("append").parquet(f"{self.path}/counts/batch={batch}")
+        self._counts_of(rows).write.mode("append").option("compression", "zstd").parquet(f"{self.path}/counts/batch={batch}")
         day_facts(rows, self.schema.fields, self.target, self.prediction).write.mode("append").parquet(f"{self.path}/facts/batch={batch}")
 
     def _counts_of(self, rows: DataFrame) -> DataFrame:
@@ -111,7 +111,7 @@ class Cube:
         """Drift of each column, all current days against the whole reference."""
         parts = []
         if numeric:
-            parts.append(drift.numeric_drift_of_counts(cut_lineage(self.sides("number")), self.numeric))
+            parts.append(drift.numeric_drift_of_counts(cut_lineage(self.sides("number"), "zstd"), self.numeric))
         if categorical:
             parts.append(drift.categorical_drift_of_counts(self.sides("text"), self.categorical))
         return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

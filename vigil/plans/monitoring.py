@@ -57,7 +57,7 @@ def monitoring_cube(spark: SparkSession, sf_dir: str) -> Cube:
     if key not in _CUBES:
         m = monitoring_table(spark, sf_dir)
         cube = Cube(spark, key, m.schema, TIMESTAMP, TARGET, PREDICTION, NUMERIC, CATEGORICAL_FEATURES)
-        cube.add(cut_lineage(m), is_reference())  # the join runs once for both tables of the cube
+        cube.add(cut_lineage(m, "zstd"), is_reference())  # the join runs once for both tables of the cube
         _CUBES[key] = cube
     return _CUBES[key]
 
