@@ -185,3 +185,13 @@ def test_ngrams_are_counted_in_slices_of_texts(spark, monkeypatch):
     counts = {(r.k, r.ngram): r.tf for r in tf.collect()}
     assert counts[1, "ab"] == 2 and counts[None, "ab"] == 2 and counts[0, "cde"] == 1 and len(counts) == 40 * 12 + 3
     assert {r.ngram: (r.doc_freq, r.total_count) for r in tx.ngram_document_frequency(df, "k", "s").collect()}["ab"] == (41, 43)
+
+
+def test_run_lengths_sort_values_without_a_comparison_expression(spark):
+    from vigil.functions.sqltext import entropy_sql, run_lengths_sql
+    from vigil.functions.text import run_lengths
+    df = spark.createDataFrame([("banana",), ("",), (None,), ("é日a日",)], "s string")
+    out = df.select("s", run_lengths(F.split("s", "")).alias("a"), F.expr(run_lengths_sql("split(s, '')")).alias("b"), F.expr(entropy_sql("s")).alias("e"))
+    assert "array_sort" not in plan_of(out) and "lambda left" not in plan_of(out)
+    for r in out.filter("s IS NOT NULL").collect():
+        assert [tuple(x) for x in r.a] == sorted(Counter(r.s or [""]).items()) and r.a == r.b

@@ -10,7 +10,7 @@ def run_lengths_sql(items: str) -> str:
     """array<struct<value, n>> of an array: sorted once, cut where neighbours differ."""
     starts = "filter(sequence(0, greatest(size(x) - 1, 0)), i -> i < size(x) AND (i = 0 OR x[i] != x[i - 1]))"
     runs = "transform(st, (i, k) -> named_struct('value', x[i], 'n', coalesce(get(st, k + 1), size(x)) - i))"
-    return f"transform(array(array_sort({items})), x -> transform(array({starts}), st -> {runs})[0])[0]"
+    return f"transform(array(sort_array({items})), x -> transform(array({starts}), st -> {runs})[0])[0]"
 
 
 def entropy_sql(c: str) -> str:

@@ -38,13 +38,14 @@ def let(value: Column, use) -> Column:
 
 def run_lengths(items) -> Column:
     """The distinct elements of an array with their numbers, as array<struct<value, n>> in ascending order: the array is sorted
-    once and cut where neighbours differ, so the cost is that of the sort, however many elements are distinct."""
+    once and cut where neighbours differ, so the cost is that of the sort, however many elements are distinct. ``sort_array``
+    compares the values themselves; ``array_sort`` would evaluate a comparison expression for each pair."""
     def counted(x):
         n = F.size(x)
         starts = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: (i < n) & ((i == 0) | (F.get(x, i) != F.get(x, i - 1))))
         return let(starts, lambda at: F.transform(at, lambda i, k: F.struct(F.get(x, i).alias("value"), (F.coalesce(F.get(at, k + 1), n) - i).alias("n"))))
 
-    return let(F.array_sort(_col(items)), counted)
+    return let(F.sort_array(_col(items)), counted)
 
 
 def char_entropy(c) -> Column:
