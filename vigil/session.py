@@ -57,15 +57,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df, compression: str = "snappy"):
+def cut_lineage(df, compression: str | None = None):
     """Materialise ``df`` as a parquet table in the shared checkpoint folder and read it back.
 
     One pass (``Dataset.checkpoint`` on an unpersisted plan computes it twice:
     once for the eager action, once for the write), and the table has file
     statistics for Catalyst's join planning.  Survives executor loss, unlike
-    localCheckpoint.  ``compression`` is the table's codec; zstd writes less of large tables.
+    localCheckpoint.  ``compression`` is the table's codec (none given: the session's); zstd writes less of large tables.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").option("compression", compression).parquet(path)
+    out = df.write.mode("errorifexists")
+    (out if compression is None else out.option("compression", compression)).parquet(path)
     return spark.read.parquet(path)
