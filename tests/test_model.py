@@ -147,3 +147,20 @@ def test_a_lost_writer_is_passed_over(spark, tmpdir_path):
     reg = ModelRegistry(spark, f"{tmpdir_path}/lost")
     assert reg._claim("m", "aliases", "prod", "s1")  # and never appended
     assert reg.set_alias("m", "prod", 3, wait=0.2) and reg.resolve("m", alias="prod") == 3
+
+
+def test_gate_deals_the_test_half_after_its_join(spark, tmpdir_path, monkeypatch):
+    """The texts of the test half lie together in one file: they are still scored in several tasks."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+
+    from vigil.plans import model_queries as Q
+    spark.createDataFrame([(i, f"text {i}") for i in range(400)], "doc_id long, text string").coalesce(1).write.parquet(f"{tmpdir_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int").coalesce(1).write.parquet(f"{tmpdir_path}/labels.parquet")
+    seen = []
+    monkeypatch.setattr(Q, "fitted", lambda *a: PipelineModel([SQLTransformer(statement="SELECT *, 0.1D AS prediction FROM __THIS__")]))
+    kept = M.scored_table
+    monkeypatch.setattr(M, "scored_table", lambda model, df, target: seen.append(kept(model, df, target)) or seen[-1])
+    assert len(Q.train_and_gate(spark, tmpdir_path).collect()) == 4
+    sizes = seen[0].groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(sizes) == 4 and sum(r["count"] for r in sizes) == 200

@@ -195,3 +195,20 @@ def test_run_lengths_sort_values_without_a_comparison_expression(spark):
     assert "array_sort" not in plan_of(out) and "lambda left" not in plan_of(out)
     for r in out.filter("s IS NOT NULL").collect():
         assert [tuple(x) for x in r.a] == sorted(Counter(r.s or [""]).items()) and r.a == r.b
+
+
+def test_model_text_expressions_evaluate_nothing_for_each_place(spark):
+    """N-grams and entropy of the model's SQL are cut by patterns: equal to the element-wise forms, also for null, characters beyond 16 bits and bytes that are no UTF-8."""
+    from vigil.functions.sqltext import entropy_sql, ngrams_sql, normalized_sql
+    from vigil.functions.text import ngrams_from_chars, ngrams_from_text, normalized_chars, normalized_text
+    texts = WORDS + [None, "a", "😀", "😀😀", "x😀y😀", "a\n\r\nb \t c", "ÀBİß", "日本日本語", "\x00a", "$1\\1"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    df = df.unionAll(spark.sql("SELECT CAST(X'61FF62FE62' AS STRING) AS s UNION ALL SELECT CAST(X'F09F98' AS STRING)"))
+    df = df.select("s", F.expr(normalized_sql("s")).alias("t"), normalized_text("s").alias("u"), normalized_chars("s").alias("c"))
+    out = df.select("s", F.expr(ngrams_sql("t")).alias("a"), ngrams_from_text("u").alias("b"), ngrams_from_text("u", 2, 2).alias("two"))
+    assert "lambda" not in plan_of(out)
+    both = df.select("s", F.expr(ngrams_sql("t")).alias("a"), ngrams_from_text("u").alias("b"), ngrams_from_chars("c").alias("want"),
+                     F.expr(entropy_sql("s")).alias("e"), char_entropy("s").alias("h")).collect()
+    assert len(both) == len(texts) + 2 and all(r.a == r.b == r.want and r.e == r.h for r in both)
+    assert dict(out.select("s", "two").collect())["x😀y😀"] == ["x😀", "😀y", "y😀"]
+    assert "regexp_extract_all(array_join(sort_array(" in plan_of(df.select(F.expr(entropy_sql("s")).alias("e")))

@@ -3,7 +3,7 @@ inside a ``PipelineModel`` (no Python UDF, so a saved model loads anywhere)."""
 
 from __future__ import annotations
 
-from vigil.functions.text import WHITESPACE_CLASS
+from vigil.functions.text import WHITESPACE_CLASS, ngram_pattern
 
 
 def run_lengths_sql(items: str) -> str:
@@ -14,21 +14,21 @@ def run_lengths_sql(items: str) -> str:
 
 
 def entropy_sql(c: str) -> str:
+    """The sorted characters are joined and cut into runs by one pattern, natively; a pattern reads bytes that are no UTF-8 as one
+    replacement character, so strings that hold such are cut element by element."""
+    chars = f"split({c}, '')"
+    runs = f"transform(regexp_extract_all(array_join(sort_array({chars}), ''), r'(?s)(.)\\1*+', 0), r -> length(r))"
+    any_bytes = f"transform({run_lengths_sql(chars)}, r -> r.n)"
     return (f"CASE WHEN {c} IS NULL THEN CAST(NULL AS DOUBLE) WHEN length({c}) = 0 THEN 0.0D "
-            f"ELSE log2(length({c})) - aggregate({run_lengths_sql(f'split({c}, {chr(39) * 2})')}, 0D, (acc, r) -> acc + r.n * log2(r.n)) "
+            f"ELSE log2(length({c})) - aggregate(CASE WHEN is_valid_utf8({c}) THEN {runs} ELSE {any_bytes} END, 0D, (acc, n) -> acc + n * log2(n)) "
             f"/ length({c}) + 0.0D END")
 
 
-def chars_sql(c: str) -> str:
-    return f"split(regexp_replace(lower({c}), r'{WHITESPACE_CLASS}{WHITESPACE_CLASS}+', ' '), '')"
+def normalized_sql(c: str) -> str:
+    return f"regexp_replace(lower({c}), r'{WHITESPACE_CLASS}{WHITESPACE_CLASS}+', ' ')"
 
 
-def ngrams_sql(chars: str, n_min: int = 1, n_max: int = 3) -> str:
-    """n-grams of a materialised character-array column (linear in the text)."""
-    size = f"(CASE WHEN {chars} IS NULL OR (size({chars}) = 1 AND {chars}[0] = '') THEN 0 ELSE size({chars}) END)"
-    parts = []
-    for n in range(n_min, n_max + 1):
-        body = ", ".join(f"element_at({chars}, i + {k})" for k in range(n))
-        parts.append(f"CASE WHEN {size} >= {n} THEN transform(sequence(1, {size} - {n - 1}), i -> concat({body})) "
-                     f"ELSE CAST(array() AS ARRAY<STRING>) END")
+def ngrams_sql(text: str, n_min: int = 1, n_max: int = 3) -> str:
+    """n-grams of a materialised column of normalized text, in order n then position (linear in the text); none of null."""
+    parts = [f"coalesce(regexp_extract_all({text}, r'{ngram_pattern(n)}', 1), CAST(array() AS ARRAY<STRING>))" for n in range(n_min, n_max + 1)]
     return parts[0] if len(parts) == 1 else f"concat({', '.join(parts)})"

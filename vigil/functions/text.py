@@ -62,14 +62,32 @@ def char_entropy(c) -> Column:
             .otherwise(F.log2(length) - weighted / length + F.lit(0.0)))
 
 
-def normalized_chars(c, lowercase: bool = True, normalize_whitespace: bool = True) -> Column:
-    """The text as an array of characters, after lowercasing and whitespace squeezing."""
+def normalized_text(c, lowercase: bool = True, normalize_whitespace: bool = True) -> Column:
+    """The text after lowercasing and whitespace squeezing."""
     s = _col(c)
     if lowercase:
         s = F.lower(s)
     if normalize_whitespace:
         s = squeeze_ws(s)
-    return F.split(s, "")
+    return s
+
+
+def normalized_chars(c, lowercase: bool = True, normalize_whitespace: bool = True) -> Column:
+    """The text as an array of characters, after lowercasing and whitespace squeezing."""
+    return F.split(normalized_text(c, lowercase, normalize_whitespace), "")
+
+
+def ngram_pattern(n: int) -> str:
+    """A pattern whose group 1 is the n characters from each place of a text that has so many left; it takes one character a match."""
+    return rf"(?s)(?=({'.' * n}))."
+
+
+def ngrams_from_text(c, n_min: int = 1, n_max: int = 3) -> Column:
+    """``ngrams_from_chars`` of a column of normalized text, cut natively by a pattern for each n: no array of characters is kept,
+    and no expression is evaluated for each place. ``c`` is read once for each n, so pass a materialised column."""
+    none = F.array().cast("array<string>")
+    parts = [F.coalesce(F.regexp_extract_all(_col(c), F.lit(ngram_pattern(n)), 1), none) for n in range(n_min, n_max + 1)]
+    return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
 def ngrams_from_chars(chars, n_min: int = 1, n_max: int = 3) -> Column:

@@ -19,7 +19,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.functions.sqltext import chars_sql, entropy_sql, ngrams_sql
+from vigil.functions.sqltext import entropy_sql, ngrams_sql, normalized_sql
 from vigil.operators.metrics import log_target, regression_metric_columns
 from vigil.operators.textfeatures import gram_frequencies
 
@@ -64,15 +64,15 @@ def fit_text_regressor(df: DataFrame, text: str, target: str, *, n_min: int = NG
     Vectors are made of the whole corpus vocabulary. The regressor sees those of its entries that the fit rows have: the others are
     zero in every fit row, so no split and no coefficient could use them."""
     prep = SQLTransformer(statement=(
-        f"SELECT *, {ngrams_sql('_chars', n_min, n_max)} AS _ngrams, {entropy_sql(text)} AS _entropy "
-        f"FROM (SELECT *, {chars_sql(text)} AS _chars FROM __THIS__)"))
+        f"SELECT *, {ngrams_sql('_normalized', n_min, n_max)} AS _ngrams, {entropy_sql(text)} AS _entropy "
+        f"FROM (SELECT *, {normalized_sql(text)} AS _normalized FROM __THIS__)"))
     usable = df.select(text, target).filter(F.col(text).isNotNull() & F.col(target).isNotNull())
-    chosen = fit_rows(df, text, target, max_rows)
-    vocabulary, idf, n_fit = corpus_vocabulary(usable, chosen, text, n_min, n_max)
+    # Both are read several times below; kept once (recomputed from lineage if an executor is lost) and dropped when the fit is done.
+    chosen = fit_rows(df, text, target, max_rows).persist(StorageLevel.MEMORY_AND_DISK)
     labeled = chosen.withColumn(LABEL, log_target(F.col(target).cast("double")))
-    # Read several times below; kept once (recomputed from lineage if an executor is lost) and dropped when the fit is done.
     data = prep.transform(labeled).select("_ngrams", "_entropy", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        vocabulary, idf, n_fit = corpus_vocabulary(usable, chosen, text, n_min, n_max)
         cv = CountVectorizerModel.from_vocabulary(vocabulary or [""], inputCol="_ngrams", outputCol="_tf")
         stages = [prep, cv]
         feats = "_tf"
@@ -101,6 +101,7 @@ def fit_text_regressor(df: DataFrame, text: str, target: str, *, n_min: int = NG
             featurised.unpersist()
     finally:
         data.unpersist()
+        chosen.unpersist()
     return PipelineModel(stages=stages + [fitted])
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.functions.text import char_entropy, ngrams_from_chars, normalized_chars, run_lengths
+from vigil.functions.text import char_entropy, ngrams_from_chars, ngrams_from_text, normalized_chars, normalized_text, run_lengths
 from vigil.operators.ordered import numbered
 from vigil.session import cut_lineage
 
@@ -85,8 +85,8 @@ def document_grams(df: DataFrame, key: str, text: str, n_min: int = 1, n_max: in
 def gram_frequencies(df: DataFrame, text: str, n_min: int = 1, n_max: int = 3) -> DataFrame:
     """(ngram, doc_freq) over all rows of ``df``, each n-gram counted once a row before anything is shuffled."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chars = df.select(text).repartition(n).select(normalized_chars(F.col(text)).alias("_chars")).select(ngrams_from_chars("_chars", n_min, n_max).alias("_grams"))
-    return chars.select(F.explode(F.array_distinct("_grams")).alias("ngram")).groupBy("ngram").agg(F.count(F.lit(1)).alias("doc_freq"))
+    texts = df.select(text).repartition(n).select(normalized_text(F.col(text)).alias("_text")).select(ngrams_from_text("_text", n_min, n_max).alias("_grams"))
+    return texts.select(F.explode(F.array_distinct("_grams")).alias("ngram")).groupBy("ngram").agg(F.count(F.lit(1)).alias("doc_freq"))
 
 
 def ngram_dictionary(df: DataFrame, key: str, text: str, n_min: int = 1, n_max: int = 3, grams: DataFrame | None = None) -> DataFrame:
