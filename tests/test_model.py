@@ -164,3 +164,16 @@ def test_gate_deals_the_test_half_after_its_join(spark, tmpdir_path, monkeypatch
     assert len(Q.train_and_gate(spark, tmpdir_path).collect()) == 4
     sizes = seen[0].groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert len(sizes) == 4 and sum(r["count"] for r in sizes) == 200
+
+
+def test_fit_takes_every_labelled_row(spark):
+    """1,100 rows: what only the 100 with the largest hashes of their text hold is learned too."""
+    texts = spark.createDataFrame([(f"{kind}{i}",) for kind in ("ab", "zq") for i in range(2200)], "t string")
+    hashed = [(r["t"], r["h"]) for r in texts.select("t", F.xxhash64("t").alias("h")).orderBy("h").collect()]
+    low = [x for x in hashed if x[0].startswith("ab")][:1000]
+    high = [x for x in hashed if x[0].startswith("zq") and x[1] > low[-1][1]][:100]
+    assert len(high) == 100
+    df = spark.createDataFrame([(t, 0.0) for t, _ in low] + [(t, 99.0) for t, _ in high], "t string, y double")
+    model = M.fit_text_regressor(df, "t", "y", n_max=2, forest={"numTrees": 4, "maxDepth": 2})
+    got = M.score(model, df).groupBy("y").agg(F.min("prediction").alias("lo"), F.max("prediction").alias("hi")).collect()
+    assert {r["y"]: (round(r["lo"], 9), round(r["hi"], 9)) for r in got} == {0.0: (0.0, 0.0), 99.0: (2.0, 2.0)}

@@ -14,93 +14,114 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer,
                                 VectorAssembler, VectorSlicer)
 from pyspark.ml.linalg import DenseVector
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.sqltext import entropy_sql, ngrams_sql, normalized_sql
+from vigil.operators import forest as sparse_forest
 from vigil.operators.metrics import log_target, regression_metric_columns
 from vigil.operators.textfeatures import gram_frequencies
 
 # Forest settings and n-gram range of the reference model.
 FOREST = {"numTrees": 50, "maxDepth": 12, "seed": 42}
 NGRAM_RANGE = (1, 3)
-#: Labelled rows that the regressor is fitted on at most: those with the smallest hashes of their text. Vocabulary, document
-#: frequencies and so idf and vector lengths come from all labelled rows; scoring and all metrics cover all rows.
-MAX_FIT_ROWS = 1000
-#: The fit reads its rows in this many partitions, dealt and sorted by the text, so a refit gives the same model.
-FIT_PARTITIONS = 8
+#: The fit reads its rows in partitions of about so many, ``FIT_PARTITIONS`` at least, dealt and sorted by the text, so a refit gives the same model.
+FIT_PARTITIONS, FIT_PARTITION_ROWS = 8, 2000
 LABEL, PREDICTION = "target_log", "prediction"
 
 
 def fit_rows(df: DataFrame, text: str, target: str, max_rows: int | None) -> DataFrame:
-    """At most ``max_rows`` labelled rows in an order that does not depend on how ``df`` is partitioned."""
+    """The labelled rows (with ``max_rows`` so many at most, by hash) in an order that does not depend on how ``df`` is partitioned."""
     rows = df.select(F.col(text), F.col(target)).filter(F.col(text).isNotNull() & F.col(target).isNotNull())
     h = F.xxhash64(F.col(text))
     if max_rows is not None:
         rows = rows.orderBy(h, text, target).limit(max_rows)
-    return rows.repartition(FIT_PARTITIONS, h).sortWithinPartitions(text, target)
+    return rows.repartition(max(FIT_PARTITIONS, -(-rows.count() // FIT_PARTITION_ROWS)), h).sortWithinPartitions(text, target)
 
 
-def corpus_vocabulary(df: DataFrame, fit_on: DataFrame, text: str, n_min: int, n_max: int) -> tuple[list[str], list[float], int]:
-    """The n-grams of all texts of ``df`` with their smooth idf + 1, those of ``fit_on`` first, and how many these are.
+def numbered_rows(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_row``, their places 0, 1, ... in the order of the partitions."""
+    number = F.monotonically_increasing_id()
+    sizes = {r["p"]: r["n"] for r in rows.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    before = [0]
+    for p in range(max(sizes, default=0)):
+        before.append(before[-1] + sizes.get(p, 0))
+    start = F.element_at(F.array(*map(F.lit, before)), F.shiftright(number, 33).cast("int") + 1)
+    return rows.withColumn("_row", (start + number.bitwiseAND((1 << 33) - 1)).cast("long"))
+
+
+def corpus_counts(df: DataFrame, fit_on: DataFrame | None, text: str, n_min: int, n_max: int) -> tuple[list[str], list[int], int, int]:
+    """The n-grams of all texts of ``df`` with their document frequencies, those of ``fit_on`` (none given: all) first, how many these
+    are, and the number of texts.
 
     Counting is distributed; the fitted vectorizer then holds the vocabulary, as it must for scoring: at most the distinct
     strings of ``n_max`` characters that occur, whatever the number of rows."""
-    seen = gram_frequencies(fit_on, text, n_min, n_max).select("ngram", F.lit(True).alias("fit"))
-    rows = gram_frequencies(df, text, n_min, n_max).join(seen, "ngram", "left").select("ngram", "doc_freq", F.coalesce("fit", F.lit(False)).alias("fit")).toArrow()
-    n = df.count()
+    rows = gram_frequencies(df, text, n_min, n_max)
+    if fit_on is None:
+        rows = rows.withColumn("fit", F.lit(True)).toArrow()
+    else:
+        seen = gram_frequencies(fit_on, text, n_min, n_max).select("ngram", F.lit(True).alias("fit"))
+        rows = rows.join(seen, "ngram", "left").select("ngram", "doc_freq", F.coalesce("fit", F.lit(False)).alias("fit")).toArrow()
     table = sorted(zip((not f for f in rows["fit"].to_pylist()), rows["ngram"].to_pylist(), rows["doc_freq"].to_pylist()))
-    return [g for _, g, _ in table], [math.log((1 + n) / (1 + k)) + 1 for _, _, k in table], sum(not late for late, _, _ in table)
+    return [g for _, g, _ in table], [k for _, _, k in table], sum(not late for late, _, _ in table), df.count()
+
+
+def smooth_idf(doc_freq: list[int], n: int) -> list[float]:
+    return [math.log((1 + n) / (1 + k)) + 1 for k in doc_freq]
+
+
+def corpus_vocabulary(df: DataFrame, fit_on: DataFrame | None, text: str, n_min: int, n_max: int) -> tuple[list[str], list[float], int]:
+    """The n-grams of all texts of ``df`` with their smooth idf + 1, those of ``fit_on`` first, and how many these are."""
+    vocabulary, doc_freq, n_fit, n = corpus_counts(df, fit_on, text, n_min, n_max)
+    return vocabulary, smooth_idf(doc_freq, n), n_fit
 
 
 def fit_text_regressor(df: DataFrame, text: str, target: str, *, n_min: int = NGRAM_RANGE[0],
-                       n_max: int = NGRAM_RANGE[1], max_rows: int | None = MAX_FIT_ROWS,
+                       n_max: int = NGRAM_RANGE[1], max_rows: int | None = None,
                        tfidf: bool = True, model: str = "forest", reg_param: float = 1.0,
                        forest: dict | None = None) -> PipelineModel:
-    """Fit on ``text`` → log10(target + 1); returns a PipelineModel that adds ``prediction``.
+    """Fit on ``text`` → log10(target + 1) of all labelled rows; returns a PipelineModel that adds ``prediction``.
 
-    Vectors are made of the whole corpus vocabulary. The regressor sees those of its entries that the fit rows have: the others are
+    ``max_rows``, where a caller gives it, bounds the rows that the regressor sees, not the corpus. Vectors are made of the whole corpus vocabulary. The regressor sees those of its entries that the fit rows have: the others are
     zero in every fit row, so no split and no coefficient could use them."""
     prep = SQLTransformer(statement=(
         f"SELECT *, {ngrams_sql('_normalized', n_min, n_max)} AS _ngrams, {entropy_sql(text)} AS _entropy "
         f"FROM (SELECT *, {normalized_sql(text)} AS _normalized FROM __THIS__)"))
-    usable = df.select(text, target).filter(F.col(text).isNotNull() & F.col(target).isNotNull())
-    # Both are read several times below; kept once (recomputed from lineage if an executor is lost) and dropped when the fit is done.
+    # Read several times below; kept once (recomputed from lineage if an executor is lost) and dropped when the fit is done.
     chosen = fit_rows(df, text, target, max_rows).persist(StorageLevel.MEMORY_AND_DISK)
-    labeled = chosen.withColumn(LABEL, log_target(F.col(target).cast("double")))
-    data = prep.transform(labeled).select("_ngrams", "_entropy", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+    usable = chosen if max_rows is None else df.select(text, target).filter(F.col(text).isNotNull() & F.col(target).isNotNull())
+    labeled = numbered_rows(chosen).withColumn(LABEL, log_target(F.col(target).cast("double")))
     try:
-        vocabulary, idf, n_fit = corpus_vocabulary(usable, chosen, text, n_min, n_max)
+        vocabulary, doc_freq, n_fit, n = corpus_counts(usable, None if max_rows is None else chosen, text, n_min, n_max)
         cv = CountVectorizerModel.from_vocabulary(vocabulary or [""], inputCol="_ngrams", outputCol="_tf")
         stages = [prep, cv]
         feats = "_tf"
         if tfidf:
-            stages += [ElementwiseProduct(scalingVec=DenseVector(idf or [0.0]), inputCol="_tf", outputCol="_tfidf_raw"),
+            stages += [ElementwiseProduct(scalingVec=DenseVector(smooth_idf(doc_freq, n) or [0.0]), inputCol="_tf", outputCol="_tfidf_raw"),
                        Normalizer(inputCol="_tfidf_raw", outputCol="_tfidf", p=2.0)]
             feats = "_tfidf"
         if n_fit < len(vocabulary):
             stages.append(VectorSlicer(inputCol=feats, outputCol="_fit", indices=list(range(n_fit))))
             feats = "_fit"
         stages.append(VectorAssembler(inputCols=[feats, "_entropy"], outputCol="_features"))
-        featurised = (PipelineModel(stages=stages[1:]).transform(data).select("_features", LABEL)
-                      .persist(StorageLevel.MEMORY_AND_DISK))
-        try:
-            if model == "forest":
-                params = dict(FOREST, **(forest or {}))
-                reg = RandomForestRegressor(featuresCol="_features", labelCol=LABEL, predictionCol=PREDICTION,
-                                            featureSubsetStrategy="all", maxMemoryInMB=1024, **params)
-            elif model in ("linear", "ridge"):
-                reg = LinearRegression(featuresCol="_features", labelCol=LABEL, predictionCol=PREDICTION,
-                                       regParam=reg_param if model == "ridge" else 0.0, elasticNetParam=0.0)
-            else:
-                raise ValueError(f"unknown model {model!r}")
-            fitted = reg.fit(featurised)
-        finally:
-            featurised.unpersist()
+        featurised = PipelineModel(stages=stages).transform(labeled).select("_row", "_features", LABEL)
+        if model == "forest":
+            n_features = (n_fit if n_fit < len(vocabulary) else len(vocabulary or [""])) + 1
+            fitted = sparse_forest.fit(labeled, featurised, n_features, sum(doc_freq) + n, features="_features", label=LABEL, prediction=PREDICTION,
+                                       **dict(FOREST, **(forest or {})))
+        elif model in ("linear", "ridge"):
+            reg = LinearRegression(featuresCol="_features", labelCol=LABEL, predictionCol=PREDICTION,
+                                   regParam=reg_param if model == "ridge" else 0.0, elasticNetParam=0.0)
+            featurised.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                fitted = reg.fit(featurised)
+            finally:
+                featurised.unpersist()
+        else:
+            raise ValueError(f"unknown model {model!r}")
     finally:
-        data.unpersist()
         chosen.unpersist()
     return PipelineModel(stages=stages + [fitted])
 
