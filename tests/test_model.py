@@ -166,14 +166,34 @@ def test_gate_deals_the_test_half_after_its_join(spark, tmpdir_path, monkeypatch
     assert len(sizes) == 4 and sum(r["count"] for r in sizes) == 200
 
 
-def test_fit_takes_every_labelled_row(spark):
-    """1,100 rows: what only the 100 with the largest hashes of their text hold is learned too."""
+@pytest.fixture(scope="module")
+def by_hash(spark):
+    """1,000 texts of one kind, and 100 of another whose hashes are all larger."""
     texts = spark.createDataFrame([(f"{kind}{i}",) for kind in ("ab", "zq") for i in range(2200)], "t string")
     hashed = [(r["t"], r["h"]) for r in texts.select("t", F.xxhash64("t").alias("h")).orderBy("h").collect()]
     low = [x for x in hashed if x[0].startswith("ab")][:1000]
     high = [x for x in hashed if x[0].startswith("zq") and x[1] > low[-1][1]][:100]
     assert len(high) == 100
-    df = spark.createDataFrame([(t, 0.0) for t, _ in low] + [(t, 99.0) for t, _ in high], "t string, y double")
+    return [t for t, _ in low], [t for t, _ in high]
+
+
+def test_fit_takes_every_labelled_row(spark, by_hash):
+    """1,100 rows: what only the 100 with the largest hashes of their text hold is learned too."""
+    low, high = by_hash
+    df = spark.createDataFrame([(t, 0.0) for t in low] + [(t, 99.0) for t in high], "t string, y double")
     model = M.fit_text_regressor(df, "t", "y", n_max=2, forest={"numTrees": 4, "maxDepth": 2})
     got = M.score(model, df).groupBy("y").agg(F.min("prediction").alias("lo"), F.max("prediction").alias("hi")).collect()
     assert {r["y"]: (round(r["lo"], 9), round(r["hi"], 9)) for r in got} == {0.0: (0.0, 0.0), 99.0: (2.0, 2.0)}
+
+
+def test_gate_sees_a_model_of_the_whole_train_half(spark, by_hash, tmpdir_path):
+    """The test half is made of texts like the 100 of the 1,100 training rows that have the largest hashes: they are known, and the gate passes."""
+    from vigil.plans import model_queries as Q
+    low, high = by_hash
+    rows = [(i, t, int(t in high)) for i, t in enumerate(low + high + high * 11)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    df.select("doc_id", "text").write.parquet(f"{tmpdir_path}/documents.parquet")
+    df.select("doc_id", "quality").write.parquet(f"{tmpdir_path}/labels.parquet")
+    got = Q.train_and_gate(spark, tmpdir_path).collect()
+    assert len(got) == 4 and all(r["passed"] and abs(r["value"]) < 1e-6 for r in got)
+    assert Q.fitted(spark, tmpdir_path).stages[-1].getNumTrees == 50
